@@ -1,0 +1,6 @@
+"""Deliberately empty: the workload is batch only.
+
+Sources are daily files that are replaced under the same name. A file stream
+remembers the paths it has seen and would skip the replacement, so ingest is a
+batch job per delivery (see ``stockflow.plans.ingest``).
+"""
