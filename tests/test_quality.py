@@ -1,0 +1,71 @@
+from __future__ import annotations
+
+import pytest
+
+from stockflow.operators.quality import (
+    DataQualityError,
+    dq_metrics,
+    enforce,
+    enforce_match_rate,
+    match_rate,
+    near_miss,
+)
+
+from .helpers import bag, one
+
+
+@pytest.fixture
+def stock(spark):
+    rows = [("A", "1", "1"), ("A", "1", "1,2"), (None, "2", None), (None, "2", "x")]
+    return spark.createDataFrame(rows, "location string, item string, qty string")
+
+
+def test_all_checks_in_one_frame(stock):
+    got = dq_metrics(
+        stock, expected=["location", "item", "extra"], required=["item", "gone"], min_rows=2, max_rows=3,
+        not_null=["location", "item", "gone"], unique_key=["location", "item"], quantities=["qty", "gone"],
+    )
+    assert [tuple(r) for r in got.collect()] == [
+        ("columns", "location", 2, "PASS"),
+        ("columns", "item", 4, "PASS"),
+        ("columns", "extra", 0, "WARN"),
+        ("columns", "gone", 0, "FAIL"),
+        ("columns", "qty", 3, "WARN"),
+        ("row_count", None, 4, "WARN"),
+        ("nulls", "location", 2, "FAIL"),
+        ("nulls", "item", 0, "PASS"),
+        ("unique_key", "location,item", 2, "FAIL"),
+        ("lost_quantity", "qty", 2, "WARN"),
+    ]
+
+
+@pytest.mark.parametrize("low, high, status", [(4, None, "PASS"), (5, None, "FAIL"), (1, 4, "PASS"), (1, 3, "WARN"), (1, 0, "PASS")])
+def test_row_count_bounds(stock, low, high, status):
+    assert one(dq_metrics(stock, min_rows=low, max_rows=high)).status == status
+
+
+def test_enforce_raises_on_failures_only(stock):
+    enforce(dq_metrics(stock, min_rows=1, max_rows=2))
+    with pytest.raises(DataQualityError, match="location: 2"):
+        enforce(dq_metrics(stock, not_null=["location"]))
+
+
+def test_empty_frame(spark, stock):
+    rows = bag(dq_metrics(stock.limit(0), min_rows=1, not_null=["item"], unique_key=["item"]), "check_name", "value", "status")
+    assert rows == {("row_count", 0, "FAIL"): 1, ("nulls", 0, "PASS"): 1, ("unique_key", 0, "PASS"): 1}
+
+
+def test_match_rate_gate(spark):
+    df = spark.createDataFrame([("p",)] * 4 + [(None,)], "code string")
+    row = one(match_rate(df, "code"))
+    assert (row.n_rows, row.n_matched, row.match_rate, row.status) == (5, 4, 0.8, "PASS")
+    enforce_match_rate(match_rate(df, "code"))
+    with pytest.raises(DataQualityError):
+        enforce_match_rate(match_rate(df, "code", threshold=0.81))
+
+
+def test_near_miss(spark):
+    unmatched = spark.createDataFrame([("c 1", "0012"), ("c 1", "0012"), ("c 1", "99")], "location string, item string")
+    xwalk = spark.createDataFrame([("C 1 ", "12", "P1"), ("c 1", "012", "P2"), ("c 2", "12", "P3")], "b string, s string, code string")
+    got = near_miss(unmatched, xwalk, [("location", "b"), ("item", "s")], "code")
+    assert bag(got) == {("c 1", "0012", 2, "P1", 2): 1}

@@ -258,14 +258,20 @@ REGISTER = "SELECT " + ", ".join(
 ) + " FROM {documents}"
 
 
-def shaped(spark: SparkSession, sf_dir: str, shape: str) -> DataFrame:
-    """A shape over the given parquet files."""
+def shaped(
+    spark: SparkSession, sf_dir: str, shape: str, given: dict[str, DataFrame] | None = None
+) -> DataFrame:
+    """A shape over the given parquet files; ``given`` keeps the scans to share."""
+    given = {} if given is None else given
     used = set(re.findall(r"\{(\w+)\}", shape))
-    return spark.sql(shape, **{t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in used})
+    for table in used - given.keys():
+        given[table] = spark.read.parquet(f"{sf_dir}/{table}.parquet")
+    return spark.sql(shape, **{table: given[table] for table in used})
 
 
 def buylist_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    tables = {role: shaped(spark, sf_dir, shape) for role, shape in BUYLIST.items()}
+    given: dict[str, DataFrame] = {}
+    tables = {role: shaped(spark, sf_dir, shape, given) for role, shape in BUYLIST.items()}
     tables["master"] = tables["master"].withColumnRenamed(
         "SUPPLIER_DESCRIPTION", "Subdivision/SupplierDescription"
     )
@@ -273,7 +279,8 @@ def buylist_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 
 
 def order_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return {role: shaped(spark, sf_dir, shape) for role, shape in ORDERS.items()}
+    given: dict[str, DataFrame] = {}
+    return {role: shaped(spark, sf_dir, shape, given) for role, shape in ORDERS.items()}
 
 
 def in_duckdb(shape: str) -> str:
