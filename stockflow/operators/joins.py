@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from functools import reduce
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Buckets over which rows without a key are spread.
@@ -30,21 +30,29 @@ def lookup(left: DataFrame, right: DataFrame, on: Sequence[tuple[str, str]]) ->
 
     Rows whose key is null match nothing but would all hash to one partition.
     They get a bucket drawn from the whole row as one more join key and so
-    spread over the cluster; rows with a key all share bucket 0. A hot key that
-    is not null is split by the skew join of adaptive execution.
+    spread over the cluster; rows with a key all share bucket 0.
+
+    A hot key that is not null is split by the skew join of adaptive execution.
+    That rule needs a shuffle directly below both sides. The bucket sees to it:
+    a right side that is already grouped by its key, such as the one row per
+    key of a window, is still exchanged.
     """
-    no_key = reduce(lambda a, b: a | b, (F.col(l).isNull() for l, _ in on))
-    spread = F.pmod(F.xxhash64(*left.columns), F.lit(NULL_KEY_BUCKETS)) + 1
-    left = left.withColumn("__bucket", F.when(no_key, spread).otherwise(F.lit(0)))
-    # Always 0, but not a literal: the optimizer would turn an equality with a literal into
-    # a filter, and the bucket would no longer be a key.
-    zero = F.pmod(F.xxhash64(*(r for _, r in on)), F.lit(1))
-    right = right.withColumn("__right_bucket", zero)
+    left_keys, right_keys = [l for l, _ in on], [r for _, r in on]
+    no_key = reduce(lambda a, b: a | b, (F.col(k).isNull() for k in left_keys))
+    spread = F.expr(f"pmod(xxhash64(*), {NULL_KEY_BUCKETS}) + 1")
+    left = left.withColumn("__bucket", F.when(no_key, spread).otherwise(_zero(left_keys)))
+    right = right.withColumn("__right_bucket", _zero(right_keys))
     match = [F.col(l) == F.col(r) for l, r in on]
     match.append(F.col("__bucket") == F.col("__right_bucket"))
     return left.join(right, match, "left").drop("__bucket", "__right_bucket")
 
 
+def _zero(keys: Sequence[str]) -> Column:
+    """Always 0, but not a literal: the optimizer would turn an equality with a literal into
+    a filter, and the bucket would no longer be a join key."""
+    return F.pmod(F.xxhash64(*keys), F.lit(1))
+
+
 class JoinSide(NamedTuple):
     """One left join to measure: name, both frames and the key pairs."""
 

@@ -13,7 +13,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from stockflow.operators.joins import broadcast_within
+from stockflow.operators.joins import broadcast_within, lookup
 
 _RANK = "__rank"
 
@@ -35,7 +35,7 @@ def latest_by(
     df: DataFrame, keys: Sequence[str], latest: str, ties: Sequence[str] = ()
 ) -> DataFrame:
     """Row with the greatest ``latest`` per key; nulls are oldest, ``ties`` decide equal values."""
-    return first_by(df, keys, [F.col(c).desc_nulls_last() for c in (latest, *ties)])
+    return last_by(df, keys, (latest, *ties))
 
 
 def dedupe_last(
@@ -43,12 +43,21 @@ def dedupe_last(
 ) -> Split:
     """Keep the last row of each key under ``order``; the others are rejects.
 
-    ``row_id`` is unique and not null. The rejects are found by an anti join on
-    it, which spreads evenly however many rows one key holds.
+    ``row_id`` is unique and not null.
     """
-    kept = first_by(df, keys, [F.col(c).desc_nulls_last() for c in order])
-    rejected = df.join(kept.select(row_id), row_id, "left_anti")
-    return Split(kept, rejected.withColumn("reason", F.lit("DUPLICATE_KEY")))
+    kept = last_by(df, keys, order)
+    return Split(kept, repeats(df, kept, row_id))
+
+
+def last_by(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    return first_by(df, keys, [F.col(c).desc_nulls_last() for c in order])
+
+
+def repeats(df: DataFrame, kept: DataFrame, row_id: str) -> DataFrame:
+    """Rows that were not kept. The anti join on a unique column spreads evenly however
+    many rows one key holds; a window over the key would gather them in one task."""
+    rest = df.join(kept.select(row_id), row_id, "left_anti")
+    return rest.withColumn("reason", F.lit("DUPLICATE_KEY"))
 
 
 def first_match(
@@ -61,12 +70,11 @@ def first_match(
     """Left join that brings ``cols`` of the first matching right row, so no left
     row is ever multiplied. Null keys do not match."""
     keys = [r for _, r in on]
-    found = all_present(right, keys)
-    best = first_by(found, keys, order).select(
+    best = first_by(all_present(right, keys), keys, order).select(
         *(F.col(k).alias(f"__{k}") for k in keys), *cols
     )
-    match = [F.col(l) == F.col(f"__{r}") for l, r in on]
-    return left.join(best, match, "left").drop(*(f"__{k}" for k in keys))
+    found = lookup(left, best, [(l, f"__{r}") for l, r in on])
+    return found.drop(*(f"__{k}" for k in keys))
 
 
 def all_present(df: DataFrame, cols: Sequence[str]) -> DataFrame:

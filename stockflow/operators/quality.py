@@ -37,7 +37,8 @@ def dq_metrics(
 ) -> DataFrame:
     """Metrics in gate order: columns, row count, nulls, key uniqueness, lost quantities.
 
-    A column check reports how many values the column holds. ``not_null`` and
+    A column check reports how many values the column holds; with ``expected``
+    it also warns of columns not in the list. ``not_null`` and
     ``quantities`` skip columns that are absent; their absence is the column
     check's finding.
     """
@@ -61,7 +62,8 @@ def dq_metrics(
         return F.col(f"m{len(values)}")
 
     if expected or required:
-        for column in dict.fromkeys((*expected, *required, *df.columns)):
+        unexpected = df.columns if expected else ()
+        for column in dict.fromkeys((*expected, *required, *unexpected)):
             if column in present:
                 status = PASS if column in expected or column in required else WARN
                 metric("columns", column, F.count(F.col(column)), status)

@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 from stockflow.config import RunContext, SourceConfig
 from stockflow.functions.numbers import to_quantity
 from stockflow.functions.text import strip_ws
-from stockflow.operators.keyed import Split, dedupe_last
+from stockflow.operators.keyed import Split, last_by, repeats
 from stockflow.sources.files import ORDINAL, ROW_ID
 
 log = logging.getLogger(__name__)
@@ -83,14 +83,34 @@ def standardize(
     """Staged rows, and every row taken out on the way with its reason.
 
     ``order`` is the file order and ``row_id`` a unique column; both come from
-    ``read_source`` and stay on the result until it is written.
+    ``read_source`` and stay on the result until it is written. A source-specific
+    step must keep ``row_id`` unique.
     """
     cleaned, headers = clean(df, cfg)
+    kept = deduplicate(cleaned, cfg, order)
+    return Split(kept, rejects(cleaned, headers, kept, cfg, row_id))
+
+
+def deduplicate(
+    cleaned: DataFrame, cfg: SourceConfig, order: Sequence[str] = ORDINAL
+) -> DataFrame:
     if not cfg.business_key:
         log.warning("%s has no business key; de-duplication skipped", cfg.source_name)
-        return Split(cleaned, headers)
-    kept, repeats = dedupe_last(cleaned, cfg.business_key, order, row_id)
-    return Split(kept, headers.unionByName(repeats, allowMissingColumns=True))
+        return cleaned
+    return last_by(cleaned, cfg.business_key, order)
+
+
+def rejects(
+    cleaned: DataFrame,
+    headers: DataFrame,
+    kept: DataFrame,
+    cfg: SourceConfig,
+    row_id: str = ROW_ID,
+) -> DataFrame:
+    """Header lines and repeats; ``kept`` may be the stored result of ``deduplicate``."""
+    if not cfg.business_key:
+        return headers
+    return headers.unionByName(repeats(cleaned, kept, row_id), allowMissingColumns=True)
 
 
 def with_audit(df: DataFrame, ctx: RunContext) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from stockflow.config import RunContext, SourceConfig
 from stockflow.operators.quality import dq_metrics, enforce
-from stockflow.operators.standardize import standardize, with_audit
+from stockflow.operators.standardize import clean, deduplicate, rejects, with_audit
 from stockflow.session import materialized
 from stockflow.sources.files import ORDINAL, check_freshness, read_source
 from stockflow.sources.operations import RunResult, logged_run, register_source
@@ -60,11 +60,11 @@ def ingest(spark: SparkSession, cfg: SourceConfig, ctx: RunContext | None = None
             _append(raw, cfg.raw_table, cfg, ctx)
             result.rows_raw = verify_write(spark, cfg.raw_table, ctx, raw.count())
 
-            split = standardize(raw, cfg)
-            with materialized(split.kept, "staged") as staged:
+            cleaned, headers = clean(raw, cfg)
+            with materialized(deduplicate(cleaned, cfg), "staged") as staged:
                 enforce(staged_metrics(staged, cfg), "staged")
                 _append(staged, cfg.stg_table, cfg, ctx)
                 result.rows_stg = verify_write(spark, cfg.stg_table, ctx, staged.count())
-            _append(split.rejected, cfg.rejects_table, cfg, ctx)
+                _append(rejects(cleaned, headers, staged, cfg), cfg.rejects_table, cfg, ctx)
         register_source(spark, cfg, result)
     return result

@@ -146,7 +146,7 @@ def crosswalk_join(inventory: DataFrame, xwalk: DataFrame) -> DataFrame:
     """
     keyed = inventory.withColumn("Key2", text_combine("", F.col("location"), F.col("item")))
     codes = xwalk.select(F.col("Key3").alias("__key3"), "CATN32", "CSRF32")
-    return keyed.join(codes, F.col("Key2") == F.col("__key3"), "left").drop("__key3")
+    return lookup(keyed, codes, [("Key2", "__key3")]).drop("__key3")
 
 
 class Resolved(NamedTuple):

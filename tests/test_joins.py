@@ -2,8 +2,10 @@ from __future__ import annotations
 
 from collections import Counter
 
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from stockflow.operators.joins import (
     JoinSide,
@@ -13,6 +15,9 @@ from stockflow.operators.joins import (
     reconcile,
 )
 
+from stockflow.operators.keyed import dedupe_last, first_match
+from stockflow.plans import supply
+
 from .helpers import bag, one
 
 _key = st.sampled_from([None, 1, 2, 3])
@@ -55,26 +60,65 @@ def test_lookup_spreads_rows_without_a_key(spark):
         spark.conf.unset("spark.sql.adaptive.enabled")
 
 
-def test_hot_key_is_split_at_run_time(spark):
-    """A key with most of the rows: adaptive execution splits its partition."""
-    settings_ = {
+@pytest.fixture
+def shuffled_and_small(spark):
+    """Thresholds scaled down so that adaptive execution sees skew in a small frame."""
+    values = {
         "spark.sql.autoBroadcastJoinThreshold": "-1",
         "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
         "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB",
     }
-    for k, v in settings_.items():
+    for k, v in values.items():
         spark.conf.set(k, v)
+    yield
+    for k in values:
+        spark.conf.unset(k)
+
+
+def hot(spark):
+    """A third of the rows share one key."""
+    return spark.range(0, 60_000, 1, 6).selectExpr("if(id % 3 = 0, 7, id % 1000) AS k", "id", "uuid() AS pad")
+
+
+def test_hot_key_of_a_lookup_is_split(spark, shuffled_and_small):
+    joined = lookup(hot(spark), spark.range(1000).selectExpr("id AS rk", "id * 2 AS v"), [("k", "rk")])
+    assert len(joined.collect()) == 60_000
+    assert "skew=true" in plan(joined)
+
+
+def test_hot_key_of_a_first_match_is_split(spark, shuffled_and_small):
+    """Also when the right side comes out of a window over the join key."""
+    right = spark.range(3000).selectExpr("id % 1000 AS rk", "id AS v")
+    joined = first_match(hot(spark), right, [("k", "rk")], [F.col("v").asc()], ["v"])
+    rows = joined.collect()
+    assert len(rows) == 60_000 and all(r.v == r.k for r in rows)
+    assert "skew=true" in plan(joined)
+
+
+def test_hot_sku_of_the_crosswalk_is_split(spark, shuffled_and_small):
+    inventory = hot(spark).selectExpr("'c 001' AS location", "CAST(k AS STRING) AS item", "pad")
+    entries = spark.range(1000).selectExpr(
+        "'SA' AS Company", "'L' AS BuyListCode", "CAST(id AS STRING) AS ItemCode", "CAST(id AS STRING) AS StateReferenceNumber",
+        "'1' AS BuylistItemStatus", "CAST(id AS STRING) AS CustomerCrossReference", "'c' AS Customer", "'001' AS CustomerDeliveryAddressCode",
+        "'n' AS CustomerFullName", "'k' AS BuyListDetailKey",
+    )
+    joined = supply.crosswalk_join(inventory, supply.crosswalk(entries))
+    rows = joined.collect()
+    assert len(rows) == 60_000 and all(r.CATN32 == r.item for r in rows)
+    assert "skew=true" in plan(joined)
+
+
+def test_rejects_of_a_hot_key_do_not_gather(spark, shuffled_and_small):
+    """Repeats are found by row id, so the largest task holds far less than the hot key."""
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        l = spark.range(0, 60_000, 1, 6).selectExpr("if(id % 3 = 0, 7, id % 1000) AS k", "id", "uuid() AS pad")
-        r = spark.range(1000).selectExpr("id AS rk", "id * 2 AS v")
-        joined = lookup(l, r, [("k", "rk")])
-        assert len(joined.collect()) == 60_000
-        assert "skew=true" in plan(joined)
+        rejected = dedupe_last(hot(spark), ["k"], ["id"], "id").rejected
+        sizes = rejected.rdd.glom().map(len).collect()
     finally:
-        for k in settings_:
-            spark.conf.unset(k)
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert sum(sizes) == 60_000 - 1000 and max(sizes) < 20_000
 
 
 def test_broadcast_within_checks_the_size(spark):

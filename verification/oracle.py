@@ -410,9 +410,9 @@ ORACLE: dict[str, str] = {
         SELECT * FROM orders_base WHERE ShipDate IS NULL AND SKU <> 'PALLETSLIPCHG'
           AND SKU IN (SELECT ItemCode FROM buylist WHERE TransitionSKU IS NOT NULL)""",
     "reconcile_tables": _reconcile(
-        "SELECT l_orderkey FROM lineitem WHERE l_returnflag = 'A'",
-        "SELECT l_orderkey FROM lineitem WHERE l_returnflag = 'R'",
-        "l_orderkey",
+        "SELECT l_orderkey AS order_key FROM lineitem",
+        "SELECT o_orderkey AS order_key FROM orders",
+        "order_key",
     ),
     "reconcile_view": _with(**_TO_BUYLIST) + _reconcile(
         "SELECT * FROM buylist",
