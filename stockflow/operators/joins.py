@@ -26,16 +26,23 @@ def broadcast_within(df: DataFrame, max_rows: int) -> DataFrame:
 
 
 def lookup(left: DataFrame, right: DataFrame, on: Sequence[tuple[str, str]]) -> DataFrame:
-    """Left outer join of two frames without common column names.
+    """Left outer ``spread_join``: every left row stays, with its matches or nulls."""
+    return spread_join(left, right, on, "left")
 
-    Rows whose key is null match nothing but would all hash to one partition.
-    They get a bucket drawn from the whole row as one more join key and so
-    spread over the cluster; rows with a key all share bucket 0.
+
+def spread_join(
+    left: DataFrame, right: DataFrame, on: Sequence[tuple[str, str]], how: str
+) -> DataFrame:
+    """Equi-join of two frames without common column names that stays even under skew.
+
+    Both sides get a bucket as one more join key. It is 0 for rows with a key.
+    Left rows whose key is null match nothing but would all hash to one
+    partition; theirs is drawn from the whole row, which spreads them.
 
     A hot key that is not null is split by the skew join of adaptive execution.
     That rule needs a shuffle directly below both sides. The bucket sees to it:
-    a right side that is already grouped by its key, such as the one row per
-    key of a window, is still exchanged.
+    a side that already has the partitioning of an earlier join or window on
+    the same key is exchanged again, and so can be split.
     """
     left_keys, right_keys = [l for l, _ in on], [r for _, r in on]
     no_key = reduce(lambda a, b: a | b, (F.col(k).isNull() for k in left_keys))
@@ -44,7 +51,7 @@ def lookup(left: DataFrame, right: DataFrame, on: Sequence[tuple[str, str]]) ->
     right = right.withColumn("__right_bucket", _zero(right_keys))
     match = [F.col(l) == F.col(r) for l, r in on]
     match.append(F.col("__bucket") == F.col("__right_bucket"))
-    return left.join(right, match, "left").drop("__bucket", "__right_bucket")
+    return left.join(right, match, how).drop("__bucket", "__right_bucket")
 
 
 def _zero(keys: Sequence[str]) -> Column:

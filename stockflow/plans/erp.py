@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from stockflow.config import CHARGE_SKUS, EXCLUDED_HEADER_STATUSES
 from stockflow.functions.text import middle_segment, sql_concat
-from stockflow.operators.joins import lookup
+from stockflow.operators.joins import lookup, spread_join
 from stockflow.operators.keyed import latest_by
 
 Tables = Mapping[str, DataFrame]
@@ -169,10 +169,9 @@ def buylist_detail(t: Tables) -> DataFrame:
         _pick(t["customer"], CUSTOMER_MASTER_COLUMNS, _customer_master="CustomerKey"),
         [("_customer", "_customer_master")],
     )
-    rows = items.join(headers, F.col("_list") == F.col("_header"))
+    rows = spread_join(items, headers, [("_list", "_header")], "inner")
     rows = lookup(rows, master, [("_item", "_master")])
-    # The inner join left no null list key.
-    rows = rows.join(customers, F.col("_list") == F.col("_customer_list"), "left")
+    rows = lookup(rows, customers, [("_list", "_customer_list")])
     key = sql_concat(*(F.col(buylist) for buylist, _ in SHARED_KEY))
     return rows.withColumn("BuyListDetailKey", key).select(*BUYLIST_DETAIL_COLUMNS)
 
@@ -230,7 +229,7 @@ def _header_side(t: Tables) -> DataFrame:
         F.col("PARTYID").alias("_party"), F.col("PARTYNAME").alias("CustomerName")
     )
     addresses = lookup(ship_to, sites, [("_site", "_site_id")])
-    rows = headers.join(addresses, F.col("_header") == F.col("_address_header"), "left")
+    rows = lookup(headers, addresses, [("_header", "_address_header")])
     rows = lookup(rows, accounts, [("CustomerID", "_account_party")])
     return lookup(rows, parties, [("CustomerID", "_party")])
 
@@ -302,7 +301,7 @@ def orders_base(t: Tables) -> DataFrame:
         F.col("ITEMBASEPEOITEMNUMBER").alias("SKU"),
         F.col("ITEMTRANSLATIONPEODESCRIPTION").alias("SKUDesc"),
     )
-    rows = lines.join(_header_side(t), F.col("_line_header") == F.col("_header"))
+    rows = spread_join(lines, _header_side(t), [("_line_header", "_header")], "inner")
     rows = lookup(rows, items, [("SKUID", "_item"), ("_inventory_org", "_item_org")])
     rows = lookup(
         rows,

@@ -13,6 +13,7 @@ from stockflow.operators.joins import (
     fanout_metrics,
     lookup,
     reconcile,
+    spread_join,
 )
 
 from stockflow.operators.keyed import dedupe_last, first_match
@@ -110,6 +111,15 @@ def test_hot_sku_of_the_crosswalk_is_split(spark, shuffled_and_small):
     assert "skew=true" in plan(joined)
 
 
+def test_two_joins_on_one_hot_key_are_both_split(spark, shuffled_and_small):
+    """The second join does not lean on the partitioning of the first."""
+    first = spark.range(1000).selectExpr("id AS a", "id AS va")
+    second = spark.range(1000).selectExpr("id AS b", "id AS vb")
+    joined = lookup(spread_join(hot(spark), first, [("k", "a")], "inner"), second, [("k", "b")])
+    assert len(joined.collect()) == 60_000
+    assert plan(joined).split("Initial Plan")[0].count("skew=true") == 2
+
+
 def test_rejects_of_a_hot_key_do_not_gather(spark, shuffled_and_small):
     """Repeats are found by row id, so the largest task holds far less than the hot key."""
     spark.conf.set("spark.sql.adaptive.enabled", "false")
