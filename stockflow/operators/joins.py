@@ -25,19 +25,29 @@ def broadcast_within(df: DataFrame, max_rows: int) -> DataFrame:
     return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
 
 
-def lookup(left: DataFrame, right: DataFrame, on: Sequence[tuple[str, str]]) -> DataFrame:
+def lookup(
+    left: DataFrame,
+    right: DataFrame,
+    on: Sequence[tuple[str, str]],
+    spread_by: Sequence[str] = (),
+) -> DataFrame:
     """Left outer ``spread_join``: every left row stays, with its matches or nulls."""
-    return spread_join(left, right, on, "left")
+    return spread_join(left, right, on, "left", spread_by)
 
 
 def spread_join(
-    left: DataFrame, right: DataFrame, on: Sequence[tuple[str, str]], how: str
+    left: DataFrame,
+    right: DataFrame,
+    on: Sequence[tuple[str, str]],
+    how: str,
+    spread_by: Sequence[str] = (),
 ) -> DataFrame:
     """Equi-join of two frames without common column names that stays even under skew.
 
-    Both sides get a bucket as one more join key. It is 0 for rows with a key.
-    Left rows whose key is null match nothing but would all hash to one
-    partition; theirs is drawn from the whole row, which spreads them.
+    Both sides get a bucket as one more join key, 0 for rows with a key. Left
+    rows whose key is null match nothing but would all hash to one partition;
+    with ``spread_by``, a column that differs between them, they get a bucket
+    of their own. Name a column the query needs anyway, so pruning is not lost.
 
     A hot key that is not null is split by the skew join of adaptive execution.
     That rule needs a shuffle directly below both sides. The bucket sees to it:
@@ -45,9 +55,12 @@ def spread_join(
     the same key is exchanged again, and so can be split.
     """
     left_keys, right_keys = [l for l, _ in on], [r for _, r in on]
-    no_key = reduce(lambda a, b: a | b, (F.col(k).isNull() for k in left_keys))
-    spread = F.expr(f"pmod(xxhash64(*), {NULL_KEY_BUCKETS}) + 1")
-    left = left.withColumn("__bucket", F.when(no_key, spread).otherwise(_zero(left_keys)))
+    bucket = _zero(left_keys)
+    if spread_by:
+        no_key = reduce(lambda a, b: a | b, (F.col(k).isNull() for k in left_keys))
+        spread = F.pmod(F.xxhash64(*spread_by), F.lit(NULL_KEY_BUCKETS)) + 1
+        bucket = F.when(no_key, spread).otherwise(bucket)
+    left = left.withColumn("__bucket", bucket)
     right = right.withColumn("__right_bucket", _zero(right_keys))
     match = [F.col(l) == F.col(r) for l, r in on]
     match.append(F.col("__bucket") == F.col("__right_bucket"))

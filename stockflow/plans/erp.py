@@ -168,9 +168,10 @@ def buylist_detail(t: Tables) -> DataFrame:
         ),
         _pick(t["customer"], CUSTOMER_MASTER_COLUMNS, _customer_master="CustomerKey"),
         [("_customer", "_customer_master")],
+        spread_by=["_customer_list"],
     )
     rows = spread_join(items, headers, [("_list", "_header")], "inner")
-    rows = lookup(rows, master, [("_item", "_master")])
+    rows = lookup(rows, master, [("_item", "_master")], spread_by=["_list"])
     rows = lookup(rows, customers, [("_list", "_customer_list")])
     key = sql_concat(*(F.col(buylist) for buylist, _ in SHARED_KEY))
     return rows.withColumn("BuyListDetailKey", key).select(*BUYLIST_DETAIL_COLUMNS)
@@ -228,10 +229,10 @@ def _header_side(t: Tables) -> DataFrame:
     parties = t["party"].select(
         F.col("PARTYID").alias("_party"), F.col("PARTYNAME").alias("CustomerName")
     )
-    addresses = lookup(ship_to, sites, [("_site", "_site_id")])
+    addresses = lookup(ship_to, sites, [("_site", "_site_id")], spread_by=["_address_header"])
     rows = lookup(headers, addresses, [("_header", "_address_header")])
-    rows = lookup(rows, accounts, [("CustomerID", "_account_party")])
-    return lookup(rows, parties, [("CustomerID", "_party")])
+    rows = lookup(rows, accounts, [("CustomerID", "_account_party")], spread_by=["_header"])
+    return lookup(rows, parties, [("CustomerID", "_party")], spread_by=["_header"])
 
 
 def _fulfill_side(t: Tables) -> DataFrame:
@@ -263,10 +264,11 @@ def _fulfill_side(t: Tables) -> DataFrame:
         F.col("SECONDARY_INVENTORY_NAME").alias("_sub_name"),
         F.substring("ATTRIBUTE1", 3, 2).alias("Stockroom"),
     )
-    rows = lookup(lines, allocations, [("_fulfill", "_allocated")])
-    rows = lookup(rows, orgs, [("_fulfill_org", "_org")])
-    rows = lookup(rows, units, [("_fulfill_org", "_unit")])
-    return lookup(rows, stockrooms, [("_fulfill_org", "_sub_org"), ("_sub", "_sub_name")])
+    line = ["_fulfill_line"]
+    rows = lookup(lines, allocations, [("_fulfill", "_allocated")], line)
+    rows = lookup(rows, orgs, [("_fulfill_org", "_org")], line)
+    rows = lookup(rows, units, [("_fulfill_org", "_unit")], line)
+    return lookup(rows, stockrooms, [("_fulfill_org", "_sub_org"), ("_sub", "_sub_name")], line)
 
 
 def orders_base(t: Tables) -> DataFrame:
@@ -302,7 +304,7 @@ def orders_base(t: Tables) -> DataFrame:
         F.col("ITEMTRANSLATIONPEODESCRIPTION").alias("SKUDesc"),
     )
     rows = spread_join(lines, _header_side(t), [("_line_header", "_header")], "inner")
-    rows = lookup(rows, items, [("SKUID", "_item"), ("_inventory_org", "_item_org")])
+    rows = lookup(rows, items, [("SKUID", "_item"), ("_inventory_org", "_item_org")], ["_line"])
     rows = lookup(
         rows,
         _fulfill_side(t),
@@ -311,6 +313,7 @@ def orders_base(t: Tables) -> DataFrame:
             ("_line_header", "_fulfill_header"),
             ("_inventory_org", "_fulfill_inventory_org"),
         ],
+        spread_by=["_line"],
     )
     key = sql_concat(*(F.col(orders) for _, orders in SHARED_KEY))
     return rows.withColumns(

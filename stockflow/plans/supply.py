@@ -206,6 +206,7 @@ def upload_rows(
             matched.withColumn("__ref", amp_concat(F.col("location"), F.col("CSRF32"))),
             moving,
             [("__ref", "__key")],
+            spread_by=["Key2", "on_hand_qty"],
         )
         amount = F.coalesce("__moving", F.lit(0.0))
     columns = [

@@ -41,6 +41,7 @@ def test_lookup_is_a_left_join(spark, left, right):
         if not matches:
             want[(k, i, None, None)] += 1
     assert bag(lookup(l, r, [("k", "rk")])) == want
+    assert bag(lookup(l, r, [("k", "rk")], spread_by=["id"])) == want
 
 
 def test_lookup_spreads_rows_without_a_key(spark):
@@ -50,7 +51,7 @@ def test_lookup_spreads_rows_without_a_key(spark):
     try:
         l = spark.range(2000).selectExpr("if(id < 1900, null, id) AS k", "id")
         r = spark.range(100).selectExpr("id + 1900 AS rk", "'v' AS v")
-        joined = lookup(l, r, [("k", "rk")])
+        joined = lookup(l, r, [("k", "rk")], spread_by=["id"])
         text = plan(joined)
         assert "SortMergeJoin [k" in text and "__bucket" in text.split("SortMergeJoin", 1)[1].split("]", 1)[0]
         sizes = joined.where("k IS NULL").rdd.glom().map(len).collect()

@@ -66,3 +66,9 @@ def test_snapshot_does_not_shuffle_the_table(spark, sf_dir):
 def test_reconcile_is_one_aggregate_of_counts(spark, sf_dir):
     text = QUERIES["reconcile_tables"](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
     assert "Join" not in text and "partial_sum" in text
+
+
+def test_join_buckets_do_not_widen_the_scan(spark, sf_dir):
+    """Of the 28 item-master columns the crosswalk needs none but the key."""
+    text = explained(spark, QUERIES["ranked_crosswalk"](spark, sf_dir))
+    assert "p_name" not in text and "p_retailprice" not in text and "l_shipdate" not in text
