@@ -14,16 +14,21 @@ NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
 _BIGINT_EDGE = 9.2e18
 
 
+def _parsed(col: Column) -> Column:
+    """One pass over the text: what is not a number extracts as '' and casts to null."""
+    text = strip_ws(col.cast("string"))
+    return F.regexp_extract(text, NUMBER, 0).try_cast("double")
+
+
 def to_number(col: Column) -> Column:
     """Text to double; null when the text is not a finite number."""
-    text = strip_ws(col.cast("string"))
-    number = F.when(text.rlike(NUMBER), text.try_cast("double"))
+    number = _parsed(col)
     return F.when(F.abs(number) < F.lit(float("inf")), number)
 
 
 def to_quantity(col: Column) -> Column:
     """Text to whole units, rounded up; null when it is not a number. Always bigint."""
-    number = to_number(col)
+    number = _parsed(col)
     return F.when(F.abs(number) < F.lit(_BIGINT_EDGE), F.ceil(number))
 
 
