@@ -117,18 +117,18 @@ def reconcile(a: DataFrame, b: DataFrame, keys: Sequence[str]) -> DataFrame:
 
     One shuffle of per-key counts instead of a full outer join of rows.
     """
-    tagged = a.select(*keys, F.lit(1).alias("a"), F.lit(0).alias("b")).unionByName(
-        b.select(*keys, F.lit(0).alias("a"), F.lit(1).alias("b"))
+    tagged = a.select(*keys, F.lit(1).alias("__a"), F.lit(0).alias("__b")).unionByName(
+        b.select(*keys, F.lit(0).alias("__a"), F.lit(1).alias("__b"))
     )
-    counts = tagged.groupBy(*keys).agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
+    counts = tagged.groupBy(*keys).agg(F.sum("__a").alias("__a"), F.sum("__b").alias("__b"))
     status = (
-        F.when(F.col("b") == 0, "ONLY_A")
-        .when(F.col("a") == 0, "ONLY_B")
-        .when(F.col("a") != F.col("b"), "COUNT_DIFFERS")
+        F.when(F.col("__b") == 0, "ONLY_A")
+        .when(F.col("__a") == 0, "ONLY_B")
+        .when(F.col("__a") != F.col("__b"), "COUNT_DIFFERS")
         .otherwise("SAME")
     )
     return counts.groupBy(status.alias("status")).agg(
         F.count(F.lit(1)).alias("n_keys"),
-        F.sum("a").alias("rows_a"),
-        F.sum("b").alias("rows_b"),
+        F.sum("__a").alias("rows_a"),
+        F.sum("__b").alias("rows_b"),
     )

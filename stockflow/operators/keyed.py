@@ -8,6 +8,7 @@ sends at most one row per key and a hot key never gathers in one task.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window
@@ -77,6 +78,17 @@ def first_match(
     return found.drop(*(f"__{k}" for k in keys))
 
 
+def null_key_groups(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """What "one row per key" does to rows whose key has a null part: how many there are,
+    in how many groups they fall, and how many rows are lost to that. One row."""
+    no_key = reduce(lambda a, b: a | b, (F.col(k).isNull() for k in keys))
+    groups = df.where(no_key).groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+    counts = groups.agg(
+        F.coalesce(F.sum("__n"), F.lit(0)).alias("n_rows"), F.count("__n").alias("n_groups")
+    )
+    return counts.withColumn("n_lost", F.col("n_rows") - F.col("n_groups"))
+
+
 def all_present(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     for c in cols:
         df = df.where(F.col(c).isNotNull())

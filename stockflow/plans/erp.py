@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from stockflow.config import CHARGE_SKUS, EXCLUDED_HEADER_STATUSES
 from stockflow.functions.text import middle_segment, sql_concat
 from stockflow.operators.joins import lookup, spread_join
-from stockflow.operators.keyed import latest_by
+from stockflow.operators.keyed import latest_by, null_key_groups
 
 Tables = Mapping[str, DataFrame]
 
@@ -136,6 +136,9 @@ SHARED_KEY = (
     ("ShipPoint1", "OrganizationCode"),
 )
 
+# Source order and line number of a fulfil line.
+FULFILL_KEY = ("FULFILLLINESOURCEORDERNUMBER", "FULFILLLINESOURCELINENUMBER")
+
 SOURCE_SYSTEM_WITH_OWN_LINES = "SYS21"
 
 # ----------------------------------------------------------------------------
@@ -178,10 +181,14 @@ def buylist_detail(t: Tables) -> DataFrame:
 
 
 def latest_fulfill_lines(fulfill: DataFrame) -> DataFrame:
-    """Newest fulfil line per source order and line number."""
+    """Newest fulfil line per source order and line number.
+
+    Lines without a source order or line number share one group per remaining
+    value, so one of them survives; ``fulfill_null_keys`` counts the others.
+    """
     return latest_by(
         fulfill,
-        ("FULFILLLINESOURCEORDERNUMBER", "FULFILLLINESOURCELINENUMBER"),
+        FULFILL_KEY,
         "FULFILLLINELASTUPDATEDATE",
         ties=(
             "FULFILLLINEID", "FULFILLLINELINEID", "FULFILLLINEHEADERID",
@@ -191,6 +198,10 @@ def latest_fulfill_lines(fulfill: DataFrame) -> DataFrame:
     )
 
 
+def fulfill_null_keys(fulfill: DataFrame) -> DataFrame:
+    return null_key_groups(fulfill, FULFILL_KEY)
+
+
 def order_headers(header: DataFrame) -> DataFrame:
     """Headers that count as orders; a null status does not."""
     return header.where(

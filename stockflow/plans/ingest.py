@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import logging
+
 from pyspark.sql import DataFrame, SparkSession
 
 from stockflow.config import RunContext, SourceConfig
@@ -10,7 +12,9 @@ from stockflow.operators.standardize import clean, deduplicate, rejects, with_au
 from stockflow.session import materialized
 from stockflow.sources.files import ORDINAL, check_freshness, read_source
 from stockflow.sources.operations import RunResult, logged_run, register_source
-from stockflow.sources.tables import append_table, ensure_schemas, verify_write
+from stockflow.sources.tables import append_table, ensure_schemas, run_rows, verify_write
+
+log = logging.getLogger(__name__)
 
 
 def raw_metrics(df: DataFrame, cfg: SourceConfig) -> DataFrame:
@@ -43,6 +47,13 @@ def _append(df: DataFrame, table: str, cfg: SourceConfig, ctx: RunContext) -> No
     append_table(with_audit(df.drop(*ORDINAL), ctx), table, table_format=cfg.table_format)
 
 
+def log_rejects(spark: SparkSession, cfg: SourceConfig, ctx: RunContext) -> None:
+    """Log how many rows this run took out, by reason."""
+    written = run_rows(spark, cfg.rejects_table, ctx).groupBy("reason").count()
+    for row in written.collect():
+        log.warning("%s: %d rows rejected as %s", cfg.source_name, row["count"], row.reason)
+
+
 def ingest(spark: SparkSession, cfg: SourceConfig, ctx: RunContext | None = None) -> RunResult:
     """Run one source. Raises on any failed gate; the run is logged either way.
 
@@ -52,7 +63,10 @@ def ingest(spark: SparkSession, cfg: SourceConfig, ctx: RunContext | None = None
     """
     ctx = ctx or RunContext.start(cfg.src_path)
     ensure_schemas(spark)
-    result = RunResult(ctx, cfg.notebook_type, cfg.source_name, cfg.raw_table, cfg.stg_table)
+    result = RunResult(
+        ctx, cfg.notebook_type, cfg.source_name, cfg.raw_table, cfg.stg_table,
+        table_format=cfg.table_format,
+    )
     with logged_run(spark, result):
         check_freshness(spark, cfg, ctx.load_timestamp)
         with materialized(read_source(spark, cfg), "source") as raw:
@@ -66,5 +80,6 @@ def ingest(spark: SparkSession, cfg: SourceConfig, ctx: RunContext | None = None
                 _append(staged, cfg.stg_table, cfg, ctx)
                 result.rows_stg = verify_write(spark, cfg.stg_table, ctx, staged.count())
                 _append(rejects(cleaned, headers, staged, cfg), cfg.rejects_table, cfg, ctx)
+                log_rejects(spark, cfg, ctx)
         register_source(spark, cfg, result)
     return result

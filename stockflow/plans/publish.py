@@ -49,7 +49,8 @@ def publish_upload(
     ctx = ctx or RunContext.start(path)
     ensure_schemas(spark)
     result = RunResult(
-        ctx, "output", cfg.name, core_table=cfg.core_table, out_table=cfg.out_table
+        ctx, "output", cfg.name, core_table=cfg.core_table, out_table=cfg.out_table,
+        table_format=cfg.table_format,
     )
 
     def append(df: DataFrame, table: str) -> None:

@@ -16,7 +16,7 @@ from stockflow.config import (
     PALLET_FRAGMENT,
 )
 from stockflow.functions.text import amp_concat, sql_concat, text_combine
-from stockflow.operators.joins import lookup
+from stockflow.operators.joins import lookup, reconcile
 from stockflow.operators.keyed import first_by, first_match
 from stockflow.operators.quality import match_rate
 
@@ -84,6 +84,16 @@ def crosswalk(
     return first_by(keyed, ["Key3"], _best_first(CROSSWALK_COLUMNS))
 
 
+def rank_rule_difference(
+    buylist: DataFrame, companies: Sequence[str] = DEFAULT_COMPANIES
+) -> DataFrame:
+    """Keys the two rank rules produce: ``ONLY_A`` are distributor SKUs that ranking by cross
+    reference loses. Key counts are the row counts, since a key is unique in each."""
+    by_state = crosswalk(buylist, companies, "state_reference")
+    by_cross = crosswalk(buylist, companies, "cross_reference")
+    return reconcile(by_state, by_cross, ["Key3"])
+
+
 def shippable_lines(
     orders: DataFrame,
     asof: date,

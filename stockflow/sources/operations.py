@@ -55,6 +55,7 @@ class RunResult:
     rows_stg: int = 0
     rows_core: int = 0
     rows_out: int = 0
+    table_format: str = "parquet"
 
 
 def run_log_rules(runs: DataFrame) -> DataFrame:
@@ -89,11 +90,17 @@ def logged_run(spark: SparkSession, result: RunResult) -> Iterator[RunResult]:
     except Exception as error:
         message = f"{error} | {traceback.format_exc()}"
         try:
-            append_table(run_log_row(spark, result, "FAILURE", message), RUN_LOG, partition=None)
+            _append(run_log_row(spark, result, "FAILURE", message), RUN_LOG, result)
         except Exception:
             log.exception("the failure of run %s could not be logged", result.ctx.run_id)
         raise
-    append_table(run_log_row(spark, result, "SUCCESS"), RUN_LOG, partition=None)
+    _append(run_log_row(spark, result, "SUCCESS"), RUN_LOG, result)
+
+
+def _append(row: DataFrame, table: str, result: RunResult) -> None:
+    """Runs of different sources share these tables. Parquet has no atomic commit, so with
+    it only one run at a time may append; concurrent runs need a format that has."""
+    append_table(row, table, partition=None, table_format=result.table_format)
 
 
 def failed_runs(runs: DataFrame, load_date=None, status: str = "FAILURE") -> DataFrame:
@@ -114,7 +121,7 @@ def register_source(spark: SparkSession, cfg: SourceConfig, result: RunResult) -
         ctx.load_timestamp, ctx.load_timestamp, ctx.run_id, result.rows_raw, result.rows_stg, True,
     )
     try:
-        append_table(spark.createDataFrame([row], REGISTRY_SCHEMA), REGISTRY, partition=None)
+        _append(spark.createDataFrame([row], REGISTRY_SCHEMA), REGISTRY, result)
     except Exception:
         log.warning("registry entry of %s not written", cfg.source_name, exc_info=True)
 

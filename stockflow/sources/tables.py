@@ -29,17 +29,14 @@ class WriteMismatchError(RuntimeError):
     """The table does not hold the rows that were handed to the writer."""
 
 
-def rows_of_run(spark: SparkSession, table: str, ctx: RunContext) -> int:
+def run_rows(spark: SparkSession, table: str, ctx: RunContext) -> DataFrame:
     """Rows of this run; only its own partition is read."""
-    return (
-        spark.table(table)
-        .where((F.col("load_date") == F.lit(ctx.load_date)) & (F.col("pipeline_run_id") == ctx.run_id))
-        .count()
-    )
+    same_day = F.col("load_date") == F.lit(ctx.load_date)
+    return spark.table(table).where(same_day & (F.col("pipeline_run_id") == ctx.run_id))
 
 
 def verify_write(spark: SparkSession, table: str, ctx: RunContext, expected: int) -> int:
-    found = rows_of_run(spark, table, ctx)
+    found = run_rows(spark, table, ctx).count()
     if found != expected:
         raise WriteMismatchError(f"{table}: {found} rows of run {ctx.run_id}, expected {expected}")
     return found

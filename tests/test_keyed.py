@@ -10,6 +10,7 @@ from stockflow.operators.keyed import (
     first_match,
     latest_by,
     latest_snapshot,
+    null_key_groups,
 )
 
 from .helpers import bag
@@ -62,3 +63,9 @@ def test_latest_snapshot(spark):
     assert _snapshot(spark) == want
     # Beyond the bound the same rows come from a shuffled join.
     assert _snapshot(spark, max_runs=1) == want
+
+
+def test_null_key_groups(spark):
+    df = spark.createDataFrame([(None, 1), (None, 1), (None, 2), ("a", None), ("a", 1)], "k string, n int")
+    assert bag(null_key_groups(df, ["k", "n"])) == {(4, 3, 1): 1}
+    assert bag(null_key_groups(df.where("n = 1 AND k = 'a'"), ["k", "n"])) == {(0, 0, 0): 1}

@@ -173,3 +173,8 @@ def test_transition(spark):
     assert bag(transition.transition_items(bl)) == {("P1", "P2"): 1}
     orders = spark.createDataFrame([("P1", None), ("P1", "2024"), ("P2", None)], "SKU string, ShipDate string")
     assert bag(transition.transition_open_orders(orders, bl)) == {("P1", None): 1}
+
+
+def test_rank_rules_compared(buylist):
+    # P4's SKU exists only when ranked by state reference.
+    assert bag(supply.rank_rule_difference(buylist)) == {("SAME", 4, 4, 4): 1, ("ONLY_A", 1, 1, 0): 1}

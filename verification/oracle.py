@@ -321,6 +321,11 @@ ORACLE: dict[str, str] = {
         *(_metric("lost_quantity", c, _lost(c), _WARN_ANY) for c in ("onhand_qty", "total_in_transit_qty", "maxorderqty"))
     ),
     "latest_fulfill_line": _with(o_fulfill_line=_OR["o_fulfill_line"]) + _LATEST_FULFILL,
+    "fulfill_null_keys": _with(f=_shape(shapes.ORDERS["fulfill_line"])) + """
+        SELECT CAST(sum(n) AS BIGINT) AS n_rows, count(*) AS n_groups, CAST(sum(n) - count(*) AS BIGINT) AS n_lost
+        FROM (SELECT count(*) AS n FROM f
+          WHERE FULFILLLINESOURCEORDERNUMBER IS NULL OR FULFILLLINESOURCELINENUMBER IS NULL
+          GROUP BY FULFILLLINESOURCEORDERNUMBER, FULFILLLINESOURCELINENUMBER)""",
     "latest_snapshot": _with(s=_shape(shapes.SNAPSHOTS)) + """
         SELECT s.* FROM s JOIN (
           SELECT source, load_date, pipeline_run_id, row_number() OVER (PARTITION BY source, load_date
@@ -366,6 +371,12 @@ ORACLE: dict[str, str] = {
         **{**_TO_XWALK, "ranked": _ranked("StateReferenceNumber")}
     )
     + "SELECT * FROM xwalk",
+    "crosswalk_rule_difference": _with(
+        **_TO_XWALK,
+        ranked_state=_ranked("StateReferenceNumber"),
+        xwalk_state=_XWALK.replace("FROM ranked)", "FROM ranked_state)"),
+    )
+    + _reconcile("SELECT * FROM xwalk_state", "SELECT * FROM xwalk", "Key3"),
     "crosswalk_join": _with(**_TO_JOINED) + "SELECT * FROM joined",
     "crosswalk_match_rate": _with(**_TO_JOINED) + """
         SELECT count(*) AS n_rows, count(CATN32) AS n_matched, round(count(CATN32) / count(*), 6) AS match_rate,

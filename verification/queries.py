@@ -131,7 +131,11 @@ def dedupe_rejects(spark, sf_dir):
 
 
 def audit_columns(spark, sf_dir):
-    return with_audit(_table(spark, sf_dir, "orders"), RUN)
+    audited = with_audit(_table(spark, sf_dir, "orders"), RUN)
+    # As UTC wall time, so that the result does not depend on the session's zone.
+    local = F.col("load_timestamp").cast("timestamp_ntz")
+    utc = F.convert_timezone(F.current_timezone(), F.lit("UTC"), local)
+    return audited.withColumn("load_timestamp", utc)
 
 
 def _raw_checks(check: str) -> Query:
@@ -157,6 +161,10 @@ def latest_fulfill_line(spark, sf_dir):
     return erp.latest_fulfill_lines(shaped(spark, sf_dir, shapes.ORDERS["fulfill_line"]))
 
 
+def fulfill_null_keys(spark, sf_dir):
+    return erp.fulfill_null_keys(shaped(spark, sf_dir, shapes.ORDERS["fulfill_line"]))
+
+
 def latest_snapshot_query(spark, sf_dir):
     return latest_snapshot(shaped(spark, sf_dir, shapes.SNAPSHOTS), keys=("source", "load_date"))
 
@@ -204,6 +212,10 @@ def crosswalk_keys_by_state_reference(spark, sf_dir):
     return supply.crosswalk(_buylist(spark, sf_dir), rank_by="state_reference")
 
 
+def crosswalk_rule_difference(spark, sf_dir):
+    return supply.rank_rule_difference(_buylist(spark, sf_dir))
+
+
 def crosswalk_join(spark, sf_dir):
     return supply.crosswalk_join(_inventory(spark, sf_dir), _crosswalk(spark, sf_dir))
 
@@ -343,6 +355,7 @@ QUERIES: dict[str, Query] = {
     "dq_unique_key": dq_unique_key,
     "dq_coercions": _raw_checks("lost_quantity"),
     "latest_fulfill_line": latest_fulfill_line,
+    "fulfill_null_keys": fulfill_null_keys,
     "latest_snapshot": latest_snapshot_query,
     "buylist_detail_view": _buylist,
     "orders_base_view": _orders,
@@ -351,6 +364,7 @@ QUERIES: dict[str, Query] = {
     "ranked_crosswalk": ranked_crosswalk,
     "crosswalk_keys": _crosswalk,
     "crosswalk_keys_by_state_reference": crosswalk_keys_by_state_reference,
+    "crosswalk_rule_difference": crosswalk_rule_difference,
     "crosswalk_join": crosswalk_join,
     "crosswalk_match_rate": crosswalk_match_rate,
     "crosswalk_unmatched": crosswalk_unmatched,
