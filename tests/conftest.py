@@ -21,6 +21,8 @@ def spark(tmp_path_factory):
         .config("spark.checkpoint.dir", str(home / "checkpoint"))
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        # Tiny frames: compiling generated code would take longer than running the query.
+        .config("spark.sql.codegen.wholeStage", "false")
         .config("spark.driver.memory", "4g")
         .getOrCreate()
     )
