@@ -57,7 +57,7 @@ def log_rejects(spark: SparkSession, cfg: SourceConfig, ctx: RunContext) -> None
 def ingest(spark: SparkSession, cfg: SourceConfig, ctx: RunContext | None = None) -> RunResult:
     """Run one source. Raises on any failed gate; the run is logged either way.
 
-    The file is parsed once and the de-duplication shuffles once: both results
+    The file is parsed once and de-duplicated once: both results
     are stored before the gates read them, and the tables are appended from
     the stored copies. Nothing is written to a layer whose gate failed.
     """

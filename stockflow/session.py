@@ -18,8 +18,7 @@ def cluster_settings(input_bytes: int) -> dict[str, str]:
     The shuffle starts with enough partitions for the input and adaptive
     execution merges them down to the advisory size, so the same code fits a
     few thousand rows and 100 TB. Skewed partitions of a join are split at run
-    time. No join is hinted: a side is broadcast only when its measured size is
-    under the threshold.
+    time. A side is broadcast only when its measured size is under the threshold.
     """
     partitions = max(200, -(-input_bytes // SHUFFLE_PARTITION_BYTES))
     return {
