@@ -14,7 +14,7 @@ shingles as (
   select distinct doc_id, s from (
     select doc_id, unnest(case when len(w) = 0 then []
       when len(w) < 4 then [array_to_string(w, ' ')]
-      else list_transform(range(1, len(w) - 2), i -> array_to_string(w[i:i + 3], ' ')) end) as s from words)),
+      else [array_to_string(w[i:i + 3], ' ') for i in range(1, len(w) - 2)] end) as s from words)),
 sizes as (select doc_id, count(*) as n from shingles group by doc_id),
 common as (
   select a.doc_id as a, b.doc_id as b, count(*) as shared
