@@ -7,7 +7,7 @@ from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stockflow.llm import cascade, minhash, packing, suffix
+from stockflow.llm import cascade, fingerprint, minhash, packing, suffix
 from stockflow.llm.shipping import ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -52,3 +52,8 @@ def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op8_quality_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cascade.quality(table(spark, sf_dir, "documents"))
+
+
+@query
+def op10_weighted_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint.fingerprints(table(spark, sf_dir, "documents"))
