@@ -23,11 +23,11 @@ of similarity 0.8 shares no bucket with probability 5e-7.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from stockflow.llm.components import connected
@@ -37,6 +37,8 @@ from stockflow.llm.textarrays import mix, shingles, stream
 BANDS = 48
 ROWS = 6
 BLOCK = 500
+# Share of bins that must agree for a pair to be confirmed on full sets.
+LIKELY = 0.62
 _U = np.uint64
 
 
@@ -67,28 +69,36 @@ def band_keys(values: np.ndarray, rows: int) -> np.ndarray:
 
 
 def sketches(docs: DataFrame, width: int, bands: int, rows: int) -> DataFrame:
-    """Per row: doc_id, set size, a 128-bit name of the set, and its band keys."""
-    schema = "doc_id long, n_shingles long, set_id binary, bands array<long>"
+    """Per row: doc_id, set size, a 128-bit name of the set, its band keys, a byte of each bin."""
+    schema = "doc_id long, n_shingles long, set_id binary, bands array<long>, bins binary"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         order = probe_order(bands * rows)
         for batch in batches:
-            sizes, names, keys = [], [], []
+            sizes, names, keys, bins = [], [], [], []
             for text in batch.column(1):
                 found = shingles(text.as_py(), width)
                 sizes.append(found.size)
                 names.append(hashlib.blake2b(found.tobytes(), digest_size=16).digest() if found.size else None)
-                keys.append(band_keys(signature(found, order), rows).view(np.int64) if found.size else None)
+                values = signature(found, order) if found.size else None
+                keys.append(band_keys(values, rows).view(np.int64) if found.size else None)
+                bins.append(mix(values).astype(np.uint8).tobytes() if found.size else None)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(sizes, pa.int64()), pa.array(names, pa.binary()), pa.array(keys, pa.list_(pa.int64()))],
-                ["doc_id", "n_shingles", "set_id", "bands"],
+                [
+                    batch.column(0),
+                    pa.array(sizes, pa.int64()),
+                    pa.array(names, pa.binary()),
+                    pa.array(keys, pa.list_(pa.int64())),
+                    pa.array(bins, pa.binary()),
+                ],
+                ["doc_id", "n_shingles", "set_id", "bands", "bins"],
             )
 
     return docs.select("doc_id", "text").mapInArrow(run, schema)
 
 
 def full_sets(docs: DataFrame, width: int, kind: type = np.uint64) -> DataFrame:
-    """doc_id and its shingle hashes as bytes; sorted in 64 bits, or the low half of each."""
+    """doc_id and its sorted shingle hashes as bytes, or the low part of each."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -98,46 +108,55 @@ def full_sets(docs: DataFrame, width: int, kind: type = np.uint64) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, members binary")
 
 
-def confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) whose full sets have 100 * intersection >= percent * union."""
+def _compared(pairs: DataFrame, table: DataFrame, value: str, alike: Callable[[bytes, bytes], bool]) -> DataFrame:
+    """Pairs (a, b) whose values in ``table`` (doc_id and ``value``) are alike."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep = []
-            for left, right in zip(batch.column(2), batch.column(3), strict=True):
-                x, y = np.frombuffer(left.as_py(), _U), np.frombuffer(right.as_py(), _U)
-                both = np.intersect1d(x, y, assume_unique=True).size
-                keep.append(100 * both >= percent * (x.size + y.size - both))
+            keep = [alike(x.as_py(), y.as_py()) for x, y in zip(batch.column(2), batch.column(3), strict=True)]
             yield pa.RecordBatch.from_arrays(batch.columns[:2], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    left = sets.select(F.col("doc_id").alias("a"), F.col("members").alias("left_set"))
-    right = sets.select(F.col("doc_id").alias("b"), F.col("members").alias("right_set"))
-    joined = pairs.join(left, "a").join(right, "b").select("a", "b", "left_set", "right_set")
-    return joined.mapInArrow(run, "a long, b long")
+    left = table.select(F.col("doc_id").alias("a"), F.col(value).alias("left_value"))
+    right = table.select(F.col("doc_id").alias("b"), F.col(value).alias("right_value"))
+    joined = pairs.join(left.hint("merge"), "a").join(right.hint("merge"), "b")
+    return joined.select("a", "b", "left_value", "right_value").mapInArrow(run, "a long, b long")
+
+
+def likely(pairs: DataFrame, table: DataFrame) -> DataFrame:
+    """Pairs of which enough bins agree."""
+    least = LIKELY
+
+    def alike(x: bytes, y: bytes) -> bool:
+        return bool(np.mean(np.frombuffer(x, np.uint8) == np.frombuffer(y, np.uint8)) >= least)
+
+    return _compared(pairs, table, "bins", alike)
+
+
+def confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs whose full sets have 100 * intersection >= percent * union."""
 
+    def alike(x: bytes, y: bytes) -> bool:
+        one, two = np.frombuffer(x, _U), np.frombuffer(y, _U)
+        both = np.intersect1d(one, two, assume_unique=True).size
+        return 100 * both >= percent * (one.size + two.size - both)
 
-def similar_sizes(n: Column, m: Column, percent: int) -> Column:
-    return (100 * F.least(n, m)) >= (percent * F.greatest(n, m))
+    return _compared(pairs, sets, "members", alike)
 
 
 def shared_buckets(heads: DataFrame) -> DataFrame:
-    """Rows (band, node, n) of buckets with two members or more, with the bucket's smallest member."""
-    hubs = heads.groupBy("band").agg(F.min(F.struct("node", "n")).alias("hub"), F.count("*").alias("size"))
-    return heads.join(hubs.filter("size > 1").drop("size"), "band")
+    """Rows (band, node) of buckets with two members or more, with the bucket's smallest member."""
+    hubs = heads.groupBy("band").agg(F.min("node").alias("hub"), F.count("*").alias("size"))
+    return heads.join(hubs.filter("size > 1").drop("size").hint("merge"), "band")
 
 
-def first_stars(buckets: DataFrame, percent: int) -> DataFrame:
+def first_stars(buckets: DataFrame) -> DataFrame:
     """Edges from the smallest member of each bucket to the others."""
-    return (
-        buckets.filter((F.col("node") != F.col("hub.node")) & similar_sizes(F.col("n"), F.col("hub.n"), percent))
-        .select(F.col("hub.node").alias("a"), F.col("node").alias("b"))
-        .distinct()
-    )
+    return buckets.filter("node != hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
 
 
 def open_buckets(buckets: DataFrame, components: DataFrame) -> DataFrame:
     """Members of buckets that lie in several components; a hub is outside the largest of them."""
-    placed = buckets.join(components, "node", "left").select(
+    placed = buckets.join(components.hint("merge"), "node", "left").select(
         "band", "node", F.coalesce("component", "node").alias("component")
     )
     parts = placed.groupBy("band", "component").count()
@@ -148,64 +167,86 @@ def open_buckets(buckets: DataFrame, components: DataFrame) -> DataFrame:
         .select("band", "size", F.col("main.component").alias("main"), (F.col("size") - F.col("main.count")).alias("hubs"))
     )
     by_role = Window.partitionBy("band").orderBy(F.col("component") == F.col("main"), "node")
-    return placed.join(main, "band").withColumn("place", F.row_number().over(by_role) - 1)
+    return placed.join(main.hint("merge"), "band").withColumn("place", F.row_number().over(by_role) - 1)
 
 
-def later_stars(open_: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Similar pairs between a hub and a member of another component, block by block.
+def block_pairs(open_: DataFrame, table: DataFrame, value: str, compare: Callable, members: bool) -> DataFrame:
+    """Compare hubs with members of other components of their bucket, block by block.
 
     Hubs have the first places of their bucket. Each pair of a block of hubs
-    and a block of members is one unit of work of bounded size.
+    and a block of members is one unit of work of bounded size. ``compare`` gets
+    the values of a unit and returns a function that says which rows are like a
+    given one. The result has the similar pairs (a, b), or, if only ``members``
+    are asked for, the ends of such pairs as a with their bucket as b.
     """
-    schema = "a long, b long"
-    known = open_.join(sets.select(F.col("doc_id").alias("node"), "members"), "node")
+    known = open_.join(table.select(F.col("doc_id").alias("node"), F.col(value).alias("value")).hint("merge"), "node")
+    columns = ["node", "component", "place", "value"]
+    blocks = [F.sequence(F.lit(0), ((F.col(n) - 1) / BLOCK).cast("int")) for n in ("size", "hubs")]
+    own = (F.col("place") / BLOCK).cast("int")
     hubs = known.filter("place < hubs").select(
-        "band",
-        F.explode(F.sequence(F.lit(0), ((F.col("size") - 1) / BLOCK).cast("int"))).alias("block"),
-        (F.col("place") / BLOCK).cast("int").alias("hub_block"),
-        F.lit(0).alias("role"), "node", "component", "place", "members",
+        "band", F.explode(blocks[0]).alias("block"), own.alias("hub_block"), F.lit(0).alias("role"), *columns
     )
     others = known.select(
-        "band",
-        (F.col("place") / BLOCK).cast("int").alias("block"),
-        F.explode(F.sequence(F.lit(0), ((F.col("hubs") - 1) / BLOCK).cast("int"))).alias("hub_block"),
-        F.lit(1).alias("role"), "node", "component", "place", "members",
+        "band", own.alias("block"), F.explode(blocks[1]).alias("hub_block"), F.lit(1).alias("role"), *columns
     )
     unit = ["band", "block", "hub_block"]
     work = hubs.union(others).repartition(*unit).sortWithinPartitions(*unit, "role")
 
-    def similar(rows: list[tuple]) -> Iterator[tuple[int, int]]:
-        """Rows of one unit: (role, node, component, place, members)."""
-        sets_ = [np.frombuffer(r[4], np.uint32) for r in rows]
-        sizes = np.array([x.size for x in sets_])
-        ids, inverse = np.unique(np.concatenate(sets_), return_inverse=True)
-        starts = np.cumsum(sizes) - sizes
-        component, place = np.array([r[2] for r in rows]), np.array([r[3] for r in rows])
-        mine = np.zeros(ids.size, bool)
-        leaves = np.array([r[0] for r in rows]) == 1
-        for i in np.flatnonzero(~leaves):
-            own = inverse[starts[i] : starts[i] + sizes[i]]
-            mine[own] = True
-            both = np.add.reduceat(mine[inverse], starts, dtype=np.int64)
-            mine[own] = False
-            near = 100 * both >= percent * (sizes + sizes[i] - both)
-            for j in np.flatnonzero(near & leaves & (component != component[i]) & (place > place[i])):
-                yield min(rows[i][1], rows[j][1]), max(rows[i][1], rows[j][1])
+    def settle(band: int, rows: list[tuple]) -> set[tuple[int, int]]:
+        role, node, component, place = (np.array([r[i] for r in rows]) for i in range(4))
+        alike = compare([r[4] for r in rows])
+        out: set[tuple[int, int]] = set()
+        for i in np.flatnonzero(role == 0):
+            other = (role == 1) & (component != component[i]) & (place > place[i])
+            for j in np.flatnonzero(alike(i) & other) if other.any() else ():
+                one, two = int(node[i]), int(node[j])
+                out |= {(one, band), (two, band)} if members else {(min(one, two), max(one, two))}
+        return out
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        unit_now, rows = None, []
+        now, rows = None, []
+
+        def batch_of(out: set[tuple[int, int]]) -> pa.RecordBatch:
+            found = np.array(sorted(out), np.int64).reshape(-1, 2)
+            return pa.RecordBatch.from_arrays([pa.array(found[:, 0]), pa.array(found[:, 1])], ["a", "b"])
+
         for batch in batches:
-            found: set[tuple[int, int]] = set()
+            out: set[tuple[int, int]] = set()
             for row in zip(*(column.to_pylist() for column in batch.columns), strict=True):
-                if row[:3] != unit_now:
-                    found.update(similar(rows) if rows else ())
-                    unit_now, rows = row[:3], []
+                if row[:3] != now:
+                    out |= settle(now[0], rows) if rows else set()
+                    now, rows = row[:3], []
                 rows.append(row[3:])
-            yield pa.RecordBatch.from_pylist([{"a": a, "b": b} for a, b in found], pa.schema([("a", pa.int64()), ("b", pa.int64())]))
-        found = set(similar(rows)) if rows else set()
-        yield pa.RecordBatch.from_pylist([{"a": a, "b": b} for a, b in found], pa.schema([("a", pa.int64()), ("b", pa.int64())]))
+            yield batch_of(out)
+        yield batch_of(settle(now[0], rows) if rows else set())
 
-    return work.mapInArrow(run, schema).distinct()
+    return work.mapInArrow(run, "a long, b long").distinct()
+
+
+def _same_bins(values: list[bytes]) -> Callable[[int], np.ndarray]:
+    table, least = np.frombuffer(b"".join(values), np.uint8).reshape(len(values), -1), LIKELY
+    return lambda i: (table == table[i]).mean(axis=1) >= least
+
+
+def _similar_halves(percent: int) -> Callable[[list[bytes]], Callable[[int], np.ndarray]]:
+    """For sets of which two bytes a member are given: no similar pair is missed, few others pass."""
+
+    def compare(values: list[bytes]) -> Callable[[int], np.ndarray]:
+        sizes = np.array([len(v) // 2 for v in values])
+        members = np.frombuffer(b"".join(values), np.uint16)
+        starts = np.cumsum(sizes) - sizes
+        mine = np.zeros(1 << 16, bool)
+
+        def alike(i: int) -> np.ndarray:
+            own = members[starts[i] : starts[i] + sizes[i]]
+            mine[own] = True
+            both = np.add.reduceat(mine[members], starts, dtype=np.int64)
+            mine[own] = False
+            return (100 + percent) * both >= percent * (sizes + sizes[i])
+
+        return alike
+
+    return compare
 
 
 def near_duplicates(
@@ -225,30 +266,46 @@ def near_duplicates(
     sketch = stored(sketches(docs, width, bands, rows), "sketches")
     classes = sketch.filter("set_id is not null").groupBy("set_id").agg(F.min("doc_id").alias("node"))
     heads = (
-        sketch.join(classes.filter("node is not null"), "set_id")
+        sketch.select("doc_id", "set_id", "bands")
+        .join(classes.filter("node is not null").hint("merge"), "set_id")
         .filter("doc_id = node")
-        .select("node", F.col("n_shingles").alias("n"), F.explode("bands").alias("band"))
+        .select("node", F.explode("bands").alias("band"))
     )
     buckets = stored(shared_buckets(heads), "buckets")
+    nodes = buckets.select(F.col("node").alias("doc_id")).distinct()
+
+    def of_nodes(table: DataFrame, *columns: str) -> DataFrame:
+        """Rows of documents that share a bucket, one for each."""
+        held = table.select("doc_id", *columns).join(nodes.hint("merge"), "doc_id", "left_semi")
+        return held.groupBy("doc_id").agg(*(F.first(c).alias(c) for c in columns))
+
+    bins = stored(of_nodes(sketch.filter("bins is not null"), "bins"), "bins")
+    texts = stored(docs.select("doc_id", "text").join(nodes.hint("merge"), "doc_id", "left_semi"), "texts")
 
     def sets_of(frame: DataFrame, *columns: str, kind: type = np.uint64) -> DataFrame:
         ids = frame.select(F.explode(F.array(*columns)).alias("doc_id")).distinct()
-        return full_sets(docs.join(ids, "doc_id", "left_semi").dropDuplicates(["doc_id"]), width, kind)
+        return full_sets(texts.join(ids.hint("merge"), "doc_id", "left_semi").dropDuplicates(["doc_id"]), width, kind)
 
-    pairs = stored(first_stars(buckets, percent), "pairs")
+    pairs = stored(likely(first_stars(buckets), bins), "pairs")
     links = stored(confirm(pairs, sets_of(pairs, "a", "b"), percent), "confirmed")
     components = connected(links)
     open_ = stored(open_buckets(buckets, components), "open")
-    pairs = stored(later_stars(open_, sets_of(open_, "node", kind=np.uint32), percent), "pairs")
-    if not pairs.isEmpty():
-        more = stored(confirm(pairs, sets_of(pairs, "a", "b"), percent), "confirmed")
-        components = connected(links.union(more))
-
-    of_class = classes.join(components, "node", "left").select("set_id", F.coalesce("component", "node").alias("class"))
+    near = stored(block_pairs(open_, bins, "bins", _same_bins, members=True), "near")
+    if not near.isEmpty():
+        # Members that are like no hub have no further part; hubs keep their places.
+        left = near.select(F.col("a").alias("node"), F.col("b").alias("band"))
+        left = open_.join(left.hint("merge"), ["band", "node"])
+        halves = stored(sets_of(left, "node", kind=np.uint16), "halves")
+        pairs = stored(block_pairs(left, halves, "members", _similar_halves(percent), members=False), "pairs")
+        if not pairs.isEmpty():
+            more = stored(confirm(pairs, sets_of(pairs, "a", "b"), percent), "confirmed")
+            components = connected(links.union(more))
+
+    of_class = classes.join(components.hint("merge"), "node", "left").select("set_id", F.coalesce("component", "node").alias("class"))
     reached = F.when(F.col("doc_id").isNotNull(), F.coalesce("class", "doc_id"))
     return (
         sketch.select("doc_id", "n_shingles", "set_id")
-        .join(of_class, "set_id", "left")
+        .join(of_class.hint("merge"), "set_id", "left")
         .select("doc_id", "n_shingles", reached.alias("component_id"))
         .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
     )
