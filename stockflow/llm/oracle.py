@@ -29,6 +29,17 @@ reach as (
 least as (select a as doc_id, min(b) as component_id from reach group by a)
 select doc_id, coalesce(n, 0)::bigint as n_shingles, component_id, doc_id = component_id as kept
 from least left join sizes using (doc_id)
+""",
+    "op5_warc_round_trip": """
+with plain as (
+  select page_id, strlen(coalesce(html, ''))::bigint as payload_bytes, sha256(coalesce(html, '')) as payload_digest
+  from pages),
+first as (
+  select payload_digest, min(page_id) as first from plain where payload_bytes >= 100 group by payload_digest)
+select page_id, payload_bytes, payload_digest,
+  case when payload_bytes >= 100 and page_id > first then 'revisit' else 'response' end as record_type,
+  case when payload_bytes >= 100 and page_id > first then first end as refers_to
+from plain left join first using (payload_digest)
 """,
     "op8_quality_cascade": rf"""
 with

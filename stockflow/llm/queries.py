@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stockflow.llm import cascade, fingerprint, minhash, packing, suffix
+from stockflow.llm import cascade, fingerprint, minhash, packing, sharding, suffix, warc
 from stockflow.llm.shipping import ship
+from stockflow.llm.storage import shared_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -44,11 +46,21 @@ def op4_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), width=4, percent=80)
 
 
+@query
+def op5_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages"), f"{shared_dir(spark)}/warc-{uuid.uuid4().hex}")
+
+
 @query
 def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"), capacity=2048)
 
 
+@query
+def op7_balanced_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shards(table(spark, sf_dir, "documents"), count=16)
+
+
 @query
 def op8_quality_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cascade.quality(table(spark, sf_dir, "documents"))
