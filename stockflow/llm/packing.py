@@ -14,9 +14,11 @@ Only lengths travel to the packing step, never texts or ids.
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterator
+from unicodedata import combining, is_normalized
 
 import numpy as np
 import pyarrow as pa
@@ -28,16 +30,17 @@ from stockflow.llm.storage import stored
 CAPACITY = 2048
 END = 0
 GROUP = 32_768
-WORDS_KEPT = 200_000
+WORDS_KEPT = 400_000
+_LETTERS_THEN_MARKS = re.compile(r"([^\W\d_]+)([^\w\s]+)")
 PIECES = "doc_id long, row long, piece int, start long, length long, ids_crc32 long"
 
 
 class Encoder:
     """Ids of a text, word by word.
 
-    The vocabulary never joins bytes across white space, so a text's ids are its
-    words' ids in order; those of recent words are remembered, up to
-    ``WORDS_KEPT`` of them.
+    The vocabulary never joins bytes across white space, and never letters with
+    the punctuation behind them, so a text's ids are its words' ids in order.
+    Those of recent words are remembered, up to ``WORDS_KEPT`` of them.
     """
 
     def __init__(self, path: str) -> None:
@@ -47,16 +50,26 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.known: dict[str, bytes] = {}
 
-    def learn(self, words: set[str]) -> None:
-        new = sorted(w for w in words if w not in self.known)
-        if len(self.known) + len(new) > WORDS_KEPT:
-            self.known.clear()
-            new = sorted(words)
+    def _encode(self, words: set[str]) -> None:
+        new = [w for w in words if w not in self.known]
         for word, found in zip(new, self.tokenizer.encode_batch(new, add_special_tokens=False), strict=True):
             self.known[word] = np.array(found.ids, "<u4").tobytes()
 
+    def learn(self, words: set[str]) -> None:
+        if len(self.known) + len(words) > WORDS_KEPT:
+            self.known.clear()
+        known = self.known
+        parts = {w: m.groups() for w in words if w not in known and (m := _LETTERS_THEN_MARKS.fullmatch(w)) and m[1].isalpha() and not combining(m[2][0])}
+        self._encode({p for pair in parts.values() for p in pair} | (words - parts.keys()))
+        for word, (letters, marks) in parts.items():
+            known[word] = known[letters] + known[marks]
+
     def ids(self, text: str | None) -> np.ndarray:
-        words = (text or "").replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
+        text = text or ""
+        # The vocabulary has lower case only; where lowering first is the same, fewer words differ.
+        if "\u03a3" not in text and is_normalized("NFC", text):
+            text = text.lower()
+        words = text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
         try:
             joined = b"".join([self.known[w] for w in words])
         except KeyError:
@@ -65,11 +78,21 @@ class Encoder:
         return np.append(np.frombuffer(joined, "<u4"), np.uint32(END)).astype("<u4")
 
 
+_encoders: dict[str, Encoder] = {}
+
+
+def encoder_of(path: str) -> Encoder:
+    """The encoder of this Python worker, which goes on from task to task."""
+    if path not in _encoders:
+        _encoders[path] = Encoder(path)
+    return _encoders[path]
+
+
 def pieces(docs: DataFrame, tokenizer: str, capacity: int) -> DataFrame:
     """One row for each piece of each row of ``docs``; ``row`` tells repeated rows apart."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(tokenizer)
+        encoder = encoder_of(tokenizer)
         for batch in batches:
             out = []
             for doc_id, row, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
