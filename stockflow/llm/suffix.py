@@ -41,11 +41,14 @@ from stockflow.llm.textarrays import as_bytes, mix, stream
 
 LENGTH = 100
 GRAM = 32
-LIMIT = 20_000
+LIMIT = 5_000
 _U = np.uint64
 _BYTE = stream(21, 256)
 _BYTE_B = stream(22, 256)
 _STEP = stream(23, 16) | _U(1)
+_BYTE_SMALL = stream(25, 256).astype(np.uint32)
+_STEP_SMALL = (stream(26, 8) | _U(1)).astype(np.uint32)
+_WORD = stream(27, GRAM // 8) | _U(1)
 _STEP_B = stream(24, 16) | _U(1)
 
 
@@ -67,38 +70,58 @@ def rolling(raw: np.ndarray, width: int, table: np.ndarray = _BYTE, step: np.nda
             size, level = 2 * size, level + 1
 
 
-def sliding(values: np.ndarray, width: int, best: np.ufunc) -> np.ndarray:
-    """Minimum or maximum of each run of ``width`` values, from running ones of blocks."""
-    n = values.size
-    whole = -(-n // width) * width
-    padded = np.full(whole, values[-1], values.dtype)
-    padded[:n] = values
-    blocks = padded.reshape(-1, width)
-    ahead = best.accumulate(blocks, axis=1).ravel()
-    behind = best.accumulate(blocks[:, ::-1], axis=1)[:, ::-1].ravel()
-    return best(behind[: n - width + 1], ahead[width - 1 : n])
-
-
-class Anchors:
-    """Anchors of one text: place and hash, and the starts of the strings that chose them."""
-
-    def __init__(self, raw: np.ndarray, length: int) -> None:
-        self.width = length - GRAM + 1
-        if raw.size < length:
-            self.places, self.hashes = np.empty(0, np.int64), np.empty(0, _U)
-            return
-        self.grams = rolling(raw, GRAM)
-        self.least = sliding(self.grams, self.width, np.minimum)
-        edge = self.width - 1
-        around = np.concatenate((np.zeros(edge, _U), self.least, np.zeros(edge, _U)))
-        self.places = np.flatnonzero(sliding(around, self.width, np.maximum) == self.grams)
-        self.hashes = self.grams[self.places]
-
-    def starts(self, place: int) -> tuple[int, int]:
-        """First and last start of the strings whose anchor is at ``place``; they are neighbours."""
-        lo = max(0, place - self.width + 1)
-        own = np.flatnonzero(self.least[lo : place + 1] == self.grams[place])
-        return lo + int(own[0]), lo + int(own[-1])
+def sliding_min(values: np.ndarray, width: int) -> np.ndarray:
+    """Minimum of each run of ``width`` values, put together from powers of two."""
+    size = 1
+    while 2 * size <= width:
+        values = np.minimum(values[:-size], values[size:])
+        size *= 2
+    rest = width - size
+    return np.minimum(values[: values.size - rest], values[rest:]) if rest else values
+
+
+def _small_grams(raw: np.ndarray) -> np.ndarray:
+    """A 32-bit hash of each ``GRAM``-byte string, for choosing only."""
+    with np.errstate(over="ignore"):
+        part, size, level = _BYTE_SMALL[raw], 1, 0
+        while size < GRAM:
+            part = part[:-size] * _STEP_SMALL[level] + part[size:]
+            size, level = 2 * size, level + 1
+        part ^= part >> np.uint32(16)
+        part *= np.uint32(0x85EBCA6B)
+        part ^= part >> np.uint32(13)
+        part *= np.uint32(0xC2B2AE35)
+        part ^= part >> np.uint32(16)
+        return part
+
+
+def runs(raw: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Neighbouring starts of ``length``-byte strings with one anchor.
+
+    Returns each run's first and last start, its anchor's hash, and how often the
+    anchor occurs in the run. A run has as many starts as a string can hold
+    anchors at most.
+    """
+    if raw.size < length:
+        none = np.empty(0, np.int64)
+        return none, none, np.empty(0, _U), none
+    width = length - GRAM + 1
+    grams = _small_grams(raw)
+    least = sliding_min(grams, width)
+    first = np.flatnonzero(np.append(True, least[1:] != least[:-1]))
+    last = np.append(first[1:], least.size) - 1
+    if (last - first).max() >= width:
+        # Equal anchors in a row, as in a run of one character.
+        parts = (last - first) // width + 1
+        nth = np.arange(int(parts.sum())) - np.repeat(np.cumsum(parts) - parts, parts)
+        first, end = np.repeat(first, parts) + width * nth, np.repeat(last, parts)
+        last = np.minimum(first + width - 1, end)
+    place = first[:, None] + np.arange(2 * width - 1)
+    equal = grams[np.minimum(place, grams.size - 1)] == least[first][:, None]
+    anchor, often = first + equal.argmax(axis=1), (equal & (place < (last + width)[:, None])).sum(axis=1)
+    words = raw[anchor[:, None] + np.arange(GRAM)].view("<u8")
+    with np.errstate(over="ignore"):
+        return first, last, mix((words * _WORD).sum(axis=1, dtype=_U)), often
 
 
 def intervals(lcp: np.ndarray, floor: int) -> Iterator[tuple[int, int, int]]:
@@ -122,9 +145,10 @@ def suffix_array(text: np.ndarray, starts: np.ndarray, ends: np.ndarray, depth:
     """Order of the strings text[start:end] and the common prefix of neighbours; none exceeds ``depth`` bytes."""
     sizes = ends - starts
     words = -(-depth // 8)
-    place = starts[:, None].astype(np.int32) + np.arange(8 * words, dtype=np.int32)
-    table = np.where(place < ends[:, None].astype(np.int32), text[np.minimum(place, text.size - 1)], 0).astype(np.uint8)
-    keys = table.view(">u8").astype(_U)
+    padded = np.concatenate((text, np.zeros(8 * words, np.uint8)))
+    table = np.lib.stride_tricks.sliding_window_view(padded, 8 * words)[starts]
+    table *= np.arange(8 * words) < sizes[:, None]
+    keys = table.view(">u8")
     order = np.lexsort((sizes, *(keys[:, i] for i in reversed(range(words)))))
     table, sizes = table[order], sizes[order]
     lcp = np.zeros(order.size, np.int64)
@@ -199,59 +223,75 @@ def _merged(spans: np.ndarray, size: int) -> list[tuple[int, int]]:
 def _anchors_of(docs: DataFrame, length: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for doc_id, text in zip(batch.column(0), batch.column(1), strict=True):
-                found = Anchors(as_bytes(text.as_py()), length)
-                if found.places.size:
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array(found.hashes.view(np.int64)),
-                            pa.array(np.full(found.places.size, doc_id.as_py(), np.int64)),
-                            pa.array(found.places.astype(np.int32)),
-                        ],
-                        ["anchor", "doc_id", "place"],
-                    )
+            anchors, ids, starts, times = [], [], [], []
+            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                first, _, hashes, often = runs(as_bytes(text.as_py()), length)
+                times.append(often)
+                anchors.append(hashes)
+                ids.append(np.full(first.size, doc_id, np.int64))
+                starts.append(first)
+            if ids:
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(np.concatenate(anchors).view(np.int64)),
+                        pa.array(np.concatenate(ids)),
+                        pa.array(np.concatenate(starts).astype(np.int32)),
+                        pa.array(np.concatenate(times).astype(np.int32)),
+                    ],
+                    ["anchor", "doc_id", "start", "often"],
+                )
 
-    return docs.select("doc_id", "text").mapInArrow(run, "anchor long, doc_id long, place int")
+    return docs.select("doc_id", "text").mapInArrow(run, "anchor long, doc_id long, start int, often int")
 
 
 def _pieces_of(texts: DataFrame, length: int) -> DataFrame:
-    """Rows (doc_id, text, list of places) to one row a place: the piece that belongs to the anchor there."""
+    """Rows (doc_id, text, starts of runs) to one row a run: the piece of text that its strings make up."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            anchors, docs, starts, pieces = [], [], [], []
-            for doc_id, text, wanted in zip(*batch.columns, strict=True):
-                raw = as_bytes(text.as_py())
-                found = Anchors(raw, length)
+            anchors, ids, starts, pieces = [], [], [], []
+            for doc_id, text, wanted in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                raw = as_bytes(text)
+                first, last, hashes, _ = runs(raw, length)
+                mine = np.isin(first, np.array(wanted))
                 held = raw.tobytes()
-                for place in sorted({*wanted.as_py()} & {*found.places.tolist()}):
-                    first, last = found.starts(place)
-                    anchors.append(found.grams[place])
-                    docs.append(doc_id.as_py())
-                    starts.append(first)
-                    pieces.append(held[first : last + length])
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.array(anchors, _U).view(np.int64)), pa.array(docs, pa.int64()), pa.array(starts, pa.int64()), pa.array(pieces, pa.binary())],
-                ["anchor", "doc_id", "start", "piece"],
-            )
+                first, last = first[mine].tolist(), last[mine].tolist()
+                anchors.append(hashes[mine])
+                ids += [doc_id] * len(first)
+                starts += first
+                pieces += [held[a : b + length] for a, b in zip(first, last, strict=True)]
+            if anchors:
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(np.concatenate(anchors).view(np.int64)),
+                        pa.array(ids, pa.int64()),
+                        pa.array(starts, pa.int64()),
+                        pa.array(pieces, pa.binary()),
+                    ],
+                    ["anchor", "doc_id", "start", "piece"],
+                )
 
-    return texts.select("doc_id", "text", "places").mapInArrow(run, "anchor long, doc_id long, start long, piece binary")
+    return texts.select("doc_id", "text", "starts").mapInArrow(run, "anchor long, doc_id long, start long, piece binary")
 
 
 _SPANS = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("end", pa.int64())])
 
 
-def _grouped_removals(pieces: DataFrame, length: int, batch_rows: int = 6_000) -> DataFrame:
+def _grouped_removals(pieces: DataFrame, length: int, batch_rows: int = 4_000) -> DataFrame:
     """Removals from pieces that are partitioned and sorted by anchor; whole groups at a time."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
 
         def settle(rows: pa.Table) -> pa.RecordBatch:
-            found = list(
-                removals(rows.column(3).to_pylist(), rows.column(1).to_numpy(), rows.column(2).to_numpy(), length)
-            )
-            spans = np.array(found, np.int64).reshape(-1, 3)
+            found = removals(rows.column(3).to_pylist(), rows.column(1).to_numpy(), rows.column(2).to_numpy(), length)
+            joined: list[list[int]] = []
+            for doc, start, end in sorted(found):
+                if joined and joined[-1][0] == doc and start <= joined[-1][2]:
+                    joined[-1][2] = max(joined[-1][2], end)
+                else:
+                    joined.append([doc, start, end])
+            spans = np.array(joined, np.int64).reshape(-1, 3)
             return pa.RecordBatch.from_arrays([pa.array(spans[:, i]) for i in range(3)], schema=_SPANS)
 
         for batch in batches:
@@ -312,15 +352,16 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, limit: int = LIMIT) ->
     )
     first = named.groupBy("name").agg(F.min("doc_id").alias("first"), F.count("*").alias("n")).filter("n > 1")
     copies = stored(
-        named.join(first, "name").filter("doc_id != first").groupBy("doc_id").agg(F.max("size").alias("size")), "copies"
+        named.join(first.hint("merge"), "name").filter("doc_id != first").groupBy("doc_id").agg(F.max("size").alias("size")), "copies"
     )
-    anchors = _anchors_of(texts.join(copies.select("doc_id"), "doc_id", "left_anti"), length)
-    shared = stored(anchors.groupBy("anchor").count().filter("count > 1"), "anchors")
+    anchors = _anchors_of(texts, length)
+    shared = stored(anchors.groupBy("anchor").agg(F.sum("often").alias("count")).filter("count > 1"), "anchors")
 
     def pieces(counted: DataFrame) -> DataFrame:
-        places = anchors.join(counted.select("anchor").hint("shuffle_hash"), "anchor", "left_semi")
-        by_doc = places.groupBy("doc_id").agg(F.collect_list("place").alias("places"))
-        return _pieces_of(texts.join(by_doc, "doc_id"), length)
+        places = anchors.select("anchor", "doc_id", "start").join(counted.select("anchor").hint("shuffle_hash"), "anchor", "left_semi")
+        by_doc = places.groupBy("doc_id").agg(F.collect_list("start").alias("starts"))
+        wanted = by_doc.join(copies.select("doc_id").hint("merge"), "doc_id", "left_anti")
+        return _pieces_of(texts.join(wanted.hint("merge"), "doc_id"), length)
 
     small = pieces(shared.filter(F.col("count") <= limit)).repartition("anchor").sortWithinPartitions("anchor")
     spans = _grouped_removals(small, length)
@@ -328,6 +369,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, limit: int = LIMIT) ->
     if not large.isEmpty():
         spans = spans.union(_named_removals(pieces(large), length))
     spans = spans.union(copies.select("doc_id", F.lit(0).cast("long"), "size"))
+    spans = spans.select("doc_id", F.col("start").cast("int"), F.col("end").cast("int"))
     return texts, spans.groupBy("doc_id").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
 
 
@@ -362,8 +404,8 @@ def with_spans(docs: DataFrame, length: int, limit: int) -> DataFrame:
     """doc_id, text and spans to remove (or null) of every row."""
     texts, spans = repeated_spans(docs, length, limit)
     without = docs.filter("doc_id is null").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    none = F.lit(None).cast("array<struct<start:bigint,end:bigint>>")
-    return texts.join(spans, "doc_id", "left").select("doc_id", "text", "spans").union(without.withColumn("spans", none))
+    none = F.lit(None).cast("array<struct<start:int,end:int>>")
+    return texts.join(spans.hint("merge"), "doc_id", "left").select("doc_id", "text", "spans").union(without.withColumn("spans", none))
 
 
 def cut(raw: np.ndarray, spans: list[dict] | None) -> tuple[list[tuple[int, int]], bytes]:
