@@ -8,7 +8,7 @@ from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stockflow.llm import cascade, fingerprint, minhash, packing, sharding, suffix, warc
+from stockflow.llm import cascade, fingerprint, html_text, minhash, packing, sharding, suffix, warc
 from stockflow.llm.shipping import ship
 from stockflow.llm.storage import shared_dir
 
@@ -41,6 +41,11 @@ def op2_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix.dedup_report(table(spark, sf_dir, "documents"), length=100)
 
 
+@query
+def op3_html_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
 @query
 def op4_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), width=4, percent=80)
