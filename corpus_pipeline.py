@@ -5,8 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from stockflow.llm import cascade, minhash
+from stockflow.llm import cascade, minhash, packing, suffix, toxicity
+from stockflow.llm.queries import vocabulary
 from stockflow.llm.shipping import ship
 from stockflow.llm.storage import stored
 
@@ -14,21 +16,54 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
-def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def _kept(docs: DataFrame, verdicts: DataFrame) -> DataFrame:
+    """Rows of ``docs`` whose id is among ``verdicts``; a row without id cannot be told from others and stays."""
+    ids = verdicts.select("doc_id").filter("doc_id is not null").distinct()
+    with_id = docs.select(COLUMNS).filter("doc_id is not null").join(ids.hint("merge"), "doc_id", "left_semi")
+    return with_id.select(COLUMNS).union(docs.select(COLUMNS).filter("doc_id is null"))
+
+
+def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the chain does not call toxic; trained on the labelled documents of the same tables."""
+    ship(spark)
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return _kept(docs, toxicity.toxic(docs, docs, labels).filter("not toxic"))
+
+
+def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the cascade keeps."""
     ship(spark)
-    kept = cascade.quality(docs).filter("kept").select("doc_id")
-    return docs.select(COLUMNS).join(kept, "doc_id", "left_semi")
+    return _kept(docs, cascade.quality(docs).filter("kept"))
 
 
-def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The first document of each group of near copies: five words, similarity 0.8."""
     ship(spark)
-    kept = minhash.near_duplicates(docs, width=5, percent=80).filter("kept").select("doc_id")
-    return docs.select(COLUMNS).join(kept, "doc_id", "left_semi")
+    return _kept(docs, minhash.near_duplicates(docs, width=5, percent=80).filter("kept"))
+
+
+def passage_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, without bytes of 100-byte strings that start earlier; n_chars is of what is left."""
+    ship(spark)
+    rest = suffix.dedup_texts(docs, length=100)
+    others = docs.select("doc_id", "lang", "source")
+    joined = rest.join(others.hint("merge"), "doc_id")
+    return joined.withColumn("n_chars", F.char_length("text").cast("long")).select(COLUMNS)
+
+
+def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of token ids packed into sequences of 2048."""
+    ship(spark)
+    return packing.packed(docs, vocabulary("word_bpe_49k.json"), capacity=2048)
 
 
-STAGES: list[tuple[str, Stage]] = [("quality", quality), ("near_dedup", near_dedup)]
+STAGES: list[tuple[str, Stage]] = [
+    ("toxicity", toxicity_stage),
+    ("quality", quality_stage),
+    ("near_dedup", near_dedup_stage),
+    ("passage_dedup", passage_dedup_stage),
+    ("packing", packing_stage),
+]
 
 # The tokenizer of the last stage and the classifier of the first are outside SQL.
 ORACLE_SQL: str | None = None

@@ -8,7 +8,7 @@ from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stockflow.llm import cascade, fingerprint, html_text, minhash, packing, sharding, suffix, warc
+from stockflow.llm import cascade, fingerprint, html_text, minhash, packing, sharding, suffix, toxicity, warc
 from stockflow.llm.shipping import ship
 from stockflow.llm.storage import shared_dir
 
@@ -36,6 +36,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op1_toxicity_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.toxic(docs, docs, table(spark, sf_dir, "labels"))
+
+
 @query
 def op2_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix.dedup_report(table(spark, sf_dir, "documents"), length=100)
