@@ -8,7 +8,7 @@ from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stockflow.llm import cascade, fingerprint, html_text, minhash, packing, sharding, suffix, toxicity, warc
+from stockflow.llm import cascade, fingerprint, html_text, lattice, minhash, packing, sharding, suffix, toxicity, warc
 from stockflow.llm.shipping import ship
 from stockflow.llm.storage import shared_dir
 
@@ -77,6 +77,11 @@ def op8_quality_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cascade.quality(table(spark, sf_dir, "documents"))
 
 
+@query
+def op9_sampled_segmentations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lattice.sampled(table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"), k=2)
+
+
 @query
 def op10_weighted_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.fingerprints(table(spark, sf_dir, "documents"))
