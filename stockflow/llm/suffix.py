@@ -41,7 +41,7 @@ from stockflow.llm.textarrays import as_bytes, mix, stream
 
 LENGTH = 100
 GRAM = 32
-LIMIT = 5_000
+LIMIT = 20_000
 _U = np.uint64
 _BYTE = stream(21, 256)
 _BYTE_B = stream(22, 256)
