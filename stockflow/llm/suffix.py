@@ -150,12 +150,13 @@ def suffix_array(text: np.ndarray, starts: np.ndarray, ends: np.ndarray, depth:
     table *= np.arange(8 * words) < sizes[:, None]
     keys = table.view(">u8")
     order = np.lexsort((sizes, *(keys[:, i] for i in reversed(range(words)))))
-    table, sizes = table[order], sizes[order]
     lcp = np.zeros(order.size, np.int64)
-    if order.size > 1:
-        differ = table[1:] != table[:-1]
+    for at in range(1, order.size, 16_384):
+        here, before = order[at : at + 16_384], order[at - 1 : at - 1 + 16_384]
+        here, before = here[: order.size - at], before[: order.size - at]
+        differ = table[here] != table[before]
         first = np.where(differ.any(axis=1), differ.argmax(axis=1), 8 * words)
-        lcp[1:] = np.minimum(first, np.minimum(sizes[1:], sizes[:-1]))
+        lcp[at : at + here.size] = np.minimum(first, np.minimum(sizes[here], sizes[before]))
     return order, lcp
 
 

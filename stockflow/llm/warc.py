@@ -123,7 +123,9 @@ class _Reader(DataSourceReader):
     def partitions(self) -> list[InputPartition]:
         return [_File(path) for path in self.files]
 
-    def read(self, partition: _File) -> Iterator[tuple]:
+    def read(self, partition: _File | None) -> Iterator[tuple]:
+        if partition is None:  # a source without files still has one partition
+            return
         with _open(partition.path) as stream:
             while (row := self._record(stream)) is not None:
                 if row:
