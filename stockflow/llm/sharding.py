@@ -3,7 +3,7 @@
 Documents of equal text are linked. Every document starts in the shard of its
 slice of the id order, so that counts are at most one apart. In each round a
 linked document asks for the shard that holds most of its group (for a group
-larger than a shard: one of the few shards that hold most of it). Requests are
+larger than a shard: one of the few shards that hold most of it and have room). Requests are
 granted under quotas that keep every count as it is: what a shard takes in more
 than it gives away is paid for with documents without links. Quotas come from a
 table of requests by pair of shards (256 numbers, whatever the input) and are
@@ -72,22 +72,33 @@ def granted(requests: np.ndarray, spare: np.ndarray) -> tuple[np.ndarray, np.nda
     return moves, back
 
 
-def _requests(placed: DataFrame, quota: int) -> DataFrame:
-    """Linked rows that ask to move: row, shard, target, gain."""
+def _requests(placed: DataFrame, quota: int, room: np.ndarray, turn: int) -> DataFrame:
+    """Linked rows that ask to move: row, shard, target, gain.
+
+    The shards of a group are ranked by how much of it they hold, then by
+    ``room``, the documents without links that they could give away. As many of
+    the first as the group fills are its homes. Members elsewhere ask for one of
+    the first ranked shards before their own that have room.
+    """
     held = placed.filter("linked").groupBy("group", "shard").agg(F.count("*").alias("held"))
+    space = F.array(*(F.lit(int(n)) for n in room))[F.col("shard")]
     # A group holds at most as many rows here as there are shards.
-    ranked = held.select(
-        "group", "shard", "held",
-        F.row_number().over(Window.partitionBy("group").orderBy(F.desc("held"), "shard")).alias("rank"),
-        F.ceil(F.sum("held").over(Window.partitionBy("group")) / quota).alias("homes"),
+    ranked = held.withColumn("room", space).select(
+        "group", "shard", "held", "room",
+        F.row_number().over(Window.partitionBy("group").orderBy(F.desc("held"), F.desc("room"), "shard")).alias("rank"),
+        F.ceil(F.sum("held").over(Window.partitionBy("group")) / quota).cast("int").alias("homes"),
+    )
+    open_ = ranked.filter("room > 0").groupBy("group").agg(
+        F.array_sort(F.collect_list(F.struct("rank", "shard", "held"))).alias("open")
     )
-    home = F.col("rank") <= F.col("homes")
-    homes = ranked.filter(home).groupBy("group").agg(
-        F.array_sort(F.collect_list(F.struct("rank", "shard", "held"))).alias("home")
+    away = (
+        ranked.filter("rank > homes")
+        .join(open_, "group")
+        .select("group", "shard", F.slice(F.filter("open", lambda x: x["rank"] < F.col("rank")), F.lit(1), F.col("homes")).alias("open"))
+        .filter(F.size("open") > 0)
     )
-    away = ranked.filter(~home).select("group", "shard").join(homes, "group")
-    pick = F.pmod(F.xxhash64("row"), F.size("home")).cast("int")
-    target = F.col("home")[pick]
+    pick = F.pmod(F.xxhash64("row", F.lit(turn)), F.size("open")).cast("int")
+    target = F.col("open")[pick]
     return placed.filter("linked").join(away, ["group", "shard"]).select(
         "row", "shard", target["shard"].alias("target"), target["held"].alias("gain")
     )
@@ -142,10 +153,11 @@ def shards(docs: DataFrame, count: int = SHARDS, rounds: int = ROUNDS, slice_row
             out[tuple(row[:-1])] = row[-1]
         return out
 
-    for _ in range(rounds):
-        requests = stored(_requests(placed, max(1, total // count)), "requests")
+    for turn in range(rounds):
+        room = matrix(placed.filter("not linked"), "shard")
+        requests = stored(_requests(placed, max(1, total // count), room, turn), "requests")
         asked = matrix(requests, "shard", "target")
-        moves, back = granted(asked, matrix(placed.filter("not linked"), "shard"))
+        moves, back = granted(asked, room)
         if not moves.any():
             break
         ranked = numbered(requests, ["shard", "target"], F.xxhash64("row"), [F.desc("gain"), F.col("row")], slices, "rank")
