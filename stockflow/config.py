@@ -80,7 +80,7 @@ class SourceConfig:
     src_format: str = "csv"
     delimiter: str = ","
     encoding: str = "utf-8"
-    multi_line: bool = True
+    multi_line: bool = False
     na_tokens: tuple[str, ...] = NA_TOKENS
     env: str = "dev"
     notebook_type: str = "source"

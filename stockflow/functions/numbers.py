@@ -10,8 +10,8 @@ from stockflow.functions.text import strip_ws
 # Plain decimal or scientific notation. A cast alone would also take '12d' and 'Infinity'.
 NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
 
-# Doubles from here on have no bigint.
-_BIGINT_EDGE = 9.2e18
+# The first double above the largest bigint.
+_BIGINT_EDGE = float(2**63)
 
 
 def _parsed(col: Column) -> Column:

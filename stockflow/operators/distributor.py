@@ -10,8 +10,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stockflow.config import DISTRIBUTOR_LOCATIONS, INVENTORY_OPTIONAL, INVENTORY_REQUIRED
-from stockflow.functions.numbers import to_number
+from stockflow.functions.numbers import to_number, to_quantity
 from stockflow.functions.text import strip_ws
+from stockflow.operators.keyed import Split
 
 ITEM_REFERENCE = "Customer Item Reference"
 CUSTOMER_KEY = "Dpl Customer (key)"
@@ -34,13 +35,35 @@ def map_codes(col: Column, mapping: Mapping[str, str]) -> Column:
     return F.try_element_at(F.create_map(*pairs), col)
 
 
-def sheet_rows(df: DataFrame, cfg: SheetConfig) -> DataFrame:
-    """Rows that carry data: an item and a numeric quantity.
+def sheet_rows(df: DataFrame, cfg: SheetConfig) -> Split:
+    """Data rows of a sheet, and rows that should be data but are not, with a ``reason``.
 
-    Title and header lines above the data are recognised by content, not by
-    their position, so nothing depends on row order.
+    Title lines above the data are recognised by content, not by their position:
+    they have no numeric quantity and neither an item nor a known location, or
+    repeat the column names. They are neither kept nor rejected;
+    ``title_lines`` counts them. A row with an item or a known location but
+    without a numeric quantity is rejected as BAD_QUANTITY, one with a quantity
+    but without an item as NO_ITEM.
     """
-    return df.where(F.col(cfg.item).isNotNull() & to_number(F.col(cfg.on_hand)).isNotNull())
+    has_item = F.col(cfg.item).isNotNull()
+    number = to_number(F.col(cfg.on_hand)).isNotNull()
+    reason = F.when(~_is_title(cfg) & ~number, "BAD_QUANTITY").when(number & ~has_item, "NO_ITEM")
+    rejected = df.withColumn("reason", reason).where(F.col("reason").isNotNull())
+    return Split(df.where(has_item & number), rejected)
+
+
+def _is_title(cfg: SheetConfig) -> Column:
+    location = strip_ws(F.col(cfg.location))
+    known = F.coalesce(map_codes(location, cfg.locations).isNotNull(), F.lit(False))
+    number = to_number(F.col(cfg.on_hand)).isNotNull()
+    # A line of column names has text where the quantity should be, without any digit.
+    named = F.coalesce(~F.col(cfg.on_hand).rlike(r"\d"), F.lit(True)) & ~known
+    return ~number & ~known & (F.col(cfg.item).isNull() | named)
+
+
+def title_lines(df: DataFrame, cfg: SheetConfig) -> DataFrame:
+    """Number of title lines, as one row."""
+    return df.agg(F.count_if(_is_title(cfg)).alias("n_titles"))
 
 
 def normalize_distributor(df: DataFrame, cfg: SheetConfig) -> DataFrame:
@@ -49,7 +72,7 @@ def normalize_distributor(df: DataFrame, cfg: SheetConfig) -> DataFrame:
     Rows of an unmapped location keep a null customer key; ``unmapped`` reports them.
     """
     location = strip_ws(F.col(cfg.location))
-    return sheet_rows(df, cfg).select(
+    return sheet_rows(df, cfg).kept.select(
         F.col(cfg.item).alias(ITEM_REFERENCE),
         map_codes(location, cfg.locations).alias(CUSTOMER_KEY),
         to_number(F.col(cfg.on_hand)).alias(ON_HAND),
@@ -59,7 +82,7 @@ def normalize_distributor(df: DataFrame, cfg: SheetConfig) -> DataFrame:
 def unmapped(df: DataFrame, cfg: SheetConfig) -> DataFrame:
     """Location codes of data rows that have no customer code, with their row counts."""
     location = strip_ws(F.col(cfg.location))
-    rows = sheet_rows(df, cfg).select(
+    rows = sheet_rows(df, cfg).kept.select(
         location.alias("location"), map_codes(location, cfg.locations).alias("code")
     )
     return (
@@ -67,6 +90,25 @@ def unmapped(df: DataFrame, cfg: SheetConfig) -> DataFrame:
     )
 
 
+def sheet_inventory(df: DataFrame, cfg: SheetConfig) -> Split:
+    """A sheet under the standard inventory names, and every data row that cannot be used.
+
+    Rejects are those of ``sheet_rows`` and rows whose location has no customer
+    code (UNMAPPED_LOCATION) or that have no location (NO_LOCATION).
+    """
+    kept, rejected = sheet_rows(df, cfg)
+    location = strip_ws(F.col(cfg.location))
+    code = map_codes(location, cfg.locations)
+    reason = F.when(code.isNotNull(), None).when(location.isNull(), "NO_LOCATION")
+    lost = kept.withColumn("reason", reason.otherwise("UNMAPPED_LOCATION")).where(code.isNull())
+    usable = kept.where(code.isNotNull()).select(
+        code.alias("location"),
+        F.col(cfg.item).alias("item"),
+        to_quantity(F.col(cfg.on_hand)).alias("on_hand_qty"),
+    )
+    return Split(usable, rejected.unionByName(lost))
+
+
 def append_sources(
     frames: Mapping[str, DataFrame],
     required: Sequence[str] = INVENTORY_REQUIRED,

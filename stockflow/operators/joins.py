@@ -1,4 +1,4 @@
-"""Join helpers: bounded broadcast, lookups with null keys, fan-out, reconciliation."""
+"""Join helpers: lookups with null keys, fan-out, reconciliation."""
 
 from __future__ import annotations
 
@@ -9,22 +9,6 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Buckets over which rows without a key are spread.
-NULL_KEY_BUCKETS = 1024
-
-
-def broadcast_within(df: DataFrame, max_rows: int) -> DataFrame:
-    """``df`` as a broadcast side if it has at most ``max_rows`` rows, else ``df`` as it is.
-
-    The check fetches no more than ``max_rows + 1`` rows, and those fetched are
-    reused, so a small side is computed once.
-    """
-    rows = df.limit(max_rows + 1).collect()
-    if len(rows) > max_rows:
-        return df
-    return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
-
-
 def lookup(
     left: DataFrame,
     right: DataFrame,
@@ -58,7 +42,8 @@ def spread_join(
     bucket = _zero(left_keys)
     if spread_by:
         no_key = reduce(lambda a, b: a | b, (F.col(k).isNull() for k in left_keys))
-        spread = F.pmod(F.xxhash64(*spread_by), F.lit(NULL_KEY_BUCKETS)) + 1
+        # Any number but the 0 of rows with a key.
+        spread = F.xxhash64(*spread_by).bitwiseOR(F.lit(1))
         bucket = F.when(no_key, spread).otherwise(bucket)
     left = left.withColumn("__bucket", bucket)
     right = right.withColumn("__right_bucket", _zero(right_keys))
@@ -70,7 +55,7 @@ def spread_join(
 def _zero(keys: Sequence[str]) -> Column:
     """Always 0, but not a literal: the optimizer would turn an equality with a literal into
     a filter, and the bucket would no longer be a join key."""
-    return F.pmod(F.xxhash64(*keys), F.lit(1))
+    return F.pmod(F.xxhash64(*keys), F.lit(1)).cast("bigint")
 
 
 class JoinSide(NamedTuple):

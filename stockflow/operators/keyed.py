@@ -14,7 +14,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from stockflow.operators.joins import broadcast_within, lookup
+from stockflow.operators.joins import lookup
 
 _RANK = "__rank"
 
@@ -100,14 +100,13 @@ def latest_snapshot(
     keys: Sequence[str] = ("load_date",),
     run: str = "pipeline_run_id",
     ts: str = "load_timestamp",
-    max_runs: int = 50_000,
 ) -> DataFrame:
-    """Rows of the newest run per key of an append-only table.
+    """Rows of the newest run per key of an append-only table, as the table is when they are read.
 
     The winners are one row per key: the newest time per run first (a hash
     aggregate over the rows), then the newest run per key over that small
-    result. While they are few they are broadcast, so the table itself is
-    scanned and filtered without a shuffle.
+    result. Keys and run ids are compared with nulls equal. Adaptive execution
+    broadcasts the winners if it measures them to be small.
     """
     runs = df.groupBy(*keys, run).agg(F.max(ts).alias("__newest"))
     winners = runs.groupBy(*keys).agg(
@@ -115,6 +114,4 @@ def latest_snapshot(
     )
     winners = winners.select(*(F.col(k).alias(f"__{k}") for k in keys), "__run")
     match = [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys]
-    return df.join(
-        broadcast_within(winners, max_runs), [*match, F.col(run) == F.col("__run")], "left_semi"
-    )
+    return df.join(winners, [*match, F.col(run).eqNullSafe(F.col("__run"))], "left_semi")

@@ -34,8 +34,9 @@ def dq_metrics(
     not_null: Sequence[str] = (),
     unique_key: Sequence[str] = (),
     quantities: Sequence[str] = (),
+    overflow: str | None = None,
 ) -> DataFrame:
-    """Metrics in gate order: columns, row count, nulls, key uniqueness, lost quantities.
+    """Metrics in gate order: columns, row count, nulls, key uniqueness, lost quantities, long lines.
 
     A column check reports how many values the column holds; with ``expected``
     it also warns of columns not in the list. ``not_null`` and
@@ -43,6 +44,7 @@ def dq_metrics(
     check's finding.
     """
     present = set(df.columns)
+    columns = [c for c in df.columns if c != overflow]
     values: dict[str, Column] = {}
     rows: list[Column] = []
 
@@ -62,7 +64,7 @@ def dq_metrics(
         return F.col(f"m{len(values)}")
 
     if expected or required:
-        unexpected = df.columns if expected else ()
+        unexpected = columns if expected else ()
         for column in dict.fromkeys((*expected, *required, *unexpected)):
             if column in present:
                 status = PASS if column in expected or column in required else WARN
@@ -87,6 +89,9 @@ def dq_metrics(
         if column in present:
             status = F.when(this() > 0, WARN).otherwise(PASS)
             metric("lost_quantity", column, F.count_if(lost_in_parse(F.col(column))), status)
+    if overflow in present:
+        status = F.when(this() > 0, FAIL).otherwise(PASS)
+        metric("malformed", None, F.count_if(F.col(overflow).isNotNull()), status)
 
     one = df.agg(*(v.alias(n) for n, v in values.items()))
     return one.select(F.inline(F.array(*rows)))
@@ -105,13 +110,16 @@ def enforce(metrics: DataFrame, layer: str = "") -> None:
 
 
 def match_rate(df: DataFrame, col: str, threshold: float = 0.8) -> DataFrame:
-    """Share of rows whose ``col`` was found, as one row with the gate's verdict."""
+    """Share of rows whose ``col`` was found, as one row with the gate's verdict.
+
+    Without rows the rate is null and the gate fails.
+    """
     one = df.agg(
         F.count(F.lit(1)).alias("n_rows"),
         F.count(F.col(col)).alias("n_matched"),
     )
     rate = F.when(F.col("n_rows") > 0, F.col("n_matched") / F.col("n_rows"))
-    status = F.when(rate < threshold, FAIL).otherwise(PASS)
+    status = F.when(rate >= threshold, PASS).otherwise(FAIL)
     return one.select("*", F.round(rate, 6).alias("match_rate"), status.alias("status"))
 
 

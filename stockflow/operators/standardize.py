@@ -4,7 +4,7 @@ rename, text, strip, quantities, zero fill, source-specific step, de-duplication
 from __future__ import annotations
 
 import logging
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -14,7 +14,7 @@ from stockflow.config import RunContext, SourceConfig
 from stockflow.functions.numbers import to_quantity
 from stockflow.functions.text import strip_ws
 from stockflow.operators.keyed import Split, last_by, repeats
-from stockflow.sources.files import ORDINAL, ROW_ID
+from stockflow.sources.files import ORDINAL, ROW_ID, TECHNICAL
 
 log = logging.getLogger(__name__)
 
@@ -41,7 +41,7 @@ def strip_text(df: DataFrame) -> DataFrame:
     text = [
         f.name
         for f in df.schema
-        if isinstance(f.dataType, T.StringType) and f.name not in ORDINAL
+        if isinstance(f.dataType, T.StringType) and f.name not in TECHNICAL
     ]
     return df.withColumns({c: strip_ws(F.col(c)) for c in text})
 
@@ -60,7 +60,7 @@ def split_embedded_headers(df: DataFrame, key: str, literals: Sequence[str]) ->
     )
 
 
-def clean(df: DataFrame, cfg: SourceConfig) -> Split:
+def clean(df: DataFrame, cfg: SourceConfig, row_id: str = ROW_ID) -> Split:
     """All row-wise steps, up to but not including de-duplication."""
     df = rename_columns(df, cfg.renames)
     df = force_text(df, cfg.text_columns)
@@ -70,10 +70,25 @@ def clean(df: DataFrame, cfg: SourceConfig) -> Split:
     if cfg.header_key:
         df, rejected = split_embedded_headers(df, cfg.header_key, cfg.header_literals)
     if cfg.custom:
-        df = cfg.custom(df)
+        df, dropped = custom_step(df, cfg.custom, row_id)
+        rejected = rejected.unionByName(dropped, allowMissingColumns=True)
     return Split(df, rejected)
 
 
+def custom_step(
+    df: DataFrame, custom: Callable[[DataFrame], DataFrame | Split], row_id: str
+) -> Split:
+    """Run a source's own step. What it drops is rejected as CUSTOM_STEP, found by ``row_id``,
+    unless the step returns a ``Split`` and names its rejects itself."""
+    result = custom(df)
+    if isinstance(result, Split):
+        return result
+    if row_id not in df.columns:
+        return Split(result, df.where(F.lit(False)).withColumn("reason", F.lit("")))
+    dropped = df.join(result.select(row_id), row_id, "left_anti")
+    return Split(result, dropped.withColumn("reason", F.lit("CUSTOM_STEP")))
+
+
 def standardize(
     df: DataFrame,
     cfg: SourceConfig,
@@ -86,7 +101,7 @@ def standardize(
     ``read_source`` and stay on the result until it is written. A source-specific
     step must keep ``row_id`` unique.
     """
-    cleaned, headers = clean(df, cfg)
+    cleaned, headers = clean(df, cfg, row_id)
     kept = deduplicate(cleaned, cfg, order)
     return Split(kept, rejects(cleaned, headers, kept, cfg, row_id))
 

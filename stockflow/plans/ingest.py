@@ -10,7 +10,7 @@ from stockflow.config import RunContext, SourceConfig
 from stockflow.operators.quality import dq_metrics, enforce
 from stockflow.operators.standardize import clean, deduplicate, rejects, with_audit
 from stockflow.session import materialized
-from stockflow.sources.files import ORDINAL, check_freshness, read_source
+from stockflow.sources.files import ORDINAL, OVERFLOW, TECHNICAL, check_freshness, read_source
 from stockflow.sources.operations import RunResult, logged_run, register_source
 from stockflow.sources.tables import append_table, ensure_schemas, run_rows, verify_write
 
@@ -28,13 +28,14 @@ def raw_metrics(df: DataFrame, cfg: SourceConfig) -> DataFrame:
         max_rows=cfg.max_rows,
         not_null=cfg.required_columns,
         quantities=cfg.raw_quantities,
+        overflow=OVERFLOW,
     )
 
 
 def staged_metrics(df: DataFrame, cfg: SourceConfig) -> DataFrame:
     """Gate of the staged layer, with required columns under their staged names."""
     return dq_metrics(
-        df.drop(*ORDINAL),
+        df.drop(*TECHNICAL),
         required=cfg.staged_required,
         min_rows=cfg.min_rows,
         max_rows=cfg.max_rows,
@@ -44,7 +45,7 @@ def staged_metrics(df: DataFrame, cfg: SourceConfig) -> DataFrame:
 
 
 def _append(df: DataFrame, table: str, cfg: SourceConfig, ctx: RunContext) -> None:
-    append_table(with_audit(df.drop(*ORDINAL), ctx), table, table_format=cfg.table_format)
+    append_table(with_audit(df.drop(*TECHNICAL), ctx), table, table_format=cfg.table_format)
 
 
 def log_rejects(spark: SparkSession, cfg: SourceConfig, ctx: RunContext) -> None:

@@ -7,12 +7,18 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from stockflow.config import DEFAULT_COMPANIES, RunContext
-from stockflow.operators.quality import enforce_match_rate, match_rate
+from stockflow.operators.quality import dq_metrics, enforce, enforce_match_rate, match_rate
 from stockflow.operators.standardize import with_audit
 from stockflow.plans.supply import crosswalk, crosswalk_join, split_resolved, upload_rows
 from stockflow.session import materialized
 from stockflow.sources.operations import RunResult, logged_run
-from stockflow.sources.tables import append_table, ensure_schemas, verify_write, write_upload
+from stockflow.sources.tables import (
+    append_table,
+    ensure_schemas,
+    new_folder,
+    verify_write,
+    write_upload,
+)
 
 
 @dataclass(frozen=True)
@@ -26,6 +32,7 @@ class PublishConfig:
     companies: tuple[str, ...] = DEFAULT_COMPANIES
     rank_by: str = "cross_reference"
     match_threshold: float = 0.8
+    min_rows: int = 1
     quantity: str = "ordered"
     fifth: tuple[str, object] | None = None
     table_format: str = "parquet"
@@ -57,12 +64,14 @@ def publish_upload(
         append_table(with_audit(df, ctx), table, table_format=cfg.table_format)
 
     with logged_run(spark, result):
+        new_folder(spark, path)
         xwalk = crosswalk(buylist, cfg.companies, cfg.rank_by)
         with materialized(crosswalk_join(inventory, xwalk), "resolved") as joined:
             matched, unmatched = split_resolved(joined)
             append(joined, cfg.core_table)
             result.rows_core = verify_write(spark, cfg.core_table, ctx, joined.count())
             append(unmatched, cfg.quarantine_table)
+            enforce(dq_metrics(joined, min_rows=cfg.min_rows), "core")
             enforce_match_rate(match_rate(joined, "CATN32", cfg.match_threshold))
             with materialized(
                 upload_rows(matched, transit, cfg.quantity, cfg.fifth), "upload"

@@ -169,9 +169,28 @@ def resolve_sku(inventory: DataFrame, xwalk: DataFrame) -> Resolved:
     return split_resolved(crosswalk_join(inventory, xwalk))
 
 
+def quarantine_reason() -> Column:
+    """Why a row of ``crosswalk_join`` cannot be published, or null.
+
+    The key rule skips a null part, so that a row without a location may meet a
+    crosswalk entry without a customer; such a row has no ship-to and is not used.
+    """
+    return (
+        F.when(F.col("location").isNull(), "NO_LOCATION")
+        .when(F.col("item").isNull(), "NO_ITEM")
+        .when(F.col("CATN32").isNull(), "NO_SKU_MATCH")
+    )
+
+
 def split_resolved(joined: DataFrame) -> Resolved:
-    unmatched = joined.where(F.col("CATN32").isNull()).withColumn("reason", F.lit("NO_SKU_MATCH"))
-    return Resolved(joined.where(F.col("CATN32").isNotNull()), unmatched)
+    """Usable rows, and all others with their reason."""
+    reason = quarantine_reason()
+    unmatched = joined.withColumn("reason", reason).where(F.col("reason").isNotNull())
+    return Resolved(joined.where(reason.isNull()), unmatched)
+
+
+def quarantine_by_reason(unmatched: DataFrame) -> DataFrame:
+    return unmatched.groupBy("reason").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
 def unmatched_report(unmatched: DataFrame) -> DataFrame:

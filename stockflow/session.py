@@ -34,9 +34,18 @@ def cluster_settings(input_bytes: int) -> dict[str, str]:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """Folder every executor can reach: the cluster's checkpoint folder, else the warehouse."""
+    """Folder every executor can reach: ``spark.checkpoint.dir``, which has to be set.
+
+    A folder of the driver's machine is accepted only where executors run there.
+    """
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    return folder or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoint"
+    if not folder:
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors can reach")
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    scheme = path.getFileSystem(spark._jsc.hadoopConfiguration()).getScheme()
+    if scheme == "file" and not spark.sparkContext.master.startswith("local"):
+        raise ValueError(f"spark.checkpoint.dir {folder} is a folder of one machine")
+    return folder.rstrip("/")
 
 
 @contextmanager
@@ -48,8 +57,8 @@ def materialized(df: DataFrame, name: str) -> Iterator[DataFrame]:
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/stockflow/{uuid.uuid4()}/{name}"
-    df.write.parquet(path)
     try:
+        df.write.parquet(path)
         yield spark.read.schema(df.schema).parquet(path)
     finally:
         target = spark._jvm.org.apache.hadoop.fs.Path(path)

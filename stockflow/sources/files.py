@@ -19,6 +19,9 @@ log = logging.getLogger(__name__)
 # Position of a row: file, offset of its split in the file, running number.
 ORDINAL = ("_src_file", "_src_block", "_src_row")
 ROW_ID = "_src_row"
+# What a line holds beyond the header's columns.
+OVERFLOW = "_src_overflow"
+TECHNICAL = (*ORDINAL, OVERFLOW)
 
 _DELIMITED = ("csv", "txt", "tab")
 
@@ -46,16 +49,37 @@ def header_names(spark: SparkSession, cfg: SourceConfig) -> list[str]:
     return names
 
 
+def check_headers(spark: SparkSession, cfg: SourceConfig) -> None:
+    """Raise if the files of a source do not all begin with the same line.
+
+    Columns are read by position under the first file's names, so another order
+    in another file would swap values. One aggregate over first blocks.
+    """
+    lines = spark.read.option("encoding", cfg.encoding).text(cfg.src_path)
+    placed = lines.select(
+        "value",
+        F.col("_metadata.file_path").alias("path"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("place"),
+    )
+    first = placed.where("block = 0").groupBy("path").agg(F.min_by("value", "place").alias("header"))
+    different = first.groupBy("header").agg(F.min("path").alias("path")).limit(2).collect()
+    if len(different) > 1:
+        raise ValueError(f"{different[0].path} and {different[1].path} have different headers")
+
+
 def read_source(spark: SparkSession, cfg: SourceConfig) -> DataFrame:
     """One source as text, with sanitised names, nulls for NA tokens and the row ordinal.
 
     No type is inferred, so leading zeros survive. ``multi_line`` allows line
-    breaks inside quotes and makes a file one task; switch it off for large
-    extracts, which are then split.
+    breaks inside quotes and makes a file one task; leave it off for large
+    extracts, which are then split. What a line of a delimited file has beyond
+    the header's columns is kept in ``OVERFLOW`` for the raw gate.
     """
     if cfg.src_format in _DELIMITED:
+        check_headers(spark, cfg)
         names = header_names(spark, cfg)
-        schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
+        schema = T.StructType([T.StructField(n, T.StringType()) for n in (*names, OVERFLOW)])
         df = _reader(spark, cfg).option("header", True).schema(schema).csv(cfg.src_path)
         df = with_row_ordinal(df)
         return df.withColumns({n: nullify(F.col(n), cfg.na_tokens) for n in names})
@@ -81,10 +105,18 @@ def with_row_ordinal(df: DataFrame) -> DataFrame:
 
 
 FRESHNESS_SCHEMA = (
-    "source_name string, src_path string, warn_hours double, fail_hours double, owner string"
+    "source_name string, src_path string, warn_hours double, fail_hours double, owner string, "
+    "qualified string"
 )
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """``path`` as the file system lists it: absolute, with its scheme."""
+    found = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = found.getFileSystem(spark._jsc.hadoopConfiguration())
+    return found.makeQualified(files.getUri(), files.getWorkingDirectory()).toString()
+
+
 def freshness_thresholds(spark: SparkSession, configs: Sequence[SourceConfig]) -> DataFrame:
     """Thresholds of the configured sources as a frame."""
     rows = [
@@ -94,6 +126,7 @@ def freshness_thresholds(spark: SparkSession, configs: Sequence[SourceConfig]) -
             None if c.warn_hours is None else float(c.warn_hours),
             None if c.fail_hours is None else float(c.fail_hours),
             c.owner,
+            qualified(spark, c.src_path),
         )
         for c in configs
     ]
@@ -131,7 +164,8 @@ def freshness(files: DataFrame, thresholds: DataFrame, asof: datetime) -> DataFr
     newest = located.groupBy(
         F.concat_ws("/", F.slice("steps", F.lit(1), F.col("depth"))).alias("at")
     ).agg(F.max("modificationTime").alias("modified"))
-    wanted = thresholds.withColumn("at", F.rtrim(_plain(F.col("src_path")), F.lit("/")))
+    path = F.col("qualified" if "qualified" in thresholds.columns else "src_path")
+    wanted = thresholds.withColumn("at", F.rtrim(_plain(path), F.lit("/")))
     age = (F.lit(asof).cast("double") - F.col("modified").cast("double")) / 3600
     status = (
         F.when(F.col("modified").isNull(), "MISSING")

@@ -42,16 +42,25 @@ def verify_write(spark: SparkSession, table: str, ctx: RunContext, expected: int
     return found
 
 
-# Rows one upload file may hold; more rows give more files.
-ROWS_PER_FILE = 1_000_000
+def new_folder(spark: SparkSession, path: str) -> None:
+    """Raise if ``path`` exists, so that a run that cannot write its file fails before it appends."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target):
+        raise FileExistsError(path)
 
 
-def write_upload(df: DataFrame, path: str, rows_per_file: int = ROWS_PER_FILE) -> None:
+def write_upload(
+    df: DataFrame, path: str, files: int | None = 1, max_records: int | None = None
+) -> None:
     """Write the upload as CSV with a header line.
 
-    Pass a stored frame: it is counted first. An upload of normal size becomes
-    one file; a larger one becomes several, so no task writes more than about
-    ``rows_per_file`` rows.
+    The contract is one file, so one task writes it. ``files`` states another
+    number; None keeps the frame's partitions, so that no rows move.
+    ``max_records`` bounds the rows of a file.
     """
-    files = max(1, -(-df.count() // rows_per_file))
-    df.repartition(files).write.mode("errorifexists").option("header", True).csv(path)
+    if files is not None:
+        df = df.repartition(files) if files > 1 else df.coalesce(1)
+    writer = df.write.mode("errorifexists").option("header", True)
+    if max_records is not None:
+        writer = writer.option("maxRecordsPerFile", max_records)
+    writer.csv(path)

@@ -26,7 +26,7 @@ LINES = [
 def test_register_from_file(spark, tmp_path):
     path = tmp_path / "register.csv"
     path.write_text("\n".join([HEADER, *LINES]) + "\n")
-    register = read_source(spark, SourceConfig("register", "audit", str(path)))
+    register = read_source(spark, SourceConfig("register", "audit", str(path), multi_line=True))
     assert [c for c in register.columns if not c.startswith("_src")] == list(REGISTER_COLUMNS)
     assert register.where("notes LIKE 'two%'").first().notes == 'two\nlines, "quoted"'
 

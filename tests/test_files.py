@@ -8,9 +8,12 @@ import pandas as pd
 import pytest
 
 from stockflow.config import CADENCE_HOURS, NA_TOKENS, SourceConfig
+from stockflow.operators.quality import dq_metrics
 from stockflow.operators.standardize import standardize
 from stockflow.sources.files import (
     ORDINAL,
+    OVERFLOW,
+    TECHNICAL,
     StaleSourceError,
     check_freshness,
     freshness,
@@ -27,7 +30,7 @@ def config(path, **options):
 
 
 def content(df):
-    return [tuple(r) for r in df.orderBy(*ORDINAL).drop(*ORDINAL).collect()]
+    return [tuple(r) for r in df.orderBy(*ORDINAL).drop(*TECHNICAL).collect()]
 
 
 def test_csv_like_a_dataframe_reader(spark, tmp_path):
@@ -39,7 +42,7 @@ def test_csv_like_a_dataframe_reader(spark, tmp_path):
         '"a ""q"" b","line\nbreak",,null,\n'
         ' padded ,"",N/A,0,last\n'
     )
-    df = read_source(spark, config(path))
+    df = read_source(spark, config(path, multi_line=True))
     assert df.columns[:5] == ["item", "on_hand_cs", "on_hand", "on_hand_1", "unnamed_4"]
     assert all(t == "string" for c, t in df.dtypes if c not in ORDINAL)
     want = pd.read_csv(path, dtype=str, index_col=False)
@@ -125,6 +128,34 @@ def test_freshness_of_all_sources_at_once(spark, tmp_path):
     }
 
 
+def test_long_lines_and_other_header_orders(spark, tmp_path):
+    """A value beyond the header's columns is kept apart for the raw gate, not dropped."""
+    path = tmp_path / "long.csv"
+    path.write_text("item,qty\n1,2\n3,4,LOST\n5\n")
+    read = read_source(spark, config(path))
+    assert bag(read, "item", "qty", OVERFLOW) == {("1", "2", None): 1, ("3", "4", "LOST"): 1, ("5", None, None): 1}
+    gate = dq_metrics(read.drop(*ORDINAL), expected=("item", "qty"), overflow=OVERFLOW)
+    assert bag(gate.where("check_name = 'malformed'"), "value", "status") == {(1, "FAIL"): 1}
+    assert gate.count() == 3
+
+    folder = tmp_path / "many"
+    folder.mkdir()
+    (folder / "a.csv").write_text("item,qty\n1,2\n")
+    (folder / "b.csv").write_text("item,qty\n3,4\n")
+    assert read_source(spark, config(folder)).count() == 2
+    (folder / "b.csv").write_text("qty,item\n4,3\n")
+    with pytest.raises(ValueError, match="different headers"):
+        read_source(spark, config(folder))
+
+
+def test_freshness_of_relative_and_qualified_paths(spark, tmp_path):
+    path = aged(tmp_path / "r.csv", 1)
+    check_freshness(spark, config(os.path.relpath(path)), NOW)
+    check_freshness(spark, config(f"file://{path}"), NOW)
+    with pytest.raises(FileNotFoundError):
+        check_freshness(spark, config("missing/r.csv"), NOW)
+
+
 def test_freshness_gate(spark, tmp_path):
     check_freshness(spark, config(aged(tmp_path / "a.csv", 31)), NOW)
     with pytest.raises(StaleSourceError, match="55.0 hours"):

@@ -170,7 +170,7 @@ def test_upload_file(spark, tmp_path):
     write_upload(df, str(tmp_path / "one"))
     files = list((tmp_path / "one").glob("*.csv"))
     assert len(files) == 1 and files[0].read_text().splitlines()[0] == "Product,CompanyCode-Ship,On Hand,In Transit"
-    write_upload(df, str(tmp_path / "many"), rows_per_file=4)
+    write_upload(df, str(tmp_path / "many"), max_records=4)
     assert len(list((tmp_path / "many").glob("*.csv"))) == 3
 
 

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from stockflow.operators.joins import (
     JoinSide,
-    broadcast_within,
     fanout_metrics,
     lookup,
     reconcile,
@@ -132,12 +131,6 @@ def test_rejects_of_a_hot_key_do_not_gather(spark, shuffled_and_small):
     assert sum(sizes) == 60_000 - 1000 and max(sizes) < 20_000
 
 
-def test_broadcast_within_checks_the_size(spark):
-    small = spark.range(5)
-    assert "broadcast" in broadcast_within(small, 5)._jdf.queryExecution().logical().toString().lower()
-    assert broadcast_within(small, 4) is small
-
-
 def test_fanout_counts_equal_the_join(spark):
     l = spark.createDataFrame([(1,), (1,), (2,), (3,), (None,)], "a int")
     r = spark.createDataFrame([(1,), (1,), (1,), (2,), (None,), (9,)], "b int")

@@ -61,8 +61,20 @@ def _snapshot(spark, **options):
 def test_latest_snapshot(spark):
     want = ["new", "new too", "null key", "only", "tie wins"]
     assert _snapshot(spark) == want
-    # Beyond the bound the same rows come from a shuffled join.
-    assert _snapshot(spark, max_runs=1) == want
+
+
+def test_latest_snapshot_is_live(spark):
+    """A frame built before an append returns the run appended later."""
+    schema = "load_date int, pipeline_run_id string, load_timestamp int"
+    spark.createDataFrame([(1, "r1", 1)], schema).write.saveAsTable("live_snapshot")
+    newest = latest_snapshot(spark.table("live_snapshot"))
+    spark.createDataFrame([(1, "r2", 2), (1, None, 0)], schema).write.mode("append").saveAsTable("live_snapshot")
+    again = latest_snapshot(spark.table("live_snapshot"))
+    assert bag(again, "pipeline_run_id") == {("r2",): 1}
+    # No winner is written into the plan when the frame is built.
+    assert "LocalRelation" not in newest._jdf.queryExecution().optimizedPlan().toString()
+    lone = spark.createDataFrame([(1, None, 5), (1, "old", 1)], schema)
+    assert bag(latest_snapshot(lone), "pipeline_run_id") == {(None,): 1}
 
 
 def test_null_key_groups(spark):

@@ -8,6 +8,9 @@ from stockflow.operators.distributor import (
     SheetConfig,
     append_sources,
     normalize_distributor,
+    sheet_inventory,
+    sheet_rows,
+    title_lines,
     unmapped,
 )
 from stockflow.plans import supply, transition
@@ -118,6 +121,23 @@ def test_distributor_sheet(sheet):
     assert bag(unmapped(sheet, SHEET)) == {("DAL", 2): 1, (None, 1): 1}
 
 
+def test_sheet_rejects(spark, sheet):
+    """Every row is kept, rejected with a reason, or counted as a title line."""
+    more = spark.createDataFrame([("ABQ", "F", "1,234"), ("ABQ", None, None), (" ATL", None, "x"), ("DAL", "G", "2,5")], sheet.schema)
+    rows = sheet.union(more)
+    kept, rejected = sheet_rows(rows, SHEET)
+    assert bag(rejected, "column4", "column11", "reason") == {
+        (None, "12", "NO_ITEM"): 1, ("F", "1,234", "BAD_QUANTITY"): 1, (None, None, "BAD_QUANTITY"): 1,
+        (None, "x", "BAD_QUANTITY"): 1, ("G", "2,5", "BAD_QUANTITY"): 1,
+    }
+    assert kept.count() + rejected.count() + title_lines(rows, SHEET).first().n_titles == rows.count()
+    usable, lost = sheet_inventory(rows, SHEET)
+    assert bag(usable, "location", "item", "on_hand_qty") == {("1056497 001", "00A", 3): 1, ("1056527 001", "B", 5): 1}
+    assert bag(lost.where("reason LIKE '%LOCATION'"), "column4", "reason") == {
+        ("C", "UNMAPPED_LOCATION"): 1, ("D", "UNMAPPED_LOCATION"): 1, ("E", "NO_LOCATION"): 1,
+    }
+
+
 def test_append_sources(spark):
     a = spark.createDataFrame([("l", "i", 1, 2, "x")], "location string, item string, on_hand_qty long, in_transit_qty long, extra string")
     b = spark.createDataFrame([("m", "j", 3)], "location string, item string, on_hand_qty long")
@@ -142,8 +162,9 @@ def test_upload_accounts_for_every_row(buylist, inventory):
         ("P1", "123 001", 5, 1.0, 0): 1, ("P1", "123 001", 6, 0.0, 0): 1, ("P5", "123 001", 9, 4.0, 0): 1,
     }
     assert bag(up.quarantine, "location", "item", "reason") == {
-        ("123 001", "123", "NO_SKU_MATCH"): 1, (None, None, "NO_SKU_MATCH"): 1,
+        ("123 001", "123", "NO_SKU_MATCH"): 1, (None, None, "NO_LOCATION"): 1,
     }
+    assert bag(supply.quarantine_by_reason(up.quarantine)) == {("NO_SKU_MATCH", 1): 1, ("NO_LOCATION", 1): 1}
     assert up.rows.count() + up.quarantine.count() == inventory.count()
     rate = one(up.match_rate)
     assert (rate.n_rows, rate.n_matched, rate.status) == (5, 3, "FAIL")

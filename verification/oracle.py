@@ -193,6 +193,11 @@ _TO_STAGED = {
 _SHEET_ROWS = f"SELECT *, {_strip('report_title')} AS place FROM sheet WHERE column4 IS NOT NULL AND ({_number('column11')}) IS NOT NULL"
 _CODE = "CASE place WHEN 'ABQ' THEN '1056497 001' WHEN 'ATL' THEN '1056527 001' WHEN 'SAV' THEN '1056529 001' END"
 _TO_SHEET = {"sheet": _shape(shapes.SHEET), "sheet_rows": _SHEET_ROWS}
+_REASON = f"""CASE WHEN num IS NULL AND NOT (code IS NULL AND (column4 IS NULL OR NOT coalesce(regexp_matches(column11, '[0-9]'), FALSE)))
+    THEN 'BAD_QUANTITY' WHEN num IS NOT NULL AND column4 IS NULL THEN 'NO_ITEM' END"""
+_SHEET_JUDGED = f"""
+SELECT report_title, column4, column11, place, code, num, {_REASON} AS reason FROM (
+  SELECT *, {_CODE} AS code, {_number('column11')} AS num FROM (SELECT *, {_strip('report_title')} AS place FROM sheet))"""
 _NORMAL = f"""
 SELECT column4 AS "Customer Item Reference", {_CODE} AS "Dpl Customer (key)", {_number('column11')} AS "On Hand Loaded"
 FROM sheet_rows"""
@@ -209,7 +214,10 @@ _TO_UPLOAD = {**_TO_XWALK, **_TO_DOMAIN, "joined": _JOINED}
 _UPLOAD = """
 SELECT CATN32 AS Product, location AS "CompanyCode-Ship", on_hand_qty AS "On Hand",
   {amount} AS "In Transit"
-FROM joined {more} WHERE CATN32 IS NOT NULL"""
+FROM joined {more} WHERE CATN32 IS NOT NULL AND location IS NOT NULL AND item IS NOT NULL"""
+_QUARANTINE = """
+SELECT *, CASE WHEN location IS NULL THEN 'NO_LOCATION' WHEN item IS NULL THEN 'NO_ITEM' ELSE 'NO_SKU_MATCH' END AS reason
+FROM joined WHERE CATN32 IS NULL OR location IS NULL OR item IS NULL"""
 
 _NORM = "ltrim(upper(" + _strip("{0}") + "), '0')"
 
@@ -403,7 +411,16 @@ ORACLE: dict[str, str] = {
           ON joined.location || joined.CSRF32 = t.Key""",
     ),
     "upload_quarantine": _with(**_TO_UPLOAD)
-    + "SELECT *, 'NO_SKU_MATCH' AS reason FROM joined WHERE CATN32 IS NULL",
+    + _QUARANTINE,
+    "quarantine_by_reason": _with(**_TO_UPLOAD, quarantine=_QUARANTINE)
+    + "SELECT reason, count(*) AS n_rows FROM quarantine GROUP BY reason",
+    "sheet_rejects": _with(sheet=_shape(shapes.SHEET), judged=_SHEET_JUDGED)
+    + "SELECT report_title, column4, column11, reason FROM judged WHERE reason IS NOT NULL",
+    "sheet_quarantine": _with(sheet=_shape(shapes.SHEET), judged=_SHEET_JUDGED) + """
+        SELECT reason, count(*) AS n_rows FROM (
+          SELECT coalesce(reason, CASE WHEN num IS NOT NULL AND code IS NULL THEN
+            CASE WHEN place IS NULL THEN 'NO_LOCATION' ELSE 'UNMAPPED_LOCATION' END END) AS reason FROM judged)
+        WHERE reason IS NOT NULL GROUP BY reason""",
     "buylist_orders_join": _with(**_TO_BUYLIST, **_TO_ORDERS) + """
         SELECT b.BuyListDetailKey, b.BuyListCode, b.BuylistItemStatus, o.OrdersBaseKey AS Order_OrdersBaseKey,
           o.OrderNumber AS Order_OrderNumber, o.LineNumber AS Order_LineNumber, o.OrderQty AS Order_OrderQty

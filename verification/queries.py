@@ -14,6 +14,8 @@ from stockflow.operators.distributor import (
     SheetConfig,
     append_sources,
     normalize_distributor,
+    sheet_inventory,
+    sheet_rows,
     unmapped,
 )
 from stockflow.operators.joins import JoinSide, fanout_metrics, reconcile
@@ -225,7 +227,7 @@ def crosswalk_match_rate(spark, sf_dir):
 
 
 def _unmatched(spark, sf_dir):
-    return supply.resolve_sku(_inventory(spark, sf_dir), _crosswalk(spark, sf_dir)).unmatched
+    return supply.resolve_sku(_inventory(spark, sf_dir), _crosswalk(spark, sf_dir)).unmatched.where("CATN32 IS NULL")
 
 
 def crosswalk_unmatched(spark, sf_dir):
@@ -247,6 +249,15 @@ def distributor_normalize(spark, sf_dir):
     return normalize_distributor(shaped(spark, sf_dir, shapes.SHEET), SHEET)
 
 
+def sheet_rejects(spark, sf_dir):
+    return sheet_rows(shaped(spark, sf_dir, shapes.SHEET), SHEET).rejected
+
+
+def sheet_quarantine(spark, sf_dir):
+    rejected = sheet_inventory(shaped(spark, sf_dir, shapes.SHEET), SHEET).rejected
+    return supply.quarantine_by_reason(rejected)
+
+
 def unmapped_locations(spark, sf_dir):
     return unmapped(shaped(spark, sf_dir, shapes.SHEET), SHEET)
 
@@ -284,6 +295,10 @@ def upload_quarantine(spark, sf_dir):
     return _upload(spark, sf_dir).quarantine
 
 
+def quarantine_by_reason(spark, sf_dir):
+    return supply.quarantine_by_reason(upload_quarantine(spark, sf_dir))
+
+
 def buylist_orders_join(spark, sf_dir):
     joined = erp.join_buylist_orders(_buylist(spark, sf_dir), _orders(spark, sf_dir))
     return joined.select(
@@ -371,6 +386,9 @@ QUERIES: dict[str, Query] = {
     "near_miss_keys": near_miss_keys,
     "in_transit": in_transit,
     "distributor_normalize": distributor_normalize,
+    "sheet_rejects": sheet_rejects,
+    "sheet_quarantine": sheet_quarantine,
+    "quarantine_by_reason": quarantine_by_reason,
     "unmapped_locations": unmapped_locations,
     "append_sources": _domain_sources,
     "upload_rows": upload_rows,
