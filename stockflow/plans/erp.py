@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 from stockflow.config import CHARGE_SKUS, EXCLUDED_HEADER_STATUSES
 from stockflow.functions.text import middle_segment, sql_concat
 from stockflow.operators.joins import lookup, spread_join
-from stockflow.operators.keyed import latest_by, null_key_groups
+from stockflow.operators.keyed import all_present, latest_by, null_key_groups
 
 Tables = Mapping[str, DataFrame]
 
@@ -210,9 +211,9 @@ def order_headers(header: DataFrame) -> DataFrame:
     )
 
 
-def _header_side(t: Tables) -> DataFrame:
+def _header_side(t: Tables, detail: bool = True) -> DataFrame:
     """Header with ship-to site, account and party: one row per header, or more when a
-    header has several ship-to addresses or accounts."""
+    header has several ship-to addresses or accounts. The party is ``detail``."""
     headers = order_headers(t["header"]).select(
         F.col("HEADERID").alias("_header"),
         F.col("HEADERCUSTOMERPONUMBER").alias("PONumber"),
@@ -243,11 +244,13 @@ def _header_side(t: Tables) -> DataFrame:
     addresses = lookup(ship_to, sites, [("_site", "_site_id")], spread_by=["_address_header"])
     rows = lookup(headers, addresses, [("_header", "_address_header")])
     rows = lookup(rows, accounts, [("CustomerID", "_account_party")], spread_by=["_header"])
+    if not detail:
+        return rows
     return lookup(rows, parties, [("CustomerID", "_party")], spread_by=["_header"])
 
 
-def _fulfill_side(t: Tables) -> DataFrame:
-    """Newest fulfil line with its organisation, allocation and stockroom."""
+def _fulfill_side(t: Tables, detail: bool = True) -> DataFrame:
+    """Newest fulfil line, and as ``detail`` its organisation, allocation and stockroom."""
     lines = latest_fulfill_lines(t["fulfill_line"]).select(
         F.col("FULFILLLINEID").alias("_fulfill"),
         F.col("FULFILLLINELINEID").alias("_fulfill_line"),
@@ -257,6 +260,8 @@ def _fulfill_side(t: Tables) -> DataFrame:
         F.col("FULFILLLINESUBINVENTORY").alias("LineSubInventory"),
         F.col("FULFILLLINESHIPPEDQTY").alias("FulfillLineShippedQTY"),
     )
+    if not detail:
+        return lines
     orgs = t["org"].select(
         F.col("ORGANIZATIONID").alias("_org"),
         F.substring("ATTRIBUTE1", 1, 2).alias("Company"),
@@ -291,8 +296,52 @@ def orders_base(t: Tables) -> DataFrame:
     carry null keys into them. Duplicate addresses, accounts or allocations
     multiply rows as in any left join; ``fanout_metrics`` measures that.
     """
+    rows = _join_sides(t, _lines(t), detail=True)
+    key = sql_concat(*(F.col(orders) for _, orders in SHARED_KEY))
+    return rows.withColumns(
+        {"AccountNumber": F.col("CustomerNumber"), "OrdersBaseKey": key}
+    ).select(*ORDERS_BASE_COLUMNS)
+
+
+# What orders in transit are made of.
+TRANSIT_COLUMNS = (
+    "CustomerNumber", "DeliveryAddressCode", "OrderNumber", "OrderQty", "FulfillLineShippedQTY",
+    "SKU", "RequestedShipDate", "LineStatusCode", "HeaderTypeCode",
+)
+
+
+def orders_requested(t: Tables, first: date, last: date) -> DataFrame:
+    """``TRANSIT_COLUMNS`` of order lines requested from ``first`` to ``last``, as a set.
+
+    Lines come first: headers, addresses and fulfil lines are cut to those of the
+    qualifying lines before anything is looked up, so a window of a few days does
+    not move the whole history. Lookups that bring none of the columns are left
+    out; they could only repeat rows. Of the fulfil lines all rows of a wanted key
+    stay, so that the newest is the same as over the whole table.
+    """
+    lines = _lines(t).where(F.col("RequestedShipDate").between(F.lit(first), F.lit(last)))
+    ids = lines.select(F.col("_line_header").alias("_wanted"))
+    fulfill = t["fulfill_line"]
+    of_lines = fulfill.join(
+        lines.select(F.col("_line").alias("_wanted")),
+        F.col("FULFILLLINELINEID") == F.col("_wanted"),
+        "left_semi",
+    )
+    keys = of_lines.select(*(F.col(k).alias(f"_w{i}") for i, k in enumerate(FULFILL_KEY))).distinct()
+    same = [F.col(k).eqNullSafe(F.col(f"_w{i}")) for i, k in enumerate(FULFILL_KEY)]
+    cut = dict(t) | {
+        "header": t["header"].join(ids, F.col("HEADERID") == F.col("_wanted"), "left_semi"),
+        "address": t["address"].join(
+            ids, F.col("ORDERADDRESSHEADERID") == F.col("_wanted"), "left_semi"
+        ),
+        "fulfill_line": fulfill.join(keys, same, "left_semi"),
+    }
+    return _join_sides(cut, lines, detail=False).select(*TRANSIT_COLUMNS).distinct()
+
+
+def _lines(t: Tables) -> DataFrame:
     own_number = F.col("LINESOURCEORDERSYSTEM") == SOURCE_SYSTEM_WITH_OWN_LINES
-    lines = t["line"].select(
+    return t["line"].select(
         F.col("LINEID").alias("_line"),
         F.col("LINEHEADERID").alias("_line_header"),
         F.col("LINEINVENTORYITEMID").alias("SKUID"),
@@ -308,17 +357,21 @@ def orders_base(t: Tables) -> DataFrame:
         F.col("LINEORDEREDQTY").alias("OrderQty"),
         F.col("LINEORDEREDUOM").alias("LineUOM"),
     )
+
+
+def _join_sides(t: Tables, lines: DataFrame, detail: bool) -> DataFrame:
+    """Lines with header, item and fulfil side."""
     items = t["item"].where(F.col("ITEMTRANSLATIONPEOLANGUAGE") == "US").select(
         F.col("ITEMBASEPEOINVENTORYITEMID").alias("_item"),
         F.col("ITEMBASEPEOINVENTORYORGANIZATIONID").alias("_item_org"),
         F.col("ITEMBASEPEOITEMNUMBER").alias("SKU"),
         F.col("ITEMTRANSLATIONPEODESCRIPTION").alias("SKUDesc"),
     )
-    rows = spread_join(lines, _header_side(t), [("_line_header", "_header")], "inner")
+    rows = spread_join(lines, _header_side(t, detail), [("_line_header", "_header")], "inner")
     rows = lookup(rows, items, [("SKUID", "_item"), ("_inventory_org", "_item_org")], ["_line"])
-    rows = lookup(
+    return lookup(
         rows,
-        _fulfill_side(t),
+        _fulfill_side(t, detail),
         [
             ("_line", "_fulfill_line"),
             ("_line_header", "_fulfill_header"),
@@ -326,10 +379,6 @@ def orders_base(t: Tables) -> DataFrame:
         ],
         spread_by=["_line"],
     )
-    key = sql_concat(*(F.col(orders) for _, orders in SHARED_KEY))
-    return rows.withColumns(
-        {"AccountNumber": F.col("CustomerNumber"), "OrdersBaseKey": key}
-    ).select(*ORDERS_BASE_COLUMNS)
 
 
 def create_buylist_view(spark: SparkSession, schema: str = "scut") -> None:
@@ -354,16 +403,26 @@ def open_orders(orders: DataFrame, charge_skus=CHARGE_SKUS) -> DataFrame:
 
 
 def join_buylist_orders(
-    buylist: DataFrame, orders: DataFrame, how: str = "inner", by: str = "parts"
+    buylist: DataFrame,
+    orders: DataFrame,
+    how: str = "inner",
+    by: str = "parts",
+    match_blank: bool = True,
 ) -> DataFrame:
     """Buying-list rows with their orders; order columns get the prefix ``Order_``.
 
     ``by="parts"`` compares the five key parts, null equal to empty as in the
     computed key. ``by="key"`` compares the computed keys; they have no
-    delimiter, so '1'+'23' also meets '12'+'3'.
+    delimiter, so '1'+'23' also meets '12'+'3'. With ``match_blank`` off a null
+    part matches nothing, as in a plain equi-join: rows of an unknown customer
+    do not meet each other, orders with a null part are left out before the
+    join, and no blank key gathers rows.
     """
     orders = orders.select(*(F.col(c).alias(f"Order_{c}") for c in orders.columns))
-    if by == "key":
+    if not match_blank:
+        orders = all_present(orders, [f"Order_{o}" for _, o in SHARED_KEY])
+        match = [F.col(b) == F.col(f"Order_{o}") for b, o in SHARED_KEY]
+    elif by == "key":
         match = [F.col("BuyListDetailKey") == F.col("Order_OrdersBaseKey")]
     else:
         blank = F.lit("")

@@ -428,6 +428,11 @@ ORACLE: dict[str, str] = {
           AND coalesce(b.Customer, '') = coalesce(o.CustomerNumber, '') AND coalesce(b.Company, '') = coalesce(o.Company, '')
           AND coalesce(b.CustomerDeliveryAddressCode, '') = coalesce(o.DeliveryAddressCode, '')
           AND coalesce(b.ShipPoint1, '') = coalesce(o.OrganizationCode, '')""",
+    "buylist_orders_join_strict": _with(**_TO_BUYLIST, **_TO_ORDERS) + """
+        SELECT b.BuyListDetailKey, b.BuyListCode, o.OrderNumber AS Order_OrderNumber, o.LineNumber AS Order_LineNumber
+        FROM buylist b JOIN orders_base o ON b.ItemCode = o.SKU AND b.Customer = o.CustomerNumber
+          AND b.Company = o.Company AND b.CustomerDeliveryAddressCode = o.DeliveryAddressCode
+          AND b.ShipPoint1 = o.OrganizationCode""",
     "transition_gap": _with(**_TO_BUYLIST) + """
         SELECT DISTINCT Company, BuyListCode, ItemCode, TransitionSKU FROM buylist b
         WHERE TransitionSKU IS NOT NULL AND NOT EXISTS (SELECT 1 FROM buylist o

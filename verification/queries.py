@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import date, datetime, timezone
+from datetime import date, datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -240,9 +240,9 @@ def near_miss_keys(spark, sf_dir):
 
 
 def in_transit(spark, sf_dir):
-    return supply.in_transit(
-        _orders(spark, sf_dir), _crosswalk(spark, sf_dir), ASOF, days=WINDOW_DAYS
-    )
+    first = ASOF - timedelta(days=WINDOW_DAYS)
+    orders = erp.orders_requested(shapes.order_tables(spark, sf_dir), first, ASOF)
+    return supply.in_transit(orders, _crosswalk(spark, sf_dir), ASOF, days=WINDOW_DAYS)
 
 
 def distributor_normalize(spark, sf_dir):
@@ -307,6 +307,13 @@ def buylist_orders_join(spark, sf_dir):
     )
 
 
+def buylist_orders_join_strict(spark, sf_dir):
+    joined = erp.join_buylist_orders(
+        _buylist(spark, sf_dir), _orders(spark, sf_dir), match_blank=False
+    )
+    return joined.select("BuyListDetailKey", "BuyListCode", "Order_OrderNumber", "Order_LineNumber")
+
+
 def transition_gap(spark, sf_dir):
     return transition.transition_gap(_buylist(spark, sf_dir))
 
@@ -395,6 +402,7 @@ QUERIES: dict[str, Query] = {
     "upload_rows_in_transit": upload_rows_in_transit,
     "upload_quarantine": upload_quarantine,
     "buylist_orders_join": buylist_orders_join,
+    "buylist_orders_join_strict": buylist_orders_join_strict,
     "transition_gap": transition_gap,
     "transition_items": transition_items,
     "transition_open_orders": transition_open_orders,
