@@ -30,7 +30,7 @@ from stockflow.llm.storage import stored
 CAPACITY = 2048
 END = 0
 GROUP = 32_768
-WORDS_KEPT = 400_000
+WORDS_KEPT = 1_000_000
 _LETTERS_THEN_MARKS = re.compile(r"([^\W\d_]+)([^\w\s]+)")
 PIECES = "doc_id long, row long, piece int, start long, length long, ids_crc32 long"
 
@@ -52,7 +52,7 @@ class Encoder:
 
     def _encode(self, words: set[str]) -> None:
         new = [w for w in words if w not in self.known]
-        for word, found in zip(new, self.tokenizer.encode_batch(new, add_special_tokens=False), strict=True):
+        for word, found in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
             self.known[word] = np.array(found.ids, "<u4").tobytes()
 
     def learn(self, words: set[str]) -> None:
