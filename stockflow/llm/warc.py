@@ -12,6 +12,7 @@ the record is not wanted or payloads are not asked for.
 
 from __future__ import annotations
 
+import gzip
 import hashlib
 import io
 import json
@@ -82,7 +83,7 @@ def records(pages: DataFrame, least: int = LEAST_SHARED) -> DataFrame:
 
 def write(pages: DataFrame, path: str, least: int = LEAST_SHARED) -> None:
     """Write ``pages`` as WARC files to the folder ``path``."""
-    records(pages, least).write.option("lineSep", _END + _END).option("encoding", "UTF-8").text(path)
+    records(pages, least).write.option("lineSep", _END + _END).option("compression", "gzip").text(path)
 
 
 class _File(InputPartition):
@@ -94,11 +95,12 @@ def _open(path: str):
     """A binary stream; paths without a scheme and of scheme ``file`` are local, others go through Arrow."""
     parts = urlsplit(path)
     if parts.scheme in ("", "file"):
-        return open(parts.path, "rb")
+        return gzip.open(parts.path) if parts.path.endswith(".gz") else open(parts.path, "rb")
     from pyarrow import fs
 
     system, place = fs.FileSystem.from_uri(path)
-    return io.BufferedReader(system.open_input_file(place))
+    stream = io.BufferedReader(system.open_input_file(place))
+    return gzip.open(stream) if place.endswith(".gz") else stream
 
 
 class _Reader(DataSourceReader):
