@@ -16,39 +16,51 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
-def _kept(docs: DataFrame, verdicts: DataFrame) -> DataFrame:
-    """Rows of ``docs`` whose id is among ``verdicts``; a row without id cannot be told from others and stays."""
-    ids = verdicts.select("doc_id").filter("doc_id is not null").distinct()
-    with_id = docs.select(COLUMNS).filter("doc_id is not null").join(ids.hint("merge"), "doc_id", "left_semi")
-    return with_id.select(COLUMNS).union(docs.select(COLUMNS).filter("doc_id is null"))
+def _rows(docs: DataFrame) -> DataFrame:
+    """``docs`` with ``row``: a number of each row's own in the order of ids, null where the id is.
+
+    Ids that do not repeat are such numbers themselves; otherwise rows are sorted, numbered and stored.
+    """
+    docs = docs.select(COLUMNS)
+    again = docs.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1")
+    if again.isEmpty():
+        return docs.withColumn("row", F.col("doc_id"))
+    placed = docs.withColumn("at", F.monotonically_increasing_id()).orderBy("doc_id", "at").drop("at")
+    return stored(placed.withColumn("row", F.when(F.col("doc_id").isNotNull(), F.monotonically_increasing_id())), "rows")
 
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the chain does not call toxic; trained on the labelled documents of the same tables."""
+    """Rows that the chain does not call toxic; trained on the labelled documents of the same tables."""
     ship(spark)
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    return _kept(docs, toxicity.toxic(docs, docs, labels).filter("not toxic"))
+    return toxicity.toxic(docs, docs, labels, carry=tuple(COLUMNS[1:])).filter("not toxic").select(COLUMNS)
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the cascade keeps."""
+    """Rows that the cascade keeps."""
     ship(spark)
-    return _kept(docs, cascade.quality(docs).filter("kept"))
+    return cascade.quality(docs, carry=tuple(COLUMNS[1:])).filter("kept").select(COLUMNS)
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The first document of each group of near copies: five words, similarity 0.8."""
+    """The first row of each group of near copies (five words, similarity 0.8), and all rows without an id."""
     ship(spark)
-    return _kept(docs, minhash.near_duplicates(docs, width=5, percent=80).filter("kept"))
+    rows = _rows(docs)
+    verdicts = minhash.near_duplicates(rows.select(F.col("row").alias("doc_id"), "text"), width=5, percent=80)
+    kept = verdicts.filter("kept and doc_id is not null").select(F.col("doc_id").alias("row"))
+    with_id = rows.filter("row is not null").join(kept.hint("merge"), "row", "left_semi")
+    return with_id.select(COLUMNS).union(rows.filter("row is null").select(COLUMNS))
 
 
 def passage_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without bytes of 100-byte strings that start earlier; n_chars is of what is left."""
+    """All rows, without bytes of 100-byte strings that start earlier; n_chars is of what is left.
+
+    A row without an id has no place in the order and keeps its text.
+    """
     ship(spark)
-    rest = suffix.dedup_texts(docs, length=100)
-    others = docs.select("doc_id", "lang", "source")
-    joined = rest.join(others.hint("merge"), "doc_id")
-    return joined.withColumn("n_chars", F.char_length("text").cast("long")).select(COLUMNS)
+    rows = _rows(docs).select(F.col("row").alias("doc_id"), "text", F.col("doc_id").alias("id"), "lang", "source")
+    rest = suffix.dedup_texts(rows, length=100, carry=("id", "lang", "source"))
+    return rest.withColumn("doc_id", F.col("id")).withColumn("n_chars", F.char_length("text").cast("long")).select(COLUMNS)
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

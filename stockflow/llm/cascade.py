@@ -18,6 +18,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from stockflow.llm.textarrays import IS_SPACE, SAME, as_bytes, span_hashes, window_hashes, word_bounds
 
@@ -150,13 +151,17 @@ COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 SCHEMA = ", ".join(["doc_id long", *(f"{c} long" for c in COUNTS), "base_failed boolean", "kept boolean"])
 
 
-def quality(docs: DataFrame, rules: tuple[Rule, ...] = RULES, sample: int = SAMPLE) -> DataFrame:
-    """Per row of ``docs``: doc_id, the base counts, base_failed, kept.
+def quality(
+    docs: DataFrame, rules: tuple[Rule, ...] = RULES, sample: int = SAMPLE, carry: tuple[str, ...] = ()
+) -> DataFrame:
+    """Per row of ``docs``: doc_id, the base counts, base_failed, kept, and ``carry``.
 
     A null text has no words and fails the base rules, like any text of under 50
     words. Rows are judged one by one: repeated rows and null ids are returned
-    as they come, other columns are ignored, an empty table gives no row.
+    as they come, columns named in ``carry`` come along, others are ignored, an
+    empty table gives no row.
     """
+    given = docs.select("doc_id", F.col("text").alias("judged"), *carry)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cascade = Cascade(rules, sample)
@@ -172,8 +177,10 @@ def quality(docs: DataFrame, rules: tuple[Rule, ...] = RULES, sample: int = SAMP
                     batch.column(0),
                     *(pa.array(c, pa.int64()) for c in columns[: len(COUNTS)]),
                     *(pa.array(c, pa.bool_()) for c in columns[len(COUNTS) :]),
+                    *batch.columns[2:],
                 ],
-                ["doc_id", *COUNTS, "base_failed", "kept"],
+                ["doc_id", *COUNTS, "base_failed", "kept", *carry],
             )
 
-    return docs.select("doc_id", "text").mapInArrow(run, SCHEMA)
+    columns = [f"{f.name} {f.dataType.simpleString()}" for f in given.schema.fields[2:]]
+    return given.mapInArrow(run, ", ".join([SCHEMA, *columns]))

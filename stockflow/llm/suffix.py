@@ -401,12 +401,14 @@ def dedup_report(docs: DataFrame, length: int = LENGTH, limit: int = LIMIT) -> D
     return with_spans(docs, length, limit).select("doc_id", "text", "spans").mapInArrow(run, schema)
 
 
-def with_spans(docs: DataFrame, length: int, limit: int) -> DataFrame:
-    """doc_id, text and spans to remove (or null) of every row."""
-    texts, spans = repeated_spans(docs, length, limit)
-    without = docs.filter("doc_id is null").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+def with_spans(docs: DataFrame, length: int, limit: int, carry: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, text, spans to remove (or null) and the columns ``carry`` of every row."""
+    _, spans = repeated_spans(docs, length, limit)
+    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), *carry)
     none = F.lit(None).cast("array<struct<start:int,end:int>>")
-    return texts.join(spans.hint("merge"), "doc_id", "left").select("doc_id", "text", "spans").union(without.withColumn("spans", none))
+    placed = rows.filter("doc_id is not null").join(spans.hint("merge"), "doc_id", "left")
+    without = rows.filter("doc_id is null").withColumn("spans", none)
+    return placed.select("doc_id", "text", "spans", *carry).union(without.select("doc_id", "text", "spans", *carry))
 
 
 def cut(raw: np.ndarray, spans: list[dict] | None) -> tuple[list[tuple[int, int]], bytes]:
@@ -420,16 +422,19 @@ def cut(raw: np.ndarray, spans: list[dict] | None) -> tuple[list[tuple[int, int]
     return runs, raw[keep].tobytes()
 
 
-def dedup_texts(docs: DataFrame, length: int = LENGTH, limit: int = LIMIT) -> DataFrame:
-    """``doc_id, text`` without repeated passages, for rows with an id.
+def dedup_texts(
+    docs: DataFrame, length: int = LENGTH, limit: int = LIMIT, carry: tuple[str, ...] = ()
+) -> DataFrame:
+    """Per row of ``docs``: doc_id, text without repeated passages, and the columns ``carry``.
 
     Spans shrink to whole code points, so that the rest is a text again.
     """
+    given = with_spans(docs, length, limit, carry)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rest = []
-            for _, text, spans in zip(*batch.columns, strict=True):
+            for _, text, spans in zip(*batch.columns[:3], strict=True):
                 raw = as_bytes(text.as_py())
                 runs, kept = cut(raw, spans.as_py())
                 if runs:
@@ -443,6 +448,7 @@ def dedup_texts(docs: DataFrame, length: int = LENGTH, limit: int = LIMIT) -> Da
                         at = end
                     kept = b"".join([*parts, raw[at:].tobytes()])
                 rest.append(kept.decode("utf-8"))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(rest, pa.string())], ["doc_id", "text"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(rest, pa.string()), *batch.columns[3:]], ["doc_id", "text", *carry])
 
-    return with_spans(docs, length, limit).select("doc_id", "text", "spans").mapInArrow(run, "doc_id long, text string")
+    columns = [f"{f.name} {f.dataType.simpleString()}" for f in given.schema.fields[3:]]
+    return given.mapInArrow(run, ", ".join(["doc_id long, text string", *columns]))

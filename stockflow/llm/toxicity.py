@@ -203,15 +203,16 @@ def train(docs: DataFrame, labels: DataFrame, categories: list[str], per_class:
     ]
 
 
-def score(docs: DataFrame, models: list[dict], categories: list[str]) -> DataFrame:
-    """Per row of ``docs``: doc_id, p_<category> for each category, and the last category as a boolean of its name.
+def score(docs: DataFrame, models: list[dict], categories: list[str], carry: tuple[str, ...] = ()) -> DataFrame:
+    """Per row of ``docs``: doc_id, p_<category> for each category, the last category as a boolean of its name, and ``carry``.
 
     A null or empty text has no feature and gets the models' bias. Without
     models the probabilities are null and nothing is flagged. Rows are scored
-    one by one, repeated rows and null ids included; other columns are ignored;
-    an empty table gives no row.
+    one by one, repeated rows and null ids included; columns named in ``carry``
+    come along, others are ignored; an empty table gives no row.
     """
     names = [f"p_{c}" for c in categories]
+    given = docs.select("doc_id", F.col("text").alias("scored"), *carry)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -222,15 +223,19 @@ def score(docs: DataFrame, models: list[dict], categories: list[str]) -> DataFra
                 out, flags = [[None] * len(names)] * batch.num_rows, [False] * batch.num_rows
             columns = [pa.array([p[i] for p in out], pa.float64()) for i in range(len(names))]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), *columns, pa.array(flags, pa.bool_())], ["doc_id", *names, categories[-1]]
+                [batch.column(0), *columns, pa.array(flags, pa.bool_()), *batch.columns[2:]],
+                ["doc_id", *names, categories[-1], *carry],
             )
 
-    schema = ", ".join(["doc_id long", *(f"{n} double" for n in names), f"{categories[-1]} boolean"])
-    return docs.select("doc_id", "text").mapInArrow(run, schema)
+    columns = [f"{f.name} {f.dataType.simpleString()}" for f in given.schema.fields[2:]]
+    schema = ", ".join(["doc_id long", *(f"{n} double" for n in names), f"{categories[-1]} boolean", *columns])
+    return given.mapInArrow(run, schema)
 
 
-def toxic(docs: DataFrame, labelled: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> DataFrame:
-    """Scores of ``docs`` by a chain that is trained on ``labelled`` texts: low quality first, then toxicity."""
+def toxic(
+    docs: DataFrame, labelled: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, carry: tuple[str, ...] = ()
+) -> DataFrame:
+    """Scores of ``docs`` (and their columns ``carry``) by a chain that is trained on ``labelled`` texts: low quality first, then toxicity."""
     categories = ["low_quality", "toxic"]
     table = labels.select("doc_id", (1 - F.col("quality")).alias("low_quality"), "toxic")
-    return score(docs, train(labelled, table, categories, per_class), categories)
+    return score(docs, train(labelled, table, categories, per_class), categories, carry)

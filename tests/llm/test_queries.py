@@ -60,3 +60,41 @@ def test_pipeline_stages(spark, sf_dir):
     packed = steps["packing"](spark, clean, sf_dir).collect()
     encoder = packing.Encoder(corpus_pipeline.vocabulary("word_bpe_49k.json"))
     assert sum(r.length for r in packed) == sum(encoder.ids(t).size for t in texts.values())
+
+
+def test_pipeline_decides_by_row(spark, sf_dir, odd):
+    """Null and repeated ids: every row is judged by its own text and comes out once."""
+    steps = dict(corpus_pipeline.STAGES)
+    columns = corpus_pipeline.COLUMNS
+    given = spark.read.parquet(f"{sf_dir}/documents.parquet").select(columns)
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    flags = {r.doc_id: r.toxic for r in toxicity.toxic(given, given, labels).collect()}
+    bad, good = (next(i for i in sorted(flags) if flags[i] is v) for v in (True, False))
+    text = {r.doc_id: r.text for r in given.collect()}
+    # 9_000_001 has two versions, of which one is toxic; neither id is labelled.
+    extra = [(None, text[bad]), (None, text[good]), (9_000_001, text[bad]), (9_000_001, text[good])]
+    more = given.union(spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in extra], given.schema))
+    left = [(r.doc_id, r.text) for r in steps["toxicity"](spark, more, sf_dir).collect() if r.doc_id in (None, 9_000_001)]
+    assert sorted(left, key=str) == sorted([(None, text[good]), (9_000_001, text[good])], key=str)
+
+    judge = cascade.Cascade()
+    fit = [r for r in odd.select(columns).collect() if not brute.quality(r.text)[1] and not judge.rejects(cascade.Text(r.text))]
+    assert sorted(map(str, steps["quality"](spark, odd, sf_dir).collect())) == sorted(map(str, fit))
+    assert 0 < len(fit) < 17
+
+    rows = odd.select(columns).collect()
+    numbered = sorted((r.doc_id, r.text or "") for r in rows if r.doc_id is not None)
+    near = brute.near_duplicates(list(enumerate(t for _, t in numbered)), 5, 80)
+    want = [numbered[c] for c in {c for _, c in near.values()}]
+    unique = corpus_pipeline.stored(steps["near_dedup"](spark, odd, sf_dir), "odd3").collect()
+    assert sorted((r.doc_id, r.text or "") for r in unique if r.doc_id is not None) == sorted(want)
+    assert sum(r.doc_id is None for r in unique) == 3
+
+    clean = steps["passage_dedup"](spark, odd, sf_dir).collect()
+    assert sorted(map(str, (r.doc_id for r in clean))) == sorted(map(str, (r.doc_id for r in rows)))
+    repeats = brute.repeats(list(enumerate(t for _, t in numbered)), 100)
+    sizes = sorted((i, len(repeats[n][4])) for n, (i, _) in enumerate(numbered))
+    got = sorted((r.doc_id, len(r.text.encode())) for r in clean if r.doc_id is not None)
+    assert [i for i, _ in got] == [i for i, _ in sizes] and all(abs(a - b) < 20 for (_, a), (_, b) in zip(got, sizes, strict=True))
+    assert {r.text for r in clean if r.doc_id is None} == {"", next(r.text for r in rows if r.doc_id is None and r.text)}
+    assert all(r.n_chars == len(r.text) and (r.lang, r.source) == ("en", "s") for r in clean)
