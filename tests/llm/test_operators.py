@@ -209,6 +209,27 @@ def test_granted_moves_keep_counts():
         assert ((moves + back).sum(axis=0) == (moves + back).sum(axis=1)).all()
 
 
+def test_linked_rows_are_exchanged_without_unlinked_ones(spark):
+    """Every text occurs twice and nowhere is a document without links."""
+    rows = [(i, f"pair {i * 7919 % 160}") for i in range(320)]
+    got = sharding.shards(spark.createDataFrame(rows, "doc_id long, text string"), 4, slice_rows=1000).collect()
+    assert set(Counter(r.shard for r in got).values()) == {80}
+    homes, texts = defaultdict(set), dict(rows)
+    for r in got:
+        homes[texts[r.doc_id]].add(r.shard)
+    assert sum(len(h) > 1 for h in homes.values()) <= 8
+
+
+def test_granted_circulation_is_the_largest():
+    """Ten rows each way between two shards are granted, however many others ask; a cycle is found without spare rows."""
+    asked = np.array([[0, 10, 0], [10, 0, 0], [0, 5, 0]])
+    assert sharding.granted(asked, np.zeros(3, np.int64))[0].tolist() == [[0, 10, 0], [10, 0, 0], [0, 0, 0]]
+    options = np.array([[0, 0, 4, 1], [3, 0, 0, 0], [0, 9, 0, 0], [0, 0, 0, 0]])
+    moves = sharding.exchanged(options, np.zeros(4, np.int64))
+    assert moves.tolist() == [[0, 0, 3, 0], [3, 0, 0, 0], [0, 3, 0, 0], [0, 0, 0, 0]]
+    assert not sharding.exchanged(np.triu(np.ones((4, 4), np.int64), 1), np.zeros(4, np.int64)).any()
+
+
 # --- 10, fingerprints --------------------------------------------------------
 
 
