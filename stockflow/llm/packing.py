@@ -158,48 +158,72 @@ class Bins:
         self.fill[light] -= gain
         self.fill[heavy] += gain
 
-    def _step(self, light: int, heavy: int) -> bool:
-        """The move or exchange between two bins that fills ``heavy`` most, if any does."""
-        room, size = self.capacity - self.fill[heavy], self.lengths
-        best, way = max(0, self.fill[light] - self.fill[heavy]), None
-        mine, theirs = self.members[light], sorted(self.members[heavy], key=size.__getitem__)
-        reach = [size[i] for i in theirs]
-        pairs = [([i], size[i]) for i in mine]
-        pairs += [([a, b], size[a] + size[b]) for k, a in enumerate(mine[:64]) for b in mine[:k]]
-        for gives, given in pairs:
-            if given <= room:
-                if given > best:
-                    best, way = given, (gives, [])
-                continue
-            # The smallest piece that makes enough room leaves most of what is given.
-            at = bisect_left(reach, given - room)
-            if at < len(reach) and given - reach[at] > best:
-                best, way = given - reach[at], (gives, [theirs[at]])
-        if way:
-            self._put(light, heavy, *way)
-        return way is not None
-
-    def search(self, partners: int = 64, rounds: int = 4) -> None:
+    def _best(self, light: int, items: np.ndarray, bins: np.ndarray) -> tuple[int, list[int], list[int]] | None:
+        """Partner, pieces given and pieces taken of the step from ``light`` that raises squared fill most, if any does.
+
+        ``items`` are the pieces of all open bins, ``bins`` those bins. One
+        piece or two go to a partner for nothing or for one of its pieces.
+        """
+        size, fill = self.sizes, self.fills
+        mine = self.members[light]
+        singles = {self.lengths[i]: [i] for i in mine}
+        ways = dict(singles)
+        seen = {n: [i for i in mine if self.lengths[i] == n][:2] for n in singles}
+        names = sorted(seen)
+        for k, n in enumerate(names):
+            for m in names[k:]:
+                if n != m or len(seen[n]) > 1:
+                    ways.setdefault(n + m, [seen[n][0], seen[m][0] if n != m else seen[n][1]])
+        given = np.array(list(ways))
+        # What is taken: a piece of an open bin, or (a bin by itself) nothing.
+        owner = np.concatenate((self.home[items], bins))
+        taken = np.concatenate((size[items], np.zeros(bins.size, np.int64)))
+        other = owner != light
+        owner, taken, items = owner[other], taken[other], np.concatenate((items, np.full(bins.size, -1)))[other]
+        if not owner.size:
+            return None
+        full = fill[owner]
+        ahead = full - fill[light]
+        most, way = 0, None
+        chunk = max(1, 1_000_000 // owner.size)
+        for at in range(0, given.size, chunk):
+            some = given[at : at + chunk, None]
+            net = some - taken
+            # Half of what the sum of squares rises by.
+            rise = np.where((net > 0) & (net <= self.capacity - full), net * (net + ahead), 0)
+            top = int(rise.argmax())
+            if rise.flat[top] > most:
+                most = int(rise.flat[top])
+                k, entry = divmod(top, owner.size)
+                way = (int(owner[entry]), list(ways[int(given[at + k])]), [int(items[entry])] if items[entry] >= 0 else [])
+        return way
+
+    def search(self) -> None:
         """Empty the lightest bins into others that are not full.
 
-        Each round takes the bins in order of fill; a light bin meets the
-        ``partners`` fullest bins that have room. It ends when a round changes
-        nothing or after ``rounds`` rounds.
+        Each round takes the open bins in order of fill; each makes its best step
+        with any other open bin until it has none. Steps raise the sum of squared
+        fills, and rounds end when a whole one changes nothing.
         """
-        for _ in range(rounds):
-            open_ = sorted((b for b, f in enumerate(self.fill) if 0 < f < self.capacity), key=self.fill.__getitem__)
+        self.sizes, self.fills = np.array(self.lengths, np.int64), np.array(self.fill, np.int64)
+        self.home = np.zeros(len(self.lengths), np.int64)
+        for bin_, members in enumerate(self.members):
+            self.home[members] = bin_
+        changed = True
+        while changed:
             changed = False
-            for k, light in enumerate(open_):
-                heavies = sorted(open_[k + 1 :][-partners:], key=self.fill.__getitem__, reverse=True)
-                for heavy in heavies:
-                    while self.fill[light] and self.fill[heavy] < self.capacity and self._step(light, heavy):
-                        changed = True
-                    if not self.fill[light]:
+            open_ = np.flatnonzero((self.fills > 0) & (self.fills < self.capacity))
+            for light in open_[np.argsort(self.fills[open_], kind="stable")].tolist():
+                while 0 < self.fills[light] < self.capacity:
+                    is_open = (self.fills > 0) & (self.fills < self.capacity)
+                    way = self._best(light, np.flatnonzero(is_open[self.home]), np.flatnonzero(is_open))
+                    if way is None:
                         break
-                if k >= partners:
-                    break
-            if not changed:
-                break
+                    heavy, gives, takes = way
+                    self._put(light, heavy, gives, takes)
+                    self.home[gives], self.home[takes] = heavy, light
+                    self.fills[light], self.fills[heavy] = self.fill[light], self.fill[heavy]
+                    changed = True
 
     def places(self) -> tuple[np.ndarray, np.ndarray]:
         """Bin and offset of each piece; bins are numbered without gaps."""

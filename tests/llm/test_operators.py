@@ -175,6 +175,26 @@ def test_local_search_empties_bins():
     assert sum(f > 0 for f in bins.fill) == 2 and sorted(f for f in bins.fill if f) == [10, 10]
 
 
+def test_local_search_leaves_no_step():
+    """Hundreds of open bins: no pair of them has a step left that raises the sum of squares."""
+    lengths = np.random.default_rng(1).integers(300, 1001, 1000)
+    bins = packing.Bins(lengths, 2048)
+    before = sum(f > 0 for f in bins.fill)
+    assert sum(0 < f < 2048 for f in bins.fill) > 200
+    bins.search()
+    assert bins.fill == [sum(bins.lengths[i] for i in m) for m in bins.members]
+    assert sorted(i for m in bins.members for i in m) == list(range(1000)) and max(bins.fill) <= 2048
+    assert sum(f > 0 for f in bins.fill) <= before - 5
+    open_ = [b for b, f in enumerate(bins.fill) if 0 < f < 2048]
+    sizes = {b: [bins.lengths[i] for i in bins.members[b]] for b in open_}
+    for light in open_:
+        own = sizes[light]
+        gives = {*own, *(a + b for k, a in enumerate(own) for b in own[:k])}
+        for heavy in (b for b in open_ if b != light):
+            nets = {g - t for g in gives for t in (0, *sizes[heavy]) if 0 < g - t <= 2048 - bins.fill[heavy]}
+            assert all(n + bins.fill[heavy] <= bins.fill[light] for n in nets)
+
+
 # --- 7, shards ---------------------------------------------------------------
 
 
