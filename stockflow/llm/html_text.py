@@ -6,9 +6,11 @@ smoothed with a Gaussian over neighbouring lines, so that a short paragraph
 among long ones is carried by them and a long one among links is not, and lines
 over a threshold found by clustering are content. The content region is the
 innermost container that holds nearly all content; an article or main element
-that holds most of it is preferred. All lines of the region are the text, but for
-those in elements that say they are something else (menus, headers, footers,
-sidebars, notices, adverts, forms, comments).
+that holds most of it is preferred, and an inner one to an outer one if it holds
+nearly all of that. All lines of the region are the text, but for those in
+elements that say by tag, role, or a whole class name or id that they are
+something else (menus, headers, footers, sidebars, notices, adverts, forms,
+comments); what lies around the article, or holds most content, is not.
 """
 
 from __future__ import annotations
@@ -43,7 +45,6 @@ _OTHER_NAMES = frozenset(
 )
 _HEADER_NAMES = frozenset(("header", "topbar", "banner"))
 _CONTAINERS = frozenset("article body div html main section".split())
-_NAME = re.compile(r"[a-z]+")
 _DECLARED = re.compile(r"<!\[[^>]*>")
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.IGNORECASE)
 
@@ -53,36 +54,32 @@ MOST, NEARLY_ALL = 0.5, 0.9
 
 
 class Lines(HTMLParser):
-    """Lines of a page: text, tags, innermost element; and elements with their parents."""
+    """Lines of a page, each its tags and its parts (innermost element, text); and elements with their parents."""
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.tags, self.parents, self.other, self.mains = [""], [0], [False], [False]
+        self.tags, self.parents, self.unseen, self.other, self.mains = [""], [0], [False], [False], [False]
         self.open = [0]
         self.open_tags: Counter[str] = Counter()
-        self.texts: list[str] = []
-        self.tag_counts: list[int] = []
-        self.owners: list[int] = []
-        self._text: list[str] = []
+        self.lines: list[tuple[int, list[tuple[int, str]]]] = []
+        self._parts: list[tuple[int, str]] = []
         self._tag_count = 0
-        self._owner = 0
 
     def _end_line(self) -> None:
-        text = " ".join("".join(self._text).split())
-        if text:
-            self.texts.append(text)
-            self.tag_counts.append(self._tag_count)
-            self.owners.append(self._owner)
-        self._text, self._tag_count = [], 0
+        if self._parts:
+            self.lines.append((self._tag_count, self._parts))
+        self._parts, self._tag_count = [], 0
+
+    def _is_unseen(self, tag: str, attrs: dict[str, str | None]) -> bool:
+        hidden = "hidden" in attrs or attrs.get("aria-hidden") == "true"
+        return tag in _NO_TEXT or hidden or bool(_HIDDEN.search(attrs.get("style") or ""))
 
     def _is_other(self, tag: str, attrs: dict[str, str | None]) -> bool:
-        if tag in _OTHER or tag in _NO_TEXT or (attrs.get("role") or "").lower() in _OTHER_ROLES:
-            return True
-        if "hidden" in attrs or attrs.get("aria-hidden") == "true" or _HIDDEN.search(attrs.get("style") or ""):
+        if tag in _OTHER or (attrs.get("role") or "").lower() in _OTHER_ROLES:
             return True
         if tag in ("article", "main", "body", "html"):
             return False
-        names = {*_NAME.findall(f"{attrs.get('class') or ''} {attrs.get('id') or ''}".lower())}
+        names = {*f"{attrs.get('class') or ''} {attrs.get('id') or ''}".lower().split()}
         if not self.open_tags["article"] and not self.open_tags["main"] and (tag == "header" or names & _HEADER_NAMES):
             return True
         return bool(names & _OTHER_NAMES)
@@ -94,14 +91,15 @@ class Lines(HTMLParser):
             if self.open_tags["p"]:
                 self._close("p")
         elif tag == "br":
-            self._text.append(" ")
+            self._parts.append((0, " "))
         if tag in _VOID:
             return
         named = dict(attrs)
         parent = self.open[-1]
         self.tags.append(tag)
         self.parents.append(parent)
-        self.other.append(self.other[parent] or self._is_other(tag, named))
+        self.unseen.append(self.unseen[parent] or self._is_unseen(tag, named))
+        self.other.append(self._is_other(tag, named))
         self.mains.append(tag in ("article", "main") or (named.get("role") or "").lower() in ("main", "article"))
         self.open.append(len(self.tags) - 1)
         self.open_tags[tag] += 1
@@ -118,22 +116,47 @@ class Lines(HTMLParser):
         if tag in _BLOCKS:
             self._end_line()
         elif tag == "br":
-            self._text.append(" ")
+            self._parts.append((0, " "))
         if self.open_tags[tag]:
             self._close(tag)
 
     def handle_data(self, data: str) -> None:
-        element = self.open[-1]
-        if self.other[element]:
-            return
-        if not self._text:
-            self._owner = element
-        self._text.append(data)
+        if not self.unseen[self.open[-1]]:
+            self._parts.append((self.open[-1], data))
 
     def finish(self) -> None:
         self.close()
         self._end_line()
 
+    def below(self, marked: np.ndarray) -> np.ndarray:
+        """Elements that are marked or in a marked one."""
+        out = marked.copy()
+        for i in range(1, len(out)):  # children come after their parents
+            out[i] |= out[self.parents[i]]
+        return out
+
+    def without(self, dropped: np.ndarray) -> tuple[list[str], list[int], np.ndarray]:
+        """Texts and innermost elements of the lines outside dropped elements, and the content that each element holds."""
+        texts, owners, counts = [], [], []
+        for count, parts in self.lines:
+            left = [(element, data) for element, data in parts if not dropped[element]]
+            text = " ".join("".join([data for _, data in left]).split())
+            if text:
+                texts.append(text)
+                counts.append(count)
+                owners.append(next(element for element, data in left if data.strip()))
+        held = np.zeros(len(self.tags))
+        if texts:
+            sizes = np.array([len(t) for t in texts], float)
+            ratios = sizes / np.maximum(1, np.array(counts))
+            # Ratios of a page differ by orders of magnitude; clusters are sought on a log scale.
+            smooth = np.log1p(smoothed(ratios))
+            content = smooth >= threshold(smooth) if smooth.max() > smooth.min() else np.ones(smooth.size, bool)
+            np.add.at(held, np.array(owners), sizes * content)
+            for i in range(len(held) - 1, 0, -1):
+                held[self.parents[i]] += held[i]
+        return texts, owners, held
+
 
 def smoothed(ratios: np.ndarray, sigma: float = SIGMA, reach: int = REACH) -> np.ndarray:
     """Gaussian over neighbours; weights of lines past the ends go to the others."""
@@ -158,6 +181,25 @@ def threshold(values: np.ndarray, rounds: int = 20) -> float:
     return (low + high) / 2
 
 
+def _others(lines: Lines) -> np.ndarray:
+    """Elements that say they are something else and what is in them.
+
+    If no article or main element has content outside them, those around one
+    with most of the page's content, or that hold most of it themselves, are kept.
+    """
+    other, mains = np.array(lines.other), np.array(lines.mains)
+    if not other.any():
+        return other
+    dropped = lines.below(other)
+    if (mains & ~dropped & (lines.without(dropped)[2] > 0)).any():
+        return dropped
+    held = lines.without(np.zeros(other.size, bool))[2]
+    most = (held > MOST * held[0]) & (other | mains)
+    for i in range(other.size - 1, 0, -1):
+        most[lines.parents[i]] |= most[i]
+    return lines.below(other & ~most)
+
+
 def main_text(html: str | None) -> str:
     """The main text of a page, blocks joined by a line end; empty if there is none."""
     if not html:
@@ -165,31 +207,25 @@ def main_text(html: str | None) -> str:
     lines = Lines()
     lines.feed(_DECLARED.sub("", html) if "<![" in html else html)
     lines.finish()
-    if not lines.texts:
+    texts, owners, held = lines.without(_others(lines))
+    if not texts:
         return ""
-    sizes = np.array([len(t) for t in lines.texts], float)
-    ratios = sizes / np.maximum(1, np.array(lines.tag_counts))
-    # Ratios of a page differ by orders of magnitude; clusters are sought on a log scale.
-    smooth = np.log1p(smoothed(ratios))
-    content = smooth >= threshold(smooth) if smooth.max() > smooth.min() else np.ones(smooth.size, bool)
-    held = np.zeros(len(lines.tags))
-    np.add.at(held, np.array(lines.owners), sizes * content)
-    total = held.sum()
-    for i in range(len(held) - 1, 0, -1):  # children come after their parents
-        held[lines.parents[i]] += held[i]
+    total = held[0]
     region = 0
     mains = [i for i in range(1, len(held)) if lines.mains[i] and held[i] >= MOST * total]
     if mains:
-        region = mains[-1]
+        region = mains[0]
+        for i in mains[1:]:
+            if held[i] >= NEARLY_ALL * held[region]:
+                region = i
     else:
         for i in range(1, len(held)):
             if lines.tags[i] in _CONTAINERS and held[i] >= NEARLY_ALL * total:
                 region = i
-    inside = np.zeros(len(held), bool)
-    inside[region] = True
-    for i in range(region + 1, len(held)):
-        inside[i] = inside[lines.parents[i]]
-    return "\n".join(t for t, owner in zip(lines.texts, lines.owners, strict=True) if inside[owner])
+    mark = np.zeros(len(held), bool)
+    mark[region] = True
+    inside = lines.below(mark)
+    return "\n".join(t for t, owner in zip(texts, owners, strict=True) if inside[owner])
 
 
 def extract(pages: DataFrame) -> DataFrame:

@@ -364,6 +364,24 @@ def test_main_text(html, text):
     assert html_text.main_text(html) == text
 
 
+@pytest.mark.parametrize(
+    "html, text",
+    [
+        (f"<div class='page no-sidebar'><article><p>{LONG}</p></article></div>", LONG.strip()),
+        (f"<article><h2 id=social-factors>Factors</h2><p class='share-price'>{LONG}</p></article>", f"Factors\n{LONG.strip()}"),
+        # Whole names, but around the article, or around most of the text.
+        (f"<div class=sidebar><article><p>{LONG}</p></article></div><footer>me</footer>", LONG.strip()),
+        (f"<form><div><p>{LONG}</p><p>{LONG}</p></div></form><div class=ad>Buy</div>", f"{LONG.strip()}\n{LONG.strip()}"),
+        # Comments that are longer than the article go.
+        (f"<article><p>{LONG}</p></article><div id=comments><p>{LONG}{LONG}</p></div>", LONG.strip()),
+        # An inner article with 55% of the outer text is not all.
+        (f"<main><p>{LONG}</p><article><p>{LONG}</p><p>{LONG[:40]}</p></article></main>", f"{LONG.strip()}\n{LONG.strip()}\n{LONG[:40].strip()}"),
+    ],
+)
+def test_nothing_else_is_dropped(html, text):
+    assert html_text.main_text(html) == text
+
+
 def test_main_text_of_the_pages(spark, sf_dir):
     import html as entities
     import re
