@@ -6,7 +6,8 @@ places. The categories are predicted one after the other by logistic models.
 Each later model also gets the probabilities of the earlier ones. In training
 these are out of fold: a row's probability comes from a model that has not seen
 the row, so that later models learn how far earlier ones can be trusted on new
-texts. The threshold of each category is chosen on out-of-fold probabilities.
+texts. The threshold of each category is chosen on out-of-fold probabilities,
+for the mix of all labels: a row of the sample counts for as many as it stands for.
 
 Training uses at most ``PER_CLASS`` labelled texts with and as many without the
 last category, the first in hash order of their ids; the sample fits one task.
@@ -119,13 +120,14 @@ def fit(rows: Rows, y: np.ndarray, use: np.ndarray, places: int = PLACES, steps:
     return weights, theta[kept.size : -1], float(theta[-1])
 
 
-def best_threshold(p: np.ndarray, y: np.ndarray) -> float:
-    """Middle of the widest gap between probabilities at which the F1 measure is highest."""
+def best_threshold(p: np.ndarray, y: np.ndarray, weight: np.ndarray | None = None) -> float:
+    """Middle of the widest gap between probabilities at which the F1 measure of the weighted rows is highest."""
+    weight = np.ones(y.size) if weight is None else weight
     if not y.any():
         return 1.0
     order = np.argsort(-p, kind="stable")
-    hits = np.cumsum(y[order])
-    f1 = 2 * hits / (np.arange(1, y.size + 1) + y.sum())
+    hits = np.cumsum((y * weight)[order])
+    f1 = 2 * hits / (np.cumsum(weight[order]) + (y * weight).sum())
     sorted_ = np.append(p[order], 0.0)
     last = sorted_[:-1] > sorted_[1:]
     best = np.flatnonzero(last & (f1 >= f1[last].max() - 1e-12)) if last.any() else np.array([y.size - 1])
@@ -133,8 +135,13 @@ def best_threshold(p: np.ndarray, y: np.ndarray) -> float:
     return float((sorted_[at] + sorted_[at + 1]) / 2)
 
 
-def fit_chain(places: list[np.ndarray], labels: np.ndarray, fold: np.ndarray, folds: int = FOLDS) -> list[dict]:
-    """A model for each column of ``labels``: weights, dense weights, bias, threshold."""
+def fit_chain(
+    places: list[np.ndarray], labels: np.ndarray, fold: np.ndarray, folds: int = FOLDS, weight: np.ndarray | None = None
+) -> list[dict]:
+    """A model for each column of ``labels``: weights, dense weights, bias, threshold.
+
+    ``weight`` is the number of labelled rows that a row stands for when thresholds are chosen.
+    """
     models, earlier = [], np.empty((len(places), 0))
     for k in range(labels.shape[1]):
         y = labels[:, k].astype(float)
@@ -145,7 +152,7 @@ def fit_chain(places: list[np.ndarray], labels: np.ndarray, fold: np.ndarray, fo
             if held.any():
                 out[held] = probability(rows.score(*fit(rows, y, ~held)))[held]
         weights, dense, bias = fit(rows, y, np.ones(y.size, bool))
-        models.append({"weights": weights.astype(np.float32), "dense": dense, "bias": bias, "threshold": best_threshold(out, y)})
+        models.append({"weights": weights.astype(np.float32), "dense": dense, "bias": bias, "threshold": best_threshold(out, y, weight)})
         earlier = np.column_stack((earlier, out))
     return models
 
@@ -159,20 +166,22 @@ def predict(models: list[dict], place: np.ndarray) -> list[float]:
     return out
 
 
-def sample_of(labels: DataFrame, categories: list[str], per_class: int) -> DataFrame:
-    """doc_id and categories of at most ``per_class`` labelled documents with and without the last category."""
+def sample_of(labels: DataFrame, categories: list[str], per_class: int) -> tuple[DataFrame, dict[int, int]]:
+    """doc_id and categories of at most ``per_class`` labelled documents with and without the last category; both counts over all."""
     known = labels.filter(F.col("doc_id").isNotNull() & ~F.greatest(*(F.col(c).isNull() for c in categories)))
     one = known.groupBy("doc_id").agg(*(F.max(F.col(c).cast("int")).alias(c) for c in categories))
     order = [F.xxhash64("doc_id"), F.col("doc_id")]
     with_, without = (one.filter(F.col(categories[-1]) == v).orderBy(*order).limit(per_class) for v in (1, 0))
-    return with_.union(without)
+    counts = {int(label): n for label, n in one.groupBy(categories[-1]).count().collect()}
+    return with_.union(without), counts
 
 
 def train(docs: DataFrame, labels: DataFrame, categories: list[str], per_class: int = PER_CLASS) -> list[dict]:
     """The chain's models, in the order of ``categories``; none without a labelled document."""
     # At most 2 * per_class rows.
-    sample = F.broadcast(sample_of(labels, categories, per_class))
-    texts = docs.select("doc_id", "text").join(sample, "doc_id").groupBy("doc_id", *categories).agg(F.min("text").alias("text"))
+    sample, counts = sample_of(labels, categories, per_class)
+    stands_for = {label: n / min(n, per_class) for label, n in counts.items()}
+    texts = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").groupBy("doc_id", *categories).agg(F.min("text").alias("text"))
 
     def featured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -187,7 +196,8 @@ def train(docs: DataFrame, labels: DataFrame, categories: list[str], per_class:
         table = table.sort_by("doc_id")
         places = [np.array(p, np.int64) for p in table.column("places").to_pylist()]
         truth = np.column_stack([table.column(c).to_numpy() for c in categories])
-        models = fit_chain(places, truth, table.column("fold").to_numpy())
+        weight = np.array([stands_for[int(label)] for label in truth[:, -1]])
+        models = fit_chain(places, truth, table.column("fold").to_numpy(), weight=weight)
         return pa.Table.from_pylist(
             [m | {"nth": i, "weights": m["weights"].tobytes(), "dense": m["dense"].tolist()} for i, m in enumerate(models)],
             pa.schema(

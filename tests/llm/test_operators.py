@@ -430,6 +430,23 @@ def test_chain_learns_from_earlier_categories(spark):
     assert toxicity.toxic(docs.where("false"), docs, table, per_class=50).count() == 0
 
 
+def test_threshold_is_for_the_mix_of_all_labels(spark):
+    """8% toxic, sampled half and half: a word that a quarter of the clean texts have is not enough to flag."""
+    rng = np.random.default_rng(8)
+    rows = []
+    for i in range(1500):
+        bad = i % 12 == 0
+        words = list(rng.choice([f"word{n}" for n in range(200)], 30))
+        words += ["mildly"] * (rng.random() < (0.9 if bad else 0.25)) + ["harshly"] * (rng.random() < (0.6 if bad else 0.005))
+        rows.append((i, " ".join(words), 1, int(bad)))
+    table = spark.createDataFrame(rows, "doc_id long, text string, quality int, toxic int")
+    got = {r.doc_id: r.toxic for r in toxicity.toxic(table, table, table, per_class=125).collect()}
+    assert np.mean([got[i] for i, _, _, bad in rows if not bad]) < 0.05
+    assert np.mean([got[i] for i, _, _, bad in rows if bad]) > 0.4
+    p, y, n = np.array([0.9, 0.8, 0.7, 0.6, 0.1]), np.array([1.0, 0, 1, 0, 0]), np.array([1, 8, 1, 8, 8])
+    assert toxicity.best_threshold(p, y, n) == toxicity.best_threshold(np.repeat(p, n), np.repeat(y, n)) != toxicity.best_threshold(p, y)
+
+
 def test_out_of_fold_probabilities_do_not_leak():
     """Labels that features cannot explain give the later model no false trust in the earlier one."""
     rng = np.random.default_rng(2)
