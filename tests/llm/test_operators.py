@@ -274,6 +274,16 @@ def test_fingerprints(docs, odd, nothing, rows):
     assert fingerprint.fingerprints(nothing, partitions=2).count() == 0
 
 
+def test_similarities_tell_near_copies_from_others(docs, rows):
+    got = {r.doc_id: r for r in fingerprint.fingerprints(docs, partitions=3).collect()}
+    ordered = sorted((i, t or "") for i, t in rows)
+    gaps = [got[i].near_next - brute.jaccard(t, ordered[(k + 1) % len(ordered)][1]) for k, (i, t) in enumerate(ordered)]
+    for k, (i, t) in enumerate(ordered):
+        n = len(t) // 4
+        gaps.append(got[i].near_edited - brute.jaccard(t, t[: len(t) - n] + ordered[(k + 1) % len(ordered)][1][:n]))
+    assert np.std(gaps) < 0.05 and max(map(abs, gaps)) < 0.18
+
+
 def test_signature_equals_plain_sampling(spark):
     text = "a b b c c c longer words here a"
     frame = spark.createDataFrame([(1, text)], "doc_id long, text string")
