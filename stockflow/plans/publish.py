@@ -36,6 +36,9 @@ class PublishConfig:
     quantity: str = "ordered"
     fifth: tuple[str, object] | None = None
     table_format: str = "parquet"
+    # Upload files: None keeps the frame's partitions, 1 asks for a single file (one task writes it).
+    files: int | None = None
+    max_records: int | None = None
 
 
 def publish_upload(
@@ -78,5 +81,5 @@ def publish_upload(
             ) as upload:
                 append(upload, cfg.out_table)
                 result.rows_out = verify_write(spark, cfg.out_table, ctx, upload.count())
-                write_upload(upload, path)
+                write_upload(upload, path, cfg.files, cfg.max_records)
     return result

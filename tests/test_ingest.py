@@ -196,3 +196,17 @@ def test_publish(spark, tmp_path):
         ("FAILURE", 2, 0, None, "core.t1"): 1, ("SUCCESS", 2, 1, None, "core.t1"): 1,
     }
     assert not leftovers(spark)
+
+
+def test_publish_keeps_partitions_of_the_upload(spark, tmp_path, monkeypatch):
+    """The upload does not pass one task unless a single file is asked for."""
+    from stockflow.plans import publish
+
+    asked = []
+    monkeypatch.setattr(publish, "write_upload", lambda df, path, files=1, max_records=None: asked.append((files, max_records)))
+    buylist = spark.createDataFrame([("SA", "L", "P1", "i1", "1", "x", "c", "001", "f", "k")], BUYLIST)
+    inventory = spark.createDataFrame([("s", "c 001", "i1", 5, None)], "source string, location string, item string, on_hand_qty long, in_transit_qty long")
+    names = {"core_table": "core.t2", "quarantine_table": "core.t2_rejects", "out_table": "out.t2"}
+    publish_upload(spark, PublishConfig("u2", **names), inventory, buylist, str(tmp_path / "a"))
+    publish_upload(spark, PublishConfig("u2", files=1, max_records=9, **names), inventory, buylist, str(tmp_path / "b"))
+    assert asked == [(None, None), (1, 9)]
