@@ -3,6 +3,28 @@
 from __future__ import annotations
 
 _WORD = r"[^\x20\x09-\x0D]+"
+_TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+
+_DISTANCE = "list_sum(list_transform(range(1, len(x) + 1), lambda i: (x[i] - c[i]) * (x[i] - c[i])))"
+
+
+def _lloyd(rounds: int) -> str:
+    """Rounds of Lloyd's method as common table expressions book0 to book{rounds}: p, e, c (a list)."""
+    out = []
+    for r in range(rounds):
+        out.append(f"""
+near{r} as materialized (
+  select v, p, min(coalesce({_DISTANCE}, 0) * 16 + e) % 16 as e
+  from parts join book{r} using (p) group by v, p),
+sums{r} as (
+  select p, e, i, sum(x[i])::hugeint as s, count(*) as n
+  from near{r} join parts using (v, p), (select unnest(range(1, 65)) as i) where i <= len(x) group by p, e, i),
+means{r} as (
+  select p, e, list(((s - ((s % n) + n) % n) // n)::bigint order by i) as m from sums{r} group by p, e),
+book{r + 1} as materialized (
+  select p, e, coalesce(m, c) as c from book{r} left join means{r} using (p, e)),""")
+    return "".join(out)
+
 
 ORACLE: dict[str, str] = {
     "op4_minhash_near_dedup": rf"""
@@ -75,5 +97,49 @@ judged as (
 select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
   not base_failed and not rejected as kept
 from judged
+""",
+    "op11_vector_codes": f"""
+with
+kept as (
+  select row_number() over (order by vec_id, embedding) as v, vec_id, label,
+    list_transform(embedding, lambda x: floor(4096 * x::double)::bigint) as x
+  from embeddings
+  where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+parts as materialized (
+  select v, p, x[p * len(x) // 8 + 1:(p + 1) * len(x) // 8] as x from kept, (select unnest(range(8)) as p)),
+book0 as (select p, v - 1 as e, x as c from parts where v <= 16),{_lloyd(6)}
+near as (
+  select v, p, min(coalesce({_DISTANCE}, 0) * 16 + e) as least from parts join book6 using (p) group by v, p),
+coded as (
+  select v, string_agg(lpad(lower(hex(least % 16)), 2, '0'), '' order by p) as code, sum(least // 16)::bigint as error
+  from near group by v),
+flat as (
+  select sha256(string_agg(array_to_string(c, ','), ',' order by p, e)) as codebooks_sha256 from book6)
+select vec_id, code, error, sum(error) over (partition by label)::bigint as label_error, codebooks_sha256
+from coded join kept using (v), flat
+""",
+    "op13_ranked_search": rf"""
+with
+words as (
+  select row_number() over () as nr, doc_id, regexp_extract_all(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{_TERM}') as w from documents),
+terms as (select nr, unnest(w) as term from words),
+counts as (select nr, term, count(*) as tf from terms group by all),
+lengths as (select nr, doc_id, len(w)::bigint as n from words),
+whole as (select count(*) filter (n > 0) as docs, sum(n)::bigint as terms from lengths),
+norms as (select nr, doc_id, 100 - 50 + ((50 * n * docs) // terms) as m from lengths, whole),
+weights as (
+  select term, floor(1000 * ln((2 * docs + 2)::double / (2 * count(*) + 1)::double))::bigint as w
+  from counts, whole group by term, docs),
+asked as (
+  select distinct item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '{_TERM}')) as term from benchmark),
+scores as (
+  select item_id, nr, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 20 * m)))::bigint as score
+  from asked join weights using (term) join counts using (term) join norms using (nr) group by all),
+places as (
+  select item_id, row_number() over (partition by item_id order by score desc, doc_id nulls last)::int as rank, doc_id, score
+  from scores where score > 0)
+select item_id, rank, doc_id, score from places where rank <= 50
 """,
 }

@@ -8,7 +8,21 @@ from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stockflow.llm import cascade, fingerprint, html_text, lattice, minhash, packing, sharding, suffix, toxicity, warc
+from stockflow.llm import (
+    bpe,
+    cascade,
+    codes,
+    fingerprint,
+    html_text,
+    lattice,
+    minhash,
+    packing,
+    ranking,
+    sharding,
+    suffix,
+    toxicity,
+    warc,
+)
 from stockflow.llm.shipping import ship
 from stockflow.llm.storage import shared_dir
 
@@ -85,3 +99,18 @@ def op9_sampled_segmentations(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_weighted_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.fingerprints(table(spark, sf_dir, "documents"))
+
+
+@query
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return codes.coded(table(spark, sf_dir, "embeddings"), parts=8, entries=16, rounds=6)
+
+
+@query
+def op12_byte_pair_coding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.code_report(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
+
+
+@query
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranking.ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=50)
