@@ -151,6 +151,10 @@ class RunContext:
     def start(cls, src_file_name: str = "", now: datetime | None = None) -> RunContext:
         return cls(str(uuid.uuid4()), now or datetime.now(PLATFORM_ZONE), src_file_name)
 
+    def part(self, name: str, src_file_name: str = "") -> RunContext:
+        """The context of one step of this run; a rerun gives the step the same identity."""
+        return RunContext(f"{self.run_id}-{name}", self.load_timestamp, src_file_name)
+
     @property
     def load_date(self) -> date:
         return self.load_timestamp.astimezone(PLATFORM_ZONE).date()

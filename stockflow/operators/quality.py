@@ -126,7 +126,8 @@ def match_rate(df: DataFrame, col: str, threshold: float = 0.8) -> DataFrame:
 def enforce_match_rate(rate: DataFrame) -> None:
     row = rate.first()
     if row.status == FAIL:
-        raise DataQualityError(f"match rate {row.match_rate} ({row.n_matched} of {row.n_rows})")
+        reasons = f": {row.reasons}" if "reasons" in rate.columns and row.reasons else ""
+        raise DataQualityError(f"match rate {row.match_rate} ({row.n_matched} of {row.n_rows}){reasons}")
 
 
 def near_miss(

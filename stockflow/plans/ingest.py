@@ -12,7 +12,7 @@ from stockflow.operators.standardize import clean, deduplicate, rejects, with_au
 from stockflow.session import materialized
 from stockflow.sources.files import ORDINAL, OVERFLOW, TECHNICAL, check_freshness, read_source
 from stockflow.sources.operations import RunResult, logged_run, register_source
-from stockflow.sources.tables import append_table, ensure_schemas, run_rows, verify_write
+from stockflow.sources.tables import commit_run, ensure_schemas, run_rows, verify_write
 
 log = logging.getLogger(__name__)
 
@@ -44,8 +44,9 @@ def staged_metrics(df: DataFrame, cfg: SourceConfig) -> DataFrame:
     )
 
 
-def _append(df: DataFrame, table: str, cfg: SourceConfig, ctx: RunContext) -> None:
-    append_table(with_audit(df.drop(*TECHNICAL), ctx), table, table_format=cfg.table_format)
+def _commit(df: DataFrame, table: str, cfg: SourceConfig, ctx: RunContext) -> None:
+    audited = with_audit(df.drop(*TECHNICAL), ctx)
+    commit_run(df.sparkSession, audited, table, ctx, cfg.table_format)
 
 
 def log_rejects(spark: SparkSession, cfg: SourceConfig, ctx: RunContext) -> None:
@@ -59,8 +60,9 @@ def ingest(spark: SparkSession, cfg: SourceConfig, ctx: RunContext | None = None
     """Run one source. Raises on any failed gate; the run is logged either way.
 
     The file is parsed once and de-duplicated once: both results
-    are stored before the gates read them, and the tables are appended from
-    the stored copies. Nothing is written to a layer whose gate failed.
+    are stored before the gates read them, and the tables get the stored
+    copies. Nothing is written to a layer whose gate failed. A run repeated
+    under its id replaces what it wrote.
     """
     ctx = ctx or RunContext.start(cfg.src_path)
     ensure_schemas(spark)
@@ -72,15 +74,15 @@ def ingest(spark: SparkSession, cfg: SourceConfig, ctx: RunContext | None = None
         check_freshness(spark, cfg, ctx.load_timestamp)
         with materialized(read_source(spark, cfg), "source") as raw:
             enforce(raw_metrics(raw, cfg), "raw")
-            _append(raw, cfg.raw_table, cfg, ctx)
+            _commit(raw, cfg.raw_table, cfg, ctx)
             result.rows_raw = verify_write(spark, cfg.raw_table, ctx, raw.count())
 
             cleaned, headers = clean(raw, cfg)
             with materialized(deduplicate(cleaned, cfg), "staged") as staged:
                 enforce(staged_metrics(staged, cfg), "staged")
-                _append(staged, cfg.stg_table, cfg, ctx)
+                _commit(staged, cfg.stg_table, cfg, ctx)
                 result.rows_stg = verify_write(spark, cfg.stg_table, ctx, staged.count())
-                _append(rejects(cleaned, headers, staged, cfg), cfg.rejects_table, cfg, ctx)
+                _commit(rejects(cleaned, headers, staged, cfg), cfg.rejects_table, cfg, ctx)
                 log_rejects(spark, cfg, ctx)
         register_source(spark, cfg, result)
     return result

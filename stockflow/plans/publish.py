@@ -6,14 +6,14 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stockflow.config import DEFAULT_COMPANIES, RunContext
-from stockflow.operators.quality import dq_metrics, enforce, enforce_match_rate, match_rate
+from stockflow.config import RunContext
+from stockflow.operators.quality import enforce_match_rate
 from stockflow.operators.standardize import with_audit
-from stockflow.plans.supply import crosswalk, crosswalk_join, split_resolved, upload_rows
+from stockflow.plans.supply import crosswalk_join, publish_rate, split_resolved, upload_rows
 from stockflow.session import materialized
 from stockflow.sources.operations import RunResult, logged_run
 from stockflow.sources.tables import (
-    append_table,
+    commit_run,
     ensure_schemas,
     new_folder,
     verify_write,
@@ -29,8 +29,6 @@ class PublishConfig:
     core_table: str = "core.cust_inventory"
     quarantine_table: str = "core.cust_inventory_rejects"
     out_table: str = "out.inventory_upload"
-    companies: tuple[str, ...] = DEFAULT_COMPANIES
-    rank_by: str = "cross_reference"
     match_threshold: float = 0.8
     min_rows: int = 1
     quantity: str = "ordered"
@@ -45,16 +43,19 @@ def publish_upload(
     spark: SparkSession,
     cfg: PublishConfig,
     inventory: DataFrame,
-    buylist: DataFrame,
+    xwalk: DataFrame,
     path: str,
     transit: DataFrame | None = None,
     ctx: RunContext | None = None,
+    replace: bool = False,
 ) -> RunResult:
     """Resolve product codes, store core rows and quarantine, gate, then write the upload.
 
-    The crosswalk join runs once and is stored. Core and quarantine are kept
-    even when too few rows match, since they show what is missing; the upload
-    is written only after the match-rate gate.
+    ``xwalk`` is the crosswalk of ``crosswalk`` or a stored version of it. Its join
+    runs once and is stored. Core and quarantine are kept even when too few rows
+    can be published, since they show what is missing; the upload is written only
+    after the gate, which counts publishable rows. Repeated under its run id, a
+    run replaces its own rows, and with ``replace`` its own upload folder.
     """
     ctx = ctx or RunContext.start(path)
     ensure_schemas(spark)
@@ -63,23 +64,22 @@ def publish_upload(
         table_format=cfg.table_format,
     )
 
-    def append(df: DataFrame, table: str) -> None:
-        append_table(with_audit(df, ctx), table, table_format=cfg.table_format)
+    def commit(df: DataFrame, table: str) -> None:
+        commit_run(spark, with_audit(df, ctx), table, ctx, cfg.table_format)
 
     with logged_run(spark, result):
-        new_folder(spark, path)
-        xwalk = crosswalk(buylist, cfg.companies, cfg.rank_by)
+        if not replace:
+            new_folder(spark, path)
         with materialized(crosswalk_join(inventory, xwalk), "resolved") as joined:
             matched, unmatched = split_resolved(joined)
-            append(joined, cfg.core_table)
+            commit(joined, cfg.core_table)
             result.rows_core = verify_write(spark, cfg.core_table, ctx, joined.count())
-            append(unmatched, cfg.quarantine_table)
-            enforce(dq_metrics(joined, min_rows=cfg.min_rows), "core")
-            enforce_match_rate(match_rate(joined, "CATN32", cfg.match_threshold))
+            commit(unmatched, cfg.quarantine_table)
+            enforce_match_rate(publish_rate(joined, cfg.match_threshold, cfg.min_rows))
             with materialized(
                 upload_rows(matched, transit, cfg.quantity, cfg.fifth), "upload"
             ) as upload:
-                append(upload, cfg.out_table)
+                commit(upload, cfg.out_table)
                 result.rows_out = verify_write(spark, cfg.out_table, ctx, upload.count())
-                write_upload(upload, path, cfg.files, cfg.max_records)
+                write_upload(upload, path, cfg.files, cfg.max_records, replace)
     return result

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from datetime import date
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stockflow.config import (
@@ -18,7 +18,6 @@ from stockflow.config import (
 from stockflow.functions.text import amp_concat, sql_concat, text_combine
 from stockflow.operators.joins import lookup, reconcile
 from stockflow.operators.keyed import first_by, first_match
-from stockflow.operators.quality import match_rate
 
 # Buying-list columns the crosswalk reads.
 CROSSWALK_INPUT = (
@@ -194,8 +193,34 @@ def quarantine_by_reason(unmatched: DataFrame) -> DataFrame:
 
 
 def unmatched_report(unmatched: DataFrame) -> DataFrame:
-    """Customer code and distributor SKU of rows without a product, with row counts."""
-    return unmatched.groupBy("location", "item").agg(F.count(F.lit(1)).alias("n_rows"))
+    """Customer code and distributor SKU of quarantined rows by reason, with row counts."""
+    return unmatched.groupBy("location", "item", "reason").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+def publish_rate(joined: DataFrame, threshold: float = 0.8, min_rows: int = 1) -> DataFrame:
+    """The gate of the upload, as one row: what is published of all rows of ``crosswalk_join``.
+
+    A row counts as matched if nothing quarantines it, so a source whose rows meet
+    a product but have no ship-to does not pass. It fails below the share or with
+    fewer than ``min_rows`` publishable rows; ``reasons`` counts the others.
+    """
+    reason = quarantine_reason()
+    per = joined.groupBy(reason.alias("reason")).agg(F.count(F.lit(1)).alias("n"))
+    out = F.when(F.col("reason").isNotNull(), F.concat_ws("=", "reason", F.col("n").cast("string")))
+    one = per.agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("n_rows"),
+        F.coalesce(F.sum(F.when(F.col("reason").isNull(), F.col("n"))), F.lit(0)).alias("n_matched"),
+        F.concat_ws(",", F.array_sort(F.collect_list(out))).alias("reasons"),
+    )
+    rate = F.when(F.col("n_rows") > 0, F.col("n_matched") / F.col("n_rows"))
+    passed = (rate >= threshold) & (F.col("n_matched") >= min_rows)
+    return one.select(
+        "n_rows",
+        "n_matched",
+        F.round(rate, 6).alias("match_rate"),
+        F.when(passed, "PASS").otherwise("FAIL").alias("status"),
+        "reasons",
+    )
 
 
 class Upload(NamedTuple):
@@ -267,5 +292,5 @@ def build_upload(
     return Upload(
         upload_rows(resolved.matched, transit, qty, fifth),
         resolved.unmatched,
-        match_rate(joined, "CATN32", threshold),
+        publish_rate(joined, threshold),
     )

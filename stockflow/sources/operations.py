@@ -5,9 +5,10 @@ from __future__ import annotations
 import json
 import logging
 import traceback
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 from dataclasses import dataclass
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -111,6 +112,30 @@ def failed_runs(runs: DataFrame, load_date=None, status: str = "FAILURE") -> Dat
     return found.orderBy(F.col("load_timestamp").desc(), "pipeline_run_id")
 
 
+def winning_runs(
+    runs: DataFrame, table: str, keys: Sequence[str] = (), asof: datetime | None = None, layer: str = "stg_table"
+) -> DataFrame:
+    """``load_date, pipeline_run_id`` of the newest successful run that wrote ``table``, per ``keys``.
+
+    The newest by load timestamp, then run id, up to ``asof``: a correction for a
+    day wins on that day however late or in whatever order it was written. One
+    row per key, so its size does not follow the table's.
+    """
+    wrote = runs.where((F.col(layer) == table) & (F.col("status") == "SUCCESS"))
+    if asof is not None:
+        wrote = wrote.where(F.col("load_timestamp") <= F.lit(asof))
+    newest = F.max(F.struct("load_timestamp", "pipeline_run_id", "load_date")).alias("run")
+    return wrote.groupBy(*keys).agg(newest).where("run IS NOT NULL").select("run.load_date", "run.pipeline_run_id")
+
+
+def snapshot(rows: DataFrame, winners: DataFrame) -> DataFrame:
+    """Rows of the winning runs. The winners, one row per key, are broadcast and prune
+    the partitions of the table at run time, so other runs' files are not opened."""
+    names = {"load_date": "__date", "pipeline_run_id": "__run"}
+    wanted = F.broadcast(winners.withColumnsRenamed(names))
+    return rows.join(wanted, [F.col(c) == F.col(w) for c, w in names.items()], "left_semi")
+
+
 def register_source(spark: SparkSession, cfg: SourceConfig, result: RunResult) -> None:
     """Append this run to the registry history. A problem here never fails the run."""
     ctx = result.ctx

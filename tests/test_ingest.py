@@ -12,6 +12,7 @@ import pytest
 from stockflow.config import PLATFORM_ZONE, RunContext, SourceConfig
 from stockflow.operators.keyed import latest_snapshot
 from stockflow.operators.quality import DataQualityError
+from stockflow.plans import supply
 from stockflow.plans.ingest import ingest
 from stockflow.plans.publish import PublishConfig, publish_upload
 from stockflow.session import shared_folder
@@ -182,12 +183,12 @@ def test_publish(spark, tmp_path):
     inventory = spark.createDataFrame([("s", "c 001", "i1", 5, None), ("s", "c 001", "i2", 6, None)], "source string, location string, item string, on_hand_qty long, in_transit_qty long")
     names = {"core_table": "core.t1", "quarantine_table": "core.t1_rejects", "out_table": "out.t1"}
     with pytest.raises(DataQualityError):
-        publish_upload(spark, PublishConfig("u1", **names), inventory, buylist, str(tmp_path / "a"))
+        publish_upload(spark, PublishConfig("u1", **names), inventory, supply.crosswalk(buylist), str(tmp_path / "a"))
     assert spark.table("core.t1").count() == 2 and spark.table("core.t1_rejects").count() == 1
     assert not spark.catalog.tableExists("out.t1") and not (tmp_path / "a").exists()
 
     ok = PublishConfig("u1", match_threshold=0.5, **names)
-    result = publish_upload(spark, ok, inventory, buylist, str(tmp_path / "a"))
+    result = publish_upload(spark, ok, inventory, supply.crosswalk(buylist), str(tmp_path / "a"))
     assert (result.rows_core, result.rows_out) == (2, 1)
     assert bag(spark.table("out.t1"), "Product", "CompanyCode-Ship", "On Hand", "In Transit") == {("P1", "c 001", 5, 0.0): 1}
     assert bag(spark.read.csv(str(tmp_path / "a"), header=True)) == {("P1", "c 001", "5", "0.0"): 1}
@@ -203,10 +204,10 @@ def test_publish_keeps_partitions_of_the_upload(spark, tmp_path, monkeypatch):
     from stockflow.plans import publish
 
     asked = []
-    monkeypatch.setattr(publish, "write_upload", lambda df, path, files=1, max_records=None: asked.append((files, max_records)))
+    monkeypatch.setattr(publish, "write_upload", lambda df, path, files=1, max_records=None, replace=False: asked.append((files, max_records)))
     buylist = spark.createDataFrame([("SA", "L", "P1", "i1", "1", "x", "c", "001", "f", "k")], BUYLIST)
     inventory = spark.createDataFrame([("s", "c 001", "i1", 5, None)], "source string, location string, item string, on_hand_qty long, in_transit_qty long")
     names = {"core_table": "core.t2", "quarantine_table": "core.t2_rejects", "out_table": "out.t2"}
-    publish_upload(spark, PublishConfig("u2", **names), inventory, buylist, str(tmp_path / "a"))
-    publish_upload(spark, PublishConfig("u2", files=1, max_records=9, **names), inventory, buylist, str(tmp_path / "b"))
+    publish_upload(spark, PublishConfig("u2", **names), inventory, supply.crosswalk(buylist), str(tmp_path / "a"))
+    publish_upload(spark, PublishConfig("u2", files=1, max_records=9, **names), inventory, supply.crosswalk(buylist), str(tmp_path / "b"))
     assert asked == [(None, None), (1, 9)]

@@ -8,9 +8,8 @@ import pytest
 
 import __spark_entry__ as entry_module
 from verification.compare import connect, difference
-
-QUERIES = entry_module.queries()
-ORACLE = entry_module.oracle_sql()
+from verification.oracle import ORACLE
+from verification.queries import QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -29,6 +28,8 @@ def test_equals_sql(spark, sf_dir, con, name):
 
 def test_every_query_has_a_check():
     assert set(QUERIES) == set(ORACLE)
+    assert QUERIES.keys() <= entry_module.queries().keys()
+    assert ORACLE.keys() <= entry_module.oracle_sql().keys()
 
 
 def test_entry(spark):

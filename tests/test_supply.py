@@ -168,7 +168,20 @@ def test_upload_accounts_for_every_row(buylist, inventory):
     assert up.rows.count() + up.quarantine.count() == inventory.count()
     rate = one(up.match_rate)
     assert (rate.n_rows, rate.n_matched, rate.status) == (5, 3, "FAIL")
-    assert bag(supply.unmatched_report(up.quarantine)) == {("123 001", "123", 1): 1, (None, None, 1): 1}
+    assert bag(supply.unmatched_report(up.quarantine)) == {("123 001", "123", "NO_SKU_MATCH", 1): 1, (None, None, "NO_LOCATION", 1): 1}
+    assert rate.reasons == "NO_LOCATION=1,NO_SKU_MATCH=1"
+
+
+def test_the_gate_counts_what_is_published(spark):
+    """Rows that meet a product but have no ship-to are no matches."""
+    joined = spark.createDataFrame([(None, "i", "P"), (None, "j", "P")], "location string, item string, CATN32 string")
+    rate = one(supply.publish_rate(joined))
+    assert (rate.n_rows, rate.n_matched, rate.match_rate, rate.status, rate.reasons) == (2, 0, 0.0, "FAIL", "NO_LOCATION=2")
+    good = spark.createDataFrame([("l", "i", "P")], joined.schema)
+    assert one(supply.publish_rate(good)).status == "PASS"
+    assert one(supply.publish_rate(good, min_rows=2)).status == "FAIL"
+    empty = one(supply.publish_rate(good.limit(0)))
+    assert (empty.n_rows, empty.match_rate, empty.status, empty.reasons) == (0, None, "FAIL", "")
 
 
 def test_upload_with_orders_in_transit(spark, buylist, inventory):

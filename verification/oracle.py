@@ -219,6 +219,9 @@ _QUARANTINE = """
 SELECT *, CASE WHEN location IS NULL THEN 'NO_LOCATION' WHEN item IS NULL THEN 'NO_ITEM' ELSE 'NO_SKU_MATCH' END AS reason
 FROM joined WHERE CATN32 IS NULL OR location IS NULL OR item IS NULL"""
 
+_REASON = """CASE WHEN location IS NULL THEN 'NO_LOCATION' WHEN item IS NULL THEN 'NO_ITEM'
+  WHEN CATN32 IS NULL THEN 'NO_SKU_MATCH' END"""
+
 _NORM = "ltrim(upper(" + _strip("{0}") + "), '0')"
 
 
@@ -340,6 +343,12 @@ ORACLE: dict[str, str] = {
             ORDER BY max(load_timestamp) DESC, pipeline_run_id DESC) AS n
           FROM s GROUP BY source, load_date, pipeline_run_id) w
         USING (source, load_date, pipeline_run_id) WHERE n = 1""",
+    "snapshot_from_log": _with(s=_shape(shapes.SNAPSHOTS)) + """
+        SELECT s.* FROM s JOIN (
+          SELECT load_date, pipeline_run_id, row_number() OVER (PARTITION BY load_date
+            ORDER BY max(load_timestamp) DESC, pipeline_run_id DESC) AS n
+          FROM s WHERE load_date IS NOT NULL AND pipeline_run_id IS NOT NULL GROUP BY load_date, pipeline_run_id) w
+        USING (load_date, pipeline_run_id) WHERE n = 1""",
     "buylist_detail_view": _with(**_TO_BUYLIST) + "SELECT * FROM buylist",
     "orders_base_view": _with(**_TO_ORDERS) + "SELECT * FROM orders_base",
     "open_orders": _with(**_TO_ORDERS)
@@ -390,10 +399,15 @@ ORACLE: dict[str, str] = {
         SELECT count(*) AS n_rows, count(CATN32) AS n_matched, round(count(CATN32) / count(*), 6) AS match_rate,
           CASE WHEN count(CATN32) / count(*) < 0.8 THEN 'FAIL' ELSE 'PASS' END AS status FROM joined""",
     "crosswalk_unmatched": _with(**_TO_JOINED)
-    + "SELECT location, item, count(*) AS n_rows FROM joined WHERE CATN32 IS NULL GROUP BY location, item",
+    + f"SELECT location, item, {_REASON} AS reason, count(*) AS n_rows FROM joined WHERE {_REASON} IS NOT NULL GROUP BY ALL",
+    "publish_match_rate": _with(**_TO_JOINED, judged=f"SELECT {_REASON} AS reason, count(*) AS n FROM joined GROUP BY ALL") + """
+        SELECT sum(n)::BIGINT AS n_rows, sum(n) FILTER (reason IS NULL)::BIGINT AS n_matched,
+          round(sum(n) FILTER (reason IS NULL) / sum(n), 6) AS match_rate,
+          CASE WHEN sum(n) FILTER (reason IS NULL) / sum(n) >= 0.8 THEN 'PASS' ELSE 'FAIL' END AS status,
+          string_agg(reason || '=' || n, ',' ORDER BY reason) AS reasons FROM judged""",
     "near_miss_keys": _with(**_TO_JOINED) + f"""
         SELECT u.location, u.item, u.n_rows, x.candidate, x.n_candidates
-        FROM (SELECT location, item, count(*) AS n_rows FROM joined WHERE CATN32 IS NULL GROUP BY location, item) u
+        FROM (SELECT location, item, count(*) AS n_rows FROM joined WHERE {_REASON} = 'NO_SKU_MATCH' GROUP BY location, item) u
         JOIN (SELECT {_NORM.format('BLCD32')} AS a, {_NORM.format('StateReferenceNumber')} AS b,
             min(CATN32) AS candidate, count(DISTINCT CATN32) AS n_candidates FROM xwalk GROUP BY ALL) x
         ON {_NORM.format('u.location')} = x.a AND {_NORM.format('u.item')} = x.b""",

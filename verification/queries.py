@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from collections.abc import Callable
 from datetime import date, datetime, timedelta, timezone
 
@@ -24,6 +26,7 @@ from stockflow.operators.quality import dq_metrics, match_rate, near_miss
 from stockflow.operators.standardize import split_embedded_headers, standardize, with_audit
 from stockflow.plans import audit, erp, supply, transition
 from stockflow.plans.ingest import raw_metrics
+from stockflow.session import shared_folder
 from stockflow.sources.operations import failed_runs, registry_current, run_log_rules
 from verification import shapes
 from verification.shapes import shaped
@@ -77,6 +80,16 @@ def _crosswalk(spark, sf_dir) -> DataFrame:
     return supply.crosswalk(_buylist(spark, sf_dir))
 
 
+def _stored(df: DataFrame) -> DataFrame:
+    """``df`` written once below the shared folder, for queries that read it more than once."""
+    spark = df.sparkSession
+    if not spark.conf.get("spark.checkpoint.dir", None) and spark.sparkContext.master.startswith("local["):
+        spark.conf.set("spark.checkpoint.dir", f"file://{tempfile.mkdtemp(prefix='shared-')}")
+    path = f"{shared_folder(spark)}/stockflow/{uuid.uuid4()}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def sanitize_identifier(spark, sf_dir):
     part = _table(spark, sf_dir, "part")
     label = F.concat(F.lit(" "), "p_brand", F.lit("  "), "p_type", F.lit("#"))
@@ -227,7 +240,11 @@ def crosswalk_match_rate(spark, sf_dir):
 
 
 def _unmatched(spark, sf_dir):
-    return supply.resolve_sku(_inventory(spark, sf_dir), _crosswalk(spark, sf_dir)).unmatched.where("CATN32 IS NULL")
+    return supply.resolve_sku(_inventory(spark, sf_dir), _crosswalk(spark, sf_dir)).unmatched
+
+
+def publish_match_rate(spark, sf_dir):
+    return supply.publish_rate(crosswalk_join(spark, sf_dir))
 
 
 def crosswalk_unmatched(spark, sf_dir):
@@ -236,7 +253,9 @@ def crosswalk_unmatched(spark, sf_dir):
 
 def near_miss_keys(spark, sf_dir):
     on = [("location", "BLCD32"), ("item", "StateReferenceNumber")]
-    return near_miss(_unmatched(spark, sf_dir), _crosswalk(spark, sf_dir), on, "CATN32")
+    xwalk = _stored(_crosswalk(spark, sf_dir))
+    missed = supply.resolve_sku(_inventory(spark, sf_dir), xwalk).unmatched
+    return near_miss(missed.where("reason = 'NO_SKU_MATCH'"), xwalk, on, "CATN32")
 
 
 def in_transit(spark, sf_dir):
@@ -390,6 +409,7 @@ QUERIES: dict[str, Query] = {
     "crosswalk_join": crosswalk_join,
     "crosswalk_match_rate": crosswalk_match_rate,
     "crosswalk_unmatched": crosswalk_unmatched,
+    "publish_match_rate": publish_match_rate,
     "near_miss_keys": near_miss_keys,
     "in_transit": in_transit,
     "distributor_normalize": distributor_normalize,
