@@ -81,6 +81,9 @@ class SourceConfig:
     delimiter: str = ","
     encoding: str = "utf-8"
     multi_line: bool = False
+    # Sheets only: most columns of a line, and other names a wanted column goes by.
+    sheet_width: int = 64
+    aliases: Mapping[str, str] = field(default_factory=dict)
     na_tokens: tuple[str, ...] = NA_TOKENS
     env: str = "dev"
     notebook_type: str = "source"

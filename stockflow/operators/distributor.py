@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from stockflow.config import DISTRIBUTOR_LOCATIONS, INVENTORY_OPTIONAL, INVENTORY_REQUIRED
 from stockflow.functions.numbers import to_number, to_quantity
 from stockflow.functions.text import strip_ws
+from stockflow.operators.joins import lookup
 from stockflow.operators.keyed import Split
 
 ITEM_REFERENCE = "Customer Item Reference"
@@ -109,6 +110,34 @@ def sheet_inventory(df: DataFrame, cfg: SheetConfig) -> Split:
     return Split(usable, rejected.unionByName(lost))
 
 
+def sheet_step(
+    locations: DataFrame, location: str = "location", item: str = "item", on_hand: str = "on_hand_qty"
+) -> Callable[[DataFrame], Split]:
+    """A source's own step for sheets: usable rows with customer code and whole units, the rest as rejects.
+
+    ``locations`` is a table of ``code`` and ``customer``; of repeated codes the
+    smallest customer holds. Reasons: NO_ITEM, BAD_QUANTITY, NO_LOCATION,
+    UNMAPPED_LOCATION. What the sheet reported stays in two columns of its own.
+    The quantity must not be among the source's quantity columns, which turn what
+    is not a number into zero.
+    """
+    codes = locations.where("customer IS NOT NULL").groupBy(strip_ws(F.col("code")).alias("__code")).agg(F.min("customer").alias("__customer"))
+
+    def step(rows: DataFrame) -> Split:
+        rows = rows.withColumns({"reported_location": F.col(location), "reported_on_hand": F.col(on_hand)})
+        found = lookup(rows, codes, [(location, "__code")]).withColumn(on_hand, to_quantity(F.col(on_hand)))
+        reason = (
+            F.when(F.col(item).isNull(), "NO_ITEM")
+            .when(F.col(on_hand).isNull(), "BAD_QUANTITY")
+            .when(F.col(location).isNull(), "NO_LOCATION")
+            .when(F.col("__customer").isNull(), "UNMAPPED_LOCATION")
+        )
+        judged = found.withColumn("reason", reason).withColumn(location, F.col("__customer")).drop("__code", "__customer")
+        return Split(judged.where("reason IS NULL").drop("reason"), judged.where("reason IS NOT NULL"))
+
+    return step
+
+
 def append_sources(
     frames: Mapping[str, DataFrame],
     required: Sequence[str] = INVENTORY_REQUIRED,

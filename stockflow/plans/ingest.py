@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import logging
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -10,8 +12,16 @@ from stockflow.config import RunContext, SourceConfig
 from stockflow.operators.quality import dq_metrics, enforce
 from stockflow.operators.standardize import clean, deduplicate, rejects, with_audit
 from stockflow.session import materialized
-from stockflow.sources.files import ORDINAL, OVERFLOW, TECHNICAL, check_freshness, read_source
+from stockflow.sources.files import (
+    ORDINAL,
+    OVERFLOW,
+    TECHNICAL,
+    check_freshness,
+    read_cells,
+    read_source,
+)
 from stockflow.sources.operations import RunResult, logged_run, register_source
+from stockflow.sources.sheets import sheet_source
 from stockflow.sources.tables import commit_run, ensure_schemas, run_rows, verify_write
 
 log = logging.getLogger(__name__)
@@ -19,14 +29,15 @@ log = logging.getLogger(__name__)
 
 def raw_metrics(df: DataFrame, cfg: SourceConfig) -> DataFrame:
     """Gate of the raw layer. Values lost when quantities are parsed are counted here,
-    where the text is still at hand; they only warn."""
+    where the text is still at hand; they only warn. A sheet's rows without a required
+    value are rejected by its own step; the staged gate checks what is left."""
     return dq_metrics(
         df.drop(*ORDINAL),
         expected=cfg.expected_columns,
         required=cfg.required_columns,
         min_rows=cfg.min_rows,
         max_rows=cfg.max_rows,
-        not_null=cfg.required_columns,
+        not_null=() if cfg.src_format == "sheet" else cfg.required_columns,
         quantities=cfg.raw_quantities,
         overflow=OVERFLOW,
     )
@@ -56,6 +67,19 @@ def log_rejects(spark: SparkSession, cfg: SourceConfig, ctx: RunContext) -> None
         log.warning("%s: %d rows rejected as %s", cfg.source_name, row["count"], row.reason)
 
 
+@contextmanager
+def stored_source(spark: SparkSession, cfg: SourceConfig) -> Iterator[DataFrame]:
+    """The source's rows as a stored copy, the files being read once. A sheet is stored as
+    lines first, since its header is found among them."""
+    if cfg.src_format != "sheet":
+        with materialized(read_source(spark, cfg), "source") as raw:
+            yield raw
+        return
+    with materialized(read_cells(spark, cfg), "lines") as lines:
+        with materialized(sheet_source(lines, cfg), "source") as raw:
+            yield raw
+
+
 def ingest(spark: SparkSession, cfg: SourceConfig, ctx: RunContext | None = None) -> RunResult:
     """Run one source. Raises on any failed gate; the run is logged either way.
 
@@ -72,7 +96,7 @@ def ingest(spark: SparkSession, cfg: SourceConfig, ctx: RunContext | None = None
     )
     with logged_run(spark, result):
         check_freshness(spark, cfg, ctx.load_timestamp)
-        with materialized(read_source(spark, cfg), "source") as raw:
+        with stored_source(spark, cfg) as raw:
             enforce(raw_metrics(raw, cfg), "raw")
             _commit(raw, cfg.raw_table, cfg, ctx)
             result.rows_raw = verify_write(spark, cfg.raw_table, ctx, raw.count())

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import logging
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, DataFrameReader, SparkSession
@@ -24,6 +26,8 @@ OVERFLOW = "_src_overflow"
 TECHNICAL = (*ORDINAL, OVERFLOW)
 
 _DELIMITED = ("csv", "txt", "tab")
+# Headers read at a time.
+HEADER_JOBS = 16
 
 
 def _reader(spark: SparkSession, cfg: SourceConfig) -> DataFrameReader:
@@ -37,35 +41,48 @@ def _reader(spark: SparkSession, cfg: SourceConfig) -> DataFrameReader:
     )
 
 
-def header_names(spark: SparkSession, cfg: SourceConfig) -> list[str]:
-    """Sanitised names from the first line of the file."""
-    first = _reader(spark, cfg).option("header", False).csv(cfg.src_path).first()
+def listed_paths(spark: SparkSession, path: str) -> list[str]:
+    """The files Spark reads under ``path``, in order of their names; contents are not read."""
+    found = spark.read.format("binaryFile").load(path).select("path").collect()
+    return sorted(row.path for row in found)
+
+
+def header_names(spark: SparkSession, cfg: SourceConfig, path: str) -> list[str] | None:
+    """Sanitised names from the first line of a file; None if the file is empty.
+
+    Only the beginning of the file is read.
+    """
+    first = _reader(spark, cfg).option("header", False).csv(path).first()
     if first is None:
-        raise ValueError(f"{cfg.src_path} is empty")
+        return None
     names = unique_names(first)
     for header, name in zip(first, names, strict=True):
         if sanitize_name(header or "") != name:
-            log.warning("%s: header %r is blank or repeated, read as %s", cfg.src_path, header, name)
+            log.warning("%s: header %r is blank or repeated, read as %s", path, header, name)
     return names
 
 
-def check_headers(spark: SparkSession, cfg: SourceConfig) -> None:
-    """Raise if the files of a source do not all begin with the same line.
+def files_by_header(spark: SparkSession, cfg: SourceConfig) -> dict[tuple[str, ...], list[str]]:
+    """Files of a source by the names in their first line, first file's names first.
 
-    Columns are read by position under the first file's names, so another order
-    in another file would swap values. One aggregate over first blocks.
+    Headers are small jobs over the first line of each listed file, some at a
+    time; files without any line are left out.
     """
-    lines = spark.read.option("encoding", cfg.encoding).text(cfg.src_path)
-    placed = lines.select(
-        "value",
-        F.col("_metadata.file_path").alias("path"),
-        F.col("_metadata.file_block_start").alias("block"),
-        F.monotonically_increasing_id().alias("place"),
-    )
-    first = placed.where("block = 0").groupBy("path").agg(F.min_by("value", "place").alias("header"))
-    different = first.groupBy("header").agg(F.min("path").alias("path")).limit(2).collect()
-    if len(different) > 1:
-        raise ValueError(f"{different[0].path} and {different[1].path} have different headers")
+    paths = listed_paths(spark, cfg.src_path)
+    with ThreadPoolExecutor(HEADER_JOBS) as pool:
+        headers = list(pool.map(lambda path: header_names(spark, cfg, path), paths))
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for path, names in zip(paths, headers, strict=True):
+        if names:
+            groups.setdefault(tuple(names), []).append(path)
+    if not groups:
+        raise ValueError(f"{cfg.src_path} is empty")
+    return groups
+
+
+def _delimited(spark: SparkSession, cfg: SourceConfig, names: Sequence[str], paths: list[str]) -> DataFrame:
+    schema = T.StructType([T.StructField(n, T.StringType()) for n in (*names, OVERFLOW)])
+    return with_position(_reader(spark, cfg).option("header", True).schema(schema).csv(paths))
 
 
 def read_source(spark: SparkSession, cfg: SourceConfig) -> DataFrame:
@@ -75,14 +92,18 @@ def read_source(spark: SparkSession, cfg: SourceConfig) -> DataFrame:
     breaks inside quotes and makes a file one task; leave it off for large
     extracts, which are then split. What a line of a delimited file has beyond
     the header's columns is kept in ``OVERFLOW`` for the raw gate.
+
+    The files of a folder may have their columns in different orders, or not all
+    columns: files with one header are one scan, and the scans are put together
+    by name, with nulls for columns a file lacks. Every file is read once.
     """
     if cfg.src_format in _DELIMITED:
-        check_headers(spark, cfg)
-        names = header_names(spark, cfg)
-        schema = T.StructType([T.StructField(n, T.StringType()) for n in (*names, OVERFLOW)])
-        df = _reader(spark, cfg).option("header", True).schema(schema).csv(cfg.src_path)
-        df = with_row_ordinal(df)
-        return df.withColumns({n: nullify(F.col(n), cfg.na_tokens) for n in names})
+        groups = files_by_header(spark, cfg)
+        scans = [_delimited(spark, cfg, names, paths) for names, paths in groups.items()]
+        df = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), scans)
+        names = list(dict.fromkeys(n for header in groups for n in header))
+        df = df.withColumn(ROW_ID, F.monotonically_increasing_id())
+        return df.select(*(nullify(F.col(n), cfg.na_tokens).alias(n) for n in names), OVERFLOW, *ORDINAL)
     if cfg.src_format == "parquet":
         df = spark.read.parquet(cfg.src_path)
         names = unique_names(df.columns)
@@ -90,7 +111,27 @@ def read_source(spark: SparkSession, cfg: SourceConfig) -> DataFrame:
         old = [c for c in df.columns if c not in ORDINAL]
         text = [F.col(f"`{o}`").cast("string").alias(n) for o, n in zip(old, names, strict=True)]
         return df.select(*text, *ORDINAL)
-    raise ValueError(f"unsupported format {cfg.src_format!r}; use csv, txt, tab or parquet")
+    raise ValueError(f"unsupported format {cfg.src_format!r}; use csv, txt, tab, sheet or parquet")
+
+
+def read_cells(spark: SparkSession, cfg: SourceConfig) -> DataFrame:
+    """Lines of a sheet as ``cells``, trimmed of nothing and named by nothing, with their ordinal.
+
+    A sheet has up to ``cfg.sheet_width`` columns; what a line has beyond that is
+    kept in ``OVERFLOW`` for the raw gate.
+    """
+    columns = [f"c{i}" for i in range(cfg.sheet_width)]
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in (*columns, OVERFLOW)])
+    df = with_position(_reader(spark, cfg).option("header", False).schema(schema).csv(cfg.src_path))
+    df = df.withColumn(ROW_ID, F.monotonically_increasing_id())
+    return df.select(F.array(*columns).alias("cells"), OVERFLOW, *ORDINAL)
+
+
+def with_position(df: DataFrame) -> DataFrame:
+    """Add file and block of each row. Only valid directly on a file scan."""
+    return df.withColumns(
+        {"_src_file": F.col("_metadata.file_path"), "_src_block": F.col("_metadata.file_block_start")}
+    )
 
 
 def with_row_ordinal(df: DataFrame) -> DataFrame:

@@ -128,7 +128,7 @@ def test_freshness_of_all_sources_at_once(spark, tmp_path):
     }
 
 
-def test_long_lines_and_other_header_orders(spark, tmp_path):
+def test_long_lines(spark, tmp_path):
     """A value beyond the header's columns is kept apart for the raw gate, not dropped."""
     path = tmp_path / "long.csv"
     path.write_text("item,qty\n1,2\n3,4,LOST\n5\n")
@@ -138,14 +138,49 @@ def test_long_lines_and_other_header_orders(spark, tmp_path):
     assert bag(gate.where("check_name = 'malformed'"), "value", "status") == {(1, "FAIL"): 1}
     assert gate.count() == 3
 
-    folder = tmp_path / "many"
+
+def test_files_with_headers_of_their_own(spark, tmp_path):
+    """Files of one folder are read by their own header, one scan for each header."""
+    folder = tmp_path / "many files"
     folder.mkdir()
-    (folder / "a.csv").write_text("item,qty\n1,2\n")
-    (folder / "b.csv").write_text("item,qty\n3,4\n")
-    assert read_source(spark, config(folder)).count() == 2
+    (folder / "a.csv").write_text("Item,Qty\n1,2\n1,3\n")
     (folder / "b.csv").write_text("qty,item\n4,3\n")
-    with pytest.raises(ValueError, match="different headers"):
-        read_source(spark, config(folder))
+    (folder / "c.csv").write_text("item,qty,Shelf\n5,6,s,MORE\n")
+    (folder / "d.csv").write_text("Item,Qty\n7,8\n")
+    (folder / "e.csv").write_text("")
+    (folder / "_hidden.csv").write_text("other\n1\n")
+    df = read_source(spark, config(folder))
+    assert df.columns == ["item", "qty", "shelf", OVERFLOW, *ORDINAL]
+    assert bag(df, "item", "qty", "shelf", OVERFLOW) == {
+        ("1", "2", None, None): 1, ("1", "3", None, None): 1, ("3", "4", None, None): 1,
+        ("5", "6", "s", "MORE"): 1, ("7", "8", None, None): 1,
+    }
+    assert df.select("_src_row").distinct().count() == 5
+    assert df._jdf.queryExecution().executedPlan().toString().count("FileScan csv") == 3
+    kept = standardize(df, config(folder, business_key=("item",), quantity_columns=("qty",))).kept
+    assert bag(kept, "item", "qty") == {("1", 3): 1, ("3", 4): 1, ("5", 6): 1, ("7", 8): 1}
+    empty = tmp_path / "empty"
+    empty.mkdir()
+    (empty / "a.csv").write_text("")
+    with pytest.raises(ValueError, match="is empty"):
+        read_source(spark, config(empty))
+
+
+def test_a_source_is_read_once(spark, tmp_path):
+    """Finding the headers does not read the files a second time."""
+    folder = tmp_path / "large"
+    folder.mkdir()
+    for name, header in (("a", "item,qty"), ("b", "qty,item")):
+        (folder / f"{name}.csv").write_text(header + "\n" + "123456,789012\n" * 300_000)
+    size = sum(p.stat().st_size for p in folder.iterdir())
+
+    def read():
+        stats = spark._jvm.org.apache.hadoop.fs.FileSystem.getAllStatistics()
+        return sum(s.getBytesRead() for s in stats if s.getScheme() == "file")
+
+    before = read()
+    assert read_source(spark, config(folder)).where("item IS NULL").count() == 0
+    assert size <= read() - before < 1.3 * size
 
 
 def test_freshness_of_relative_and_qualified_paths(spark, tmp_path):

@@ -343,12 +343,16 @@ ORACLE: dict[str, str] = {
             ORDER BY max(load_timestamp) DESC, pipeline_run_id DESC) AS n
           FROM s GROUP BY source, load_date, pipeline_run_id) w
         USING (source, load_date, pipeline_run_id) WHERE n = 1""",
-    "snapshot_from_log": _with(s=_shape(shapes.SNAPSHOTS)) + """
+    "snapshot_from_log": _with(s=_shape(shapes.RUN_ROWS), l=_shape(shapes.RUN_ROWS_LOG)) + """
         SELECT s.* FROM s JOIN (
           SELECT load_date, pipeline_run_id, row_number() OVER (PARTITION BY load_date
-            ORDER BY max(load_timestamp) DESC, pipeline_run_id DESC) AS n
-          FROM s WHERE load_date IS NOT NULL AND pipeline_run_id IS NOT NULL GROUP BY load_date, pipeline_run_id) w
+            ORDER BY load_timestamp DESC, pipeline_run_id DESC) AS n
+          FROM l WHERE status = 'SUCCESS') w
         USING (load_date, pipeline_run_id) WHERE n = 1""",
+    "sheet_detected": """
+        SELECT event_type AS site, CAST(user_id AS VARCHAR) AS item_no, CAST(value AS VARCHAR) AS on_hand_qty,
+          CASE WHEN event_id % 2 = 0 THEN 'north' ELSE 'south' END AS _src_file, event_id + 10 AS _src_row
+        FROM events""",
     "buylist_detail_view": _with(**_TO_BUYLIST) + "SELECT * FROM buylist",
     "orders_base_view": _with(**_TO_ORDERS) + "SELECT * FROM orders_base",
     "open_orders": _with(**_TO_ORDERS)

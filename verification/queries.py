@@ -27,7 +27,14 @@ from stockflow.operators.standardize import split_embedded_headers, standardize,
 from stockflow.plans import audit, erp, supply, transition
 from stockflow.plans.ingest import raw_metrics
 from stockflow.session import shared_folder
-from stockflow.sources.operations import failed_runs, registry_current, run_log_rules
+from stockflow.sources.operations import (
+    failed_runs,
+    registry_current,
+    run_log_rules,
+    snapshot,
+    winning_runs,
+)
+from stockflow.sources.sheets import detect_headers, mapped_rows
 from verification import shapes
 from verification.shapes import shaped
 
@@ -83,13 +90,17 @@ def _crosswalk(spark, sf_dir) -> DataFrame:
 def _stored(df: DataFrame) -> DataFrame:
     """``df`` written once below the shared folder, for queries that read it more than once."""
     spark = df.sparkSession
-    if not spark.conf.get("spark.checkpoint.dir", None) and spark.sparkContext.master.startswith("local["):
-        spark.conf.set("spark.checkpoint.dir", f"file://{tempfile.mkdtemp(prefix='shared-')}")
-    path = f"{shared_folder(spark)}/stockflow/{uuid.uuid4()}"
+    path = _new_folder(spark)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def _new_folder(spark: SparkSession) -> str:
+    if not spark.conf.get("spark.checkpoint.dir", None) and spark.sparkContext.master.startswith("local["):
+        spark.conf.set("spark.checkpoint.dir", f"file://{tempfile.mkdtemp(prefix='shared-')}")
+    return f"{shared_folder(spark)}/stockflow/{uuid.uuid4()}"
+
+
 def sanitize_identifier(spark, sf_dir):
     part = _table(spark, sf_dir, "part")
     label = F.concat(F.lit(" "), "p_brand", F.lit("  "), "p_type", F.lit("#"))
@@ -184,6 +195,23 @@ def latest_snapshot_query(spark, sf_dir):
     return latest_snapshot(shaped(spark, sf_dir, shapes.SNAPSHOTS), keys=("source", "load_date"))
 
 
+def snapshot_from_log(spark, sf_dir):
+    """Newest run of each day by the run log, over a table that is partitioned by run."""
+    rows = shaped(spark, sf_dir, shapes.RUN_ROWS)
+    path = _new_folder(spark)
+    rows.repartition("load_date", "pipeline_run_id").write.partitionBy("load_date", "pipeline_run_id").parquet(path)
+    table = spark.read.schema(rows.schema).parquet(path)
+    runs = _stored(shaped(spark, sf_dir, shapes.RUN_ROWS_LOG))
+    return snapshot(table, winning_runs(runs, "stg.events", keys=("load_date",)))
+
+
+def sheet_detected(spark, sf_dir):
+    lines = shaped(spark, sf_dir, shapes.SHEET_LINES)
+    wanted, aliases = ("site", "item_no", "on_hand_qty"), {"stock": "on_hand_qty"}
+    headers = detect_headers(lines, wanted, wanted, aliases)
+    return mapped_rows(lines, headers, wanted, aliases).rows.drop("_src_block")
+
+
 def open_orders(spark, sf_dir):
     return erp.open_orders(_orders(spark, sf_dir))
 
@@ -398,6 +426,8 @@ QUERIES: dict[str, Query] = {
     "latest_fulfill_line": latest_fulfill_line,
     "fulfill_null_keys": fulfill_null_keys,
     "latest_snapshot": latest_snapshot_query,
+    "snapshot_from_log": snapshot_from_log,
+    "sheet_detected": sheet_detected,
     "buylist_detail_view": _buylist,
     "orders_base_view": _orders,
     "open_orders": open_orders,

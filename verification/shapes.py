@@ -234,6 +234,32 @@ SNAPSHOTS = f"""
     FROM {{events}}"""
 
 
+# Rows of three runs a day, by partition; the fourth run's are of failed runs.
+RUN_ROWS = """
+    SELECT event_id, value, ts, CAST(ts AS DATE) AS load_date,
+      'run-' || CAST(user_id % 4 AS STRING) AS pipeline_run_id
+    FROM {events}"""
+RUN_ROWS_LOG = f"""
+    SELECT load_date, pipeline_run_id, max(ts) AS load_timestamp, 'stg.events' AS stg_table,
+      CASE WHEN pipeline_run_id = 'run-3' THEN 'FAILURE' ELSE 'SUCCESS' END AS status
+    FROM ({RUN_ROWS}) GROUP BY load_date, pipeline_run_id"""
+
+# Lines of two sheets with other title lines, other column orders and other names.
+SHEET_LINES = """
+    SELECT CASE WHEN event_id % 2 = 0 THEN 'north' ELSE 'south' END AS _src_file, CAST(0 AS BIGINT) AS _src_block,
+      event_id + 10 AS _src_row,
+      CASE WHEN event_id % 2 = 0 THEN array(event_type, 'x', CAST(user_id AS STRING), CAST(value AS STRING))
+        ELSE array(CAST(value AS STRING), CAST(user_id AS STRING), event_type, NULL) END AS cells
+    FROM {events}
+    UNION ALL SELECT * FROM VALUES
+      ('north', CAST(0 AS BIGINT), CAST(0 AS BIGINT), array('Inventory report', NULL, NULL, NULL)),
+      ('north', CAST(0 AS BIGINT), CAST(1 AS BIGINT), array('Site', 'Note', 'Item No', 'On-Hand Qty')),
+      ('south', CAST(0 AS BIGINT), CAST(0 AS BIGINT), array('Item No', 'as of', 'today', NULL)),
+      ('south', CAST(0 AS BIGINT), CAST(1 AS BIGINT), array(NULL, NULL, NULL, NULL)),
+      ('south', CAST(0 AS BIGINT), CAST(2 AS BIGINT), array('Stock', 'ITEM NO', 'site ', NULL)),
+      ('south', CAST(0 AS BIGINT), CAST(3 AS BIGINT), array('Stock', 'ITEM NO', 'site ', NULL))"""
+
+
 def _unless_blank(expr: str) -> str:
     return f"CASE WHEN n_chars % 101 = 0 THEN NULL ELSE {expr} END"
 
