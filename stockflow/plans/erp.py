@@ -2,16 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stockflow.config import CHARGE_SKUS, EXCLUDED_HEADER_STATUSES
-from stockflow.functions.text import middle_segment, sql_concat
-from stockflow.operators.joins import lookup, spread_join
 from stockflow.operators.keyed import all_present, latest_by, null_key_groups
+from stockflow.plans.spec import Join, Newest, Pick, View, column, frame, view_frame, view_sql
 
 Tables = Mapping[str, DataFrame]
 
@@ -151,34 +150,63 @@ def catalog_tables(
     return {role: spark.table(f"{schema}.{name}") for role, name in roles.items()}
 
 
-def _pick(df: DataFrame, columns: Mapping[str, str], **keys: str) -> DataFrame:
+def _pick(role: str, columns: Mapping[str, str], **keys: str) -> Pick:
     """Columns under their view names, plus join keys under names of their own."""
-    return df.select(*(F.col(old).alias(new) for new, old in {**columns, **keys}.items()))
+    return Pick(role, {new: column(old) for new, old in {**columns, **keys}.items()})
 
 
-def buylist_detail(t: Tables) -> DataFrame:
-    """One row per buying-list item and customer of the list.
+def _sql_concat(*names: str) -> str:
+    """``sql_concat`` as text."""
+    return "concat(" + ", ".join(f"coalesce({column(n)}, '')" for n in names) + ")"
 
-    Customers are joined to their master before the list fans out, so the
-    master lookup runs once per list customer and not once per item of a list.
-    """
-    items = _pick(t["item"], BUYLIST_ITEM_COLUMNS, _list="BUYLISTKEY", _item="ITEMKEY")
-    headers = _pick(t["header"], BUYLIST_HEADER_COLUMNS, _header="BUYLISTKEY")
-    master = _pick(t["master"], ITEM_MASTER_COLUMNS, _master="ItemKey")
-    customers = lookup(
-        _pick(
-            t["list_customer"], BUYLIST_CUSTOMER_COLUMNS,
-            _customer_list="BUYLISTKEY", _customer="CUSTOMERKEY",
-        ),
-        _pick(t["customer"], CUSTOMER_MASTER_COLUMNS, _customer_master="CustomerKey"),
-        [("_customer", "_customer_master")],
-        spread_by=["_customer_list"],
-    )
-    rows = spread_join(items, headers, [("_list", "_header")], "inner")
-    rows = lookup(rows, master, [("_item", "_master")], spread_by=["_list"])
-    rows = lookup(rows, customers, [("_list", "_customer_list")])
-    key = sql_concat(*(F.col(buylist) for buylist, _ in SHARED_KEY))
-    return rows.withColumn("BuyListDetailKey", key).select(*BUYLIST_DETAIL_COLUMNS)
+
+def _middle_segment(name: str) -> str:
+    """``middle_segment`` as text."""
+    parts = f"split({column(name)}, '-')"
+    return f"CASE WHEN size({parts}) >= 3 THEN get({parts}, 1) END"
+
+
+# Customers are joined to their master before the list fans out, so the master
+# lookup runs once per list customer and not once per item of a list.
+_LIST_CUSTOMERS = Join(
+    _pick("list_customer", BUYLIST_CUSTOMER_COLUMNS, _customer_list="BUYLISTKEY", _customer="CUSTOMERKEY"),
+    _pick("customer", CUSTOMER_MASTER_COLUMNS, _customer_master="CustomerKey"),
+    (("_customer", "_customer_master"),),
+    spread_by=("_customer_list",),
+)
+_LIST_ITEMS = Join(
+    Join(
+        _pick("item", BUYLIST_ITEM_COLUMNS, _list="BUYLISTKEY", _item="ITEMKEY"),
+        _pick("header", BUYLIST_HEADER_COLUMNS, _header="BUYLISTKEY"),
+        (("_list", "_header"),),
+        "inner",
+    ),
+    _pick("master", ITEM_MASTER_COLUMNS, _master="ItemKey"),
+    (("_item", "_master"),),
+    spread_by=("_list",),
+)
+BUYLIST_VIEW = View(
+    "vw_BuyList_DetailInfo",
+    Join(_LIST_ITEMS, _LIST_CUSTOMERS, (("_list", "_customer_list"),)),
+    BUYLIST_DETAIL_COLUMNS,
+    {"BuyListDetailKey": _sql_concat(*(buylist for buylist, _ in SHARED_KEY))},
+)
+
+
+def buylist_detail(t: Tables) -> DataFrame:
+    """One row per buying-list item and customer of the list."""
+    return view_frame(BUYLIST_VIEW, t)
+
+
+FULFILL_NEWEST = Newest(
+    FULFILL_KEY,
+    "FULFILLLINELASTUPDATEDATE",
+    (
+        "FULFILLLINEID", "FULFILLLINELINEID", "FULFILLLINEHEADERID",
+        "FULFILLLINEINVENTORYORGANIZATIONID", "FULFILLLINEFULFILLORGID",
+        "FULFILLLINESUBINVENTORY", "FULFILLLINESHIPPEDQTY",
+    ),
+)
 
 
 def latest_fulfill_lines(fulfill: DataFrame) -> DataFrame:
@@ -187,120 +215,154 @@ def latest_fulfill_lines(fulfill: DataFrame) -> DataFrame:
     Lines without a source order or line number share one group per remaining
     value, so one of them survives; ``fulfill_null_keys`` counts the others.
     """
-    return latest_by(
-        fulfill,
-        FULFILL_KEY,
-        "FULFILLLINELASTUPDATEDATE",
-        ties=(
-            "FULFILLLINEID", "FULFILLLINELINEID", "FULFILLLINEHEADERID",
-            "FULFILLLINEINVENTORYORGANIZATIONID", "FULFILLLINEFULFILLORGID",
-            "FULFILLLINESUBINVENTORY", "FULFILLLINESHIPPEDQTY",
-        ),
-    )
+    return latest_by(fulfill, FULFILL_NEWEST.keys, FULFILL_NEWEST.by, FULFILL_NEWEST.ties)
 
 
 def fulfill_null_keys(fulfill: DataFrame) -> DataFrame:
     return null_key_groups(fulfill, FULFILL_KEY)
 
 
+_STATUSES = ", ".join(f"'{s}'" for s in EXCLUDED_HEADER_STATUSES)
+# Headers that count as orders; a null status does not.
+ORDER_HEADERS = f"HEADERSTATUSCODE NOT IN ({_STATUSES}) AND HEADERSOURCEDOCUMENTTYPECODE IS NULL"
+
+
 def order_headers(header: DataFrame) -> DataFrame:
-    """Headers that count as orders; a null status does not."""
-    return header.where(
-        ~F.col("HEADERSTATUSCODE").isin(*EXCLUDED_HEADER_STATUSES)
-        & F.col("HEADERSOURCEDOCUMENTTYPECODE").isNull()
-    )
+    return header.where(ORDER_HEADERS)
 
 
-def _header_side(t: Tables, detail: bool = True) -> DataFrame:
+def _header_side(detail: bool = True) -> Join:
     """Header with ship-to site, account and party: one row per header, or more when a
     header has several ship-to addresses or accounts. The party is ``detail``."""
-    headers = order_headers(t["header"]).select(
-        F.col("HEADERID").alias("_header"),
-        F.col("HEADERCUSTOMERPONUMBER").alias("PONumber"),
-        F.col("HEADERORDERNUMBER").alias("OrderNumber"),
-        F.col("HEADERORDEREDDATE").alias("OrderDate"),
-        F.col("HEADERCREATIONDATE").cast("date").alias("HeaderCreateDate"),
-        F.col("HEADERONHOLD").alias("HeaderOnHold"),
-        F.col("HEADERSTATUSCODE").alias("OrderStatus"),
-        F.col("HEADERORDERTYPECODE").alias("HeaderTypeCode"),
-        F.col("HEADERSOLDTOPARTYID").alias("CustomerID"),
-    )
-    sites = t["party_site"].select(
-        F.col("PARTYSITEID").alias("_site_id"),
-        middle_segment(F.col("PARTYSITENUMBER")).alias("DeliveryAddressCode"),
-    )
-    ship_to = t["address"].where(F.col("ORDERADDRESSUSETYPE") == "SHIP_TO").select(
-        F.col("ORDERADDRESSHEADERID").alias("_address_header"),
-        F.col("ORDERADDRESSPARTYSITEID").alias("_site"),
+    headers = Pick(
+        "header",
+        {
+            "_header": "HEADERID",
+            "PONumber": "HEADERCUSTOMERPONUMBER",
+            "OrderNumber": "HEADERORDERNUMBER",
+            "OrderDate": "HEADERORDEREDDATE",
+            "HeaderCreateDate": "CAST(HEADERCREATIONDATE AS DATE)",
+            "HeaderOnHold": "HEADERONHOLD",
+            "OrderStatus": "HEADERSTATUSCODE",
+            "HeaderTypeCode": "HEADERORDERTYPECODE",
+            "CustomerID": "HEADERSOLDTOPARTYID",
+        },
+        ORDER_HEADERS,
     )
-    accounts = t["account"].select(
-        F.col("PARTYID").alias("_account_party"),
-        F.col("ACCOUNTNUMBER").alias("CustomerNumber"),
-        F.col("ACCOUNTNAME").alias("AccountName"),
+    sites = Pick("party_site", {"_site_id": "PARTYSITEID", "DeliveryAddressCode": _middle_segment("PARTYSITENUMBER")})
+    ship_to = Pick(
+        "address",
+        {"_address_header": "ORDERADDRESSHEADERID", "_site": "ORDERADDRESSPARTYSITEID"},
+        "ORDERADDRESSUSETYPE = 'SHIP_TO'",
     )
-    parties = t["party"].select(
-        F.col("PARTYID").alias("_party"), F.col("PARTYNAME").alias("CustomerName")
-    )
-    addresses = lookup(ship_to, sites, [("_site", "_site_id")], spread_by=["_address_header"])
-    rows = lookup(headers, addresses, [("_header", "_address_header")])
-    rows = lookup(rows, accounts, [("CustomerID", "_account_party")], spread_by=["_header"])
+    accounts = Pick("account", {"_account_party": "PARTYID", "CustomerNumber": "ACCOUNTNUMBER", "AccountName": "ACCOUNTNAME"})
+    parties = Pick("party", {"_party": "PARTYID", "CustomerName": "PARTYNAME"})
+    addresses = Join(ship_to, sites, (("_site", "_site_id"),), spread_by=("_address_header",))
+    rows = Join(headers, addresses, (("_header", "_address_header"),))
+    rows = Join(rows, accounts, (("CustomerID", "_account_party"),), spread_by=("_header",))
     if not detail:
         return rows
-    return lookup(rows, parties, [("CustomerID", "_party")], spread_by=["_header"])
+    return Join(rows, parties, (("CustomerID", "_party"),), spread_by=("_header",))
 
 
-def _fulfill_side(t: Tables, detail: bool = True) -> DataFrame:
+def _fulfill_side(detail: bool = True) -> Pick | Join:
     """Newest fulfil line, and as ``detail`` its organisation, allocation and stockroom."""
-    lines = latest_fulfill_lines(t["fulfill_line"]).select(
-        F.col("FULFILLLINEID").alias("_fulfill"),
-        F.col("FULFILLLINELINEID").alias("_fulfill_line"),
-        F.col("FULFILLLINEHEADERID").alias("_fulfill_header"),
-        F.col("FULFILLLINEINVENTORYORGANIZATIONID").alias("_fulfill_inventory_org"),
-        F.col("FULFILLLINEFULFILLORGID").alias("_fulfill_org"),
-        F.col("FULFILLLINESUBINVENTORY").alias("LineSubInventory"),
-        F.col("FULFILLLINESHIPPEDQTY").alias("FulfillLineShippedQTY"),
+    lines = Pick(
+        "fulfill_line",
+        {
+            "_fulfill": "FULFILLLINEID",
+            "_fulfill_line": "FULFILLLINELINEID",
+            "_fulfill_header": "FULFILLLINEHEADERID",
+            "_fulfill_inventory_org": "FULFILLLINEINVENTORYORGANIZATIONID",
+            "_fulfill_org": "FULFILLLINEFULFILLORGID",
+            "LineSubInventory": "FULFILLLINESUBINVENTORY",
+            "FulfillLineShippedQTY": "FULFILLLINESHIPPEDQTY",
+        },
+        newest=FULFILL_NEWEST,
     )
     if not detail:
         return lines
-    orgs = t["org"].select(
-        F.col("ORGANIZATIONID").alias("_org"),
-        F.substring("ATTRIBUTE1", 1, 2).alias("Company"),
-        F.substring("ATTRIBUTE1", 3, 2).alias("Plant"),
-        F.col("ORGANIZATIONCODE").alias("OrganizationCode"),
+    orgs = Pick(
+        "org",
+        {
+            "_org": "ORGANIZATIONID",
+            "Company": "substring(ATTRIBUTE1, 1, 2)",
+            "Plant": "substring(ATTRIBUTE1, 3, 2)",
+            "OrganizationCode": "ORGANIZATIONCODE",
+        },
     )
-    units = t["org_unit"].select(
-        F.col("ORGANIZATIONID").alias("_unit"),
-        F.col("ORGANIZATIONUNITTRANSLATIONPEONAME").alias("OrganizationName"),
+    units = Pick("org_unit", {"_unit": "ORGANIZATIONID", "OrganizationName": "ORGANIZATIONUNITTRANSLATIONPEONAME"})
+    allocations = Pick(
+        "allocation", {"_allocated": "FULFILL_LINE_ID", "_sub": "ATTRIBUTE_CHAR1"}, "CONTEXT_CODE = 'Allocation Details'"
     )
-    allocations = t["allocation"].where(F.col("CONTEXT_CODE") == "Allocation Details").select(
-        F.col("FULFILL_LINE_ID").alias("_allocated"), F.col("ATTRIBUTE_CHAR1").alias("_sub")
+    stockrooms = Pick(
+        "sub_inventory",
+        {"_sub_org": "ORGANIZATION_ID", "_sub_name": "SECONDARY_INVENTORY_NAME", "Stockroom": "substring(ATTRIBUTE1, 3, 2)"},
     )
-    stockrooms = t["sub_inventory"].select(
-        F.col("ORGANIZATION_ID").alias("_sub_org"),
-        F.col("SECONDARY_INVENTORY_NAME").alias("_sub_name"),
-        F.substring("ATTRIBUTE1", 3, 2).alias("Stockroom"),
+    line = ("_fulfill_line",)
+    rows = Join(lines, allocations, (("_fulfill", "_allocated"),), spread_by=line)
+    rows = Join(rows, orgs, (("_fulfill_org", "_org"),), spread_by=line)
+    rows = Join(rows, units, (("_fulfill_org", "_unit"),), spread_by=line)
+    return Join(rows, stockrooms, (("_fulfill_org", "_sub_org"), ("_sub", "_sub_name")), spread_by=line)
+
+
+_LINES = Pick(
+    "line",
+    {
+        "_line": "LINEID",
+        "_line_header": "LINEHEADERID",
+        "SKUID": "LINEINVENTORYITEMID",
+        "_inventory_org": "LINEINVENTORYORGANIZATIONID",
+        "LineNumber": f"CASE WHEN LINESOURCEORDERSYSTEM = '{SOURCE_SYSTEM_WITH_OWN_LINES}' THEN LINESOURCELINENUMBER"
+        " ELSE LINEDISPLAYLINENUMBER END",
+        "LineOnHold": "LINEONHOLD",
+        "LineCreateDate": "CAST(LINECREATIONDATE AS DATE)",
+        "RequestedShipDate": "LINESCHEDULESHIPDATE",
+        "ShipDate": "LINEACTUALSHIPDATE",
+        "LineStatusCode": "LINESTATUSCODE",
+        "OrderQty": "LINEORDEREDQTY",
+        "LineUOM": "LINEORDEREDUOM",
+    },
+)
+
+
+def _order_lines(detail: bool) -> Join:
+    """Lines with header, item and fulfil side."""
+    items = Pick(
+        "item",
+        {
+            "_item": "ITEMBASEPEOINVENTORYITEMID",
+            "_item_org": "ITEMBASEPEOINVENTORYORGANIZATIONID",
+            "SKU": "ITEMBASEPEOITEMNUMBER",
+            "SKUDesc": "ITEMTRANSLATIONPEODESCRIPTION",
+        },
+        "ITEMTRANSLATIONPEOLANGUAGE = 'US'",
     )
-    line = ["_fulfill_line"]
-    rows = lookup(lines, allocations, [("_fulfill", "_allocated")], line)
-    rows = lookup(rows, orgs, [("_fulfill_org", "_org")], line)
-    rows = lookup(rows, units, [("_fulfill_org", "_unit")], line)
-    return lookup(rows, stockrooms, [("_fulfill_org", "_sub_org"), ("_sub", "_sub_name")], line)
+    of_line = (("_line", "_fulfill_line"), ("_line_header", "_fulfill_header"), ("_inventory_org", "_fulfill_inventory_org"))
+    rows = Join(_LINES, _header_side(detail), (("_line_header", "_header"),), "inner")
+    rows = Join(rows, items, (("SKUID", "_item"), ("_inventory_org", "_item_org")), spread_by=("_line",))
+    return Join(rows, _fulfill_side(detail), of_line, spread_by=("_line",))
+
+
+# Lookups hang on the side they depend on: address, account and party on the
+# header, organisation and allocation on the fulfil line. They run at that grain
+# before the lines are joined, and lines without a fulfil line never carry null
+# keys into them.
+ORDERS_VIEW = View(
+    "vw_Orders_Base",
+    _order_lines(detail=True),
+    ORDERS_BASE_COLUMNS,
+    {"AccountNumber": column("CustomerNumber"), "OrdersBaseKey": _sql_concat(*(orders for _, orders in SHARED_KEY))},
+)
 
 
 def orders_base(t: Tables) -> DataFrame:
     """One row per order line over its whole life cycle, with its newest fulfil line.
 
-    Lookups hang on the side they depend on: address, account and party on the
-    header, organisation and allocation on the fulfil line. They run at that
-    grain before the lines are joined, and lines without a fulfil line never
-    carry null keys into them. Duplicate addresses, accounts or allocations
-    multiply rows as in any left join; ``fanout_metrics`` measures that.
+    Duplicate addresses, accounts or allocations multiply rows as in any left
+    join; ``fanout_metrics`` measures that.
     """
-    rows = _join_sides(t, _lines(t), detail=True)
-    key = sql_concat(*(F.col(orders) for _, orders in SHARED_KEY))
-    return rows.withColumns(
-        {"AccountNumber": F.col("CustomerNumber"), "OrdersBaseKey": key}
-    ).select(*ORDERS_BASE_COLUMNS)
+    return view_frame(ORDERS_VIEW, t)
 
 
 # What orders in transit are made of.
@@ -319,7 +381,8 @@ def orders_requested(t: Tables, first: date, last: date) -> DataFrame:
     out; they could only repeat rows. Of the fulfil lines all rows of a wanted key
     stay, so that the newest is the same as over the whole table.
     """
-    lines = _lines(t).where(F.col("RequestedShipDate").between(F.lit(first), F.lit(last)))
+    requested = t["line"].where(F.col("LINESCHEDULESHIPDATE").between(F.lit(first), F.lit(last)))
+    lines = frame(_LINES, {"line": requested})
     ids = lines.select(F.col("_line_header").alias("_wanted"))
     fulfill = t["fulfill_line"]
     of_lines = fulfill.join(
@@ -330,67 +393,31 @@ def orders_requested(t: Tables, first: date, last: date) -> DataFrame:
     keys = of_lines.select(*(F.col(k).alias(f"_w{i}") for i, k in enumerate(FULFILL_KEY))).distinct()
     same = [F.col(k).eqNullSafe(F.col(f"_w{i}")) for i, k in enumerate(FULFILL_KEY)]
     cut = dict(t) | {
+        "line": requested,
         "header": t["header"].join(ids, F.col("HEADERID") == F.col("_wanted"), "left_semi"),
         "address": t["address"].join(
             ids, F.col("ORDERADDRESSHEADERID") == F.col("_wanted"), "left_semi"
         ),
         "fulfill_line": fulfill.join(keys, same, "left_semi"),
     }
-    return _join_sides(cut, lines, detail=False).select(*TRANSIT_COLUMNS).distinct()
-
-
-def _lines(t: Tables) -> DataFrame:
-    own_number = F.col("LINESOURCEORDERSYSTEM") == SOURCE_SYSTEM_WITH_OWN_LINES
-    return t["line"].select(
-        F.col("LINEID").alias("_line"),
-        F.col("LINEHEADERID").alias("_line_header"),
-        F.col("LINEINVENTORYITEMID").alias("SKUID"),
-        F.col("LINEINVENTORYORGANIZATIONID").alias("_inventory_org"),
-        F.when(own_number, F.col("LINESOURCELINENUMBER"))
-        .otherwise(F.col("LINEDISPLAYLINENUMBER"))
-        .alias("LineNumber"),
-        F.col("LINEONHOLD").alias("LineOnHold"),
-        F.col("LINECREATIONDATE").cast("date").alias("LineCreateDate"),
-        F.col("LINESCHEDULESHIPDATE").alias("RequestedShipDate"),
-        F.col("LINEACTUALSHIPDATE").alias("ShipDate"),
-        F.col("LINESTATUSCODE").alias("LineStatusCode"),
-        F.col("LINEORDEREDQTY").alias("OrderQty"),
-        F.col("LINEORDEREDUOM").alias("LineUOM"),
-    )
-
-
-def _join_sides(t: Tables, lines: DataFrame, detail: bool) -> DataFrame:
-    """Lines with header, item and fulfil side."""
-    items = t["item"].where(F.col("ITEMTRANSLATIONPEOLANGUAGE") == "US").select(
-        F.col("ITEMBASEPEOINVENTORYITEMID").alias("_item"),
-        F.col("ITEMBASEPEOINVENTORYORGANIZATIONID").alias("_item_org"),
-        F.col("ITEMBASEPEOITEMNUMBER").alias("SKU"),
-        F.col("ITEMTRANSLATIONPEODESCRIPTION").alias("SKUDesc"),
-    )
-    rows = spread_join(lines, _header_side(t, detail), [("_line_header", "_header")], "inner")
-    rows = lookup(rows, items, [("SKUID", "_item"), ("_inventory_org", "_item_org")], ["_line"])
-    return lookup(
-        rows,
-        _fulfill_side(t, detail),
-        [
-            ("_line", "_fulfill_line"),
-            ("_line_header", "_fulfill_header"),
-            ("_inventory_org", "_fulfill_inventory_org"),
-        ],
-        spread_by=["_line"],
-    )
+    return frame(_order_lines(detail=False), cut).select(*TRANSIT_COLUMNS).distinct()
 
 
-def create_buylist_view(spark: SparkSession, schema: str = "scut") -> None:
-    """Live view over the current tables; call again after a table is replaced."""
-    tables = catalog_tables(spark, BUYLIST_TABLES, schema)
-    buylist_detail(tables).createOrReplaceTempView("vw_BuyList_DetailInfo")
+def create_views(
+    spark: SparkSession, schema: str = "scut", tables: str | None = None, views: Sequence[View] = (BUYLIST_VIEW, ORDERS_VIEW)
+) -> None:
+    """Store both views in the catalog as ``schema.vw_…``, for every session of the catalog.
 
-
-def create_orders_view(spark: SparkSession, schema: str = "scut") -> None:
-    """Live view over the current tables; call again after a table is replaced."""
-    tables = catalog_tables(spark, ORDER_TABLES, schema)
-    orders_base(tables).createOrReplaceTempView("vw_Orders_Base")
+    The text is compiled from the declarations that the frames are built from, over
+    the tables of ``tables`` (by default the same schema). A view reads its tables
+    when it is queried: new rows and replaced tables appear by themselves, in a
+    session that has listed a table's files before after its REFRESH TABLE.
+    """
+    spark.sql(f"CREATE SCHEMA IF NOT EXISTS {schema}")
+    roles = {BUYLIST_VIEW.name: BUYLIST_TABLES, ORDERS_VIEW.name: ORDER_TABLES}
+    for view in views:
+        named = {role: f"{tables or schema}.{name}" for role, name in roles[view.name].items()}
+        spark.sql(f"CREATE OR REPLACE VIEW {schema}.{view.name} AS {view_sql(view, named)}")
 
 
 def is_open() -> Column:
@@ -407,16 +434,16 @@ def join_buylist_orders(
     orders: DataFrame,
     how: str = "inner",
     by: str = "parts",
-    match_blank: bool = True,
+    match_blank: bool = False,
 ) -> DataFrame:
     """Buying-list rows with their orders; order columns get the prefix ``Order_``.
 
-    ``by="parts"`` compares the five key parts, null equal to empty as in the
-    computed key. ``by="key"`` compares the computed keys; they have no
-    delimiter, so '1'+'23' also meets '12'+'3'. With ``match_blank`` off a null
-    part matches nothing, as in a plain equi-join: rows of an unknown customer
-    do not meet each other, orders with a null part are left out before the
-    join, and no blank key gathers rows.
+    A null part of the key matches nothing, as in a plain equi-join: rows of an
+    unknown customer do not meet each other, orders with a null part are left
+    out before the join, and no blank key gathers rows. With ``match_blank``
+    null equals empty as in the computed key, and unknown meets unknown, n by m.
+    ``by="parts"`` then compares the five key parts, ``by="key"`` the computed
+    keys; they have no delimiter, so '1'+'23' also meets '12'+'3'.
     """
     orders = orders.select(*(F.col(c).alias(f"Order_{c}") for c in orders.columns))
     if not match_blank:

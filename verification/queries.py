@@ -347,7 +347,9 @@ def quarantine_by_reason(spark, sf_dir):
 
 
 def buylist_orders_join(spark, sf_dir):
-    joined = erp.join_buylist_orders(_buylist(spark, sf_dir), _orders(spark, sf_dir))
+    joined = erp.join_buylist_orders(
+        _buylist(spark, sf_dir), _orders(spark, sf_dir), match_blank=True
+    )
     return joined.select(
         "BuyListDetailKey", "BuyListCode", "BuylistItemStatus", "Order_OrdersBaseKey",
         "Order_OrderNumber", "Order_LineNumber", "Order_OrderQty",
@@ -356,7 +358,7 @@ def buylist_orders_join(spark, sf_dir):
 
 def buylist_orders_join_strict(spark, sf_dir):
     joined = erp.join_buylist_orders(
-        _buylist(spark, sf_dir), _orders(spark, sf_dir), match_blank=False
+        _buylist(spark, sf_dir), _orders(spark, sf_dir)
     )
     return joined.select("BuyListDetailKey", "BuyListCode", "Order_OrderNumber", "Order_LineNumber")
 
