@@ -3,6 +3,7 @@ from __future__ import annotations
 import gzip
 import hashlib
 import math
+import random
 import zlib
 from collections import Counter, defaultdict
 
@@ -286,8 +287,10 @@ def test_similarities_tell_near_copies_from_others(docs, rows):
 
 def test_signature_equals_plain_sampling(spark):
     text = "a b b c c c longer words here a"
-    frame = spark.createDataFrame([(1, text)], "doc_id long, text string")
-    got = fingerprint._signatures(frame, ["doc_id"], 4).first().signature
+    frame = spark.createDataFrame([(1, text, "c c")], "doc_id long, text string, edited string")
+    chunks = sorted(fingerprint._signatures(frame, ["doc_id"], 8).collect(), key=lambda r: r.chunk)
+    got = [x for r in chunks for x in r.s0]
+    assert len(chunks) == 2 and len(got) == 8
     signed = lambda h: h - 2**64 if h >= 2**63 else h
 
     def long_int(term, sample):
@@ -295,7 +298,7 @@ def test_signature_equals_plain_sampling(spark):
         first = xxhash.xxh64(np.int64(term).tobytes(), seed=42).intdigest()
         return signed(xxhash.xxh64(np.int32(sample).tobytes(), seed=first).intdigest())
 
-    for sample in range(4):
+    for sample in range(8):
         least = math.inf
         for word, count in brute.words_of(text).items():
             term = signed(xxhash.xxh64(word.encode(), seed=42).intdigest())
@@ -307,6 +310,26 @@ def test_signature_equals_plain_sampling(spark):
         assert math.isclose(least, got[sample], rel_tol=1e-9)
 
 
+def test_successors_of_hashed_and_close_ids(spark):
+    """The first id after each block, whatever lies between the ids."""
+    rng = random.Random(5)
+    for ids in ([rng.randrange(-(2**62), 2**62) for _ in range(300)], list(range(-70, 400)), [5], []):
+        frame = spark.createDataFrame([(i,) for i in ids], "id long").repartition(3)
+        found = {r.block: r.next_id for r in fingerprint.block_successors(frame).collect()}
+        ordered = sorted(ids)
+        want = {b: next((i for i in ordered if i >> fingerprint.BLOCK_BITS > b), ordered[0]) for b in {i >> fingerprint.BLOCK_BITS for i in ids}}
+        assert found == want
+
+
+def test_fingerprint_of_a_long_text(spark):
+    """A text of several million characters beside short ones."""
+    rng = random.Random(6)
+    long = " ".join(rng.choice("abcdefgh") * rng.randint(1, 6) for _ in range(20_000))
+    docs = [(1, long), (2, long + " x"), (3, "a b")]
+    got = {r.doc_id: r for r in fingerprint.fingerprints(spark.createDataFrame(docs, "doc_id long, text string"), partitions=2).collect()}
+    assert got[1].n_chars == len(long) and got[1].near_next > 0.99 and got[2].near_next < 0.1
+
+
 # --- 5, WARC -----------------------------------------------------------------
 
 
