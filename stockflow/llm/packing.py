@@ -18,7 +18,7 @@ import re
 import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterator
-from unicodedata import combining, is_normalized
+from unicodedata import category, combining, is_normalized
 
 import numpy as np
 import pyarrow as pa
@@ -35,12 +35,27 @@ _LETTERS_THEN_MARKS = re.compile(r"([^\W\d_]+)([^\w\s]+)")
 PIECES = "doc_id long, row long, piece int, start long, length long, ids_crc32 long"
 
 
+def _parts_stay(word: str, parts: re.Match) -> bool:
+    """Whether the tokenizer sees the same letters and marks as the match."""
+    if word.isascii():
+        return True
+    letters, marks = parts.groups()
+    return (
+        letters.isalpha()
+        and not combining(marks[0])
+        and word == word.lower()
+        and is_normalized("NFC", word)
+        and all(category(c)[0] in "PS" for c in marks)
+    )
+
+
 class Encoder:
     """Ids of a text, word by word.
 
-    The vocabulary never joins bytes across white space, and never letters with
-    the punctuation behind them, so a text's ids are its words' ids in order.
-    Those of recent words are remembered, up to ``WORDS_KEPT`` of them.
+    The vocabulary never joins bytes across white space, so a text's ids are its
+    words' ids in order, and never letters with the marks behind them, if
+    lower-casing and normalisation leave both as they are. Those of recent words
+    are remembered, up to ``WORDS_KEPT`` of them.
     """
 
     def __init__(self, path: str) -> None:
@@ -59,7 +74,7 @@ class Encoder:
         if len(self.known) + len(words) > WORDS_KEPT:
             self.known.clear()
         known = self.known
-        parts = {w: m.groups() for w in words if w not in known and (m := _LETTERS_THEN_MARKS.fullmatch(w)) and m[1].isalpha() and not combining(m[2][0])}
+        parts = {w: m.groups() for w in words if w not in known and (m := _LETTERS_THEN_MARKS.fullmatch(w)) and _parts_stay(w, m)}
         self._encode({p for pair in parts.values() for p in pair} | (words - parts.keys()))
         for word, (letters, marks) in parts.items():
             known[word] = known[letters] + known[marks]
@@ -68,7 +83,9 @@ class Encoder:
         text = text or ""
         # The vocabulary has lower case only; where lowering first is the same, fewer words differ.
         if "\u03a3" not in text and is_normalized("NFC", text):
-            text = text.lower()
+            lowered = text.lower()
+            if lowered.isascii() or is_normalized("NFC", lowered):
+                text = lowered
         words = text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
         try:
             joined = b"".join([self.known[w] for w in words])

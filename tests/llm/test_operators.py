@@ -167,6 +167,17 @@ def test_encoder_equals_the_tokenizer():
             assert encoder.ids(text).tolist() == [*encoder.tokenizer.encode(text, add_special_tokens=False).ids, 0]
 
 
+def test_encoder_equals_the_tokenizer_on_marks_and_random_texts():
+    encoder = packing.Encoder(vocabulary("word_bpe_49k.json"))
+    rng = random.Random(2)
+    pool = "abcJTİΣσıéñÉ'’“.,;:!?()019 \n\t\u0327\u030c\u0307क\u0958\u093cहिन्दी中ßẞ<|>_-\x1c\x85\u3000"
+    texts = ["Σ İ(", "ह\u0958,", "J\u030c,"]
+    texts += [f"a{chr(c)}!" for c in range(0x3400) if not 0xD800 <= c < 0xE000]
+    texts += ["".join(rng.choice(pool) for _ in range(rng.randint(0, 30))) for _ in range(5000)]
+    for text, want in zip(texts, encoder.tokenizer.encode_batch_fast(texts, add_special_tokens=False), strict=True):
+        assert encoder.ids(text).tolist() == [*want.ids, 0], ascii(text)
+
+
 def test_local_search_empties_bins():
     """One exchange lets a bin go that best fit has to open."""
     bins = packing.Bins(np.array([1]), 10)
