@@ -42,6 +42,9 @@ from stockflow.llm.textarrays import as_bytes, mix, stream
 LENGTH = 100
 GRAM = 32
 LIMIT = 20_000
+# What a task holds beside one text: runs looked at together, and bytes of results before they are handed on.
+RUNS_AT_ONCE = 4_096
+HANDED_ON = 4 << 20
 _U = np.uint64
 _BYTE = stream(21, 256)
 _BYTE_B = stream(22, 256)
@@ -116,12 +119,17 @@ def runs(raw: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarr
         nth = np.arange(int(parts.sum())) - np.repeat(np.cumsum(parts) - parts, parts)
         first, end = np.repeat(first, parts) + width * nth, np.repeat(last, parts)
         last = np.minimum(first + width - 1, end)
-    place = first[:, None] + np.arange(2 * width - 1)
-    equal = grams[np.minimum(place, grams.size - 1)] == least[first][:, None]
-    anchor, often = first + equal.argmax(axis=1), (equal & (place < (last + width)[:, None])).sum(axis=1)
-    words = raw[anchor[:, None] + np.arange(GRAM)].view("<u8")
-    with np.errstate(over="ignore"):
-        return first, last, mix((words * _WORD).sum(axis=1, dtype=_U)), often
+    hashes, often = np.empty(first.size, _U), np.empty(first.size, np.int64)
+    for at in range(0, first.size, RUNS_AT_ONCE):
+        some = slice(at, at + RUNS_AT_ONCE)
+        place = first[some, None] + np.arange(2 * width - 1)
+        equal = grams[np.minimum(place, grams.size - 1)] == least[first[some]][:, None]
+        anchor = first[some] + equal.argmax(axis=1)
+        often[some] = (equal & (place < (last[some] + width)[:, None])).sum(axis=1)
+        words = raw[anchor[:, None] + np.arange(GRAM)].view("<u8")
+        with np.errstate(over="ignore"):
+            hashes[some] = mix((words * _WORD).sum(axis=1, dtype=_U))
+    return first, last, hashes, often
 
 
 def intervals(lcp: np.ndarray, floor: int) -> Iterator[tuple[int, int, int]]:
@@ -142,24 +150,55 @@ def intervals(lcp: np.ndarray, floor: int) -> Iterator[tuple[int, int, int]]:
 
 
 def suffix_array(text: np.ndarray, starts: np.ndarray, ends: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
-    """Order of the strings text[start:end] and the common prefix of neighbours; none exceeds ``depth`` bytes."""
+    """Order of the strings text[start:end] and the common prefix of neighbours; none exceeds ``depth`` bytes.
+
+    Eight bytes at a time: strings that are equal so far are one class, and only
+    classes of two or more are looked at further, so memory follows the number
+    of strings and not their bytes.
+    """
+    n = starts.size
     sizes = ends - starts
-    words = -(-depth // 8)
-    padded = np.concatenate((text, np.zeros(8 * words, np.uint8)))
-    table = np.lib.stride_tricks.sliding_window_view(padded, 8 * words)[starts]
-    table *= np.arange(8 * words) < sizes[:, None]
-    keys = table.view(">u8")
-    order = np.lexsort((sizes, *(keys[:, i] for i in reversed(range(words)))))
-    lcp = np.zeros(order.size, np.int64)
-    for at in range(1, order.size, 16_384):
-        here, before = order[at : at + 16_384], order[at - 1 : at - 1 + 16_384]
-        here, before = here[: order.size - at], before[: order.size - at]
-        differ = table[here] != table[before]
-        first = np.where(differ.any(axis=1), differ.argmax(axis=1), 8 * words)
-        lcp[at : at + here.size] = np.minimum(first, np.minimum(sizes[here], sizes[before]))
+    padded = np.concatenate((text, np.zeros(8, np.uint8)))
+    order, head = np.arange(n), np.zeros(n, np.int64)
+    lcp = np.zeros(n, np.int64)
+    # Entries at[i] of the order are still equal to others of their class, which begins at head.
+    at = order.copy()
+    done = 0
+    masks = np.array([(1 << 64) - (1 << (64 - 8 * k)) if k else 0 for k in range(9)], _U)
+    while at.size and done < depth + 8:
+        which = order[at]
+        left = np.clip(sizes[which] - done, 0, 8)
+        place = np.minimum(starts[which] + done, text.size)
+        key = np.zeros(at.size, _U)
+        for k in range(8):
+            key = (key << _U(8)) | padded[place + k]
+        key &= masks[left]
+        # Of equal bytes the shorter string is first.
+        move = np.lexsort((left, key, head[at]))
+        order[at], key, left, group = which[move], key[move], left[move], head[at]
+        same = np.append(False, group[1:] == group[:-1])
+        differ = np.append(_U(0), key[1:] ^ key[:-1])
+        common = np.minimum(_leading_equal(differ), np.minimum(left, np.append(0, left[:-1])))
+        split = same & ((common < 8) | (left < 8) | (np.append(0, left[:-1]) < 8))
+        lcp[at[split]] = done + common[split]
+        first = ~same | split
+        head[at] = at[np.maximum.accumulate(np.where(first, np.arange(at.size), 0))]
+        alone = first & np.append(first[1:], True)
+        at = at[~alone]
+        done += 8
     return order, lcp
 
 
+def _leading_equal(differ: np.ndarray) -> np.ndarray:
+    """How many bytes from the highest on are zero, in each of the 64-bit numbers."""
+    out = np.zeros(differ.size, np.int64)
+    alive = np.ones(differ.size, bool)
+    for k in range(8):
+        alive &= (differ >> _U(56 - 8 * k)) & _U(255) == 0
+        out += alive
+    return out
+
+
 def repeats(
     pieces: list[bytes], docs: np.ndarray, places: np.ndarray, length: int
 ) -> tuple[np.ndarray, np.ndarray, Iterator[tuple[int, int, int]]]:
@@ -222,55 +261,55 @@ def _merged(spans: np.ndarray, size: int) -> list[tuple[int, int]]:
 
 
 def _anchors_of(docs: DataFrame, length: int) -> DataFrame:
+    names = ["anchor", "doc_id", "start", "often"]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts, held = [], 0
         for batch in batches:
-            anchors, ids, starts, times = [], [], [], []
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+            for doc_id, text in zip(*batch.columns, strict=True):
                 first, _, hashes, often = runs(as_bytes(text.as_py()), length)
-                times.append(often)
-                anchors.append(hashes)
-                ids.append(np.full(first.size, doc_id, np.int64))
-                starts.append(first)
-            if ids:
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(np.concatenate(anchors).view(np.int64)),
-                        pa.array(np.concatenate(ids)),
-                        pa.array(np.concatenate(starts).astype(np.int32)),
-                        pa.array(np.concatenate(times).astype(np.int32)),
-                    ],
-                    ["anchor", "doc_id", "start", "often"],
-                )
+                ids = np.full(first.size, doc_id.as_py(), np.int64)
+                parts.append((hashes.view(np.int64), ids, first.astype(np.int32), often.astype(np.int32)))
+                held += 24 * first.size
+                if held > HANDED_ON:
+                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*parts, strict=True)], names)
+                    parts, held = [], 0
+        if parts:
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*parts, strict=True)], names)
 
     return docs.select("doc_id", "text").mapInArrow(run, "anchor long, doc_id long, start int, often int")
 
 
 def _pieces_of(texts: DataFrame, length: int) -> DataFrame:
     """Rows (doc_id, text, starts of runs) to one row a run: the piece of text that its strings make up."""
+    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.binary()]
+
+    def rows(anchors: list, ids: list, starts: list, pieces: list) -> pa.RecordBatch:
+        columns = [np.concatenate(anchors), np.concatenate(ids), np.concatenate(starts), pieces]
+        return pa.RecordBatch.from_arrays(
+            [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["anchor", "doc_id", "start", "piece"]
+        )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        anchors, ids, starts, pieces, held = [], [], [], [], 0
         for batch in batches:
-            anchors, ids, starts, pieces = [], [], [], []
-            for doc_id, text, wanted in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                raw = as_bytes(text)
+            for doc_id, text, wanted in zip(*batch.columns, strict=True):
+                raw = as_bytes(text.as_py())
                 first, last, hashes, _ = runs(raw, length)
-                mine = np.isin(first, np.array(wanted))
-                held = raw.tobytes()
-                first, last = first[mine].tolist(), last[mine].tolist()
-                anchors.append(hashes[mine])
-                ids += [doc_id] * len(first)
-                starts += first
-                pieces += [held[a : b + length] for a, b in zip(first, last, strict=True)]
-            if anchors:
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(np.concatenate(anchors).view(np.int64)),
-                        pa.array(ids, pa.int64()),
-                        pa.array(starts, pa.int64()),
-                        pa.array(pieces, pa.binary()),
-                    ],
-                    ["anchor", "doc_id", "start", "piece"],
-                )
+                mine = np.flatnonzero(np.isin(first, wanted.values.to_numpy(zero_copy_only=False)))
+                whole = raw.tobytes()
+                for at in range(0, mine.size, RUNS_AT_ONCE):
+                    some = mine[at : at + RUNS_AT_ONCE]
+                    anchors.append(hashes[some].view(np.int64))
+                    ids.append(np.full(some.size, doc_id.as_py(), np.int64))
+                    starts.append(first[some].astype(np.int64))
+                    pieces += [whole[a : b + length] for a, b in zip(first[some].tolist(), last[some].tolist(), strict=True)]
+                    held += int((last[some] - first[some]).sum()) + (length + 64) * some.size
+                    if held > HANDED_ON:
+                        yield rows(anchors, ids, starts, pieces)
+                        anchors, ids, starts, pieces, held = [], [], [], [], 0
+        if anchors:
+            yield rows(anchors, ids, starts, pieces)
 
     return texts.select("doc_id", "text", "starts").mapInArrow(run, "anchor long, doc_id long, start long, piece binary")
 
@@ -386,7 +425,7 @@ def dedup_report(docs: DataFrame, length: int = LENGTH, limit: int = LIMIT) -> D
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (b.slice(i, 512) for b in batches for i in range(0, b.num_rows, 512)):
             rows = []
             for _, text, spans in zip(*batch.columns, strict=True):
                 raw = as_bytes(text.as_py())
@@ -432,7 +471,7 @@ def dedup_texts(
     given = with_spans(docs, length, limit, carry)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (b.slice(i, 512) for b in batches for i in range(0, b.num_rows, 512)):
             rest = []
             for _, text, spans in zip(*batch.columns[:3], strict=True):
                 raw = as_bytes(text.as_py())
