@@ -117,3 +117,100 @@ def reconcile(a: DataFrame, b: DataFrame, keys: Sequence[str]) -> DataFrame:
         F.sum("__a").alias("rows_a"),
         F.sum("__b").alias("rows_b"),
     )
+
+
+# Bits of a key's hash that one level of the checksum tree tells apart.
+TREE_LEVELS = (12, 12)
+
+
+def _checksums(df: DataFrame, keys: Sequence[str], side: str) -> DataFrame:
+    """``df`` with the hash of its key and two hashes of its row, nulls told from absent values."""
+
+    def hashed(columns: Sequence[str], seed: int) -> Column:
+        return F.xxhash64(F.lit(seed), *(x for c in columns for x in (F.col(c), F.col(c).isNull())))
+
+    rest = sorted(c for c in df.columns)
+    return df.select(
+        hashed(keys, 1).alias("__key"),
+        hashed(rest, 2).cast("decimal(38,0)").alias("__one"),
+        hashed(rest, 3).cast("decimal(38,0)").alias("__two"),
+        F.lit(side).alias("__side"),
+    )
+
+
+def differing_ranges(a: DataFrame, b: DataFrame, keys: Sequence[str], levels: Sequence[int] = TREE_LEVELS) -> DataFrame:
+    """``range``: leading bits of key hashes, all levels' together, below which the two frames differ.
+
+    Each level is one aggregate of order-independent checksums: counts and sums
+    of two row hashes. The next level looks only at rows in ranges that differ,
+    so equal frames shuffle one level's checksums and nothing else.
+    """
+    both = _checksums(a, keys, "a").union(_checksums(b, keys, "b"))
+    bits, found = 0, None
+    for level in levels:
+        if found is not None:
+            wide = F.shiftrightunsigned("__key", 64 - bits).alias("range")
+            ranges = F.broadcast(found) if bits <= 16 else found
+            both = both.withColumn("range", wide).join(ranges, "range", "left_semi").drop("range")
+        bits += level
+        parts = both.groupBy(F.shiftrightunsigned("__key", 64 - bits).alias("range"), "__side").agg(
+            F.count(F.lit(1)).alias("n"), F.sum("__one").alias("one"), F.sum("__two").alias("two")
+        )
+        sums = F.struct("n", "one", "two")
+        sides = [F.max(F.when(F.col("__side") == s, sums)).alias(s) for s in "ab"]
+        found = parts.groupBy("range").agg(*sides).where(~F.col("a").eqNullSafe(F.col("b"))).select("range")
+    return found
+
+
+def reconcile_changes(a: DataFrame, b: DataFrame, keys: Sequence[str], levels: Sequence[int] = TREE_LEVELS) -> DataFrame:
+    """What differs between two frames of the same columns, by key and column.
+
+    Per difference: the keys, ``status``, ``column_name``, ``value_a``, ``value_b``
+    and ``n_rows``. A key with one row on each side that differ is CHANGED, a line
+    for each column that does, values as text. Otherwise rows that one side has
+    more often are ONLY_A or ONLY_B, one line for each distinct row, with how
+    many more there are. Null keys equal each other, null values too.
+
+    Only rows in ranges that ``differing_ranges`` finds are compared.
+    """
+    columns = a.columns
+    if sorted(columns) != sorted(b.columns):
+        raise ValueError(f"columns differ: {sorted(set(columns) ^ set(b.columns))}")
+    found = differing_ranges(a, b, keys, levels)
+    wide = F.shiftrightunsigned(
+        F.xxhash64(F.lit(1), *(x for c in keys for x in (F.col(c), F.col(c).isNull()))), 64 - sum(levels)
+    ).alias("range")
+    one = F.lit(1).cast("long")
+    tagged = a.select(*columns, one.alias("__n")).union(b.select(*columns, (-one).alias("__n")))
+    suspects = tagged.withColumn("range", wide).join(found, "range", "left_semi").drop("range")
+    more = suspects.groupBy(*columns).agg(F.sum("__n").alias("__n")).where("__n != 0")
+    rest = [c for c in columns if c not in keys]
+    row = F.struct(*(F.col(c) for c in rest), F.lit(0).alias("__any"))
+    side = {s: F.max(F.when(F.col("__n") * way > 0, row)).alias(f"__{s}") for s, way in (("a", 1), ("b", -1))}
+    counts = [F.count_if(F.col("__n") * way > 0).alias(f"__n{s}") for s, way in (("a", 1), ("b", -1))]
+    total = F.max(F.abs("__n")).alias("__most")
+    # Rows of a key that has several differing rows are reported as they are, not paired.
+    per_key = more.groupBy(*keys).agg(*side.values(), *counts, total)
+    paired = (F.col("__na") == 1) & (F.col("__nb") == 1) & (F.col("__most") == 1)
+    pairs = [
+        F.struct(
+            F.lit(c).alias("column_name"), F.col(f"__a.{c}").cast("string").alias("value_a"), F.col(f"__b.{c}").cast("string").alias("value_b"),
+            (~F.col(f"__a.{c}").eqNullSafe(F.col(f"__b.{c}"))).alias("differs"),
+        )
+        for c in rest
+    ]
+    changed = per_key.where(paired)
+    if rest:
+        lines = changed.select(*keys, F.inline(F.array(*pairs))).where("differs").drop("differs")
+    else:
+        lines = changed.where(F.lit(False)).select(*keys, *(F.lit(None).cast("string").alias(n) for n in ("column_name", "value_a", "value_b")))
+    lines = lines.withColumn("status", F.lit("CHANGED")).withColumn("n_rows", one)
+    alone = per_key.where(~paired).select(*(F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)))
+    same = [F.col(k).eqNullSafe(F.col(f"__k{i}")) for i, k in enumerate(keys)]
+    only = more.join(alone, same, "left_semi").select(
+        *keys,
+        *(F.lit(None).cast("string").alias(n) for n in ("column_name", "value_a", "value_b")),
+        F.when(F.col("__n") > 0, "ONLY_A").otherwise("ONLY_B").alias("status"),
+        F.abs("__n").alias("n_rows"),
+    )
+    return lines.unionByName(only).select(*keys, "status", "column_name", "value_a", "value_b", "n_rows")

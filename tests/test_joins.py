@@ -11,7 +11,9 @@ from stockflow.operators.joins import (
     JoinSide,
     fanout_metrics,
     lookup,
+    differing_ranges,
     reconcile,
+    reconcile_changes,
     spread_join,
 )
 
@@ -148,3 +150,46 @@ def test_reconcile(spark):
         ("COUNT_DIFFERS", 1, 2, 1): 1, ("ONLY_A", 1, 1, 0): 1, ("ONLY_B", 1, 0, 1): 1, ("SAME", 1, 1, 1): 1,
     }
     assert bag(reconcile(a, a, ["k"]), "status") == {("SAME",): 1}
+
+
+def changes(a, b):
+    """Plain version of ``reconcile_changes`` for rows (k, x, y)."""
+    left, right = Counter(a), Counter(b)
+    out = Counter()
+    for k in {r[0] for r in (*a, *b)}:
+        gone = {r: n for r, n in (left - right).items() if r[0] == k}
+        new = {r: n for r, n in (right - left).items() if r[0] == k}
+        if list(gone.values()) == [1] == list(new.values()):
+            (old,), (now,) = gone, new
+            for name, x, y in zip("xy", old[1:], now[1:], strict=True):
+                if x != y:
+                    out[(k, "CHANGED", name, None if x is None else str(x), None if y is None else str(y), 1)] += 1
+        else:
+            for status, rows in (("ONLY_A", gone), ("ONLY_B", new)):
+                for n in rows.values():
+                    out[(k, status, None, None, None, n)] += 1
+    return out
+
+
+_row = st.tuples(st.sampled_from([None, 1, 2, 3]), st.sampled_from([None, 1, 2]), st.sampled_from([None, "a"]))
+
+
+@settings(max_examples=8, deadline=None)
+@given(st.lists(_row, max_size=8), st.lists(_row, max_size=8))
+def test_reconcile_changes(spark, a, b):
+    left, right = (spark.createDataFrame(r, "k int, x int, y string") for r in (a, b))
+    assert bag(reconcile_changes(left, right, ["k"])) == changes(a, b)
+
+
+def test_only_ranges_that_differ_are_compared(spark):
+    left = spark.range(5000).selectExpr("id AS k", "id % 7 AS x")
+    same = left.repartition(7)
+    assert differing_ranges(left, same, ["k"]).isEmpty() and reconcile_changes(left, same, ["k"]).isEmpty()
+    right = left.withColumn("x", F.expr("CASE WHEN k IN (17, 4000) THEN -1 ELSE x END"))
+    assert differing_ranges(left, right, ["k"]).count() == 2
+    assert bag(reconcile_changes(left, right, ["k"]), "k", "value_a", "value_b") == {(17, "3", "-1"): 1, (4000, "3", "-1"): 1}
+    # Values that move from one column to another, or between null and empty, are differences.
+    a, b = (spark.createDataFrame([r], "k int, x string, y string") for r in ((1, None, "v"), (1, "v", None)))
+    assert reconcile_changes(a, b, ["k"]).count() == 2
+    with pytest.raises(ValueError, match="columns differ"):
+        reconcile_changes(a, b.drop("y"), ["k"])

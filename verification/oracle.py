@@ -470,6 +470,14 @@ ORACLE: dict[str, str] = {
         "SELECT COMPANY_CODE AS Company, BUYING_LIST_CODE AS BuyListCode, ITEM_CODE AS ItemCode FROM b_item",
         "Company, BuyListCode, ItemCode",
     ),
+    "reconcile_changes": _with(a=_shape(shapes.ORDERS_BEFORE), b=_shape(shapes.ORDERS_AFTER), f="""
+        SELECT coalesce(a.o_orderkey, b.o_orderkey) AS o_orderkey, a, b
+        FROM a FULL OUTER JOIN b ON a.o_orderkey = b.o_orderkey""") + "\nUNION ALL\n".join([
+        f"""SELECT o_orderkey, 'CHANGED' AS status, '{c}' AS column_name, a.{c}::VARCHAR AS value_a, b.{c}::VARCHAR AS value_b,
+          1::BIGINT AS n_rows FROM f WHERE a.o_orderkey IS NOT NULL AND b.o_orderkey IS NOT NULL AND a.{c} IS DISTINCT FROM b.{c}"""
+        for c in ("o_custkey", "o_orderstatus", "o_orderpriority")
+    ] + [f"""SELECT o_orderkey, CASE WHEN b.o_orderkey IS NULL THEN 'ONLY_A' ELSE 'ONLY_B' END, NULL, NULL, NULL, 1::BIGINT
+          FROM f WHERE a.o_orderkey IS NULL OR b.o_orderkey IS NULL"""]),
     "run_log": _with(runs=_shape(shapes.RUNS)) + """
         SELECT * REPLACE (
           CASE WHEN notebook_type = 'source' THEN raw_table END AS raw_table,

@@ -20,7 +20,7 @@ from stockflow.operators.distributor import (
     sheet_rows,
     unmapped,
 )
-from stockflow.operators.joins import JoinSide, fanout_metrics, reconcile
+from stockflow.operators.joins import JoinSide, fanout_metrics, reconcile, reconcile_changes
 from stockflow.operators.keyed import dedupe_last, latest_snapshot
 from stockflow.operators.quality import dq_metrics, match_rate, near_miss
 from stockflow.operators.standardize import split_embedded_headers, standardize, with_audit
@@ -394,6 +394,11 @@ def reconcile_view(spark, sf_dir):
     return reconcile(_buylist(spark, sf_dir), base, keys)
 
 
+def reconcile_changed_orders(spark, sf_dir):
+    before, after = (shaped(spark, sf_dir, s) for s in (shapes.ORDERS_BEFORE, shapes.ORDERS_AFTER))
+    return reconcile_changes(before, after, ["o_orderkey"])
+
+
 def run_log(spark, sf_dir):
     return run_log_rules(shaped(spark, sf_dir, shapes.RUNS))
 
@@ -460,6 +465,7 @@ QUERIES: dict[str, Query] = {
     "transition_open_orders": transition_open_orders,
     "reconcile_tables": reconcile_tables,
     "reconcile_view": reconcile_view,
+    "reconcile_changes": reconcile_changed_orders,
     "run_log": run_log,
     "run_log_failures": run_log_failures,
     "registry_current": registry_current_query,

@@ -260,6 +260,17 @@ SHEET_LINES = """
       ('south', CAST(0 AS BIGINT), CAST(3 AS BIGINT), array('Stock', 'ITEM NO', 'site ', NULL))"""
 
 
+# Two versions of the orders: the second lacks some, has new ones, and others' values.
+ORDERS_BEFORE = "SELECT o_orderkey, o_custkey, o_orderstatus, o_orderpriority FROM {orders}"
+ORDERS_AFTER = """
+    SELECT o_orderkey,
+      CASE WHEN o_custkey % 89 = 0 THEN o_custkey + 1 ELSE o_custkey END AS o_custkey,
+      CASE WHEN o_orderkey % 71 = 0 THEN NULL ELSE o_orderstatus END AS o_orderstatus, o_orderpriority
+    FROM {orders} WHERE NOT (o_orderpriority = '5-LOW' AND o_custkey % 31 = 0)
+    UNION ALL
+    SELECT -o_orderkey - 1, o_custkey, o_orderstatus, o_orderpriority FROM {orders} WHERE o_custkey % 53 = 0"""
+
+
 def _unless_blank(expr: str) -> str:
     return f"CASE WHEN n_chars % 101 = 0 THEN NULL ELSE {expr} END"
 
