@@ -5,12 +5,14 @@ two block-level tags is a line; each line has its text-to-tag ratio. Ratios are
 smoothed with a Gaussian over neighbouring lines, so that a short paragraph
 among long ones is carried by them and a long one among links is not, and lines
 over a threshold found by clustering are content. The content region is the
-innermost container that holds nearly all content; an article or main element
-that holds most of it is preferred, and an inner one to an outer one if it holds
-nearly all of that. All lines of the region are the text, but for those in
-elements that say by tag, role, or a whole class name or id that they are
-something else (menus, headers, footers, sidebars, notices, adverts, forms,
-comments); what lies around the article, or holds most content, is not.
+article and main elements if most content is in them, all of them, and else the
+innermost container with all content lines. All lines of the region are the
+text, but for those in elements that say they are something else (menus,
+headers, footers, sidebars, notices, adverts, forms, comments): by tag or role,
+by a whole class name or id of a container, or by two parts of a hyphenated
+name. One part of a name, or the name of a single block, is weak evidence and
+needs the content's too: most of its text in links, or for a block's whole name
+no content line. What lies around the article, or holds most content, stays.
 """
 
 from __future__ import annotations
@@ -32,8 +34,8 @@ _BLOCKS = frozenset(
 )
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _NO_TEXT = frozenset(
-    "applet audio button canvas datalist embed head iframe math noframes noscript object option script select style svg "
-    "template textarea title video".split()
+    "annotation annotation-xml applet audio button canvas datalist embed head iframe noframes noscript object option script "
+    "select style svg template textarea title video".split()
 )
 _OTHER = frozenset("aside dialog footer form menu nav search".split())
 _OTHER_ROLES = frozenset("alert alertdialog banner complementary contentinfo dialog form menu menubar navigation search".split())
@@ -45,12 +47,36 @@ _OTHER_NAMES = frozenset(
 )
 _HEADER_NAMES = frozenset(("header", "topbar", "banner"))
 _CONTAINERS = frozenset("article body div html main section".split())
+# Elements that are one block of text; their names say less than a container's.
+_SINGLE = frozenset("address blockquote dd dt figcaption h1 h2 h3 h4 h5 h6 li p pre td th".split())
+# Words that take a name's meaning back.
+_NOT = frozenset("has no not non with without".split())
+# What readers write, and the words that make it a part of the page.
+_REPLIES = frozenset("comment comments replies reply respond responses disqus".split())
+_PARTS = frozenset(
+    "area author block body box container content form header holder item items list meta section text thread title wrap wrapper".split()
+)
 _DECLARED = re.compile(r"<!\[[^>]*>")
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.IGNORECASE)
 
 SIGMA = 1.0
 REACH = 3
-MOST, NEARLY_ALL = 0.5, 0.9
+MOST = 0.5
+_NAME_PARTS = re.compile(r"[-_]+")
+
+
+def name_evidence(names: set[str]) -> int:
+    """2 if the words of a class name or id say that an element is not main text, 1 if one word hints at it, else 0."""
+    most = 0
+    for name in names:
+        words = _NAME_PARTS.split(name.strip("-_"))
+        if len(words) < 2 or _NOT & {*words}:
+            continue
+        hints = [w for w in words if w in _OTHER_NAMES or w in _REPLIES]
+        if len(hints) > 1 or (hints and hints[0] in _REPLIES and all(w in _PARTS or w in _REPLIES for w in words)):
+            return 2
+        most = max(most, len(hints))
+    return most
 
 
 class Lines(HTMLParser):
@@ -59,6 +85,8 @@ class Lines(HTMLParser):
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
         self.tags, self.parents, self.unseen, self.other, self.mains = [""], [0], [False], [False], [False]
+        # What a name hints at: 0 nothing, 1 if most of the text is links, 2 also if no line is content.
+        self.hints = [0]
         self.open = [0]
         self.open_tags: Counter[str] = Counter()
         self.lines: list[tuple[int, list[tuple[int, str]]]] = []
@@ -74,15 +102,19 @@ class Lines(HTMLParser):
         hidden = "hidden" in attrs or attrs.get("aria-hidden") == "true"
         return tag in _NO_TEXT or hidden or bool(_HIDDEN.search(attrs.get("style") or ""))
 
-    def _is_other(self, tag: str, attrs: dict[str, str | None]) -> bool:
+    def _is_other(self, tag: str, attrs: dict[str, str | None]) -> tuple[bool, int]:
+        """Whether an element is certainly something else, and otherwise the hint."""
         if tag in _OTHER or (attrs.get("role") or "").lower() in _OTHER_ROLES:
-            return True
+            return True, 0
         if tag in ("article", "main", "body", "html"):
-            return False
+            return False, 0
         names = {*f"{attrs.get('class') or ''} {attrs.get('id') or ''}".lower().split()}
         if not self.open_tags["article"] and not self.open_tags["main"] and (tag == "header" or names & _HEADER_NAMES):
-            return True
-        return bool(names & _OTHER_NAMES)
+            return True, 0
+        if names & _OTHER_NAMES:
+            return (False, 2) if tag in _SINGLE else (True, 0)
+        evidence = name_evidence(names)
+        return (True, 0) if evidence == 2 and tag not in _SINGLE else (False, evidence)
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         self._tag_count += 1
@@ -99,7 +131,9 @@ class Lines(HTMLParser):
         self.tags.append(tag)
         self.parents.append(parent)
         self.unseen.append(self.unseen[parent] or self._is_unseen(tag, named))
-        self.other.append(self._is_other(tag, named))
+        other, hint = self._is_other(tag, named)
+        self.other.append(other)
+        self.hints.append(hint)
         self.mains.append(tag in ("article", "main") or (named.get("role") or "").lower() in ("main", "article"))
         self.open.append(len(self.tags) - 1)
         self.open_tags[tag] += 1
@@ -135,6 +169,17 @@ class Lines(HTMLParser):
             out[i] |= out[self.parents[i]]
         return out
 
+    def text_held(self, marked: np.ndarray) -> np.ndarray:
+        """Characters of text in each element, of marked innermost elements only."""
+        held = np.zeros(len(self.tags))
+        for _, parts in self.lines:
+            for element, data in parts:
+                if marked[element]:
+                    held[element] += len(data.strip())
+        for i in range(len(held) - 1, 0, -1):
+            held[self.parents[i]] += held[i]
+        return held
+
     def without(self, dropped: np.ndarray) -> tuple[list[str], list[int], np.ndarray]:
         """Texts and innermost elements of the lines outside dropped elements, and the content that each element holds."""
         texts, owners, counts = [], [], []
@@ -181,13 +226,25 @@ def threshold(values: np.ndarray, rounds: int = 20) -> float:
     return (low + high) / 2
 
 
+def _hinted(lines: Lines) -> np.ndarray:
+    """Elements that a hint and their text together say are something else."""
+    hints = np.array(lines.hints)
+    if not hints.any():
+        return hints.astype(bool)
+    everything = np.ones(hints.size, bool)
+    links = lines.below(np.array([tag == "a" for tag in lines.tags]))
+    linked = lines.text_held(links) > MOST * lines.text_held(everything)
+    held = lines.without(~everything)[2]
+    return (hints > 0) & linked | (hints == 2) & (held == 0)
+
+
 def _others(lines: Lines) -> np.ndarray:
     """Elements that say they are something else and what is in them.
 
     If no article or main element has content outside them, those around one
     with most of the page's content, or that hold most of it themselves, are kept.
     """
-    other, mains = np.array(lines.other), np.array(lines.mains)
+    other, mains = np.array(lines.other) | _hinted(lines), np.array(lines.mains)
     if not other.any():
         return other
     dropped = lines.below(other)
@@ -200,31 +257,46 @@ def _others(lines: Lines) -> np.ndarray:
     return lines.below(other & ~most)
 
 
+def _closed(html: str) -> str:
+    """``html`` without a comment that is open at its end."""
+    at = html.rfind("<!--")
+    if at > html.rfind("-->") and "</script" not in html[at:].lower() and "</style" not in html[at:].lower():
+        return html[:at]
+    return html
+
+
+def _region(lines: Lines, held: np.ndarray) -> np.ndarray:
+    """Marks the elements whose lines are the text."""
+    mark = np.zeros(held.size, bool)
+    mains = np.array(lines.mains) & (held > 0)
+    outer = mains.copy()
+    above = np.zeros(held.size, bool)
+    for i in range(1, held.size):
+        above[i] = above[lines.parents[i]] or mains[lines.parents[i]]
+    outer &= ~above
+    if held[outer].sum() >= MOST * held[0] and outer.any():
+        return outer
+    region = 0
+    for i in range(1, held.size):
+        # Sums of whole numbers: equality is exact.
+        if lines.tags[i] in _CONTAINERS and held[i] == held[0]:
+            region = i
+    mark[region] = True
+    return mark
+
+
 def main_text(html: str | None) -> str:
     """The main text of a page, blocks joined by a line end; empty if there is none."""
     if not html:
         return ""
     lines = Lines()
+    html = _closed(html)
     lines.feed(_DECLARED.sub("", html) if "<![" in html else html)
     lines.finish()
     texts, owners, held = lines.without(_others(lines))
     if not texts:
         return ""
-    total = held[0]
-    region = 0
-    mains = [i for i in range(1, len(held)) if lines.mains[i] and held[i] >= MOST * total]
-    if mains:
-        region = mains[0]
-        for i in mains[1:]:
-            if held[i] >= NEARLY_ALL * held[region]:
-                region = i
-    else:
-        for i in range(1, len(held)):
-            if lines.tags[i] in _CONTAINERS and held[i] >= NEARLY_ALL * total:
-                region = i
-    mark = np.zeros(len(held), bool)
-    mark[region] = True
-    inside = lines.below(mark)
+    inside = lines.below(_region(lines, held))
     return "\n".join(t for t, owner in zip(texts, owners, strict=True) if inside[owner])
 
 

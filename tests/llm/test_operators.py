@@ -418,6 +418,20 @@ def test_main_text(html, text):
         (f"<form><div><p>{LONG}</p><p>{LONG}</p></div></form><div class=ad>Buy</div>", f"{LONG.strip()}\n{LONG.strip()}"),
         # Comments that are longer than the article go.
         (f"<article><p>{LONG}</p></article><div id=comments><p>{LONG}{LONG}</p></div>", LONG.strip()),
+        # The first block beside a container with most of the text.
+        (f"<div><h1>One</h1><p>{LONG}</p><div>{f'<p>{LONG}</p>' * 20}</div></div>", "\n".join(["One", *[LONG.strip()] * 21])),
+        # Two articles beside each other.
+        (f"<article><p>{LONG}</p></article><article><p>{LONG}</p><p>{LONG}</p></article>", "\n".join([LONG.strip()] * 3)),
+        # Hyphenated names: comments, menus and notices go, whatever their length.
+        (f"<article><p>{LONG}</p></article><div class=comments-area><ol class=comment-list><li>{LONG}{LONG}</ol></div>", LONG.strip()),
+        (f"<div><p>{LONG}</p><ul class=main-nav><li><a href=/>One</a><li><a href=/>Two</a></ul><div class=newsletter-signup>Sign up</div></div>", LONG.strip()),
+        (f"<div><div class=cookie-banner>{LONG}</div><p>{LONG}</p><p>{LONG}</p></div>", f"{LONG.strip()}\n{LONG.strip()}"),
+        # A formula in a sentence, and a paragraph that is only named like something else.
+        (f"<article><p>{LONG}x <math><mi>y</mi><annotation>tex</annotation></math> z</p></article>", f"{LONG}x y z"),
+        (f"<article><p class=share>{LONG}</p><p class=share><a href=/>Tweet</a></p><p>{LONG}</p></article>", f"{LONG.strip()}\n{LONG.strip()}"),
+        # A comment that is never closed.
+        (f"<article><p>{LONG}</p></article><!-- <p>gone", LONG.strip()),
+        (f"<article><p>{LONG}</p></article><div class=has-comments><script>'<!--'</script></div>", LONG.strip()),
         # An inner article with 55% of the outer text is not all.
         (f"<main><p>{LONG}</p><article><p>{LONG}</p><p>{LONG[:40]}</p></article></main>", f"{LONG.strip()}\n{LONG.strip()}\n{LONG[:40].strip()}"),
     ],
