@@ -31,6 +31,10 @@ CAPACITY = 2048
 END = 0
 GROUP = 32_768
 WORDS_KEPT = 1_000_000
+# Texts whose new words are encoded together.
+TEXTS = 64
+# Words of letters that are encoded as one text.
+AT_ONCE = 512
 _LETTERS_THEN_MARKS = re.compile(r"([^\W\d_]+)([^\w\s]+)")
 PIECES = "doc_id long, row long, piece int, start long, length long, ids_crc32 long"
 
@@ -63,36 +67,62 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        strings = self.tokenizer.get_vocab()
+        self.ends_word = np.zeros(1 + max(strings.values()), bool)
+        self.ends_word[[i for string, i in strings.items() if string.endswith("</w>")]] = True
         self.known: dict[str, bytes] = {}
 
     def _encode(self, words: set[str]) -> None:
         new = [w for w in words if w not in self.known]
-        for word, found in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
+        # Words of letters alone end where a token does that ends a word, so many are one text.
+        letters = [w for w in new if w.isalpha() and (w.isascii() and w.islower() or w == w.lower() and is_normalized("NFC", w))]
+        for at in range(0, len(letters), AT_ONCE):
+            some = letters[at : at + AT_ONCE]
+            ids = np.array(self.tokenizer.encode(" ".join(some), add_special_tokens=False).ids, "<u4")
+            ends = np.flatnonzero(self.ends_word[ids]) + 1
+            packed, start = ids.tobytes(), 0
+            for word, end in zip(some, ends.tolist(), strict=True):
+                self.known[word] = packed[4 * start : 4 * end]
+                start = end
+        rest = [w for w in new if w not in self.known]
+        for word, found in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False), strict=True):
             self.known[word] = np.array(found.ids, "<u4").tobytes()
 
     def learn(self, words: set[str]) -> None:
-        if len(self.known) + len(words) > WORDS_KEPT:
-            self.known.clear()
-        known = self.known
-        parts = {w: m.groups() for w in words if w not in known and (m := _LETTERS_THEN_MARKS.fullmatch(w)) and _parts_stay(w, m)}
+        """Remember the ids of words that are not known yet."""
+        parts = {w: m.groups() for w in words if (m := _LETTERS_THEN_MARKS.fullmatch(w)) and _parts_stay(w, m)}
         self._encode({p for pair in parts.values() for p in pair} | (words - parts.keys()))
+        known = self.known
         for word, (letters, marks) in parts.items():
             known[word] = known[letters] + known[marks]
 
-    def ids(self, text: str | None) -> np.ndarray:
+    @staticmethod
+    def words(text: str | None) -> list[str]:
         text = text or ""
         # The vocabulary has lower case only; where lowering first is the same, fewer words differ.
-        if "\u03a3" not in text and is_normalized("NFC", text):
+        if text.isascii():
+            text = text.lower()
+        elif "\u03a3" not in text and is_normalized("NFC", text):
             lowered = text.lower()
-            if lowered.isascii() or is_normalized("NFC", lowered):
+            if is_normalized("NFC", lowered):
                 text = lowered
-        words = text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
-        try:
-            joined = b"".join([self.known[w] for w in words])
-        except KeyError:
-            self.learn(set(words))
-            joined = b"".join([self.known[w] for w in words])
-        return np.append(np.frombuffer(joined, "<u4"), np.uint32(END)).astype("<u4")
+        return text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
+
+    def ids_of(self, texts: list[str | None]) -> list[np.ndarray]:
+        """Ids of each text and the end id; new words of all texts are encoded together."""
+        words = [self.words(text) for text in texts]
+        new = set().union(*words).difference(self.known)
+        if len(self.known) + len(new) > WORDS_KEPT:
+            self.known.clear()
+            new = set().union(*words)
+        if new:
+            self.learn(new)
+        find = self.known.__getitem__
+        end = np.uint32(END).tobytes()
+        return [np.frombuffer(b"".join(map(find, of_text)) + end, "<u4") for of_text in words]
+
+    def ids(self, text: str | None) -> np.ndarray:
+        return self.ids_of([text])[0]
 
 
 _encoders: dict[str, Encoder] = {}
@@ -110,10 +140,10 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = encoder_of(tokenizer)
-        for batch in batches:
+        for batch in (b.slice(i, TEXTS) for b in batches for i in range(0, b.num_rows, TEXTS)):
             out = []
-            for doc_id, row, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                ids = encoder.ids(text)
+            doc_ids, rows, texts = (c.to_pylist() for c in batch.columns)
+            for doc_id, row, ids in zip(doc_ids, rows, encoder.ids_of(texts), strict=True):
                 for i, start in enumerate(range(0, ids.size, capacity)):
                     part = ids[start : start + capacity]
                     out.append((doc_id, row, i, start, part.size, zlib.crc32(part.tobytes())))
