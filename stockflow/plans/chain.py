@@ -9,7 +9,8 @@ with the run that made them and read back as of that run.
 from __future__ import annotations
 
 import logging
-from collections.abc import Callable, Mapping
+from collections.abc import Callable
+from contextlib import ExitStack
 from dataclasses import dataclass, field
 from datetime import datetime, timedelta
 
@@ -22,6 +23,7 @@ from stockflow.operators.standardize import with_audit
 from stockflow.plans import erp, supply
 from stockflow.plans.ingest import ingest
 from stockflow.plans.publish import PublishConfig, publish_upload
+from stockflow.session import materialized
 from stockflow.sources.operations import RUN_LOG, RunResult, logged_run, snapshot, winning_runs
 from stockflow.sources.tables import commit_run, ensure_schemas, run_rows
 
@@ -129,16 +131,18 @@ def run_chain(
             failed[source.source_name] = error
             log.warning("%s failed; its previous rows are used", source.source_name, exc_info=True)
 
-    made = _erp(spark, cfg, ctx, buylist, orders)
+    buylist = buylist or (lambda: erp.buylist_detail(erp.catalog_tables(spark, erp.BUYLIST_TABLES, cfg.schema)))
     asof, fmt = ctx.load_timestamp, cfg.publish.table_format
-    xwalk = supply.crosswalk(made["buylist"](), cfg.companies, cfg.rank_by)
+    xwalk = supply.crosswalk(buylist(), cfg.companies, cfg.rank_by)
     stored = store_domain(spark, cfg.crosswalk_table, xwalk, ctx.part("crosswalk"), fmt)
     xwalk = domain_as_of(spark, cfg.crosswalk_table, asof)
 
     moving = moved = None
     if cfg.transit_days is not None:
-        lines = supply.in_transit(made["orders"](), xwalk, ctx.load_date, cfg.transit_days)
-        moved = store_domain(spark, cfg.transit_table, lines, ctx.part("transit"), fmt, min_rows=0)
+        with ExitStack() as stack:
+            found = orders() if orders else requested_orders(spark, cfg, ctx, stack)
+            lines = supply.in_transit(found, xwalk, ctx.load_date, cfg.transit_days)
+            moved = store_domain(spark, cfg.transit_table, lines, ctx.part("transit"), fmt, min_rows=0)
         moving = domain_as_of(spark, cfg.transit_table, asof)
 
     inventory = staged_inventory(spark, cfg.sources, asof)
@@ -149,12 +153,11 @@ def run_chain(
     return ChainResult(ctx, done, stored, moved, upload, failed, path)
 
 
-def _erp(spark, cfg: ChainConfig, ctx: RunContext, buylist, orders) -> Mapping[str, Callable[[], DataFrame]]:
-    def default_buylist() -> DataFrame:
-        return erp.buylist_detail(erp.catalog_tables(spark, erp.BUYLIST_TABLES, cfg.schema))
-
-    def default_orders() -> DataFrame:
-        tables = erp.catalog_tables(spark, erp.ORDER_TABLES, cfg.schema)
-        return erp.orders_requested(tables, ctx.load_date - timedelta(days=cfg.transit_days), ctx.load_date)
-
-    return {"buylist": buylist or default_buylist, "orders": orders or default_orders}
+def requested_orders(spark: SparkSession, cfg: ChainConfig, ctx: RunContext, stack: ExitStack) -> DataFrame:
+    """Orders of the days in transit from the tables of ``cfg.schema``; the lines that
+    qualify are stored until ``stack`` ends."""
+    tables = erp.catalog_tables(spark, erp.ORDER_TABLES, cfg.schema)
+    first = ctx.load_date - timedelta(days=cfg.transit_days)
+    return erp.orders_requested(
+        tables, first, ctx.load_date, lambda rows: stack.enter_context(materialized(rows, "requested"))
+    )

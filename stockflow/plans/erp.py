@@ -2,13 +2,19 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stockflow.config import CHARGE_SKUS, EXCLUDED_HEADER_STATUSES
+from stockflow.config import (
+    CANCELED_LINE_STATUS,
+    CHARGE_SKUS,
+    EXCLUDED_HEADER_STATUSES,
+    EXCLUDED_ORDER_TYPES,
+    PALLET_FRAGMENT,
+)
 from stockflow.operators.keyed import all_present, latest_by, null_key_groups
 from stockflow.plans.spec import Join, Newest, Pick, View, column, frame, view_frame, view_sql
 
@@ -372,16 +378,30 @@ TRANSIT_COLUMNS = (
 )
 
 
-def orders_requested(t: Tables, first: date, last: date) -> DataFrame:
+def orders_requested(
+    t: Tables, first: date, last: date, store: Callable[[DataFrame], DataFrame] = lambda rows: rows
+) -> DataFrame:
     """``TRANSIT_COLUMNS`` of order lines requested from ``first`` to ``last``, as a set.
 
-    Lines come first: headers, addresses and fulfil lines are cut to those of the
-    qualifying lines before anything is looked up, so a window of a few days does
-    not move the whole history. Lookups that bring none of the columns are left
-    out; they could only repeat rows. Of the fulfil lines all rows of a wanted key
-    stay, so that the newest is the same as over the whole table.
+    Lines come first: cancelled lines, excluded order types and lines of orders
+    that do not count go before anything is looked up, and headers, addresses and
+    fulfil lines are cut to those of the lines that are left, so a window of a few
+    days does not move the whole history. ``store`` writes what qualifies and
+    gives it back: it is then found once, and its size is known when the scans it
+    cuts are planned. Lookups that bring none of the columns are left out; they
+    could only repeat rows. Of the fulfil lines all rows of a wanted key stay, so
+    that the newest is the same as over the whole table.
     """
-    requested = t["line"].where(F.col("LINESCHEDULESHIPDATE").between(F.lit(first), F.lit(last)))
+    open_lines = t["line"].where(
+        F.col("LINESCHEDULESHIPDATE").between(F.lit(first), F.lit(last))
+        & (F.col("LINESTATUSCODE") != CANCELED_LINE_STATUS)
+    )
+    counted = order_headers(t["header"]).where(
+        ~F.col("HEADERORDERTYPECODE").isin(*EXCLUDED_ORDER_TYPES)
+        & ~F.col("HEADERORDERNUMBER").contains(PALLET_FRAGMENT)
+    )
+    named = counted.select(F.col("HEADERID").alias("_counted"))
+    requested = store(open_lines.join(named, F.col("LINEHEADERID") == F.col("_counted"), "left_semi"))
     lines = frame(_LINES, {"line": requested})
     ids = lines.select(F.col("_line_header").alias("_wanted"))
     fulfill = t["fulfill_line"]
@@ -390,11 +410,11 @@ def orders_requested(t: Tables, first: date, last: date) -> DataFrame:
         F.col("FULFILLLINELINEID") == F.col("_wanted"),
         "left_semi",
     )
-    keys = of_lines.select(*(F.col(k).alias(f"_w{i}") for i, k in enumerate(FULFILL_KEY))).distinct()
+    keys = store(of_lines.select(*(F.col(k).alias(f"_w{i}") for i, k in enumerate(FULFILL_KEY))).distinct())
     same = [F.col(k).eqNullSafe(F.col(f"_w{i}")) for i, k in enumerate(FULFILL_KEY)]
     cut = dict(t) | {
         "line": requested,
-        "header": t["header"].join(ids, F.col("HEADERID") == F.col("_wanted"), "left_semi"),
+        "header": counted.join(ids, F.col("HEADERID") == F.col("_wanted"), "left_semi"),
         "address": t["address"].join(
             ids, F.col("ORDERADDRESSHEADERID") == F.col("_wanted"), "left_semi"
         ),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from contextlib import ExitStack
 from dataclasses import replace
 from datetime import datetime, timedelta
 
@@ -167,7 +168,12 @@ def test_chain_reads_the_erp_of_a_schema(spark, setting, sf_dir):
 
     for tables, shaped in ((erp.BUYLIST_TABLES, shapes.buylist_tables(spark, sf_dir)), (erp.ORDER_TABLES, shapes.order_tables(spark, sf_dir))):
         for role, name in tables.items():
-            shaped[role].limit(50).write.mode("overwrite").saveAsTable(f"erp_chain.{name}")
-    made = chain._erp(spark, replace(cfg, schema="erp_chain", transit_days=2), RunContext("e", DAY), None, None)
-    assert made["buylist"]().columns == list(erp.BUYLIST_DETAIL_COLUMNS)
-    assert made["orders"]().columns == list(erp.TRANSIT_COLUMNS)
+            shaped[role].write.mode("overwrite").saveAsTable(f"erp_chain.{name}")
+    first, last = datetime(1997, 1, 5, 9, tzinfo=PLATFORM_ZONE), datetime(1998, 1, 5, 9, tzinfo=PLATFORM_ZONE)
+    days = (last - first).days
+    with ExitStack() as stack:
+        found = chain.requested_orders(spark, replace(cfg, schema="erp_chain", transit_days=days), RunContext("e", last), stack)
+        whole = erp.orders_base(erp.catalog_tables(spark, erp.ORDER_TABLES, "erp_chain"))
+        want = supply.shippable_lines(whole, last.date(), days).select(*erp.TRANSIT_COLUMNS).distinct()
+        got = supply.shippable_lines(found, last.date(), days)
+        assert got.count() > 0 and bag(got) == bag(want)

@@ -286,10 +286,11 @@ def near_miss_keys(spark, sf_dir):
     return near_miss(missed.where("reason = 'NO_SKU_MATCH'"), xwalk, on, "CATN32")
 
 
-def in_transit(spark, sf_dir):
+def in_transit(spark, sf_dir, xwalk=None):
     first = ASOF - timedelta(days=WINDOW_DAYS)
     orders = erp.orders_requested(shapes.order_tables(spark, sf_dir), first, ASOF)
-    return supply.in_transit(orders, _crosswalk(spark, sf_dir), ASOF, days=WINDOW_DAYS)
+    xwalk = _crosswalk(spark, sf_dir) if xwalk is None else xwalk
+    return supply.in_transit(orders, xwalk, ASOF, days=WINDOW_DAYS)
 
 
 def distributor_normalize(spark, sf_dir):
@@ -335,7 +336,10 @@ def upload_rows(spark, sf_dir):
 
 
 def upload_rows_in_transit(spark, sf_dir):
-    return _upload(spark, sf_dir, transit=in_transit(spark, sf_dir), qty="shipped").rows
+    """The crosswalk is built and stored once, for the orders in transit and for the upload."""
+    xwalk = _stored(_crosswalk(spark, sf_dir))
+    transit = in_transit(spark, sf_dir, xwalk)
+    return supply.build_upload(_domain_sources(spark, sf_dir), xwalk, transit=transit, qty="shipped").rows
 
 
 def upload_quarantine(spark, sf_dir):
