@@ -7,9 +7,10 @@ as ``(check_name, column_name, value, status)`` and ``enforce`` raises on FAIL.
 from __future__ import annotations
 
 import logging
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stockflow.functions.numbers import lost_in_parse
@@ -24,8 +25,33 @@ class DataQualityError(ValueError):
     """A gate failed; nothing of the layer may be written."""
 
 
-def dq_metrics(
-    df: DataFrame,
+class Gate(NamedTuple):
+    """Checks as aggregates to be computed wherever the rows pass, and what they say.
+
+    ``values`` are aggregates by name. ``rows`` gives a check's line from them.
+    """
+
+    values: dict[str, Column]
+    rows: list[Column]
+
+    def report(self, one: DataFrame) -> DataFrame:
+        """One row per check from the row of computed values."""
+        return one.select(F.inline(F.array(*self.rows)))
+
+    def of(self, spark: SparkSession, seen: Mapping[str, int]) -> DataFrame:
+        """The same from values that were observed while the rows were written."""
+        kinds = ", ".join(f"{name} long" for name in self.values)
+        return self.report(spark.createDataFrame([tuple(seen[name] for name in self.values)], kinds))
+
+
+def dq_metrics(df: DataFrame, **checks) -> DataFrame:
+    """The checks of ``dq_gate`` in one aggregate over ``df``."""
+    gate = dq_gate(df.columns, **checks)
+    return gate.report(df.agg(*(v.alias(n) for n, v in gate.values.items())))
+
+
+def dq_gate(
+    names: Sequence[str],
     *,
     expected: Sequence[str] = (),
     required: Sequence[str] = (),
@@ -35,16 +61,16 @@ def dq_metrics(
     unique_key: Sequence[str] = (),
     quantities: Sequence[str] = (),
     overflow: str | None = None,
-) -> DataFrame:
-    """Metrics in gate order: columns, row count, nulls, key uniqueness, lost quantities, long lines.
+) -> Gate:
+    """Checks in gate order: columns, row count, nulls, key uniqueness, lost quantities, long lines.
 
     A column check reports how many values the column holds; with ``expected``
     it also warns of columns not in the list. ``not_null`` and
     ``quantities`` skip columns that are absent; their absence is the column
     check's finding.
     """
-    present = set(df.columns)
-    columns = [c for c in df.columns if c != overflow]
+    present = set(names)
+    columns = [c for c in names if c != overflow]
     values: dict[str, Column] = {}
     rows: list[Column] = []
 
@@ -93,8 +119,7 @@ def dq_metrics(
         status = F.when(this() > 0, FAIL).otherwise(PASS)
         metric("malformed", None, F.count_if(F.col(overflow).isNotNull()), status)
 
-    one = df.agg(*(v.alias(n) for n, v in values.items()))
-    return one.select(F.inline(F.array(*rows)))
+    return Gate(values, rows)
 
 
 def enforce(metrics: DataFrame, layer: str = "") -> None:

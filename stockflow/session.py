@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterator, Mapping
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 # Target size of one shuffle partition.
 SHUFFLE_PARTITION_BYTES = 128 * 1024 * 1024
@@ -48,6 +48,23 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+@contextmanager
+def observed(
+    df: DataFrame, name: str, values: Mapping[str, Column]
+) -> Iterator[tuple[DataFrame, dict[str, int]]]:
+    """``materialized`` with aggregates of the rows, computed in the pass that writes them.
+
+    No aggregate may be distinct. Tasks that run again count once.
+    """
+    watch = Observation(name)
+    if not values:
+        with materialized(df, name) as copy:
+            yield copy, {}
+        return
+    with materialized(df.observe(watch, *(v.alias(n) for n, v in values.items())), name) as copy:
+        yield copy, dict(watch.get)
+
+
 @contextmanager
 def materialized(df: DataFrame, name: str) -> Iterator[DataFrame]:
     """Write ``df`` once to the shared folder and work on the written copy.

@@ -92,6 +92,25 @@ def test_success(spark, cfg):
     assert not leftovers(spark)
 
 
+def test_gates_are_taken_in_the_pass_that_writes(spark, cfg, monkeypatch):
+    """The stored copy is not read for the gates, but for the keys of the staged layer."""
+    from stockflow.plans import ingest as module
+
+    asked = []
+    real = module.dq_metrics
+    monkeypatch.setattr(module, "dq_metrics", lambda df, **checks: asked.append(sorted(checks)) or real(df, **checks))
+    ingest(spark, cfg)
+    assert asked == [["unique_key"]]
+    # Values seen while writing are those of an aggregate over the rows.
+    rows = spark.createDataFrame([("A", "1", "x", None), (None, "2", "3", "more")], "location string, item string, onhand_qty string, _src_overflow string")
+    gate = module.raw_gate(rows.columns, cfg)
+    with module.observed(rows, "seen", gate.values) as (copy, seen):
+        assert bag(gate.of(spark, seen)) == bag(module.raw_metrics(copy, cfg)) and copy.count() == 2
+    with module.observed(rows, "seen", {}) as (copy, seen):
+        assert seen == {} and copy.count() == 2
+    assert not leftovers(spark)
+
+
 def test_runs_append_and_the_latest_is_read(spark, cfg):
     day = datetime(2030, 1, 2, 9, tzinfo=PLATFORM_ZONE)
     fresh = replace(cfg, warn_hours=None, fail_hours=None)
