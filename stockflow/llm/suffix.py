@@ -21,15 +21,19 @@ interval all occurrences meet, not only neighbours; the earliest goes on to the
 interval above and the others are removed for the interval's length.
 
 Groups of more than ``limit`` pieces (a passage in a third of all documents)
-are not brought together: their strings are named by 128-bit hashes, the
-earliest start of each name is combined before the shuffle, and starts that are
-not the earliest are removed.
+are not brought together at once. Their pieces are dealt to parts; each part
+finds its own repeats by the same tree, gives its removals, and passes on only
+the starts that it did not remove: of equal strings its earliest. What is left
+of a group is divided by the next smallest piece of its strings, which equal
+strings share, and meets in the next round, until no group is too large.
 """
 
 from __future__ import annotations
 
 import hashlib
+from bisect import bisect_right
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -47,12 +51,10 @@ RUNS_AT_ONCE = 4_096
 HANDED_ON = 4 << 20
 _U = np.uint64
 _BYTE = stream(21, 256)
-_BYTE_B = stream(22, 256)
 _STEP = stream(23, 16) | _U(1)
 _BYTE_SMALL = stream(25, 256).astype(np.uint32)
 _STEP_SMALL = (stream(26, 8) | _U(1)).astype(np.uint32)
 _WORD = stream(27, GRAM // 8) | _U(1)
-_STEP_B = stream(24, 16) | _U(1)
 
 
 def rolling(raw: np.ndarray, width: int, table: np.ndarray = _BYTE, step: np.ndarray = _STEP) -> np.ndarray:
@@ -353,31 +355,96 @@ def _grouped_removals(pieces: DataFrame, length: int, batch_rows: int = 4_000) -
     return pieces.mapInArrow(run, "doc_id long, start long, end long")
 
 
-def _named_removals(pieces: DataFrame, length: int) -> DataFrame:
-    """Removals of single strings, by 128-bit names; for groups that must stay apart."""
+_LEFT = "key long, doc_id long, start long, end long, piece binary"
+
+
+def left_starts(pieces: list[bytes], docs: np.ndarray, places: np.ndarray, spans: list[tuple[int, int, int]], length: int) -> list[np.ndarray]:
+    """For each piece the starts, counted in it, of ``length``-byte strings that no span holds."""
+    sizes = np.array([len(p) - length + 1 for p in pieces])
+    order = np.lexsort((places, docs))
+    keys = list(zip(docs[order].tolist(), places[order].tolist(), strict=True))
+    offsets = np.cumsum(sizes) - sizes
+    mark = np.zeros(int(sizes.sum()) + 1, np.int64)
+    for doc, start, end in spans:
+        piece = order[bisect_right(keys, (doc, start)) - 1]
+        at = offsets[piece] - places[piece]
+        mark[at + start] += 1
+        mark[at + end - length + 1] -= 1
+    free = np.cumsum(mark[:-1]) == 0
+    return [np.flatnonzero(free[o : o + n]) for o, n in zip(offsets.tolist(), sizes.tolist(), strict=True)]
+
+
+def nth_grams(piece: bytes, starts: np.ndarray, length: int, nth: int) -> np.ndarray:
+    """Hash of the ``nth`` smallest different gram of each string, the largest if it has fewer."""
+    grams = _small_grams(np.frombuffer(piece, np.uint8))
+    held = np.sort(np.lib.stride_tricks.sliding_window_view(grams, length - GRAM + 1)[starts], axis=1)
+    rank = np.cumsum(np.append(np.zeros((len(held), 1), bool), held[:, 1:] != held[:, :-1], axis=1), axis=1)
+    return held[np.arange(len(held)), np.minimum((rank < nth - 1).sum(axis=1), held.shape[1] - 1)]
+
+
+def _reduced(pieces: DataFrame, length: int, level: int, at_once: int) -> DataFrame:
+    """Removals among each ``at_once`` neighbouring pieces (null piece), and what is left of the pieces under new keys."""
+    names = ["key", "doc_id", "start", "end", "piece"]
+
+    def settle(rows: pa.Table) -> Iterator[pa.RecordBatch]:
+        texts = rows.column("piece").to_pylist()
+        docs, places, keys = (rows.column(n).to_numpy() for n in ("doc_id", "start", "key"))
+        spans = list(removals(texts, docs, places, length))
+        out = [(None, doc, start, end, None) for doc, start, end in spans]
+        for i, starts in enumerate(left_starts(texts, docs, places, spans, length)):
+            if not starts.size:
+                continue
+            found = nth_grams(texts[i], starts, length, level)
+            first = np.flatnonzero(np.append(True, (np.diff(starts) != 1) | (found[1:] != found[:-1])))
+            last = np.append(first[1:], starts.size) - 1
+            with np.errstate(over="ignore"):
+                key = mix(mix(found[first].astype(_U)) ^ keys[i : i + 1].view(_U)).view(np.int64).tolist()
+            for k, a, b in zip(key, starts[first].tolist(), starts[last].tolist(), strict=True):
+                out.append((k, int(docs[i]), int(places[i]) + a, 0, texts[i][a : b + length]))
+        for at in range(0, len(out), 20_000):
+            columns = zip(*out[at : at + 20_000], strict=True)
+            kinds = [pa.int64()] * 4 + [pa.binary()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, rows = [], 0
         for batch in batches:
-            for doc_id, start, piece in zip(*batch.columns[1:4], strict=True):
-                raw = np.frombuffer(piece.as_py(), np.uint8)
-                one, two = rolling(raw, length), rolling(raw, length, _BYTE_B, _STEP_B)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(one.view(np.int64)),
-                        pa.array(two.view(np.int64)),
-                        pa.array(np.full(one.size, doc_id.as_py(), np.int64)),
-                        pa.array(start.as_py() + np.arange(one.size)),
-                    ],
-                    ["one", "two", "doc_id", "start"],
-                )
-
-    strings = pieces.mapInArrow(run, "one long, two long, doc_id long, start long")
-    first = strings.groupBy("one", "two").agg(F.min(F.struct("doc_id", "start")).alias("first"), F.count("*").alias("n"))
-    return (
-        strings.join(first.filter("n > 1"), ["one", "two"])
-        .filter(F.struct("doc_id", "start") != F.col("first"))
-        .select("doc_id", "start", (F.col("start") + length).alias("end"))
-    )
+            for at in range(0, batch.num_rows, at_once):
+                held.append(batch.slice(at, at_once))
+                rows += held[-1].num_rows
+                if rows >= at_once:
+                    yield from settle(pa.Table.from_batches(held))
+                    held, rows = [], 0
+        if rows:
+            yield from settle(pa.Table.from_batches(held))
+
+    return pieces.mapInArrow(run, _LEFT)
+
+
+def _crowded_removals(pieces: DataFrame, length: int, limit: int) -> DataFrame:
+    """Removals from groups that are too large to meet at once, in rounds."""
+    now = pieces.select(F.col("anchor").alias("key"), "doc_id", "start", "piece")
+    parts, level = [], 1
+    while True:
+        # Parts of a group: any will do, and those of equal places in their documents are most alike.
+        deal = F.pmod(F.xxhash64("doc_id"), F.lit(64))
+        dealt = now.withColumn("deal", deal).repartition("key", "deal").sortWithinPartitions("key", "deal").drop("deal")
+        level += 1
+        round_ = stored(_reduced(dealt, length, level, max(2, limit // 4)), "reduced")
+        parts.append(round_.filter("piece is null").select("doc_id", "start", "end"))
+        left = round_.filter("piece is not null")
+        # A key that no other piece has is done.
+        counts = stored(left.groupBy("key").count().filter("count > 1"), "left")
+        large = counts.filter(F.col("count") > limit).select("key")
+        small = counts.filter(F.col("count") <= limit).select("key")
+        meet = left.join(small.hint("shuffle_hash"), "key", "left_semi").select(F.col("key").alias("anchor"), "doc_id", "start", "piece")
+        parts.append(_grouped_removals(meet.repartition("anchor").sortWithinPartitions("anchor"), length))
+        n_large = large.count()
+        if not n_large:
+            return reduce(DataFrame.union, parts)
+        # So many keys of over ``limit`` pieces each; beyond that the join is a shuffle.
+        large = F.broadcast(large) if n_large <= 100_000 else large
+        now = left.join(large, "key", "left_semi").select("key", "doc_id", "start", "piece")
 
 
 def repeated_spans(docs: DataFrame, length: int = LENGTH, limit: int = LIMIT) -> tuple[DataFrame, DataFrame]:
@@ -407,7 +474,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, limit: int = LIMIT) ->
     spans = _grouped_removals(small, length)
     large = shared.filter(F.col("count") > limit)
     if not large.isEmpty():
-        spans = spans.union(_named_removals(pieces(large), length))
+        spans = spans.union(_crowded_removals(pieces(large), length, limit))
     spans = spans.union(copies.select("doc_id", F.lit(0).cast("long"), "size"))
     spans = spans.select("doc_id", F.col("start").cast("int"), F.col("end").cast("int"))
     return texts, spans.groupBy("doc_id").agg(F.collect_list(F.struct("start", "end")).alias("spans"))

@@ -74,6 +74,36 @@ def test_repeats_equal_a_scan(docs, rows, limit):
     assert got == {i: w[:4] for i, w in brute.repeats(rows, 100).items()}
 
 
+@pytest.mark.parametrize("limit", [2, 5, 40])
+def test_crowded_groups_in_rounds(spark, limit):
+    """Groups far above the limit, of copies, of near copies and of different texts around one passage."""
+    rng = random.Random(limit)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(rng.randint(2, 8)))
+    prose = lambda n: " ".join(word() for _ in range(n))
+    line, passage = "the same thirty-two bytes of text " * 2, prose(60)
+    texts = [f"{prose(rng.randint(5, 30))} {line}{prose(rng.randint(5, 30))}" for _ in range(60)]
+    texts += [f"{prose(4)} {passage} {prose(4)}" for _ in range(50)] + [passage[k:] for k in range(0, 200, 9)]
+    texts += ["ab" * 400, "x" * 900, "x" * 500 + "y", passage * 3]
+    docs = list(zip(rng.sample(range(10_000), len(texts)), texts, strict=True))
+    frame = spark.createDataFrame(docs, "doc_id long, text string").repartition(5)
+    got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in suffix.dedup_report(frame, 100, limit).collect()}
+    want = brute.repeats(docs, 100)
+    assert got == {i: w[:4] for i, w in want.items()}
+
+
+def test_left_starts_and_grams():
+    rng = np.random.default_rng(3)
+    piece = rng.integers(97, 100, 160).astype(np.uint8).tobytes()
+    left = suffix.left_starts([piece, piece[:120]], np.array([7, 3]), np.array([50, 0]), [(7, 52, 155), (3, 10, 110)], 100)
+    assert left[0].tolist() == [0, 1, *range(6, 61)] and left[1].tolist() == [*range(10), *range(11, 21)]
+    grams = suffix._small_grams(np.frombuffer(piece, np.uint8))
+    for nth in (1, 2, 5, 500):
+        found = suffix.nth_grams(piece, np.arange(61), 100, nth)
+        for s in range(61):
+            different = sorted({*grams[s : s + 69].tolist()})
+            assert found[s] == different[min(nth, len(different)) - 1]
+
+
 def test_repeats_edge_cases(odd, nothing, rows, docs):
     got = suffix.dedup_report(odd, 100).collect()
     want = brute.repeats(rows[:12], 100)
