@@ -32,7 +32,7 @@ from __future__ import annotations
 
 import hashlib
 from bisect import bisect_right
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import reduce
 
 import numpy as np
@@ -319,6 +319,17 @@ def _pieces_of(texts: DataFrame, length: int) -> DataFrame:
 _SPANS = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("end", pa.int64())])
 
 
+def _joined(spans: Iterable[tuple[int, int, int]]) -> list[list[int]]:
+    """(document, start, end) put together where they meet."""
+    out: list[list[int]] = []
+    for doc, start, end in sorted(spans):
+        if out and out[-1][0] == doc and start <= out[-1][2]:
+            out[-1][2] = max(out[-1][2], end)
+        else:
+            out.append([doc, start, end])
+    return out
+
+
 def _grouped_removals(pieces: DataFrame, length: int, batch_rows: int = 4_000) -> DataFrame:
     """Removals from pieces that are partitioned and sorted by anchor; whole groups at a time."""
 
@@ -327,13 +338,7 @@ def _grouped_removals(pieces: DataFrame, length: int, batch_rows: int = 4_000) -
 
         def settle(rows: pa.Table) -> pa.RecordBatch:
             found = removals(rows.column(3).to_pylist(), rows.column(1).to_numpy(), rows.column(2).to_numpy(), length)
-            joined: list[list[int]] = []
-            for doc, start, end in sorted(found):
-                if joined and joined[-1][0] == doc and start <= joined[-1][2]:
-                    joined[-1][2] = max(joined[-1][2], end)
-                else:
-                    joined.append([doc, start, end])
-            spans = np.array(joined, np.int64).reshape(-1, 3)
+            spans = np.array(_joined(found), np.int64).reshape(-1, 3)
             return pa.RecordBatch.from_arrays([pa.array(spans[:, i]) for i in range(3)], schema=_SPANS)
 
         for batch in batches:
@@ -390,7 +395,7 @@ def _reduced(pieces: DataFrame, length: int, level: int, at_once: int) -> DataFr
         texts = rows.column("piece").to_pylist()
         docs, places, keys = (rows.column(n).to_numpy() for n in ("doc_id", "start", "key"))
         spans = list(removals(texts, docs, places, length))
-        out = [(None, doc, start, end, None) for doc, start, end in spans]
+        out = [(None, doc, start, end, None) for doc, start, end in _joined(spans)]
         for i, starts in enumerate(left_starts(texts, docs, places, spans, length)):
             if not starts.size:
                 continue
