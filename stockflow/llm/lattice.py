@@ -10,12 +10,15 @@ to the head of the queue. The largest sum of a set is an upper bound for every
 part, so the search is A-star with perturbed bounds and emits segmentations in
 order of their sums, all distinct.
 
-No piece joins two units (a space with the letters after it, or a run of other
-characters), so the lattice is a chain of unit lattices and a segmentation is
-one choice for each unit. When a set is opened, its best member is a draw from
-the units that are still free; what is left splits by the first unit that
-differs. Units repeat, so their choices are kept: the likeliest by name, all
-others together as a rest from which is drawn, when needed, along the lattice.
+The lattice holds all pieces. A text is cut between two bytes that no piece has
+beside each other, so it is a chain of unit lattices and a segmentation is one
+choice for each unit. When a set is opened, its best member is drawn arc by arc
+from the units that are still free; what is left splits by the first unit that
+differs. What is left of a unit is added up along the excluded segmentations,
+arc by arc, never subtracted, so a set is empty if, and only if, its sum is zero.
+
+Texts go in blocks. Each different unit of a block has one lattice; arcs, sums
+and draws of all units of a block are numpy arrays.
 
 A segmentation's inclusion score is the probability that its sum exceeds the
 (k+1)-th largest one.
@@ -25,144 +28,272 @@ from __future__ import annotations
 
 import heapq
 import math
-import re
 import zlib
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from stockflow.llm.textarrays import stream
+from stockflow.llm.textarrays import mix, span_hashes, stream
 
 SPACE = "▁"
-NAMED = 4
-UNITS_KEPT = 150_000
-# A space with what follows it, up to a change between ASCII marks or digits and all else.
-_MARK = r"!-@\[-`{-~"
-_UNIT = re.compile(rf"{SPACE}?[^{SPACE}{_MARK}]+|{SPACE}?[{_MARK}]+|{SPACE}")
-_MIXED = re.compile(rf"[{_MARK}][^{_MARK}]|[^{_MARK}][{_MARK}]")
-# Draws that may fall on excluded segmentations before the likeliest others are named.
-DRAWS, MORE_NAMED = 100, 64
-# Sets of a smaller log probability within a unit are rounding.
-LEAST = -30.0
-
-
-def _by_log(way: tuple[float, tuple[int, ...]]) -> float:
-    return way[0]
-
-
-class Unit:
-    """Segmentations of one unit: the likeliest ``NAMED``, and the lattice for the rest."""
-
-    __slots__ = ("arcs", "after", "ids", "logs")
-
-    def __init__(self, text: str, model: Model) -> None:
-        n = len(text)
-        self.arcs: list[list[tuple[int, float, tuple[int, ...]]]] = []
-        for i in range(n):
-            found = []
-            for j in range(i + 1, min(n, i + model.longest) + 1):
-                if (piece := model.pieces.get(text[i:j])) is not None:
-                    found.append((j, piece[1], (piece[0],)))
-            if not found or found[0][0] > i + 1:
-                spelled = tuple(model.bytes[b] for b in text[i].encode("utf-8", "surrogatepass"))
-                found.insert(0, (i + 1, model.byte_log * len(spelled), spelled))
-            self.arcs.append(found)
-        after = [0.0] * (n + 1)
-        for i in range(n - 1, -1, -1):
-            logs = [log + after[j] for j, log, _ in self.arcs[i]]
-            top = max(logs)
-            after[i] = top + math.log(sum([math.exp(x - top) for x in logs]))
-        self.after = after
-        named = self.likeliest(NAMED)
-        self.ids = [ids for _, ids in named]
-        self.logs = [s for s, _ in named]
-
-    def likeliest(self, most: int) -> list[tuple[float, tuple[int, ...]]]:
-        """Log probability and ids of at most ``most`` segmentations."""
-        best: list[list[tuple[float, tuple[int, ...]]]] = [[] for _ in self.arcs] + [[(-self.after[0], ())]]
-        for i in range(len(self.arcs) - 1, -1, -1):
-            ways = [(log + s, ids + rest) for j, log, ids in self.arcs[i] for s, rest in best[j]]
-            ways.sort(key=_by_log, reverse=True)
-            best[i] = ways[:most]
-        return best[0]
-
-    def draw(self, random: np.random.Generator, taken: set[tuple[int, ...]]) -> tuple[tuple[int, ...], float]:
-        """A segmentation along the lattice that is not in ``taken``, and its log probability.
-
-        If nearly all probability is taken, the draw is among the ``MORE_NAMED``
-        likeliest of the others.
-        """
-        for _ in range(DRAWS):
-            i, ids, total = 0, (), 0.0
-            while i < len(self.arcs):
-                at = random.random()
-                for j, log, found in self.arcs[i]:
-                    share = log + self.after[j] - self.after[i]
-                    at -= math.exp(share)
-                    if at < 0:
-                        break
-                i, ids, total = j, ids + found, total + share
-            if ids not in taken:
-                return ids, total
-        others = [(s, ids) for s, ids in self.likeliest(MORE_NAMED + len(taken)) if ids not in taken]
-        shares = np.exp(np.array([s for s, _ in others]) - others[0][0])
-        total, ids = others[int(random.choice(len(others), p=shares / shares.sum()))]
-        return ids, total
+# Bytes of text that are worked on together, and bytes that are hashed at a time.
+BLOCK, SLICE = 1 << 21, 1 << 19
+_STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
 class Model:
-    """Pieces with their log scores, and what is known of recent units."""
+    """Pieces with their log scores, as a trie of bytes, and the pairs of bytes they join."""
 
     def __init__(self, path: str) -> None:
         import sentencepiece
 
         processor = sentencepiece.SentencePieceProcessor(model_file=path)
-        self.bytes: dict[int, int] = {}
-        self.pieces: dict[str, tuple[int, float]] = {}
-        self.spelling: list[str | int | None] = []
-        for i in range(processor.get_piece_size()):
+        self.byte_ids = np.zeros(256, np.int32)
+        self.spelling: list[bytes] = []
+        self.logs = np.zeros(processor.get_piece_size())
+        children: dict[tuple[int, int], int] = {}
+        ends = {}
+        self.joined = np.zeros((256, 256), bool)
+        self.longest, self.byte_log = 1, 0.0
+        for i in range(self.logs.size):
             piece = processor.id_to_piece(i)
             if processor.is_byte(i):
-                self.bytes[int(piece[3:5], 16)] = i
-                self.spelling.append(int(piece[3:5], 16))
-            elif processor.is_control(i) or processor.is_unknown(i):
-                self.spelling.append(None)
-            else:
-                self.spelling.append(piece)
-                # Pieces of several spaces are set aside by the vocabulary itself; those that join units are few.
-                if SPACE not in piece[1:] and not _MIXED.search(piece.removeprefix(SPACE)):
-                    self.pieces[piece] = (i, -math.log(2.0 - processor.get_score(i)))
-        self.longest = max(map(len, self.pieces), default=1)
-        self.byte_log = min((log for _, log in self.pieces.values()), default=0.0)
-        self.units: dict[str, tuple[list[float], Unit]] = {}
-
-    def of(self, units: list[str]) -> tuple[list[Unit], np.ndarray]:
-        """The units' lattices, and their log probabilities (-inf where there are fewer)."""
-        if len(self.units) > UNITS_KEPT:
-            self.units.clear()
-        found, logs = [], []
-        for text in units:
-            unit = self.units.get(text)
-            if unit is None:
-                made = Unit(text, self)
-                padded = made.logs + [-math.inf] * (NAMED - len(made.logs))
-                unit = self.units[text] = (padded, made)
-            found.append(unit[1])
-            logs.append(unit[0])
-        return found, np.array(logs).reshape(-1, NAMED)
+                self.byte_ids[int(piece[3:5], 16)] = i
+                self.spelling.append(bytes([int(piece[3:5], 16)]))
+                continue
+            if processor.is_control(i) or processor.is_unknown(i):
+                self.spelling.append(b"")
+                continue
+            spelled = piece.replace(SPACE, " ").encode()
+            self.spelling.append(spelled)
+            self.logs[i] = -math.log(2.0 - processor.get_score(i))
+            self.byte_log = min(self.byte_log, self.logs[i])
+            self.longest = max(self.longest, len(spelled))
+            node = 0
+            for one, two in zip(spelled, spelled[1:], strict=False):
+                self.joined[one, two] = True
+            for b in spelled:
+                node = children.setdefault((node, b), len(children) + 1)
+            ends[node] = i
+        edges = sorted((node * 256 + b, to) for (node, b), to in children.items())
+        self.edges, self.targets = (np.array(column, np.int64) for column in zip(*edges, strict=True))
+        self.ends = np.full(len(children) + 1, -1, np.int32)
+        self.ends[list(ends)] = list(ends.values())
 
     def decode(self, ids: list[int]) -> str:
         """The text of a row of ids; the space that encoding puts in front is taken off."""
-        out = bytearray()
-        for i in ids:
-            piece = self.spelling[i]
-            if isinstance(piece, int):
-                out.append(piece)
-            elif piece is not None:
-                out += piece.encode()
-        return out.decode("utf-8", "replace").replace(SPACE, " ").removeprefix(" ")
+        return b"".join([self.spelling[i] for i in ids]).decode("utf-8", "replace").removeprefix(" ")
+
+    def starts(self, raw: np.ndarray) -> np.ndarray:
+        """Where the units of a text begin: nowhere inside a character or a piece."""
+        cut = [np.zeros(min(1, raw.size), np.int64)]
+        for i in range(0, raw.size - 1, SLICE):
+            one, two = raw[i : i + SLICE], raw[i + 1 : i + 1 + SLICE]
+            whole = (two & 0xC0) != 0x80
+            cut.append(np.flatnonzero(whole & ~self.joined[one[: two.size], two]) + i + 1)
+        return np.concatenate(cut)
+
+
+class Lattices:
+    """Lattices of different units, given one behind the other in ``raw``.
+
+    Places are the beginnings of characters, numbered by their distance from the
+    end of their unit, so that sums over what follows a place come from arcs of
+    earlier numbers. The arcs of place q are ``first[q]`` to ``first[q + 1]``.
+    """
+
+    def __init__(self, model: Model, raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> None:
+        self.raw, self.byte_ids = raw, model.byte_ids
+        unit_end = np.repeat(ends, ends - starts)
+        at = np.flatnonzero((raw & 0xC0) != 0x80)
+        # A unit always begins with a place, also in bytes that are no text.
+        at = np.union1d(at, starts)
+        left = unit_end[at] - at
+        order = np.argsort(left, kind="stable")
+        at, self.left = at[order], left[order]
+        n = at.size
+        number = np.full(raw.size + 1, n, np.int64)
+        number[at] = np.arange(n)
+        self.begin = number[starts]
+        # Arcs: place, bytes covered, piece (or byte position, below zero).
+        froms, sizes, pieces = [], [], []
+        alive, node = np.arange(n), np.zeros(n, np.int64)
+        for depth in range(model.longest):
+            inside = self.left[alive] > depth
+            alive, node = alive[inside], node[inside]
+            key = node * 256 + raw[at[alive] + depth]
+            found = np.minimum(np.searchsorted(model.edges, key), model.edges.size - 1)
+            known = model.edges[found] == key
+            alive, node = alive[known], model.targets[found[known]]
+            if not alive.size:
+                break
+            piece = model.ends[node]
+            is_piece = piece >= 0
+            froms.append(alive[is_piece])
+            sizes.append(np.full(froms[-1].size, depth + 1))
+            pieces.append(piece[is_piece].astype(np.int64))
+        # A character without a piece of its own is spelled in bytes.
+        lead = raw[at]
+        width = np.minimum(np.where(lead < 0xC0, 1, np.where(lead < 0xE0, 2, np.where(lead < 0xF0, 3, 4))), self.left)
+        has_own = np.zeros(n, bool)
+        for place, covered in zip(froms, sizes, strict=True):
+            has_own[place[covered == width[place]]] = True
+        plain = np.flatnonzero(~has_own)
+        froms.append(plain)
+        sizes.append(width[plain])
+        pieces.append(-1 - at[plain])
+        place, size, self.piece = (np.concatenate(x) for x in (froms, sizes, pieces))
+        order = np.lexsort((size, place))
+        place, size, self.piece = place[order], size[order], self.piece[order]
+        self.size = size
+        log = np.where(self.piece >= 0, model.logs[np.maximum(self.piece, 0)], model.byte_log * size)
+        over = self.left[place] == size
+        self.to = np.where(over, n, number[at[place] + size])
+        self.first = np.searchsorted(place, np.arange(n + 1))
+        # Sums over all that follows a place, in logs; distances in turn.
+        after = np.zeros(n + 1)
+        distances = np.append(np.flatnonzero(np.diff(self.left, prepend=-1)), n)
+        for low, high in zip(distances[:-1].tolist(), distances[1:].tolist(), strict=True):
+            a, b = self.first[low], self.first[high]
+            values = log[a:b] + after[self.to[a:b]]
+            heads = self.first[low:high] - a
+            top = np.maximum.reduceat(values, heads)
+            after[low:high] = top + np.log(np.add.reduceat(np.exp(values - np.repeat(top, np.diff(self.first[low : high + 1]))), heads))
+        self.log = log + after[self.to] - after[place]
+        counts = np.diff(self.first)
+        # A place with one arc has exactly share 1.
+        self.log[np.repeat(counts == 1, counts)] = 0.0
+        self.share = np.exp(self.log)
+        self.others = np.zeros(self.share.size)
+        below = np.zeros(self.share.size)
+        several = np.arange(n)
+        for i in range(int(counts.max(initial=1))):
+            several = several[counts[several] > i]
+            here = self.first[several] + i
+            if i:
+                below[here] = below[here - 1] + self.share[here - 1]
+        above = np.zeros(self.share.size)
+        several = np.arange(n)
+        for i in range(1, int(counts.max(initial=1)) + 1):
+            several = several[counts[several] >= i]
+            here = self.first[several + 1] - i
+            if i > 1:
+                above[here] = above[here + 1] + self.share[here + 1]
+        self.others = below + above
+        self.until = place + np.minimum(below + self.share, 1.0)
+
+    def draw(self, units: np.ndarray, ends: np.ndarray, keys: np.ndarray) -> Drawn:
+        """A segmentation of each unit; ``ends`` are the units' ends in their texts, which place the random numbers."""
+        n = units.size
+        log, left, before = np.zeros(n), np.zeros(n), np.ones(n)
+        counts = np.zeros(n, np.int64)
+        steps = []
+        who, q = np.arange(n), self.begin[units]
+        while who.size:
+            u = uniform(keys[who], ends[who] - self.left[q])
+            arc = np.minimum(np.searchsorted(self.until, q + u, side="right"), self.first[q + 1] - 1)
+            steps.append((who, arc))
+            log[who] += self.log[arc]
+            left[who] += before[who] * self.others[arc]
+            before[who] *= self.share[arc]
+            counts[who] += 1
+            q = self.to[arc]
+            on = q < self.left.size
+            who, q = who[on], q[on]
+        first = np.concatenate(([0], np.cumsum(counts)))
+        arcs = np.empty(int(first[-1]), np.int64)
+        for i, (some, arc) in enumerate(steps):
+            arcs[first[some] + i] = arc
+        with np.errstate(divide="ignore"):
+            return Drawn(arcs, first, log, np.log(np.minimum(left, 1.0)))
+
+    def ids(self, arcs: np.ndarray) -> np.ndarray:
+        """The ids along arcs; bytes for characters without a piece."""
+        pieces = self.piece[arcs]
+        spelled = pieces < 0
+        if not spelled.any():
+            return pieces
+        counts = np.where(spelled, self.size[arcs], 1)
+        first = np.cumsum(counts) - counts
+        out = np.repeat(pieces, counts)
+        place = np.flatnonzero(out < 0)
+        out[place] = self.byte_ids[self.raw[-1 - out[place] + place - np.repeat(first, counts)[place]]]
+        return out
+
+    def without(self, unit: int, excluded: list[tuple[int, ...]]) -> Remainder:
+        """What is left of a unit without some segmentations: sums along their trie."""
+        places, children = [int(self.begin[unit])], [{}]
+        for path in excluded:
+            node = 0
+            for arc in path:
+                to = int(self.to[arc])
+                if to == self.left.size:
+                    children[node][arc] = -1
+                elif arc in children[node]:
+                    node = children[node][arc]
+                else:
+                    children[node][arc] = len(places)
+                    node = len(places)
+                    places.append(to)
+                    children.append({})
+        sums = [0.0] * len(places)
+        weights: list[np.ndarray] = [None] * len(places)
+        for node in range(len(places) - 1, -1, -1):
+            low, high = self.first[places[node]], self.first[places[node] + 1]
+            logs = self.log[low:high].copy()
+            for arc, child in children[node].items():
+                logs[arc - low] = -math.inf if child < 0 else logs[arc - low] + sums[child]
+            weights[node] = logs
+            top = logs.max()
+            sums[node] = -math.inf if top == -math.inf else float(top + math.log(np.exp(logs - top).sum()))
+        return Remainder(places, children, weights, sums[0])
+
+    def draw_without(self, unit: int, rest: Remainder, end: int, key: np.uint64) -> tuple[tuple[int, ...], float]:
+        """A segmentation that is not excluded, and its log probability in the whole unit."""
+        q, node, log, path = int(self.begin[unit]), 0, 0.0, []
+        noise = uniform(key, np.arange(end - int(self.left[q]), end))
+        begin = end - int(self.left[q])
+        while q < self.left.size:
+            low = int(self.first[q])
+            weights = self.log[low : int(self.first[q + 1])] if node < 0 else rest.weights[node]
+            shares = np.cumsum(np.exp(weights - weights.max()))
+            u = noise[end - int(self.left[q]) - begin] * shares[-1]
+            i = min(int(np.searchsorted(shares, u, side="right")), int(np.flatnonzero(weights > -math.inf)[-1]))
+            arc = low + i
+            path.append(arc)
+            log += float(self.log[arc])
+            node = rest.children[node].get(arc, -1) if node >= 0 else -1
+            q = int(self.to[arc])
+        return tuple(path), log
+
+
+class Drawn(NamedTuple):
+    """Segmentations of units: arcs, the first of each unit, log probabilities, logs of all other probability."""
+
+    arcs: np.ndarray
+    first: np.ndarray
+    log: np.ndarray
+    left: np.ndarray
+
+
+class Remainder(NamedTuple):
+    """A trie of excluded segmentations: places, children by arc, log weights of arcs, log of the whole."""
+
+    places: list[int]
+    children: list[dict[int, int]]
+    weights: list[np.ndarray]
+    log: float
+
+
+class Sample(NamedTuple):
+    """A segmentation of a text: arcs, the first of each unit, log probability of each unit."""
+
+    arcs: np.ndarray
+    first: np.ndarray
+    log: np.ndarray
 
 
 _models: dict[str, Model] = {}
@@ -175,16 +306,15 @@ def model_of(path: str) -> Model:
     return _models[path]
 
 
-def units_of(text: str) -> list[str]:
-    """The text with spaces marked and one in front, cut where no piece can join."""
-    return _UNIT.findall(SPACE + text.replace(" ", SPACE)) if text else []
+def uniform(keys: np.ndarray | np.uint64, places: np.ndarray) -> np.ndarray:
+    """Numbers in (0, 1) by key and place."""
+    with np.errstate(over="ignore"):
+        return ((mix(keys + (places.astype(np.uint64) + np.uint64(1)) * _STEP) >> np.uint64(12)) + 0.5) * 2.0**-52
 
 
-def _log1m(x: np.ndarray) -> np.ndarray:
-    """log(1 - exp(x)) for x <= 0."""
-    with np.errstate(divide="ignore"):
-        x = np.minimum(x, -1e-300)
-        return np.where(x > -math.log(2), np.log(-np.expm1(x)), np.log1p(-np.exp(x)))
+def key_of(seed: int, turn: int) -> np.uint64:
+    """The key of a row's random numbers for its ``turn``-th draw."""
+    return mix(mix(stream(31, 1) ^ np.uint64(seed & (2**64 - 1))) ^ stream(32, turn + 1)[-1:])[0]
 
 
 def _below(log: np.ndarray, top: float, noise: np.ndarray) -> np.ndarray:
@@ -192,64 +322,127 @@ def _below(log: np.ndarray, top: float, noise: np.ndarray) -> np.ndarray:
     return -np.logaddexp(np.log(-np.log(noise)) - log, -top)
 
 
+def spaced(text: str | None) -> bytes:
+    """The text's bytes with a space in front; marks of space are spaces."""
+    return (" " + text.replace(SPACE, " ")).encode("utf-8", "surrogatepass") if text else b""
+
+
+class Block:
+    """The units of some texts: which lattice each has, and where it ends in its text."""
+
+    def __init__(self, model: Model, texts: list[bytes]) -> None:
+        found, lengths, sources, offset = [], [], [], 0
+        self.bounds, ends = [0], []
+        raws = [np.frombuffer(text, np.uint8) for text in texts]
+        for raw in raws:
+            starts = model.starts(raw)
+            stops = np.append(starts[1:], raw.size)[: starts.size]
+            # Hashes of some units at a time: a hash takes many times the bytes.
+            groups = np.flatnonzero(np.diff(starts // SLICE, prepend=-1)).tolist() + [starts.size]
+            for low, high in zip(groups[:-1], groups[1:], strict=True):
+                a, b = int(starts[low]), int(stops[high - 1])
+                found.append(span_hashes(raw[a:b], starts[low:high] - a, stops[low:high] - a))
+            ends.append(stops)
+            sources.append(starts + offset)
+            lengths.append(stops - starts)
+            self.bounds.append(self.bounds[-1] + starts.size)
+            offset += raw.size
+        none = [np.empty(0, np.int64)]
+        self.ends, begin, length = (np.concatenate(x or none) for x in (ends, sources, lengths))
+        hashes = np.concatenate(found or [np.empty(0, np.uint64)])
+        _, one, self.units = np.unique(hashes, return_index=True, return_inverse=True)
+        begin, length = begin[one], length[one]
+        stops = np.cumsum(length)
+        raw = np.frombuffer(b"".join(texts), np.uint8)
+        if length.size:
+            raw = raw[np.arange(int(stops[-1])) + np.repeat(begin - (stops - length), length)]
+        self.lattices = Lattices(model, raw, stops - length, stops) if length.size else None
+
+
+def sample_texts(model: Model, texts: list[bytes], seeds: list[int], k: int) -> list[list[tuple[np.ndarray, float, float]]]:
+    """Per text at most ``k`` distinct segmentations: ids, log probability, inclusion; largest perturbed sum first."""
+    block = Block(model, texts)
+    lattices, units, ends = block.lattices, block.units, block.ends
+    low, high = block.bounds[:-1], block.bounds[1:]
+    samples: list[list[Sample]] = [[] for _ in texts]
+    # A set: its value, a number, the sample it was split from, the unit at which it differs, what is excluded there.
+    queues: list[list[tuple[float, int, int, int, list[tuple[int, ...]]]]] = [[] for _ in texts]
+    opened = [(d, None) for d in range(len(texts)) if low[d] < high[d]]
+    for turn in range(k):
+        if turn:
+            opened = [(d, heapq.heappop(queues[d])) for d in range(len(texts)) if queues[d]]
+        if not opened:
+            break
+        # All units behind the one that differs, of all texts.
+        fresh = [low[d] if of is None else low[d] + of[3] + 1 for d, of in opened]
+        counts = [high[d] - f for (d, _), f in zip(opened, fresh, strict=True)]
+        total = np.concatenate(([0], np.cumsum(counts)))
+        where = np.concatenate([np.arange(f, f + n) for f, n in zip(fresh, counts, strict=True)])
+        keys = [key_of(seeds[d], 2 * turn) for d, _ in opened]
+        noises = [key_of(seeds[d], 2 * turn + 1) for d, _ in opened]
+        drawn = lattices.draw(units[where], ends[where], np.repeat(np.array(keys, np.uint64), counts))
+        noise = uniform(np.repeat(np.array(noises, np.uint64), counts), ends[where])
+        for m, (d, of) in enumerate(opened):
+            a, b = int(total[m]), int(total[m + 1])
+            arcs, first = drawn.arcs[drawn.first[a] : drawn.first[b]], drawn.first[a : b + 1] - drawn.first[a]
+            log, left = drawn.log[a:b], drawn.left[a:b]
+            sets: list[tuple[float, int, list[tuple[int, ...]] | None]] = []
+            if of is None:
+                start, base = 0, 0.0
+                top = float(-np.log(-np.log(uniform(noises[m], np.array([0]))))[0])
+            else:
+                value, _, parent, at, excluded = of
+                top, old, unit = -value, samples[d][parent], int(units[low[d] + at])
+                rest = lattices.without(unit, excluded)
+                path, here = lattices.draw_without(unit, rest, int(ends[low[d] + at]), keys[m])
+                before = float(old.log[:at].sum())
+                start, base = at + 1, before + here
+                excluded = [*excluded, path]
+                remains = lattices.without(unit, excluded).log
+                if remains > -math.inf:
+                    sets.append((float(_below(before + remains, top, uniform(noises[m], np.array([0])))[0]), at, excluded))
+                head = old.arcs[: old.first[at]]
+                first = np.concatenate((old.first[: at + 1], head.size + len(path) + first))
+                arcs = np.concatenate((head, np.array(path, np.int64), arcs))
+                log = np.concatenate((old.log[:at], [here], log))
+            samples[d].append(Sample(arcs, first, log))
+            # The rest of the set, by the first unit that differs; more than k + 1 sets are never opened.
+            wanted = k - turn
+            tail = log[start:]
+            values = _below(base + np.cumsum(tail) - tail + left, top, noise[a:b])
+            best = np.argpartition(-values, wanted - 1)[:wanted] if values.size > wanted else np.arange(values.size)
+            sets += [(float(values[j]), start + int(j), None) for j in best if left[j] > -math.inf]
+            for value, at, excluded in sets:
+                if excluded is None:
+                    excluded = [tuple(arcs[first[at] : first[at + 1]].tolist())]
+                heapq.heappush(queues[d], (-value, turn * (k + 2) + len(queues[d]), turn, at, excluded))
+    out = []
+    for d in range(len(texts)):
+        limit = -queues[d][0][0] if queues[d] else -math.inf
+        rows = []
+        for sample in samples[d]:
+            log = float(sample.log.sum())
+            rows.append((lattices.ids(sample.arcs), log, -math.expm1(-math.exp(min(50.0, log - limit))) if queues[d] else 1.0))
+        out.append(rows or [(np.empty(0, np.int64), 0.0, 1.0)][:k])
+    return out
+
+
 def top_k(model: Model, text: str | None, k: int, seed: int) -> list[tuple[list[int], float, float]]:
     """At most ``k`` distinct segmentations: ids, log probability, inclusion score; largest perturbed sum first."""
-    units, logs = model.of(units_of(text or ""))
-    n = len(units)
-    random = np.random.default_rng(int(stream(31, 1)[0] ^ np.uint64(seed & (2**64 - 1))))
-    bounds = np.cumsum(np.exp(logs), axis=1)
-    whole = np.array([len(u.ids) == 1 for u in units], bool)
-    # A set: its value; the choices before the unit at which it begins; what is excluded there.
-    queue: list[tuple[float, int, int, list, np.ndarray, set]] = [
-        (-float(random.gumbel()), 0, 0, [None] * n, np.zeros(n), set())
-    ]
-    out: list[tuple[list[int], float]] = []
-    made = 0
-    while queue and len(out) < k:
-        value, _, at, chosen, log, excluded = heapq.heappop(queue)
-        top = -value
-        chosen, log = chosen.copy(), log.copy()
-        pick = (random.random(n - at)[:, None] > bounds[at:]).sum(axis=1)
-        for i in range(at, n):
-            c = int(pick[i - at])
-            if i == at and excluded:
-                chosen[i], log[i] = units[i].draw(random, excluded)
-            elif c < len(units[i].ids):
-                chosen[i], log[i] = units[i].ids[c], logs[i, c]
-            else:
-                chosen[i], log[i] = units[i].draw(random, set(units[i].ids) if len(units[i].ids) == NAMED else set())
-        out.append(([x for ids in chosen for x in ids], float(log.sum())))
-        # The rest of the set, by the first unit that differs.
-        here = log[at:].copy()
-        if n > at and excluded:
-            gone = sum(math.exp(_log_of(units[at], ids)) for ids in excluded)
-            here[0] = math.log(min(1.0, gone + math.exp(here[0])))
-        left = _log1m(here)
-        before = log[:at].sum() + np.cumsum(log[at:]) - log[at:]
-        values = _below(before + left, top, random.random(n - at))
-        # What is left of a unit with few segmentations is rounding, once all are taken.
-        values[(left < LEAST) | whole[at:]] = -math.inf
-        for j in np.argsort(-values)[: k + 1 - len(out)]:
-            if values[j] > -math.inf:
-                made += 1
-                i = at + int(j)
-                heapq.heappush(queue, (-float(values[j]), made, i, chosen, log, {chosen[i]} | (excluded if i == at else set())))
-    limit = -queue[0][0] if queue else -math.inf
-    return [(ids, log, -math.expm1(-math.exp(min(50.0, log - limit))) if queue else 1.0) for ids, log in out]
-
-
-def _log_of(unit: Unit, ids: tuple[int, ...]) -> float:
-    """Log probability of one segmentation of a unit."""
-    for known, log in zip(unit.ids, unit.logs, strict=True):
-        if known == ids:
-            return log
-    i, at, total = 0, 0, -unit.after[0]
-    while i < len(unit.arcs):
-        for j, log, found in unit.arcs[i]:
-            if ids[at : at + len(found)] == found:
-                i, at, total = j, at + len(found), total + log
-                break
-    return total
+    return [(ids.tolist(), log, inclusion) for ids, log, inclusion in sample_texts(model, [spaced(text)], [seed], k)[0]]
+
+
+def _blocks(column: pa.Array) -> Iterator[tuple[int, list[str]]]:
+    """Texts of a batch, about ``BLOCK`` characters at a time, and the row of the first."""
+    first, texts, size = 0, [], 0
+    for i in range(len(column)):
+        texts.append(column[i].as_py() or "")
+        size += len(texts[-1])
+        if size >= BLOCK:
+            yield first, texts
+            first, texts, size = i + 1, [], 0
+    if texts:
+        yield first, texts
 
 
 def sampled(docs: DataFrame, model_path: str, k: int = 2, seed: int = 0) -> DataFrame:
@@ -261,7 +454,8 @@ def sampled(docs: DataFrame, model_path: str, k: int = 2, seed: int = 0) -> Data
     ``seed`` and its doc_id (null: 0) alone, so repeated rows have the same
     samples. ``decoded`` says that the ids give the text back; marks of space in
     a text come back as spaces. Other columns are ignored; an empty table gives
-    no row.
+    no row. A very long text is a block of its own, and a very long word a
+    lattice of its own.
     """
     names = ["doc_id", "sample", "n_pieces", "ids_crc32", "log_probability", "inclusion", "decoded"]
     kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.bool_()]
@@ -269,14 +463,18 @@ def sampled(docs: DataFrame, model_path: str, k: int = 2, seed: int = 0) -> Data
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = model_of(model_path)
         for batch in batches:
-            rows = []
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                plain = text.as_py() or ""
-                for i, (ids, log, inclusion) in enumerate(top_k(model, plain, k, seed ^ (doc_id or 0))):
-                    crc = zlib.crc32(np.array(ids, "<u4").tobytes())
-                    rows.append((doc_id, i, len(ids), crc, log, inclusion, model.decode(ids) == plain.replace(SPACE, " ")))
-            columns = list(zip(*rows, strict=True)) or [()] * len(names)
-            yield pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(columns, kinds, strict=True)], names)
+            doc_ids = batch.column(0).to_pylist()
+            for first, texts in _blocks(batch.column(1)):
+                some = doc_ids[first : first + len(texts)]
+                rows = []
+                found = sample_texts(model, [spaced(t) for t in texts], [seed ^ (i or 0) for i in some], k)
+                for doc_id, text, samples in zip(some, texts, found, strict=True):
+                    plain = text.replace(SPACE, " ")
+                    for i, (ids, log, inclusion) in enumerate(samples):
+                        crc = zlib.crc32(ids.astype("<u4").tobytes())
+                        rows.append((doc_id, i, len(ids), crc, log, inclusion, model.decode(ids.tolist()) == plain))
+                columns = list(zip(*rows, strict=True)) or [()] * len(names)
+                yield pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(columns, kinds, strict=True)], names)
 
     schema = "doc_id long, sample int, n_pieces long, ids_crc32 long, log_probability double, inclusion double, decoded boolean"
     return docs.select("doc_id", "text").mapInArrow(run, schema)
