@@ -78,10 +78,16 @@ class Model:
             for b in spelled:
                 node = children.setdefault((node, b), len(children) + 1)
             ends[node] = i
-        edges = sorted((node * 256 + b, to) for (node, b), to in children.items())
-        self.edges, self.targets = (np.array(column, np.int64) for column in zip(*edges, strict=True))
+        # Nodes that go on come first, so that the table of steps has a row for them alone, and one for all others.
+        inner = sorted({node for node, _ in children} | {0})
+        self.inner = len(inner)
+        number = dict(zip([*inner, *sorted(set(children.values()) - set(inner))], range(len(children) + 1), strict=True))
+        self.steps = np.full((self.inner + 1) * 256, -1, np.int32)
+        for (node, b), to in children.items():
+            self.steps[number[node] * 256 + b] = number[to]
         self.ends = np.full(len(children) + 1, -1, np.int32)
-        self.ends[list(ends)] = list(ends.values())
+        for node, i in ends.items():
+            self.ends[number[node]] = i
 
     def decode(self, ids: list[int]) -> str:
         """The text of a row of ids; the space that encoding puts in front is taken off."""
@@ -120,14 +126,13 @@ class Lattices:
         self.begin = number[starts]
         # Arcs: place, bytes covered, piece (or byte position, below zero).
         froms, sizes, pieces = [], [], []
-        alive, node = np.arange(n), np.zeros(n, np.int64)
+        alive, node = np.arange(n), np.zeros(n, np.int32)
         for depth in range(model.longest):
             inside = self.left[alive] > depth
             alive, node = alive[inside], node[inside]
-            key = node * 256 + raw[at[alive] + depth]
-            found = np.minimum(np.searchsorted(model.edges, key), model.edges.size - 1)
-            known = model.edges[found] == key
-            alive, node = alive[known], model.targets[found[known]]
+            node = model.steps[np.minimum(node, model.inner) * 256 + raw[at[alive] + depth]]
+            known = node >= 0
+            alive, node = alive[known], node[known]
             if not alive.size:
                 break
             piece = model.ends[node]
@@ -184,6 +189,7 @@ class Lattices:
                 above[here] = above[here + 1] + self.share[here + 1]
         self.others = below + above
         self.until = place + np.minimum(below + self.share, 1.0)
+        self.longer = below[self.first[1:] - 1]
 
     def draw(self, units: np.ndarray, ends: np.ndarray, keys: np.ndarray) -> Drawn:
         """A segmentation of each unit; ``ends`` are the units' ends in their texts, which place the random numbers."""
@@ -194,7 +200,10 @@ class Lattices:
         who, q = np.arange(n), self.begin[units]
         while who.size:
             u = uniform(keys[who], ends[who] - self.left[q])
-            arc = np.minimum(np.searchsorted(self.until, q + u, side="right"), self.first[q + 1] - 1)
+            arc = self.first[q + 1] - 1
+            # Most draws fall on the longest piece.
+            search = np.flatnonzero(u < self.longer[q])
+            arc[search] = np.minimum(np.searchsorted(self.until, q[search] + u[search], side="right"), arc[search])
             steps.append((who, arc))
             log[who] += self.log[arc]
             left[who] += before[who] * self.others[arc]
@@ -312,9 +321,9 @@ def uniform(keys: np.ndarray | np.uint64, places: np.ndarray) -> np.ndarray:
         return ((mix(keys + (places.astype(np.uint64) + np.uint64(1)) * _STEP) >> np.uint64(12)) + 0.5) * 2.0**-52
 
 
-def key_of(seed: int, turn: int) -> np.uint64:
-    """The key of a row's random numbers for its ``turn``-th draw."""
-    return mix(mix(stream(31, 1) ^ np.uint64(seed & (2**64 - 1))) ^ stream(32, turn + 1)[-1:])[0]
+def keys_of(seeds: np.ndarray, turn: int) -> np.ndarray:
+    """The keys of rows' random numbers for their ``turn``-th draw."""
+    return mix(mix(stream(31, 1) ^ seeds) ^ stream(32, turn + 1)[-1:])
 
 
 def _below(log: np.ndarray, top: float, noise: np.ndarray) -> np.ndarray:
@@ -378,10 +387,11 @@ def sample_texts(model: Model, texts: list[bytes], seeds: list[int], k: int) ->
         counts = [high[d] - f for (d, _), f in zip(opened, fresh, strict=True)]
         total = np.concatenate(([0], np.cumsum(counts)))
         where = np.concatenate([np.arange(f, f + n) for f, n in zip(fresh, counts, strict=True)])
-        keys = [key_of(seeds[d], 2 * turn) for d, _ in opened]
-        noises = [key_of(seeds[d], 2 * turn + 1) for d, _ in opened]
-        drawn = lattices.draw(units[where], ends[where], np.repeat(np.array(keys, np.uint64), counts))
-        noise = uniform(np.repeat(np.array(noises, np.uint64), counts), ends[where])
+        rows = np.array([seeds[d] & (2**64 - 1) for d, _ in opened], np.uint64)
+        keys, noises = keys_of(rows, 2 * turn), keys_of(rows, 2 * turn + 1)
+        drawn = lattices.draw(units[where], ends[where], np.repeat(keys, counts))
+        noise = uniform(np.repeat(noises, counts), ends[where])
+        own = uniform(noises, np.zeros(len(opened)))
         for m, (d, of) in enumerate(opened):
             a, b = int(total[m]), int(total[m + 1])
             arcs, first = drawn.arcs[drawn.first[a] : drawn.first[b]], drawn.first[a : b + 1] - drawn.first[a]
@@ -389,7 +399,7 @@ def sample_texts(model: Model, texts: list[bytes], seeds: list[int], k: int) ->
             sets: list[tuple[float, int, list[tuple[int, ...]] | None]] = []
             if of is None:
                 start, base = 0, 0.0
-                top = float(-np.log(-np.log(uniform(noises[m], np.array([0]))))[0])
+                top = -math.log(-math.log(own[m]))
             else:
                 value, _, parent, at, excluded = of
                 top, old, unit = -value, samples[d][parent], int(units[low[d] + at])
@@ -400,7 +410,7 @@ def sample_texts(model: Model, texts: list[bytes], seeds: list[int], k: int) ->
                 excluded = [*excluded, path]
                 remains = lattices.without(unit, excluded).log
                 if remains > -math.inf:
-                    sets.append((float(_below(before + remains, top, uniform(noises[m], np.array([0])))[0]), at, excluded))
+                    sets.append((float(_below(before + remains, top, own[m])), at, excluded))
                 head = old.arcs[: old.first[at]]
                 first = np.concatenate((old.first[: at + 1], head.size + len(path) + first))
                 arcs = np.concatenate((head, np.array(path, np.int64), arcs))
