@@ -552,20 +552,88 @@ def model():
     return lattice.Model(vocabulary("piece_bpe_32k.model"))
 
 
-def test_samples_follow_the_model(model):
-    unit = lattice.Unit("▁theon", model)
-    ways = {ids: math.exp(log) for log, ids in unit.likeliest(10**6)}
-    assert math.isclose(sum(ways.values()), 1, rel_tol=1e-9)
-    first, weighed = Counter(), Counter()
-    for seed in range(1500):
-        samples = lattice.top_k(model, "theon", 2, seed)
-        first[tuple(samples[0][0])] += 1
-        for ids, _, inclusion in samples:
-            weighed[tuple(ids)] += 1 / inclusion
-    top = max(ways, key=ways.get)
-    assert abs(first[top] / 1500 - ways[top]) < 0.05
-    # Horvitz-Thompson sums over inclusion scores are unbiased.
-    assert abs(sum(ways[w] * n for w, n in weighed.items()) / 1500 - sum(p * p for p in ways.values()) / 1) < 2
+def every_segmentation(model, text):
+    """Ids and probability of all segmentations of a short text, by plain recursion over the vocabulary."""
+    spelled = lattice.spaced(text)
+    own = {piece: (i,) for i, piece in enumerate(model.spelling) if piece and i not in set(model.byte_ids.tolist())}
+    weights = {}
+
+    def follow(at, ids, log):
+        if at == len(spelled):
+            weights[ids] = math.exp(log)
+            return
+        width = len(spelled[at:].decode()[0].encode())
+        for end in range(at + 1, len(spelled) + 1):
+            if (found := own.get(spelled[at:end])) is not None:
+                follow(end, ids + found, log + model.logs[found[0]])
+        if spelled[at : at + width] not in own:
+            follow(at + width, ids + tuple(int(model.byte_ids[b]) for b in spelled[at : at + width]), log + model.byte_log * width)
+
+    follow(0, (), 0.0)
+    whole = sum(weights.values())
+    return {ids: w / whole for ids, w in weights.items()}
+
+
+TINY = ["the", "a an", "on.”", "x  y", "(;\r\n", "né", "天 é!", "1 23", "\t\tif", "ab▁c"]
+
+
+@pytest.mark.parametrize("text", TINY)
+def test_all_segmentations_come_with_their_probability(model, text):
+    want = every_segmentation(model, text)
+    got = lattice.top_k(model, text, len(want) + 5, 11)
+    assert {tuple(ids) for ids, _, _ in got} == set(want) and len(got) == len(want)
+    for ids, log, inclusion in got:
+        assert math.isclose(math.exp(log), want[tuple(ids)], rel_tol=1e-9) and inclusion == 1.0
+
+
+def test_pairs_follow_sampling_without_replacement(model):
+    """The first two samples are a and b with probability p(a) p(b) / (1 - p(a))."""
+    even = lattice.Model(vocabulary("piece_bpe_32k.model"))
+    even.logs = np.where(even.logs < 0, -1.0, 0.0)
+    want = every_segmentation(even, "the on")
+    n, pairs, weighed = 20_000, Counter(), Counter()
+    for block in range(0, n, 2000):
+        for one, two in lattice.sample_texts(even, [lattice.spaced("the on")] * 2000, list(range(block, block + 2000)), 2):
+            pairs[tuple(one[0].tolist()), tuple(two[0].tolist())] += 1
+            for ids, _, inclusion in (one, two):
+                weighed[tuple(ids.tolist())] += 1 / inclusion
+    assert all(a != b for a, b in pairs)
+    chances = {(a, b): p * q / (1 - p) for a, p in want.items() for b, q in want.items() if a != b}
+    assert math.isclose(sum(chances.values()), 1, rel_tol=1e-9)
+    gaps = [(pairs[pair] - n * c) ** 2 / (n * c * (1 - c)) for pair, c in chances.items() if n * c > 20]
+    assert len(gaps) > 20 and max(gaps) < 20 and np.mean(gaps) < 1.6
+    # Horvitz-Thompson counts over inclusion scores are unbiased: one for every segmentation.
+    for ids, p in want.items():
+        if p > 0.05:
+            assert abs(weighed[ids] / n - 1) < 0.1
+
+
+def test_pieces_of_spaces_and_mixed_marks_are_sampled(model):
+    import sentencepiece
+
+    plain = sentencepiece.SentencePieceProcessor(model_file=vocabulary("piece_bpe_32k.model"))
+    for text in ("if x:\n    return 1", "He said “no.” Then", "a();\r\nb", "\t\tx = {}\r"):
+        ids = [[x for x in s[0]] for seed in range(40) for s in lattice.top_k(model, text, 3, seed)]
+        assert plain.encode(text) in ids
+        assert all(plain.decode(i) == text for i in ids)
+
+
+def test_no_piece_crosses_units(model):
+    for text in ["if x:\n    return 1", "“a.”  ;\r\n (b)", "über 天地", *TINY]:
+        raw = np.frombuffer(lattice.spaced(text), np.uint8)
+        starts = set(model.starts(raw).tolist())
+        for i in range(raw.size):
+            for piece in (raw[i:j].tobytes() for j in range(i + 2, raw.size + 1)):
+                if piece in model.spelling:
+                    assert not starts & set(range(i + 1, i + len(piece)))
+
+
+def test_very_long_words_and_texts(model):
+    # No piece joins the four characters: one segmentation.
+    for text, n in (("x" * 20_000, 2), ("天地玄黄" * 5000, 1), (" " * 5000, 2), ("word " * 60_000, 2)):
+        samples = lattice.top_k(model, text, 2, 3)
+        assert len({tuple(ids) for ids, _, _ in samples}) == len(samples) == n
+        assert all(model.decode(ids) == text and math.isfinite(log) for ids, log, _ in samples)
 
 
 def test_segmentations_are_distinct_and_decode(model, rows):
@@ -574,8 +642,15 @@ def test_segmentations_are_distinct_and_decode(model, rows):
         assert len({tuple(s[0]) for s in samples}) == len(samples) == (3 if (text or "").strip() else len(samples))
         assert all(model.decode(ids) == (text or "") for ids, _, _ in samples)
         assert all(0 <= q <= 1 for _, _, q in samples)
-        again = lattice.top_k(model, text, 3, i)
-        assert again == samples
+
+
+def test_samples_depend_on_the_row_alone(model, rows):
+    """Other texts of a block do not change a text's samples but for rounding."""
+    together = lattice.sample_texts(model, [lattice.spaced(t) for _, t in rows], [i for i, _ in rows], 3)
+    for (i, text), block in zip(rows, together, strict=True):
+        alone = lattice.top_k(model, text, 3, i)
+        assert [ids.tolist() for ids, _, _ in block] == [ids for ids, _, _ in alone]
+        assert np.allclose([log for _, log, _ in block], [log for _, log, _ in alone])
 
 
 def test_sampled_rows(spark, odd, nothing):
