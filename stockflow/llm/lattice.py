@@ -114,9 +114,10 @@ class Lattices:
     def __init__(self, model: Model, raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> None:
         self.raw, self.byte_ids = raw, model.byte_ids
         unit_end = np.repeat(ends, ends - starts)
-        at = np.flatnonzero((raw & 0xC0) != 0x80)
+        begins = (raw & 0xC0) != 0x80
         # A unit always begins with a place, also in bytes that are no text.
-        at = np.union1d(at, starts)
+        begins[starts] = True
+        at = np.flatnonzero(begins)
         left = unit_end[at] - at
         order = np.argsort(left, kind="stable")
         at, self.left = at[order], left[order]
@@ -140,24 +141,29 @@ class Lattices:
             froms.append(alive[is_piece])
             sizes.append(np.full(froms[-1].size, depth + 1))
             pieces.append(piece[is_piece].astype(np.int64))
-        # A character without a piece of its own is spelled in bytes.
+        # A character without a piece of its own is spelled in bytes, its place's first arc.
         lead = raw[at]
         width = np.minimum(np.where(lead < 0xC0, 1, np.where(lead < 0xE0, 2, np.where(lead < 0xF0, 3, 4))), self.left)
         has_own = np.zeros(n, bool)
-        for place, covered in zip(froms, sizes, strict=True):
-            has_own[place[covered == width[place]]] = True
+        for some, covered in zip(froms, sizes, strict=True):
+            has_own[some[covered == width[some]]] = True
         plain = np.flatnonzero(~has_own)
-        froms.append(plain)
-        sizes.append(width[plain])
-        pieces.append(-1 - at[plain])
-        place, size, self.piece = (np.concatenate(x) for x in (froms, sizes, pieces))
-        order = np.lexsort((size, place))
-        place, size, self.piece = place[order], size[order], self.piece[order]
+        froms, sizes, pieces = [plain, *froms], [width[plain], *sizes], [-1 - at[plain], *pieces]
+        counts = np.zeros(n, np.int64)
+        for some in froms:
+            counts[some] += 1
+        self.first = np.concatenate(([0], np.cumsum(counts)))
+        place = np.repeat(np.arange(n), counts)
+        size, self.piece = np.empty(place.size, np.int64), np.empty(place.size, np.int64)
+        free = self.first[:-1].copy()
+        for some, covered, found in zip(froms, sizes, pieces, strict=True):
+            slot = free[some]
+            size[slot], self.piece[slot] = covered, found
+            free[some] += 1
         self.size = size
         log = np.where(self.piece >= 0, model.logs[np.maximum(self.piece, 0)], model.byte_log * size)
         over = self.left[place] == size
         self.to = np.where(over, n, number[at[place] + size])
-        self.first = np.searchsorted(place, np.arange(n + 1))
         # Sums over all that follows a place, in logs; distances in turn.
         after = np.zeros(n + 1)
         distances = np.append(np.flatnonzero(np.diff(self.left, prepend=-1)), n)
@@ -168,43 +174,32 @@ class Lattices:
             top = np.maximum.reduceat(values, heads)
             after[low:high] = top + np.log(np.add.reduceat(np.exp(values - np.repeat(top, np.diff(self.first[low : high + 1]))), heads))
         self.log = log + after[self.to] - after[place]
-        counts = np.diff(self.first)
         # A place with one arc has exactly share 1.
-        self.log[np.repeat(counts == 1, counts)] = 0.0
+        self.log[self.first[:-1][counts == 1]] = 0.0
         self.share = np.exp(self.log)
-        self.others = np.zeros(self.share.size)
-        below = np.zeros(self.share.size)
-        several = np.arange(n)
-        for i in range(int(counts.max(initial=1))):
-            several = several[counts[several] > i]
-            here = self.first[several] + i
-            if i:
-                below[here] = below[here - 1] + self.share[here - 1]
-        above = np.zeros(self.share.size)
-        several = np.arange(n)
-        for i in range(1, int(counts.max(initial=1)) + 1):
-            several = several[counts[several] >= i]
-            here = self.first[several + 1] - i
-            if i > 1:
-                above[here] = above[here + 1] + self.share[here + 1]
-        self.others = below + above
-        self.until = place + np.minimum(below + self.share, 1.0)
-        self.longer = below[self.first[1:] - 1]
+        # The shares of a place's other arcs: added up for the arc that has most, the difference to 1 for the others.
+        most = self.share >= 0.5
+        small = np.add.reduceat(np.where(most, 0.0, self.share), self.first[:-1])
+        self.others = np.where(most, small[place], 1.0 - self.share)
+        running = np.cumsum(self.share)
+        heads = self.first[:-1]
+        self.until = running + np.repeat(np.arange(n) - (running[heads] - self.share[heads]), counts)
+        self.longer = self.others[self.first[1:] - 1]
 
     def draw(self, units: np.ndarray, ends: np.ndarray, keys: np.ndarray) -> Drawn:
         """A segmentation of each unit; ``ends`` are the units' ends in their texts, which place the random numbers."""
-        n = units.size
-        log, left, before = np.zeros(n), np.zeros(n), np.ones(n)
-        counts = np.zeros(n, np.int64)
-        steps = []
-        who, q = np.arange(n), self.begin[units]
+        q = self.begin[units]
+        arc = self._pick(q, keys, ends)
+        log, left, before = self.log[arc], self.others[arc], self.share[arc]
+        counts = np.ones(units.size, np.int64)
+        steps = [arc]
+        everyone = [slice(None)]
+        who = np.flatnonzero(self.to[arc] < self.left.size)
+        q = self.to[arc[who]]
         while who.size:
-            u = uniform(keys[who], ends[who] - self.left[q])
-            arc = self.first[q + 1] - 1
-            # Most draws fall on the longest piece.
-            search = np.flatnonzero(u < self.longer[q])
-            arc[search] = np.minimum(np.searchsorted(self.until, q[search] + u[search], side="right"), arc[search])
-            steps.append((who, arc))
+            arc = self._pick(q, keys[who], ends[who])
+            everyone.append(who)
+            steps.append(arc)
             log[who] += self.log[arc]
             left[who] += before[who] * self.others[arc]
             before[who] *= self.share[arc]
@@ -214,23 +209,29 @@ class Lattices:
             who, q = who[on], q[on]
         first = np.concatenate(([0], np.cumsum(counts)))
         arcs = np.empty(int(first[-1]), np.int64)
-        for i, (some, arc) in enumerate(steps):
-            arcs[first[some] + i] = arc
+        for i, (some, arc) in enumerate(zip(everyone, steps, strict=True)):
+            arcs[first[:-1][some] + i] = arc
         with np.errstate(divide="ignore"):
             return Drawn(arcs, first, log, np.log(np.minimum(left, 1.0)))
 
-    def ids(self, arcs: np.ndarray) -> np.ndarray:
-        """The ids along arcs; bytes for characters without a piece."""
+    def _pick(self, q: np.ndarray, keys: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """An arc of each place."""
+        u = uniform(keys, ends - self.left[q])
+        arc = self.first[q + 1] - 1
+        # Most draws fall on the longest piece.
+        search = np.flatnonzero(u < self.longer[q])
+        arc[search] = np.minimum(np.searchsorted(self.until, q[search] + u[search], side="right"), arc[search])
+        return arc
+
+    def ids(self, arcs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids along arcs, bytes for characters without a piece, and where each arc's begin."""
         pieces = self.piece[arcs]
-        spelled = pieces < 0
-        if not spelled.any():
-            return pieces
-        counts = np.where(spelled, self.size[arcs], 1)
-        first = np.cumsum(counts) - counts
+        counts = np.where(pieces < 0, self.size[arcs], 1)
+        first = np.concatenate(([0], np.cumsum(counts)))
         out = np.repeat(pieces, counts)
         place = np.flatnonzero(out < 0)
-        out[place] = self.byte_ids[self.raw[-1 - out[place] + place - np.repeat(first, counts)[place]]]
-        return out
+        out[place] = self.byte_ids[self.raw[-1 - out[place] + place - np.repeat(first[:-1], counts)[place]]]
+        return out, first
 
     def without(self, unit: int, excluded: list[tuple[int, ...]]) -> Remainder:
         """What is left of a unit without some segmentations: sums along their trie."""
@@ -427,12 +428,17 @@ def sample_texts(model: Model, texts: list[bytes], seeds: list[int], k: int) ->
                     excluded = [tuple(arcs[first[at] : first[at + 1]].tolist())]
                 heapq.heappush(queues[d], (-value, turn * (k + 2) + len(queues[d]), turn, at, excluded))
     out = []
-    for d in range(len(texts)):
-        limit = -queues[d][0][0] if queues[d] else -math.inf
+    flat = [sample.arcs for of_text in samples for sample in of_text]
+    ids, begin = lattices.ids(np.concatenate(flat)) if flat else (np.empty(0, np.int64), np.zeros(1, np.int64))
+    at = 0
+    for found, queue in zip(samples, queues, strict=True):
+        limit = -queue[0][0] if queue else -math.inf
         rows = []
-        for sample in samples[d]:
+        for sample in found:
             log = float(sample.log.sum())
-            rows.append((lattices.ids(sample.arcs), log, -math.expm1(-math.exp(min(50.0, log - limit))) if queues[d] else 1.0))
+            inclusion = -math.expm1(-math.exp(min(50.0, log - limit))) if queue else 1.0
+            rows.append((ids[begin[at] : begin[at + sample.arcs.size]], log, inclusion))
+            at += sample.arcs.size
         out.append(rows or [(np.empty(0, np.int64), 0.0, 1.0)][:k])
     return out
 
