@@ -40,7 +40,7 @@ from stockflow.llm.textarrays import mix, span_hashes, stream
 
 SPACE = "▁"
 # Bytes of text that are worked on together, and bytes that are hashed at a time.
-BLOCK, SLICE = 1 << 21, 1 << 19
+BLOCK, SLICE = 1 << 21, 1 << 18
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -56,7 +56,7 @@ class Model:
         self.logs = np.zeros(processor.get_piece_size())
         children: dict[tuple[int, int], int] = {}
         ends = {}
-        self.joined = np.zeros((256, 256), bool)
+        joined = np.zeros((256, 256), bool)
         self.longest, self.byte_log = 1, 0.0
         for i in range(self.logs.size):
             piece = processor.id_to_piece(i)
@@ -74,10 +74,12 @@ class Model:
             self.longest = max(self.longest, len(spelled))
             node = 0
             for one, two in zip(spelled, spelled[1:], strict=False):
-                self.joined[one, two] = True
+                joined[one, two] = True
             for b in spelled:
                 node = children.setdefault((node, b), len(children) + 1)
             ends[node] = i
+        whole = (np.arange(256) & 0xC0) != 0x80
+        self.cuts = (whole & ~joined).ravel()
         # Nodes that go on come first, so that the table of steps has a row for them alone, and one for all others.
         inner = sorted({node for node, _ in children} | {0})
         self.inner = len(inner)
@@ -94,12 +96,11 @@ class Model:
         return b"".join([self.spelling[i] for i in ids]).decode("utf-8", "replace").removeprefix(" ")
 
     def starts(self, raw: np.ndarray) -> np.ndarray:
-        """Where the units of a text begin: nowhere inside a character or a piece."""
+        """Where units begin in texts, given one behind the other: nowhere inside a character or a piece."""
         cut = [np.zeros(min(1, raw.size), np.int64)]
         for i in range(0, raw.size - 1, SLICE):
-            one, two = raw[i : i + SLICE], raw[i + 1 : i + 1 + SLICE]
-            whole = (two & 0xC0) != 0x80
-            cut.append(np.flatnonzero(whole & ~self.joined[one[: two.size], two]) + i + 1)
+            pair = raw[i : i + 1 + SLICE].astype(np.uint16)
+            cut.append(np.flatnonzero(self.cuts[(pair[:-1] << np.uint16(8)) | pair[1:]]) + i + 1)
         return np.concatenate(cut)
 
 
@@ -124,7 +125,8 @@ class Lattices:
         n = at.size
         number = np.full(raw.size + 1, n, np.int64)
         number[at] = np.arange(n)
-        self.begin = number[starts]
+        self.left = self.left.astype(np.int32)
+        self.begin = number[starts].astype(np.int32)
         # Arcs: place, bytes covered, piece (or byte position, below zero).
         froms, sizes, pieces = [], [], []
         alive, node = np.arange(n), np.zeros(n, np.int32)
@@ -163,7 +165,7 @@ class Lattices:
         self.size = size
         log = np.where(self.piece >= 0, model.logs[np.maximum(self.piece, 0)], model.byte_log * size)
         over = self.left[place] == size
-        self.to = np.where(over, n, number[at[place] + size])
+        self.to = np.where(over, n, number[at[place] + size]).astype(np.int32)
         # Sums over all that follows a place, in logs; distances in turn.
         after = np.zeros(n + 1)
         distances = np.append(np.flatnonzero(np.diff(self.left, prepend=-1)), n)
@@ -184,7 +186,8 @@ class Lattices:
         running = np.cumsum(self.share)
         heads = self.first[:-1]
         self.until = running + np.repeat(np.arange(n) - (running[heads] - self.share[heads]), counts)
-        self.longer = self.others[self.first[1:] - 1]
+        self.last = (self.first[1:] - 1).astype(np.int32)
+        self.longer = self.others[self.last]
 
     def draw(self, units: np.ndarray, ends: np.ndarray, keys: np.ndarray) -> Drawn:
         """A segmentation of each unit; ``ends`` are the units' ends in their texts, which place the random numbers."""
@@ -217,7 +220,7 @@ class Lattices:
     def _pick(self, q: np.ndarray, keys: np.ndarray, ends: np.ndarray) -> np.ndarray:
         """An arc of each place."""
         u = uniform(keys, ends - self.left[q])
-        arc = self.first[q + 1] - 1
+        arc = self.last[q]
         # Most draws fall on the longest piece.
         search = np.flatnonzero(u < self.longer[q])
         arc[search] = np.minimum(np.searchsorted(self.until, q[search] + u[search], side="right"), arc[search])
@@ -341,29 +344,24 @@ class Block:
     """The units of some texts: which lattice each has, and where it ends in its text."""
 
     def __init__(self, model: Model, texts: list[bytes]) -> None:
-        found, lengths, sources, offset = [], [], [], 0
-        self.bounds, ends = [0], []
-        raws = [np.frombuffer(text, np.uint8) for text in texts]
-        for raw in raws:
-            starts = model.starts(raw)
-            stops = np.append(starts[1:], raw.size)[: starts.size]
-            # Hashes of some units at a time: a hash takes many times the bytes.
-            groups = np.flatnonzero(np.diff(starts // SLICE, prepend=-1)).tolist() + [starts.size]
-            for low, high in zip(groups[:-1], groups[1:], strict=True):
-                a, b = int(starts[low]), int(stops[high - 1])
-                found.append(span_hashes(raw[a:b], starts[low:high] - a, stops[low:high] - a))
-            ends.append(stops)
-            sources.append(starts + offset)
-            lengths.append(stops - starts)
-            self.bounds.append(self.bounds[-1] + starts.size)
-            offset += raw.size
-        none = [np.empty(0, np.int64)]
-        self.ends, begin, length = (np.concatenate(x or none) for x in (ends, sources, lengths))
-        hashes = np.concatenate(found or [np.empty(0, np.uint64)])
-        _, one, self.units = np.unique(hashes, return_index=True, return_inverse=True)
-        begin, length = begin[one], length[one]
-        stops = np.cumsum(length)
         raw = np.frombuffer(b"".join(texts), np.uint8)
+        heads = np.cumsum([0, *map(len, texts)])
+        first = np.zeros(raw.size, bool)
+        first[model.starts(raw)] = True
+        first[heads[:-1][np.diff(heads) > 0]] = True
+        begin = np.flatnonzero(first)
+        self.bounds = np.searchsorted(begin, heads).tolist()
+        stops = np.append(begin[1:], raw.size)[: begin.size]
+        self.ends = stops - np.repeat(heads[:-1], np.diff(self.bounds))
+        # Hashes of some units at a time: a hash takes many times the bytes.
+        hashes = [np.empty(0, np.uint64)]
+        groups = np.flatnonzero(np.diff(begin // SLICE, prepend=-1)).tolist() + [begin.size]
+        for low, high in zip(groups[:-1], groups[1:], strict=True):
+            a, b = int(begin[low]), int(stops[high - 1])
+            hashes.append(span_hashes(raw[a:b], begin[low:high] - a, stops[low:high] - a))
+        _, one, self.units = np.unique(np.concatenate(hashes), return_index=True, return_inverse=True)
+        begin, length = begin[one], (stops - begin)[one]
+        stops = np.cumsum(length)
         if length.size:
             raw = raw[np.arange(int(stops[-1])) + np.repeat(begin - (stops - length), length)]
         self.lattices = Lattices(model, raw, stops - length, stops) if length.size else None
