@@ -29,7 +29,9 @@ from __future__ import annotations
 import heapq
 import math
 import zlib
+from bisect import bisect_right
 from collections.abc import Iterator
+from itertools import accumulate
 from typing import NamedTuple
 
 import numpy as np
@@ -40,7 +42,7 @@ from stockflow.llm.textarrays import mix, span_hashes, stream
 
 SPACE = "▁"
 # Bytes of text that are worked on together, and bytes that are hashed at a time.
-BLOCK, SLICE = 1 << 21, 1 << 18
+BLOCK, SLICE = 1 << 19, 1 << 18
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -93,7 +95,7 @@ class Model:
 
     def decode(self, ids: list[int]) -> str:
         """The text of a row of ids; the space that encoding puts in front is taken off."""
-        return b"".join([self.spelling[i] for i in ids]).decode("utf-8", "replace").removeprefix(" ")
+        return b"".join(map(self.spelling.__getitem__, ids)).decode("utf-8", "replace").removeprefix(" ")
 
     def starts(self, raw: np.ndarray) -> np.ndarray:
         """Where units begin in texts, given one behind the other: nowhere inside a character or a piece."""
@@ -253,15 +255,15 @@ class Lattices:
                     places.append(to)
                     children.append({})
         sums = [0.0] * len(places)
-        weights: list[np.ndarray] = [None] * len(places)
+        weights: list[list[float]] = [[]] * len(places)
         for node in range(len(places) - 1, -1, -1):
-            low, high = self.first[places[node]], self.first[places[node] + 1]
-            logs = self.log[low:high].copy()
+            low, high = int(self.first[places[node]]), int(self.first[places[node] + 1])
+            logs = self.log[low:high].tolist()
             for arc, child in children[node].items():
                 logs[arc - low] = -math.inf if child < 0 else logs[arc - low] + sums[child]
             weights[node] = logs
-            top = logs.max()
-            sums[node] = -math.inf if top == -math.inf else float(top + math.log(np.exp(logs - top).sum()))
+            top = max(logs)
+            sums[node] = -math.inf if top == -math.inf else top + math.log(sum([math.exp(x - top) for x in logs]))
         return Remainder(places, children, weights, sums[0])
 
     def draw_without(self, unit: int, rest: Remainder, end: int, key: np.uint64) -> tuple[tuple[int, ...], float]:
@@ -271,10 +273,13 @@ class Lattices:
         begin = end - int(self.left[q])
         while q < self.left.size:
             low = int(self.first[q])
-            weights = self.log[low : int(self.first[q + 1])] if node < 0 else rest.weights[node]
-            shares = np.cumsum(np.exp(weights - weights.max()))
-            u = noise[end - int(self.left[q]) - begin] * shares[-1]
-            i = min(int(np.searchsorted(shares, u, side="right")), int(np.flatnonzero(weights > -math.inf)[-1]))
+            weights = rest.weights[node] if node >= 0 else self.log[low : int(self.first[q + 1])].tolist()
+            top = max(weights)
+            shares = list(accumulate([math.exp(x - top) for x in weights]))
+            u = float(noise[end - int(self.left[q]) - begin]) * shares[-1]
+            i = bisect_right(shares, u)
+            if i == len(shares):
+                i = max(j for j, x in enumerate(weights) if x > -math.inf)
             arc = low + i
             path.append(arc)
             log += float(self.log[arc])
@@ -297,7 +302,7 @@ class Remainder(NamedTuple):
 
     places: list[int]
     children: list[dict[int, int]]
-    weights: list[np.ndarray]
+    weights: list[list[float]]
     log: float
 
 
@@ -322,7 +327,10 @@ def model_of(path: str) -> Model:
 def uniform(keys: np.ndarray | np.uint64, places: np.ndarray) -> np.ndarray:
     """Numbers in (0, 1) by key and place."""
     with np.errstate(over="ignore"):
-        return ((mix(keys + (places.astype(np.uint64) + np.uint64(1)) * _STEP) >> np.uint64(12)) + 0.5) * 2.0**-52
+        x = (mix(keys + (places.astype(np.uint64) + np.uint64(1)) * _STEP) >> np.uint64(12)).astype(np.float64)
+    x += 0.5
+    x *= 2.0**-52
+    return x
 
 
 def keys_of(seeds: np.ndarray, turn: int) -> np.ndarray:
