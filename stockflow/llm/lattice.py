@@ -42,7 +42,7 @@ from stockflow.llm.textarrays import mix, span_hashes, stream
 
 SPACE = "▁"
 # Bytes of text that are worked on together, and bytes that are hashed at a time.
-BLOCK, SLICE = 1 << 19, 1 << 18
+BLOCK, SLICE = 1 << 20, 1 << 18
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -180,22 +180,25 @@ class Lattices:
         self.log = log + after[self.to] - after[place]
         # A place with one arc has exactly share 1.
         self.log[self.first[:-1][counts == 1]] = 0.0
-        self.share = np.exp(self.log)
+        share = np.exp(self.log)
         # The shares of a place's other arcs: added up for the arc that has most, the difference to 1 for the others.
-        most = self.share >= 0.5
-        small = np.add.reduceat(np.where(most, 0.0, self.share), self.first[:-1])
-        self.others = np.where(most, small[place], 1.0 - self.share)
-        running = np.cumsum(self.share)
+        most = share >= 0.5
+        small = np.add.reduceat(np.where(most, 0.0, share), self.first[:-1])
+        self.others = np.where(most, small[place], 1.0 - share)
+        running = np.cumsum(share)
         heads = self.first[:-1]
-        self.until = running + np.repeat(np.arange(n) - (running[heads] - self.share[heads]), counts)
+        self.until = running + np.repeat(np.arange(n) - (running[heads] - share[heads]), counts)
         self.last = (self.first[1:] - 1).astype(np.int32)
         self.longer = self.others[self.last]
 
     def draw(self, units: np.ndarray, ends: np.ndarray, keys: np.ndarray) -> Drawn:
         """A segmentation of each unit; ``ends`` are the units' ends in their texts, which place the random numbers."""
-        q = self.begin[units]
+        # Occurrences of a unit beside each other: their arcs are read together.
+        order = np.argsort(units, kind="stable")
+        ends, keys = ends[order], keys[order]
+        q = self.begin[units[order]]
         arc = self._pick(q, keys, ends)
-        log, left, before = self.log[arc], self.others[arc], self.share[arc]
+        log, left = self.log[arc], self.others[arc]
         counts = np.ones(units.size, np.int64)
         steps = [arc]
         everyone = [slice(None)]
@@ -205,19 +208,25 @@ class Lattices:
             arc = self._pick(q, keys[who], ends[who])
             everyone.append(who)
             steps.append(arc)
-            log[who] += self.log[arc]
-            left[who] += before[who] * self.others[arc]
-            before[who] *= self.share[arc]
+            so_far = log[who]
+            left[who] += np.exp(so_far) * self.others[arc]
+            log[who] = so_far + self.log[arc]
             counts[who] += 1
             q = self.to[arc]
             on = q < self.left.size
             who, q = who[on], q[on]
-        first = np.concatenate(([0], np.cumsum(counts)))
+        # Back in the order of the texts.
+        placed = np.empty((2, order.size))
+        placed[0, order], placed[1, order] = log, np.minimum(left, 1.0)
+        many = np.empty(order.size, np.int64)
+        many[order] = counts
+        first = np.concatenate(([0], np.cumsum(many)))
+        begin = first[order]
         arcs = np.empty(int(first[-1]), np.int64)
         for i, (some, arc) in enumerate(zip(everyone, steps, strict=True)):
-            arcs[first[:-1][some] + i] = arc
+            arcs[begin[some] + i] = arc
         with np.errstate(divide="ignore"):
-            return Drawn(arcs, first, log, np.log(np.minimum(left, 1.0)))
+            return Drawn(arcs, first, placed[0], np.log(placed[1]))
 
     def _pick(self, q: np.ndarray, keys: np.ndarray, ends: np.ndarray) -> np.ndarray:
         """An arc of each place."""
