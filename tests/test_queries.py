@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import re
+from types import SimpleNamespace
 
 import pytest
 
 import __spark_entry__ as entry_module
+from verification import queries as queries_module
 from verification.compare import connect, difference
 from verification.oracle import ORACLE
 from verification.queries import QUERIES
@@ -74,3 +76,30 @@ def test_join_buckets_do_not_widen_the_scan(spark, sf_dir):
     """Of the 28 item-master columns the crosswalk needs none but the key."""
     text = explained(spark, QUERIES["ranked_crosswalk"](spark, sf_dir))
     assert "p_name" not in text and "p_retailprice" not in text and "l_shipdate" not in text
+
+
+def session_like(spark, master, **settings):
+    """What the choice of a folder sees of a session with these settings alone."""
+    context = SimpleNamespace(master=master, getCheckpointDir=lambda: None, defaultParallelism=2)
+    return SimpleNamespace(conf=settings, sparkContext=context, range=spark.range, read=spark.read)
+
+
+@pytest.mark.parametrize("master", ["local[2]", "local-cluster[3,4,1024]", "spark://elsewhere:7077"])
+def test_a_folder_is_found_without_checkpoint_setting(spark, tmp_path, master):
+    near = {"spark.sql.warehouse.dir": f"file:{tmp_path}/warehouse"}
+    found = queries_module._new_folder(session_like(spark, master, **near))
+    assert found.startswith("file:///" if master == "local[2]" else f"file:{tmp_path}/warehouse/stockflow/")
+    mounted = near | {"spark.checkpoint.dir": f"file://{tmp_path}/mount"}
+    assert queries_module._new_folder(session_like(spark, master, **mounted)).startswith(f"file://{tmp_path}/mount/stockflow/")
+
+
+def test_no_folder_where_none_can_be_written(spark, tmp_path):
+    (tmp_path / "file").write_text("not a folder")
+    near = {"spark.sql.warehouse.dir": f"file:{tmp_path}/file", "spark.checkpoint.dir": f"file:{tmp_path}/file/in"}
+    assert queries_module._new_folder(session_like(spark, "spark://elsewhere:7077", **near)) is None
+
+
+@pytest.mark.parametrize("name", ["near_miss_keys"])
+def test_equals_sql_without_shared_folder(spark, sf_dir, con, name, monkeypatch):
+    monkeypatch.setattr(queries_module, "_new_folder", lambda spark: None)
+    assert not difference(QUERIES[name](spark, sf_dir), con, ORACLE[name])
