@@ -99,7 +99,7 @@ def test_no_folder_where_none_can_be_written(spark, tmp_path):
     assert queries_module._new_folder(session_like(spark, "spark://elsewhere:7077", **near)) is None
 
 
-@pytest.mark.parametrize("name", ["near_miss_keys", "snapshot_from_log"])
+@pytest.mark.parametrize("name", ["near_miss_keys", "snapshot_from_log", "upload_rows_in_transit"])
 def test_equals_sql_without_shared_folder(spark, sf_dir, con, name, monkeypatch):
     monkeypatch.setattr(queries_module, "_new_folder", lambda spark: None)
     assert not difference(QUERIES[name](spark, sf_dir), con, ORACLE[name])
