@@ -189,3 +189,10 @@ def test_views_of_the_given_tables(spark, sf_dir):
 def test_load_date_is_the_eastern_date():
     late = datetime.fromisoformat("2026-05-19T02:30:00+00:00")
     assert RunContext("r", late).load_date.isoformat() == "2026-05-18"
+
+
+def test_master_columns_are_not_shuffled_with_items(buylist):
+    """Items meet their lists before their master, which no size turns into a broadcast."""
+    plan = erp.buylist_detail(buylist)._jdf.queryExecution().optimizedPlan().toString()
+    last = next(line for line in plan.splitlines() if "Join" in line)
+    assert "_item" in last and "_master" in last and "strategy=merge" in last
