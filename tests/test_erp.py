@@ -196,3 +196,10 @@ def test_master_columns_are_not_shuffled_with_items(buylist):
     plan = erp.buylist_detail(buylist)._jdf.queryExecution().optimizedPlan().toString()
     last = next(line for line in plan.splitlines() if "Join" in line)
     assert "_item" in last and "_master" in last and "strategy=merge" in last
+
+
+def test_header_columns_are_not_shuffled_again(orders):
+    """Lines meet items and fulfil lines before the header side."""
+    plan = erp.orders_base(orders)._jdf.queryExecution().optimizedPlan().toString()
+    last = next(line for line in plan.splitlines() if "Join" in line)
+    assert "Inner" in last and "_line_header" in last and "_fulfill" not in last
