@@ -4,10 +4,12 @@ import gzip
 import hashlib
 import math
 import random
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 
@@ -493,6 +495,19 @@ def test_smoothing_and_threshold():
 # --- 1, toxicity -------------------------------------------------------------
 
 
+def test_lists_of_a_column_are_no_python_numbers():
+    numbers = [list(range(i, i + 1000)) for i in range(300)]
+    column = pa.chunked_array([pa.array(part, pa.list_(pa.int32())) for part in (numbers[:100], numbers[100:] + [[]])])
+    tracemalloc.start()
+    lists = toxicity.lists_of(column)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert [p.tolist() for p in lists] == [*numbers, []]
+    # The numbers themselves take 1.2 MB.
+    assert peak < 600_000
+
+
+
 def test_chain_learns_from_earlier_categories(spark):
     rng = np.random.default_rng(5)
     vocab = [f"word{i}" for i in range(300)]
