@@ -203,3 +203,41 @@ def test_header_columns_are_not_shuffled_again(orders):
     plan = erp.orders_base(orders)._jdf.queryExecution().optimizedPlan().toString()
     last = next(line for line in plan.splitlines() if "Join" in line)
     assert "Inner" in last and "_line_header" in last and "_fulfill" not in last
+
+
+@pytest.mark.parametrize("match_blank", [False, True])
+def test_views_joined_from_their_tables(spark, buylist, orders, match_blank):
+    """Equal to the join of the whole views, also with a master that repeats a key."""
+    parts = [(b, o) for b, o in erp.SHARED_KEY]
+    first = erp.orders_base(orders).where("SKU IS NOT NULL").select(*(o for _, o in parts)).collect()
+    extra = [
+        {"BUYLISTKEY": 3 + i, "ITEMKEY": k, "ITEM_CODE": r.SKU, "COMPANY_CODE": r.Company, "SHIP_POINT1": r.OrganizationCode}
+        for i, r in enumerate(first) for k in (10, None)
+    ]
+    customers = [{"BUYLISTKEY": 3 + i, "CUSTOMER": r.CustomerNumber, "DELIVERY_ADDRESS_CODE": r.DeliveryAddressCode} for i, r in enumerate(first)]
+
+    def more(role, rows):
+        kinds = dict(buylist[role].dtypes)
+        return buylist[role].unionByName(padded(spark, list(kinds), {c: "long" for c, k in kinds.items() if k == "bigint"}, rows))
+
+    lists = buylist | {
+        "item": more("item", extra),
+        "header": more("header", [{"BUYLISTKEY": 3 + i} for i in range(len(first))]),
+        "list_customer": more("list_customer", customers),
+        "master": more("master", [{"ItemKey": 10, "SKUDescription": "again"}]),
+    }
+    of_lists, of_orders = ["BuyListDetailKey", "BuyListCode", "SKUDescription", "Customer"], ["OrdersBaseKey", "OrderNumber", "AccountNumber", "SKU"]
+    got = erp.buylist_orders(lists, orders, of_lists, of_orders, match_blank=match_blank)
+    names = [*of_lists, *(f"Order_{c}" for c in of_orders)]
+    want = erp.join_buylist_orders(erp.buylist_detail(lists), erp.orders_base(orders), match_blank=match_blank)
+    assert got.columns == names
+    assert bag(got, *names) == bag(want, *names) and got.where("SKUDescription = 'again'").count() > 0
+
+
+def test_lists_meet_orders_without_the_master(buylist, orders):
+    """No computed key is shuffled, and the master is looked up after lists and orders have met."""
+    joined = erp.buylist_orders(buylist, orders, ["BuyListDetailKey"], ["OrdersBaseKey"], match_blank=True)
+    plan = joined._jdf.queryExecution().optimizedPlan().toString().split("\n")
+    joins = [(len(line) - len(line.lstrip(" :+-")), line) for line in plan if "Join " in line]
+    assert " = _master#" in min(joins)[1] and sum(" = _master#" in line for _, line in joins) == 1
+    assert not any("BuyListDetailKey" in line for line in plan[1:])
