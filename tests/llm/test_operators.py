@@ -353,6 +353,39 @@ def test_signature_equals_plain_sampling(spark):
         assert math.isclose(least, got[sample], rel_tol=1e-9)
 
 
+def test_signature_without_far_draws_is_the_same(spark):
+    """Words that are passed over without logarithms change no entry, nor does counting common words once."""
+    rng = random.Random(8)
+    vocab = [f"v{i}" for i in range(2000)] + ["é", "x" * 50]
+    rows = []
+    for n in (0, 1, 2, 30, 3000):
+        text = "".join(rng.choice(vocab) + rng.choice([" ", " ", "\n", "\t ", "\x0b"]) for _ in range(n))
+        kept = len(text) - len(text) // 4
+        rows.append((n, text, text[:kept] + "".join(rng.choice(vocab) + " " for _ in range(n // 4)), kept))
+    rows += [(-1, "a " * 500 + "b", None, 0), (-2, None, None, 0), (-3, "\n\n", "one", 0), (-4, "abc", "abd", 2)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, edited string, kept long")
+    got, plain = (
+        {(r.doc_id, r.chunk): (r.s0, r.s1) for r in fingerprint._signatures(f, ["doc_id"], 64, reach).collect()}
+        for f, reach in ((frame, fingerprint.REACH), (frame.drop("kept"), 1e12))
+    )
+    assert len(got) == 16 * len(rows) and got == plain
+    assert {i for (i, _), (s0, _) in got.items() if None in s0} == {0, -2, -3}
+
+
+def test_far_draws_are_told_without_logarithms(spark):
+    """No word below the limit is passed over, and few others are computed."""
+    rng, rows = random.Random(9), []
+    for _ in range(20_000):
+        q, b, p = (rng.random() * rng.random(), rng.random(), rng.random() * rng.random())
+        weight, far = float(rng.choice([1, 1, 1, 2, 7])), 10 ** rng.uniform(-4, 1)
+        r, w = -math.log(q), math.log(weight)
+        rows.append((q, b, p, weight, far, -math.log(p) * math.exp(-r * (math.floor(w / r + b) - b + 1)) < far))
+    frame = spark.createDataFrame(rows, "q double, b double, p double, weight double, far double, below boolean")
+    asked = [(r.below, r.asked) for r in frame.withColumn("asked", fingerprint._within("far")).collect()]
+    below, computed = sum(b for b, _ in asked), sum(a for _, a in asked)
+    assert all(a for b, a in asked if b) and below <= computed < 2 * below
+
+
 def test_successors_of_hashed_and_close_ids(spark):
     """The first id after each block, whatever lies between the ids."""
     rng = random.Random(5)
