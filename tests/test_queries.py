@@ -103,3 +103,14 @@ def test_no_folder_where_none_can_be_written(spark, tmp_path):
 def test_equals_sql_without_shared_folder(spark, sf_dir, con, name, monkeypatch):
     monkeypatch.setattr(queries_module, "_new_folder", lambda spark: None)
     assert not difference(QUERIES[name](spark, sf_dir), con, ORACLE[name])
+
+
+def test_upload_stores_orders_in_transit_before_it_is_planned(spark, sf_dir, tmp_path, monkeypatch):
+    looked = []
+    monkeypatch.setattr(queries_module, "_new_folder", lambda spark: looked.append(1) or f"file:{tmp_path}/stored")
+    df = QUERIES["upload_rows_in_transit"](spark, sf_dir)
+    assert len(looked) == 1
+    # Crosswalk, qualifying lines, keys of their fulfil lines, orders in transit.
+    assert len(list((tmp_path / "stored").iterdir())) == 4
+    # The date window of the orders is no part of the upload's own plan.
+    assert "1997-12-06" not in explained(spark, df)
