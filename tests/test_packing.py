@@ -67,3 +67,25 @@ def test_whole_rows_travel_as_one_value(spark, sf_dir, shuffled_and_small):  # n
     lines = text.splitlines()
     left = next(i for i, line in enumerate(lines) if "Join LeftOuter" in line and "_master" in line) + 1
     assert "__packed" in lines[left] and "BuyingListDescription" not in lines[left].replace("variant_get", "").split(" AS __packed")[-1]
+
+
+def test_order_lines_are_dealt_out_by_their_header_once(spark, sf_dir, shuffled_and_small):  # noqa: F811
+    df = QUERIES["orders_base_view"](spark, sf_dir)
+    assert plan(df).count("Exchange hashpartitioning(_line_header") == 1
+    # The session of the caller is as it was.
+    assert joins_in_place(df.sparkSession) and not joins_in_place(spark)
+
+
+def test_placed_orders_equal_the_sql(spark, sf_dir, shuffled_and_small):  # noqa: F811
+    df = QUERIES["orders_base_view"](spark, sf_dir)
+    plain = QUERIES["open_orders"](spark, sf_dir)
+    assert bag(erp.open_orders(df)) == bag(plain)
+
+
+def test_a_session_with_more_settings(spark):
+    spark.conf.set("spark.sql.shuffle.partitions", "3")
+    try:
+        own = session_with(spark, PLACED_JOINS)
+        assert own.conf.get("spark.sql.shuffle.partitions") == "3" and joins_in_place(own)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
