@@ -89,3 +89,45 @@ def test_a_session_with_more_settings(spark):
         assert own.conf.get("spark.sql.shuffle.partitions") == "3" and joins_in_place(own)
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", "4")
+
+
+_key = st.sampled_from([None, 1, 2, 3])
+
+
+@settings(max_examples=8, deadline=None)
+@given(st.lists(_key, max_size=10), st.lists(_key, max_size=8))
+def test_repeated_is_a_lookup_without_its_columns(spark, left, right):
+    l = spark.createDataFrame([(k, i) for i, k in enumerate(left)], "k int, id int")
+    r = spark.createDataFrame([(k, i) for i, k in enumerate(right)], "rk int, v int")
+    want = bag(lookup(l, r, [("k", "rk")]), "k", "id")
+    assert bag(repeated(l, r, [("k", "rk")])) == bag(repeated(l, r, [("k", "rk")], ["id"])) == want
+
+
+def test_few_columns_of_the_list_view(buylist):  # noqa: F811
+    twice = buylist | {role: buylist[role].union(buylist[role]) for role in ("master", "customer")}
+    for columns in (supply.CROSSWALK_INPUT, ("ItemCode", "Subdivision/SupplierDescription"), ("State",)):
+        quoted = [f"`{c}`" for c in columns]
+        few = erp.buylist_detail(twice, columns=columns)
+        assert few.columns == list(columns) and bag(few) == bag(erp.buylist_detail(twice), *quoted)
+
+
+def test_items_meet_only_keys_that_a_master_repeats(spark, sf_dir):
+    """A master that brings no column is reduced to those before items are joined to it."""
+    lines = QUERIES["crosswalk_keys"](spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    depth = [len(line) - len(line.lstrip(" :+-")) for line in lines]
+    (join,) = (i for i, line in enumerate(lines) if "Join LeftOuter" in line and " = _master#" in line)
+    sides = [i for i in range(join + 1, len(lines)) if depth[i] == depth[join] + 3]
+    right = lines[sides[1]:]
+    assert any("Filter" in line and "__times" in line and "> 1" in line for line in right) and "Aggregate [_master#" in "".join(right)
+
+
+def test_customer_code_does_not_travel(spark, sf_dir):
+    text = QUERIES["crosswalk_keys"](spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
+    assert "BLCD32" in text.splitlines()[0] and not any("BLCD32" in line for line in text.splitlines()[1:])
+
+
+def test_near_misses_store_what_they_read(spark, sf_dir, tmp_path, monkeypatch):
+    monkeypatch.setattr(queries_module, "_new_folder", lambda spark: f"file:{tmp_path}/stored")
+    QUERIES["near_miss_keys"](spark, sf_dir)
+    (stored,) = (tmp_path / "stored").iterdir()
+    assert spark.read.parquet(str(stored)).columns == ["Key3", "CATN32", "CSRF32", "BLCD32", "StateReferenceNumber"]
