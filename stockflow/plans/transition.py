@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stockflow.plans.erp import open_orders
+from stockflow.plans.erp import Tables, open_orders, orders_base
 
 
 def transition_items(buylist: DataFrame) -> DataFrame:
@@ -42,3 +42,15 @@ def transition_open_orders(orders: DataFrame, buylist: DataFrame) -> DataFrame:
     """Open order lines for items in transition."""
     items = transition_items(buylist).select(F.col("ItemCode").alias("__item"))
     return open_orders(orders).join(items, F.col("SKU") == F.col("__item"), "left_semi")
+
+
+def open_orders_in_transition(orders: Tables, buylist: DataFrame) -> DataFrame:
+    """``transition_open_orders`` of the orders view, from its tables.
+
+    An order line has its SKU from the item table, and lines without one are no
+    open orders: with the items in transition alone all other lines go at the first
+    lookup, before they meet fulfil lines and headers.
+    """
+    items = transition_items(buylist).select(F.col("ItemCode").alias("__item"))
+    named = orders["item"].join(items, F.col("ITEMBASEPEOITEMNUMBER") == F.col("__item"), "left_semi")
+    return open_orders(orders_base({**orders, "item": named}))

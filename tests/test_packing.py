@@ -131,3 +131,15 @@ def test_near_misses_store_what_they_read(spark, sf_dir, tmp_path, monkeypatch):
     QUERIES["near_miss_keys"](spark, sf_dir)
     (stored,) = (tmp_path / "stored").iterdir()
     assert spark.read.parquet(str(stored)).columns == ["Key3", "CATN32", "CSRF32", "BLCD32", "StateReferenceNumber"]
+
+
+def test_open_orders_in_transition_from_their_tables(spark, buylist, orders):  # noqa: F811
+    """Equal to the semi-join of the view, and other lines go before fulfil lines are met."""
+    lists = spark.createDataFrame([("SKU100", "next"), ("SKU100", "other"), ("PALLETSLIPCHG", "x"), ("SKU9", None)], "ItemCode string, TransitionSKU string")
+    more = orders | {"item": orders["item"].union(orders["item"]).unionByName(orders["item"].withColumn("ITEMBASEPEOITEMNUMBER", F.lit("SKU7")))}
+    want = transition.transition_open_orders(erp.orders_base(more), lists)
+    got = transition.open_orders_in_transition(more, lists)
+    assert got.columns == want.columns and bag(got) == bag(want) and got.count() == 6
+    lines = got._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    deep = {kind: [len(line) - len(line.lstrip(" :+-")) for line in lines if kind in line] for kind in ("Join LeftSemi", "_fulfill_header#")}
+    assert min(deep["Join LeftSemi"]) > min(deep["_fulfill_header#"])
